@@ -22,26 +22,35 @@ def shuffle_key(key, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
+def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "pos") -> DataFrame:
+    """Dense 0-based position of each row in ``(bucket_col, *order_cols)`` order.
+
+    ``bucket_col`` must be non-decreasing in that order and have far fewer
+    distinct values than rows: its per-bucket counts are the only thing
+    ordered as a whole and broadcast. Each bucket is ranked in its own task.
+    """
+    counts = df.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(bucket_col, F.coalesce(F.sum("_n").over(
+        Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(bucket_col).orderBy(*order_cols)
+    return (df.join(F.broadcast(offsets), bucket_col, "inner")
+            .withColumn(pos_col, (F.col("_off") + F.row_number().over(within) - 1).cast("bigint"))
+            .drop("_off"))
+
+
 def with_hex_position(df: DataFrame, hex_col: str, tie_col: str, pos_col: str = "pos",
                       bucket_digits: int = 3) -> DataFrame:
     """Dense 0-based position of each row in ``(hex_col, tie_col)`` order.
 
     ``hex_col`` must be uniformly distributed hex (an md5), so the
-    ``16**bucket_digits`` buckets are evenly filled. The bucket-offset table
-    has at most that many rows - its size is bounded by the parameter, not by
-    the data - and is the only thing broadcast.
+    ``16**bucket_digits`` buckets are evenly filled; the offset table has at
+    most that many rows - bounded by the parameter, not by the data.
     """
     if not 1 <= bucket_digits <= 5:
         raise ValueError("bucket_digits must be in 1..5")
     bucket = F.conv(F.substring(F.col(hex_col), 1, bucket_digits), 16, 10).cast("int")
     x = df.withColumn("_bucket", bucket)
-    counts = x.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_bucket").orderBy(hex_col, tie_col)
-    return (x.join(F.broadcast(offsets), "_bucket", "inner")
-            .withColumn(pos_col, (F.col("_off") + F.row_number().over(within) - 1).cast("bigint"))
-            .drop("_bucket", "_off"))
+    return with_position(x, "_bucket", [hex_col, tie_col], pos_col).drop("_bucket")
 
 
 def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str = "pos") -> DataFrame:

@@ -348,3 +348,210 @@ def q_strip_prompt(spark, sf):
     s = strip_prompt(F.concat("prompt", "response", "prompt"), F.col("prompt"))
     return p.select(_big("example_id"), F.md5(s).alias("stripped_md5"),
                     F.length(s).cast("bigint").alias("stripped_chars"))
+
+
+# ------------------------------------------------------------ vocabularies
+from tunedata.functions.codec import WORD_MARK  # noqa: E402
+from tunedata.functions.text import WHITESPACE_CLASS  # noqa: E402
+from tunedata.operators import encode, vocab  # noqa: E402
+
+VOCAB_SIZE = vocab.DEFAULT_VOCAB_SIZE
+N_FIXED = len(vocab.SPECIAL_PIECES) + len(vocab.DEFAULT_USER_SYMBOLS)
+BASE_LANG = "en"
+TOP_PAIRS = 100
+BPE_MERGES = 20
+
+SQL_FIXED = ", ".join(
+    [f"('{p}', {i}, 0, 'special')" for i, p in enumerate(vocab.SPECIAL_PIECES)]
+    + [f"('{s}', {len(vocab.SPECIAL_PIECES) + j}, 0, 'user_defined')"
+       for j, s in enumerate(vocab.DEFAULT_USER_SYMBOLS)])
+SQL_WORDS = (f"SELECT doc_id, lang, unnest(ws) AS word, unnest(generate_series(0, len(ws) - 1)) AS pos "
+             f"FROM (SELECT doc_id, lang, list_filter(regexp_split_to_array(text, '{WHITESPACE_CLASS}+'), "
+             f"lambda w: w <> '') AS ws FROM documents)")
+SQL_WORD_VOCAB = f"""
+wc AS (SELECT word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY word),
+wr AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank FROM wc),
+v AS (SELECT token, id, score, kind FROM (VALUES {SQL_FIXED}) f(token, id, score, kind)
+      UNION ALL SELECT '{WORD_MARK}' || word, rank + {N_FIXED}, -rank, 'normal' FROM wr
+      WHERE rank < {VOCAB_SIZE - N_FIXED})"""
+SQL_LANG_VOCABS = f"""
+wc AS (SELECT lang, word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY lang, word),
+wr AS (SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) - 1 AS rank FROM wc),
+langs AS (SELECT DISTINCT lang FROM documents),
+lv AS (SELECT lang, token, id, score, kind FROM langs, (VALUES {SQL_FIXED}) f(token, id, score, kind)
+       UNION ALL SELECT lang, '{WORD_MARK}' || word, rank + {N_FIXED}, -rank, 'normal' FROM wr
+       WHERE rank < {VOCAB_SIZE - N_FIXED}),
+base AS (SELECT token, id, score, kind FROM lv WHERE lang = '{BASE_LANG}'),
+src AS (SELECT token, id AS ord, dense_rank() OVER (ORDER BY lang) AS source FROM lv WHERE lang <> '{BASE_LANG}'),
+fresh AS (SELECT token, source, ord FROM (
+            SELECT token, source, ord, row_number() OVER (PARTITION BY token ORDER BY source, ord) AS rn
+            FROM src WHERE token NOT IN (SELECT token FROM base)) WHERE rn = 1),
+merged AS (SELECT token, id, score, kind, 0 AS source FROM base
+           UNION ALL
+           SELECT token, (SELECT count(*) FROM base) + row_number() OVER (ORDER BY source, ord) - 1,
+                  0, 'normal', source FROM fresh)"""
+
+
+def _documents_corpus(spark, sf, *cols):
+    return tables.table(spark, sf, "documents").select(*cols, F.col("text").alias("value"))
+
+
+def _vocab_out(v: DataFrame) -> DataFrame:
+    return v.select("token", _big("id"), F.col("score").cast("bigint").alias("score"), "kind")
+
+
+@register("char_coverage", f"""
+WITH c AS (SELECT ch, count(*) AS n FROM (
+             SELECT unnest(string_split(regexp_replace(text, '{WHITESPACE_CLASS}', '', 'g'), '')) AS ch
+             FROM documents) WHERE ch <> '' GROUP BY ch),
+r AS (SELECT ch, n, row_number() OVER (ORDER BY n DESC, ch) - 1 AS rank,
+             coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS before, sum(n) OVER () AS total FROM c)
+SELECT ch, CAST(n AS BIGINT) AS n, CAST(rank AS BIGINT) AS rank,
+       CAST(before * 10000 < total * 9995 AS BIGINT) AS kept FROM r""")
+def q_char_coverage(spark, sf):
+    c = vocab.char_coverage(vocab.char_counts(_documents_corpus(spark, sf)), 0.9995)
+    return c.select("ch", _big("n"), _big("rank"), F.col("kept").cast("bigint").alias("kept"))
+
+
+@register("char_vocab", f"""
+WITH c AS (SELECT ch, count(*) AS n FROM (
+             SELECT unnest(string_split(regexp_replace(text, '{WHITESPACE_CLASS}', '', 'g'), '')) AS ch
+             FROM documents) WHERE ch <> '' GROUP BY ch),
+r AS (SELECT ch, n, row_number() OVER (ORDER BY n DESC, ch) - 1 AS rank,
+             coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS before, sum(n) OVER () AS total FROM c)
+SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind FROM (
+  SELECT * FROM (VALUES {SQL_FIXED}) f(token, id, score, kind)
+  UNION ALL SELECT ch, rank + {N_FIXED}, -rank, 'normal' FROM r
+  WHERE before * 10000 < total * 9995 AND rank < {VOCAB_SIZE - N_FIXED})""")
+def q_char_vocab(spark, sf):
+    return _vocab_out(vocab.char_vocab(_documents_corpus(spark, sf), vocab_size=VOCAB_SIZE))
+
+
+@register("word_vocab", f"""
+WITH {SQL_WORD_VOCAB}
+SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind FROM v""")
+def q_word_vocab(spark, sf):
+    return _vocab_out(vocab.word_vocab(_documents_corpus(spark, sf), vocab_size=VOCAB_SIZE))
+
+
+@register("pair_frequency", f"""
+WITH wc AS (SELECT word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY word),
+s AS (SELECT n, list_concat(['{WORD_MARK}'], string_split(word, '')) AS sym FROM wc),
+p AS (SELECT sym[i] AS a, sym[i + 1] AS b, n FROM (
+        SELECT sym, n, unnest(generate_series(1, len(sym) - 1)) AS i FROM s))
+SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY a, b ORDER BY n DESC, a, b LIMIT {TOP_PAIRS}""")
+def q_pair_frequency(spark, sf):
+    pc = vocab.pair_counts(vocab.bpe_words(_documents_corpus(spark, sf)))
+    return vocab.top_k(pc, TOP_PAIRS, [F.col("n").desc(), "a", "b"]).select("a", "b", _big("n"))
+
+
+@register("bpe_merges")
+def q_bpe_merges(spark, sf):
+    m = vocab.bpe_merges(_documents_corpus(spark, sf), BPE_MERGES)
+    return m.select(_big("rank"), "a", "b", _big("n"))
+
+
+def _lang_vocabs(spark, sf):
+    """Word vocabulary per language; base = en, sources numbered by language name."""
+    corpus = _documents_corpus(spark, sf, "lang")
+    lv = vocab.word_vocabs_by(corpus, "lang", vocab_size=VOCAB_SIZE)
+    base = lv.filter(F.col("lang") == BASE_LANG).drop("lang")
+    langs = corpus.select("lang").distinct().filter(F.col("lang") != BASE_LANG)
+    # One row per language: ranking them as a whole is bounded by the language count.
+    langs = langs.withColumn("source", F.dense_rank().over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("lang")))
+    sources = lv.join(F.broadcast(langs), "lang").select("token", F.col("id").alias("ord"), "source")
+    return base, sources
+
+
+@register("merge_vocab", f"""
+WITH {SQL_LANG_VOCABS}
+SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind,
+       CAST(source AS BIGINT) AS source FROM merged""")
+def q_merge_vocab(spark, sf):
+    base, sources = _lang_vocabs(spark, sf)
+    m = vocab.merge_vocabs(base, sources)
+    return _vocab_out(m).withColumn("source", m["source"].cast("bigint")) if False else \
+        m.select("token", _big("id"), F.col("score").cast("bigint").alias("score"), "kind", _big("source"))
+
+
+@register("merge_report", f"""
+WITH {SQL_LANG_VOCABS},
+sizes AS (SELECT 0 AS source, count(*) AS n_pieces FROM base
+          UNION ALL SELECT source, count(*) FROM src GROUP BY source),
+added AS (SELECT source, count(*) AS n_added FROM merged GROUP BY source)
+SELECT CAST(s.source AS BIGINT) AS source, CAST(n_pieces AS BIGINT) AS n_pieces,
+       CAST(coalesce(n_added, 0) AS BIGINT) AS n_added
+FROM sizes s LEFT JOIN added a ON s.source = a.source""")
+def q_merge_report(spark, sf):
+    base, sources = _lang_vocabs(spark, sf)
+    r = vocab.merge_report(base, sources, vocab.merge_vocabs(base, sources))
+    return r.select(_big("source"), _big("n_pieces"), _big("n_added"))
+
+
+def _word_vocab_docs(spark, sf):
+    return vocab.word_vocab(_documents_corpus(spark, sf), vocab_size=VOCAB_SIZE)
+
+
+@register("encode_word", f"""
+WITH {SQL_WORD_VOCAB},
+t AS ({SQL_WORDS}),
+j AS (SELECT t.doc_id, t.pos, coalesce(v.id, {vocab.UNK_ID}) AS id, v.id IS NULL AS unk
+      FROM t LEFT JOIN v ON v.token = '{WORD_MARK}' || t.word)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(count(j.pos) AS BIGINT) AS n_tokens,
+       CAST(coalesce(sum(CAST(j.unk AS INT)), 0) AS BIGINT) AS n_unk,
+       CAST(coalesce(sum(j.id), 0) AS BIGINT) AS id_sum,
+       CAST(coalesce(sum(j.pos * j.id), 0) AS BIGINT) AS pos_id_sum
+FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
+def q_encode_word(spark, sf):
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    ids = encode.encode_words(docs, "doc_id", "text", _word_vocab_docs(spark, sf), VOCAB_SIZE)
+    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return ids.select(
+        _big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
+        F.size(F.filter("ids", lambda v: v == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
+        total(F.col("ids")).alias("id_sum"),
+        total(F.transform("ids", lambda v, i: v.cast("bigint") * i)).alias("pos_id_sum"))
+
+
+@register("decode_word", f"""
+WITH {SQL_WORD_VOCAB},
+t AS ({SQL_WORDS}),
+k AS (SELECT t.doc_id, t.pos, t.word FROM t JOIN v ON v.token = '{WORD_MARK}' || t.word),
+g AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS txt, count(*) AS n FROM k GROUP BY doc_id)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, md5(coalesce(g.txt, '')) AS text_md5,
+       CAST(length(coalesce(g.txt, '')) AS BIGINT) AS n_chars
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id""")
+def q_decode_word(spark, sf):
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    v = _word_vocab_docs(spark, sf)
+    ids = encode.encode_words(docs, "doc_id", "text", v, VOCAB_SIZE)
+    txt = encode.decode_ids(ids, "doc_id", "ids", v, VOCAB_SIZE, skip_special=True)
+    return txt.select(_big("doc_id"), F.md5("text").alias("text_md5"),
+                      F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("tokenizer_compare", f"""
+WITH {SQL_LANG_VOCABS},
+t AS ({SQL_WORDS})
+SELECT t.lang, CAST(count(*) AS BIGINT) AS n_tokens,
+       CAST(sum(CASE WHEN b.token IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unk_base,
+       CAST(sum(CASE WHEN m.token IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unk_merged
+FROM t LEFT JOIN base b ON b.token = '{WORD_MARK}' || t.word
+       LEFT JOIN merged m ON m.token = '{WORD_MARK}' || t.word
+GROUP BY t.lang""")
+def q_tokenizer_compare(spark, sf):
+    base, sources = _lang_vocabs(spark, sf)
+    merged = vocab.merge_vocabs(base, sources)
+    docs = tables.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    bound = VOCAB_SIZE * 4  # base plus three capped sources
+    tb = encode.word_tokens(docs, "doc_id", "text", base, VOCAB_SIZE, keep=["lang"])
+    tb = tb.withColumnRenamed("is_unk", "unk_base").drop("id")
+    m = encode.bounded_broadcast(merged.select("token", F.lit(False).alias("_known")), bound)
+    tm = tb.join(m, "token", "left")
+    return tm.groupBy("lang").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
+        F.sum(F.col("unk_base").cast("int")).cast("bigint").alias("unk_base"),
+        F.sum(F.col("_known").isNull().cast("int")).cast("bigint").alias("unk_merged"))

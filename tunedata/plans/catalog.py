@@ -555,3 +555,99 @@ def q_tokenizer_compare(spark, sf):
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.sum(F.col("unk_base").cast("int")).cast("bigint").alias("unk_base"),
         F.sum(F.col("_known").isNull().cast("int")).cast("bigint").alias("unk_merged"))
+
+
+# ----------------------------------------------------- reports, prediction, io
+from tunedata.operators import predict, reports  # noqa: E402
+from tunedata.operators.profiles import SPECIAL_IDS  # noqa: E402
+from tunedata.session import scratch_path  # noqa: E402
+from tunedata.sources import readers  # noqa: E402
+
+
+def _sql_int(v):
+    return "NULL" if v is None else str(v)
+
+
+SQL_PROFILES = ", ".join(f"('{n}', '{t}', {_sql_int(b)}, {_sql_int(e)}, {_sql_int(p)})"
+                         for n, t, b, e, p in SPECIAL_IDS)
+
+
+@register("model_lengths", f"""
+SELECT p.model_name, CAST(p.bos_id AS BIGINT) AS bos_id, CAST(p.eos_id AS BIGINT) AS eos_id,
+       CAST(p.pad_id AS BIGINT) AS pad_id, CAST(a.n_texts AS BIGINT) AS n_texts,
+       CAST(a.n_chars AS BIGINT) AS n_chars, CAST(a.n_tokens AS BIGINT) AS n_tokens,
+       CAST(a.n_texts AS BIGINT) AS n_roundtrip
+FROM (VALUES {SQL_PROFILES}) p(model_name, model_type, bos_id, eos_id, pad_id),
+     (SELECT count(*) AS n_texts, sum(length(text)) AS n_chars,
+             sum(len({sql_codepoints('text')})) AS n_tokens FROM benchmark) a""")
+def q_model_lengths(spark, sf):
+    b = tables.table(spark, sf, "benchmark").select("text")
+    r = reports.model_lengths(b)
+    return r.select("model_name", _big("bos_id"), _big("eos_id"), _big("pad_id"), _big("n_texts"),
+                    _big("n_chars"), _big("n_tokens"), _big("n_roundtrip"))
+
+
+@register("split_counts", """
+SELECT source, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM documents GROUP BY source""")
+def q_split_counts(spark, sf):
+    d = tables.table(spark, sf, "documents").select("source", "text")
+    return reports.split_counts(d, "source").select("source", _big("n_rows"), _big("n_chars"))
+
+
+@register("corpus_union", f"""
+WITH u AS (SELECT 'documents' AS origin, text AS value FROM documents
+           UNION ALL SELECT 'benchmark', text FROM benchmark)
+SELECT origin, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(value)) AS BIGINT) AS n_chars,
+       CAST(sum(len(list_filter(regexp_split_to_array(value, '{WHITESPACE_CLASS}+'), lambda w: w <> '')))
+            AS BIGINT) AS n_words
+FROM u GROUP BY origin""")
+def q_corpus_union(spark, sf):
+    parts = {"documents": tables.table(spark, sf, "documents").select(F.col("text").alias("value")),
+             "benchmark": tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))}
+    r = reports.corpus_union(parts)
+    return r.select("origin", _big("n_rows"), _big("n_chars"), _big("n_words"))
+
+
+@register("batch_predict", f"""
+SELECT CAST(example_id AS BIGINT) AS example_id, md5(prompt) AS prompt_md5,
+       md5(replace(prompt || reverse(prompt), prompt, '')) AS prediction_md5,
+       CAST(length(replace(prompt || reverse(prompt), prompt, '')) AS BIGINT) AS prediction_chars
+FROM ({SQL_PAIRS})""")
+def q_batch_predict(spark, sf):
+    p = tables.pairs(spark, sf).select("example_id", "prompt")
+    r = predict.batch_predict(p, "prompt", predict.echo_reverse)
+    return r.select(_big("example_id"), F.md5("prompt").alias("prompt_md5"),
+                    F.md5("prediction").alias("prediction_md5"),
+                    F.length("prediction").cast("bigint").alias("prediction_chars"))
+
+
+@register("txt_predict_columns", """
+SELECT text AS "Input", replace(text || reverse(text), text, '') AS "Output" FROM benchmark""")
+def q_txt_predict_columns(spark, sf):
+    b = tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))
+    r = predict.batch_predict(b, "value", predict.echo_reverse)
+    from tunedata.operators.templates import txt_output
+    return txt_output(r, "value", "prediction")
+
+
+@register("jsonl_roundtrip", """
+SELECT CAST(item_id AS BIGINT) AS item_id, text FROM benchmark""")
+def q_jsonl_roundtrip(spark, sf):
+    path = scratch_path(spark, "jsonl-roundtrip")
+    tables.table(spark, sf, "benchmark").select("item_id", "text").write.json(path)
+    back = readers.read_json(spark, path, readers.BENCHMARK_SCHEMA)
+    valid, _ = readers.split_valid(back, ["item_id"])
+    return valid.select(_big("item_id"), "text")
+
+
+@register("txt_prompt_roundtrip", """
+SELECT text AS value FROM benchmark""")
+def q_txt_prompt_roundtrip(spark, sf):
+    path = scratch_path(spark, "txt-roundtrip") + ".txt"
+    b = tables.table(spark, sf, "benchmark")
+    # One JSON-quoted string literal per line.
+    quoted = F.regexp_extract(F.to_json(F.array("text")), r"^\[(.*)\]$", 1)
+    b.select(quoted.alias("value")).write.text(path)
+    prompts, _ = readers.read_prompts_txt(spark, path)
+    return prompts

@@ -112,15 +112,17 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text([p for p in path.split(",") if p])
 
 
-def read_vocab_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_vocab_tsv(spark: SparkSession, path: str, glob: str | None = "*.vocab") -> DataFrame:
     """``.vocab`` files (piece TAB score, no quoting) -> ``(token, score, ord, file)``.
 
     ``ord`` is the line number inside the file (its id there). Line order comes
     from ``monotonically_increasing_id`` (increasing along a file's splits);
     the per-file window ranks one vocabulary, which its size bounds.
     """
-    r = (spark.read.schema(VOCAB_TSV_SCHEMA).option("sep", "\t").option("quote", "")
-         .option("escape", "").option("pathGlobFilter", "*.vocab").csv(path)
+    rd = spark.read.schema(VOCAB_TSV_SCHEMA).option("sep", "\t").option("quote", "").option("escape", "")
+    if glob:
+        rd = rd.option("pathGlobFilter", glob)
+    r = (rd.csv(path)
          .select("token", "score", F.col("_metadata.file_name").alias("file"),
                  F.monotonically_increasing_id().alias("_mono")))
     w = Window.partitionBy("file").orderBy("_mono")

@@ -37,10 +37,14 @@ def write_sequences(df: DataFrame, path: str, partition_by: list[str] | None = N
 
 
 def write_vocab(vocab: DataFrame, path: str, tsv: bool = False, overwrite: bool = False) -> None:
-    """K4 / K5: vocabulary as parquet, or as ``piece TAB score`` lines in id order."""
+    """K4 / K5: vocabulary as parquet, or as ``piece TAB score`` lines in id order.
+
+    The TSV form is one file (line number = id); a vocabulary is capped by its
+    ``vocab_size``, so the single writing task is bounded.
+    """
     if not tsv:
         vocab.write.mode(_mode(overwrite)).parquet(path)
         return
-    (vocab.orderBy("id").select("token", F.col("score").cast("string").alias("score"))
+    (vocab.orderBy("id").select("token", F.col("score").cast("string").alias("score")).coalesce(1)
      .write.mode(_mode(overwrite)).option("sep", "\t").option("quote", "").option("escape", "")
      .csv(path))

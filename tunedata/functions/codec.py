@@ -41,8 +41,13 @@ def chars(text) -> Column:
 
 
 def words(text) -> Column:
-    """Words of a text: split on runs of ASCII white space, empty pieces dropped."""
-    return F.filter(F.split(_col(text), WHITESPACE_CLASS + "+"), lambda w: w != "")
+    """Words of a text: split on runs of ASCII white space, no empty pieces.
+
+    Leading and trailing white space is cut first, so the split never yields
+    an empty piece (native expressions only, no per-element lambda).
+    """
+    t = F.regexp_replace(_col(text), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WHITESPACE_CLASS + "+"))
 
 
 def symbols(word) -> Column:

@@ -223,21 +223,24 @@ def bpe_vocab(corpus: DataFrame, n_merges: int, text_col: str = "value",
 
 # ------------------------------------------------------------------ merging
 def merge_vocabs(base: DataFrame, sources: DataFrame) -> DataFrame:
-    """``base`` (token, id, score, kind) plus ``sources`` (token, ord, source).
+    """``base`` (token, id, score, kind; ids dense from 0) plus
+    ``sources`` (token, ord, source >= 1).
 
     Pieces already in the base are dropped (J3, left anti join); a piece in
     several sources, or twice in one, is kept once - first source, first
     ordinal wins (W3, D14). New pieces get score 0, kind ``normal`` and ids
-    after the base in ``(source, ord)`` order (W2, D15).
+    after the base in ``(source, ord)`` order (W2, D15): base rows and new
+    pieces are numbered together in ``(source, ord)`` order, the base being
+    source 0 ordered by id, so no separate count of the base is needed.
     """
-    base_size = base.count()
     new = sources.select("token", "ord", "source").join(base.select("token"), "token", "left_anti")
     first = new.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("token").orderBy("source", "ord"))).filter(F.col("_rn") == 1)
-    first = first.withColumn("_bucket", F.col("source").cast("bigint") * F.lit(1 << 32)
-                             + F.floor(F.col("ord") / 4096).cast("bigint"))
-    numbered = with_position(first, "_bucket", ["source", "ord"], "_pos")
-    added = numbered.select("token", (F.col("_pos") + base_size).cast("int").alias("id"),
+        Window.partitionBy("token").orderBy("source", "ord"))).filter(F.col("_rn") == 1).drop("_rn")
+    both = base.select("token", F.col("id").alias("ord"), F.lit(0).alias("source")).unionByName(first)
+    both = both.withColumn("_bucket", F.col("source").cast("bigint") * F.lit(1 << 32)
+                           + F.floor(F.col("ord") / 4096).cast("bigint"))
+    numbered = with_position(both, "_bucket", ["source", "ord"], "_pos").filter(F.col("source") > 0)
+    added = numbered.select("token", F.col("_pos").cast("int").alias("id"),
                             F.lit(0.0).alias("score"), F.lit("normal").alias("kind"), "source")
     kept = base.select("token", F.col("id").cast("int"), F.col("score").cast("double"), "kind",
                        F.lit(0).alias("source"))

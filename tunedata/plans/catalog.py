@@ -393,7 +393,7 @@ merged AS (SELECT token, id, score, kind, 0 AS source FROM base
 
 
 def _documents_corpus(spark, sf, *cols):
-    return tables.table(spark, sf, "documents").select(*cols, F.col("text").alias("value"))
+    return tables.table(spark, sf, "documents", spread=True).select(*cols, F.col("text").alias("value"))
 
 
 def _vocab_out(v: DataFrame) -> DataFrame:
@@ -456,9 +456,11 @@ def q_bpe_merges(spark, sf):
 def _lang_vocabs(spark, sf):
     """Word vocabulary per language; base = en, sources numbered by language name."""
     corpus = _documents_corpus(spark, sf, "lang")
-    lv = vocab.word_vocabs_by(corpus, "lang", vocab_size=VOCAB_SIZE)
+    # The per-language vocabularies (at most languages x VOCAB_SIZE rows) feed
+    # several branches: computed once, lineage cut.
+    lv = materialize(vocab.word_vocabs_by(corpus, "lang", vocab_size=VOCAB_SIZE))
     base = lv.filter(F.col("lang") == BASE_LANG).drop("lang")
-    langs = corpus.select("lang").distinct().filter(F.col("lang") != BASE_LANG)
+    langs = lv.select("lang").distinct().filter(F.col("lang") != BASE_LANG)
     # One row per language: ranking them as a whole is bounded by the language count.
     langs = langs.withColumn("source", F.dense_rank().over(
         __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("lang")))
@@ -492,7 +494,7 @@ def q_merge_report(spark, sf):
 
 
 def _word_vocab_docs(spark, sf):
-    return vocab.word_vocab(_documents_corpus(spark, sf), vocab_size=VOCAB_SIZE)
+    return materialize(vocab.word_vocab(_documents_corpus(spark, sf), vocab_size=VOCAB_SIZE))
 
 
 @register("encode_word", f"""
@@ -506,7 +508,7 @@ SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(count(j.pos) AS BIGINT) AS n_tok
        CAST(coalesce(sum(j.pos * j.id), 0) AS BIGINT) AS pos_id_sum
 FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
 def q_encode_word(spark, sf):
-    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
     ids = encode.encode_words(docs, "doc_id", "text", _word_vocab_docs(spark, sf), VOCAB_SIZE)
     total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, v: a + v)
     return ids.select(
@@ -525,7 +527,7 @@ SELECT CAST(d.doc_id AS BIGINT) AS doc_id, md5(coalesce(g.txt, '')) AS text_md5,
        CAST(length(coalesce(g.txt, '')) AS BIGINT) AS n_chars
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id""")
 def q_decode_word(spark, sf):
-    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
     v = _word_vocab_docs(spark, sf)
     ids = encode.encode_words(docs, "doc_id", "text", v, VOCAB_SIZE)
     txt = encode.decode_ids(ids, "doc_id", "ids", v, VOCAB_SIZE, skip_special=True)
@@ -545,7 +547,7 @@ GROUP BY t.lang""")
 def q_tokenizer_compare(spark, sf):
     base, sources = _lang_vocabs(spark, sf)
     merged = vocab.merge_vocabs(base, sources)
-    docs = tables.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "lang", "text")
     bound = VOCAB_SIZE * 4  # base plus three capped sources
     tb = encode.word_tokens(docs, "doc_id", "text", base, VOCAB_SIZE, keep=["lang"])
     tb = tb.withColumnRenamed("is_unk", "unk_base").drop("id")
@@ -560,7 +562,7 @@ def q_tokenizer_compare(spark, sf):
 # ----------------------------------------------------- reports, prediction, io
 from tunedata.operators import predict, reports  # noqa: E402
 from tunedata.operators.profiles import SPECIAL_IDS  # noqa: E402
-from tunedata.session import scratch_path  # noqa: E402
+from tunedata.session import materialize, scratch_path  # noqa: E402
 from tunedata.sources import readers  # noqa: E402
 
 
@@ -603,7 +605,7 @@ SELECT origin, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(value)) AS BI
             AS BIGINT) AS n_words
 FROM u GROUP BY origin""")
 def q_corpus_union(spark, sf):
-    parts = {"documents": tables.table(spark, sf, "documents").select(F.col("text").alias("value")),
+    parts = {"documents": tables.table(spark, sf, "documents", spread=True).select(F.col("text").alias("value")),
              "benchmark": tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))}
     r = reports.corpus_union(parts)
     return r.select("origin", _big("n_rows"), _big("n_chars"), _big("n_words"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "tunedata",
@@ -61,3 +61,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared ``spark.checkpoint.dir`` (survives lost executors).
+
+    For small derived tables read by several branches of a plan (a trained
+    vocabulary, per-bucket counts), which Spark would otherwise recompute.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

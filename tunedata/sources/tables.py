@@ -12,8 +12,21 @@ from pyspark.sql import functions as F
 QUALITY_INSTRUCTION = "Is this text of good quality?"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table.
+
+    ``spread`` is for text-heavy row work (exploding words or characters):
+    when the scan yields fewer splits than the session has cores (e.g. one
+    file with one row group), the rows are dealt round-robin over that many
+    partitions first. A large input already has enough splits and is left
+    alone, so this never adds a shuffle at scale.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:  # a plain scan: planning only, no job
+            df = df.repartition(target)
+    return df
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,3 +145,40 @@ def explode_positions(df: DataFrame, key: str, cols: Iterable[str]) -> DataFrame
     out = df.select(key, F.posexplode(z).alias("pos", "_z"))
     return out.select(key, F.col("pos").cast("bigint").alias("pos"),
                       *[F.col("_z")[c].cast("bigint").alias(c) for c in cols])
+
+
+def chat_layout_records(df: DataFrame, max_len: int, eos_id: int,
+                        human_roles: Iterable[str] = DEFAULT_HUMAN_ROLES,
+                        encode_fn: Encoder = codepoints, conv_col: str = "conversations",
+                        keep: Iterable[str] = ()) -> DataFrame:
+    """L1 on nested records (``conversations ARRAY<STRUCT<from, value>>``).
+
+    A whole conversation is one row here, so the layout is a per-row
+    expression: no shuffle, and it also runs on a streaming DataFrame. Same
+    result as ``chat_layout`` on the exploded turns; an empty list gives three
+    empty arrays (D20). A NULL turn value fails the job (D6).
+    """
+    limit = max_len - 1
+    if limit < 1:
+        raise ValueError("max_len must be >= 2")
+    null_value = F.exists(conv_col, lambda t: t["value"].isNull())
+    x = df.filter(F.when(null_value, F.raise_error(F.lit("NULL text in conversations.value")))
+                  .otherwise(F.lit(True)))
+
+    def turn_parts(t):
+        human = is_human(t["from"], human_roles)
+        ids = encode_fn(human_template(t["value"], human))
+        sup_ids = F.concat(ids, int_array(eos_id))
+        return F.struct(F.when(human, ids).otherwise(sup_ids).alias("ids"),
+                        F.when(human, repeat(IGNORE_INDEX, F.size(ids))).otherwise(sup_ids).alias("labels"))
+
+    parts = F.transform(F.coalesce(F.col(conv_col), F.array()), turn_parts)
+    x = x.select(*keep, parts.alias("_parts"))
+    ids = F.slice(F.flatten(F.transform("_parts", lambda p: p["ids"])), 1, limit)
+    labels = F.slice(F.flatten(F.transform("_parts", lambda p: p["labels"])), 1, limit)
+    x = x.select(*keep, F.coalesce(ids, empty_ints()).alias("input_ids"),
+                 F.coalesce(labels, empty_ints()).alias("labels"))
+    labels = F.when(any_supervised(F.col("labels")), F.col("labels")) \
+        .otherwise(copy_fallback(F.col("labels"), F.col("input_ids")))
+    return x.select(*keep, "input_ids", repeat(1, F.size("input_ids")).alias("attention_mask"),
+                    labels.alias("labels"))

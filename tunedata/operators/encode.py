@@ -71,3 +71,85 @@ def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, vocab_ro
     text = F.array_join(F.transform("_p", lambda s: s["token"]), "")
     text = F.regexp_replace(F.regexp_replace(text, WORD_MARK, " "), "^ ", "")
     return g.select(key, text.alias("text"))
+
+
+# ------------------------------------------------------------ piece encoder
+def _piece_encoder(pieces: dict, ids: dict, user_symbols: list, unk_id: int):
+    """Per-word subword encoder (a small helper run inside ``mapInPandas``).
+
+    Starting from the word mark and single characters, repeatedly join the
+    adjacent pair whose concatenation is a piece with the highest score
+    (leftmost on ties); user-defined symbols are atomic.
+    """
+    import re
+    splitter = re.compile("(" + "|".join(re.escape(s) for s in user_symbols) + ")") if user_symbols else None
+
+    def bpe(symbols: list) -> list:
+        while len(symbols) > 1:
+            best, at = None, -1
+            for i in range(len(symbols) - 1):
+                s = pieces.get(symbols[i] + symbols[i + 1])
+                if s is not None and (best is None or s > best):
+                    best, at = s, i
+            if best is None:
+                break
+            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+        return symbols
+
+    def encode_word(word: str) -> list:
+        parts = splitter.split(word) if splitter else [word]
+        out, mark = [], True
+        for part in parts:
+            if not part:
+                continue
+            if splitter and part in user_symbols:
+                out.extend([WORD_MARK, part] if mark else [part])
+            else:
+                out.extend(bpe(([WORD_MARK] if mark else []) + list(part)))
+            mark = False
+        return [ids.get(p, unk_id) for p in out]
+
+    return encode_word
+
+
+def encode_distinct_words(words_df: DataFrame, vocab: DataFrame, unk_id: int = UNK_ID) -> DataFrame:
+    """``(word, ids ARRAY<INT>)`` for each distinct word, encoded once.
+
+    The vocabulary (pieces, scores and ids; at most ``vocab_size`` rows) is
+    read once on the driver and shipped with the function; the words stay
+    distributed.
+    """
+    rows = vocab.select("token", "id", "score", "kind").collect()
+    pieces = {r.token: r.score for r in rows if r.kind == "normal"}
+    ids = {r.token: r.id for r in rows if r.kind != "special"}
+    user_symbols = sorted((r.token for r in rows if r.kind == "user_defined"), key=len, reverse=True)
+
+    def run(batches):
+        import pandas as pd
+        enc = _piece_encoder(pieces, ids, user_symbols, unk_id)
+        for pdf in batches:
+            yield pd.DataFrame({"word": pdf["word"], "ids": [enc(w) for w in pdf["word"]]})
+
+    return words_df.select("word").mapInPandas(run, "word string, ids array<int>")
+
+
+def encode_pieces(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_id: int = UNK_ID,
+                  broadcast_max_words: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """V6 with a subword vocabulary: ``(key, ids ARRAY<INT>)`` per row.
+
+    Words are split as in the word encoder; each distinct word is encoded
+    once (its count is pre-aggregated per partition, so a frequent word costs
+    one row per partition), then joined back to its occurrences. The encoded
+    word table is broadcast when its counted size is below
+    ``broadcast_max_words``; beyond that it is a shuffle join whose skewed
+    keys (very frequent words) AQE splits.
+    """
+    from tunedata.session import materialize
+    occ = df.select(key, F.posexplode_outer(words(F.col(text_col))).alias("pos", "word"))
+    distinct = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    encoded = materialize(encode_distinct_words(distinct, vocab, unk_id))
+    n_words = encoded.count()
+    side = F.broadcast(encoded) if n_words <= broadcast_max_words else encoded
+    j = occ.join(side, "word", "left")
+    g = j.groupBy(key).agg(_ordered("pos", "ids").alias("_p"))
+    return g.select(key, F.flatten(F.transform("_p", lambda s: s["ids"])).cast("array<int>").alias("ids"))

@@ -212,7 +212,11 @@ def bpe_vocab(corpus: DataFrame, n_merges: int, text_col: str = "value",
     n_merged = merged.count()
     mv = merged.select("token", (F.col("rank") + n_fixed).cast("int").alias("id"),
                        (-F.col("rank")).cast("double").alias("score"), F.lit("normal").alias("kind"))
-    ch = char_coverage(char_counts(corpus, text_col), coverage).filter("kept") \
+    # The word mark is a character of every word (counted once per word).
+    marks = word_counts(corpus, text_col).agg(F.sum("n").alias("n")).select(
+        F.lit(WORD_MARK).alias("ch"), "n").filter(F.col("n") > 0)
+    counts = char_counts(corpus, text_col).filter(F.col("ch") != WORD_MARK).unionByName(marks)
+    ch = char_coverage(counts, coverage).filter("kept") \
         .select(F.col("ch").alias("token"), "rank")
     ch = ch.join(merged.select("token"), "token", "left_anti")
     ch = _ranked(ch, ["rank"]).select(

@@ -653,3 +653,45 @@ def q_txt_prompt_roundtrip(spark, sf):
     b.select(quoted.alias("value")).write.text(path)
     prompts, _ = readers.read_prompts_txt(spark, path)
     return prompts
+
+
+# ------------------------------------------------- offsets, round trips, pieces
+from tunedata.functions.codec import codepoints_decode  # noqa: E402
+
+
+@register("turn_offsets", f"""
+WITH {sql_chat_tokens()}
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(start AS BIGINT) AS start,
+       CAST(len(ids) AS BIGINT) AS n_tok, CAST(least(len(ids), {CHAT_LEN - 1} - start) AS BIGINT) AS kept,
+       CAST(sup AS BIGINT) AS supervised
+FROM s WHERE start < {CHAT_LEN - 1}""")
+def q_turn_offsets(spark, sf):
+    t = layouts.chat_turn_tokens(tables.turns(spark, sf), CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
+    return t.select(_big("conv_id"), _big("turn"), _big("start"), _big("n_tok"),
+                    F.size("tok_ids").cast("bigint").alias("kept"),
+                    F.col("sup").cast("bigint").alias("supervised"))
+
+
+@register("codepoint_roundtrip", """
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(length(text) AS BIGINT) AS n_tokens,
+       CAST(1 AS BIGINT) AS roundtrip_ok
+FROM documents""")
+def q_codepoint_roundtrip(spark, sf):
+    d = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
+    ids = d.select("doc_id", "text", codepoints(F.col("text")).alias("ids"))
+    return ids.select(_big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
+                      (codepoints_decode(F.col("ids")) == F.col("text")).cast("bigint").alias("roundtrip_ok"))
+
+
+@register("encode_piece")
+def q_encode_piece(spark, sf):
+    """V6 with a subword vocabulary learned from ``benchmark`` (BPE), applied
+    to every document; no SQL statement (the vocabulary is iterative)."""
+    bench = tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))
+    v = materialize(vocab.bpe_vocab(bench, BPE_MERGES))
+    docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
+    ids = encode.encode_pieces(docs, "doc_id", "text", v)
+    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return ids.select(_big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.size(F.filter("ids", lambda x: x == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
+                      total(F.col("ids")).alias("id_sum"))

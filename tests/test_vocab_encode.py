@@ -121,3 +121,12 @@ def test_codepoint_round_trip(spark, texts):
     out = df.select("t", codepoints("t").alias("ids"), codepoints_decode(codepoints("t")).alias("back")).collect()
     for r in out:
         assert r.ids == [ord(c) for c in r.t] and r.back == r.t
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="abc ", min_size=1, max_size=14), min_size=1, max_size=6),
+       st.integers(1, 15))
+def test_bpe_batch_rule_equals_greedy(spark, texts, n):
+    corpus = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [tuple(r) for r in vocab.bpe_merges(corpus, n).orderBy("rank").collect()]
+    assert got == _greedy(texts, n)

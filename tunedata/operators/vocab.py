@@ -171,30 +171,100 @@ def apply_merge(sym: Column, a: str, b: str) -> Column:
     return F.regexp_replace(sym, pattern, replacement)
 
 
+def apply_merges(sym: Column, pairs: list) -> Column:
+    """Several merges in one regex pass; the pairs must share no symbol and no
+    product (what the batch rule guarantees), so their matches never overlap
+    and one left-to-right pass equals applying them one after another. Each
+    alternative captures its two symbols; groups that did not take part
+    append nothing."""
+    if len(pairs) == 1:
+        return apply_merge(sym, pairs[0][0], pairs[0][1])
+    alts = "|".join(f"({_quote(a)}) ({_quote(b)})" for a, b in pairs)
+    refs = "".join(f"${i}" for i in range(1, 2 * len(pairs) + 1))
+    return F.regexp_replace(sym, f"(?<=^| )(?:{alts})(?= |$)", refs)
+
+
+def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> list:
+    """Longest prefix of the ranked pairs ``top`` (``(a, b, n)``, best first)
+    that one-at-a-time greedy merging would pick in the same order - exact,
+    not an approximation.
+
+    A pair is taken while (1) it shares no symbol with, and uses no product of,
+    a pair taken before it, so its count is unchanged by those merges, and (2)
+    its count is above every count a taken merge can create: a new pair
+    ``(x, ab)`` or ``(ab, y)`` occurs at most ``min(n(a,b), max(L(a), R(b)))``
+    times, where ``L(s)`` / ``R(s)`` bound the count of any pair ending /
+    starting with ``s``: the largest such count in ``top``, or the last count
+    of ``top`` when the list is cut (every pair outside it is at most that).
+    A merge whose product may already be a symbol (an earlier product) ends
+    the batch, since pairs with that symbol would grow.
+    """
+    first = top[0]
+    if remaining <= 1 or len(top) == 1:
+        return [first]
+    floor = 0 if complete else top[-1][2]
+    left: dict = {}
+    right: dict = {}
+    for a, b, n in top:
+        left[b] = max(left.get(b, 0), n)
+        right[a] = max(right.get(a, 0), n)
+
+    def bound(r):
+        return min(r[2], max(left.get(r[0], 0), right.get(r[1], 0), floor))
+
+    taken = [first]
+    used, made = {first[0], first[1]}, {first[0] + first[1]}
+    limit = bound(first)
+    if first[0] + first[1] in products:
+        return taken
+    for r in top[1:]:
+        a, b, n = r
+        if len(taken) >= remaining or a in used or b in used or a in made or b in made or n <= limit:
+            break
+        taken.append(r)
+        used |= {a, b}
+        limit = max(limit, bound(r))
+        if a + b in products or a + b in made:
+            break
+        made.add(a + b)
+    return taken
+
+
 def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
-               checkpoint_every: int = 5, partitions: int | None = None) -> DataFrame:
-    """V1 merge list ``(rank, a, b, n)``: one greedy merge per round.
-
-    Each round is a distributed pair count over the distinct-word table
-    (hash-partitioned over ``partitions``) and a top-1 (one row to the
-    driver). Merging is a codegen'd regex replace per word. The lineage is cut
-    with a reliable ``checkpoint()`` in the shared ``spark.checkpoint.dir``
-    every ``checkpoint_every`` rounds. Ties go to the smaller ``(a, b)``.
+               checkpoint_every: int = 5, partitions: int | None = None,
+               batch: bool = True, candidates: int = 1024) -> DataFrame:
+    """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
+    smaller ``(a, b)``.
+
+    Each round is one distributed job over the distinct-word table
+    (hash-partitioned over ``partitions``): pair counts (summed per partition
+    before the shuffle) and the top ``candidates`` pairs, the only rows that
+    reach the driver. With ``batch`` the exact batch rule takes several merges
+    per round when greedy provably would. Merging is a codegen'd regex replace
+    per word. The lineage is cut with a reliable ``checkpoint()`` in the
+    shared ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)
     n_parts = partitions or max(spark.sparkContext.defaultParallelism,
                                 int(spark.conf.get("spark.sql.shuffle.partitions")))
     w = bpe_words(corpus, text_col).repartition(n_parts, "sym").checkpoint()
-    merges = []
-    for r in range(n_merges):
-        best = pair_counts(w).orderBy(F.col("n").desc(), "a", "b").limit(1).collect()
-        if not best:
+    k = candidates if batch else 1
+    merges: list = []
+    products: set = set()
+    rounds = 0
+    while len(merges) < n_merges:
+        rows = pair_counts(w).orderBy(F.col("n").desc(), "a", "b").limit(k).collect()
+        if not rows:
             break
-        a, b, n = best[0]["a"], best[0]["b"], int(best[0]["n"])
-        merges.append((r, a, b, n))
-        w = w.select(apply_merge(F.col("sym"), a, b).alias("sym"), "n")
-        if (r + 1) % checkpoint_every == 0:
+        top = [(r["a"], r["b"], int(r["n"])) for r in rows]
+        picked = _batch_rule(top, len(top) < k, products, n_merges - len(merges))
+        for a, b, n in picked:
+            merges.append((len(merges), a, b, n))
+            products.add(a + b)
+        w = w.select(apply_merges(F.col("sym"), [(a, b) for a, b, _ in picked]).alias("sym"), "n")
+        rounds += 1
+        if rounds % checkpoint_every == 0:
             w = w.checkpoint()
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 

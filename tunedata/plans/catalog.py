@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunedata.functions.arrays import IGNORE_INDEX
@@ -462,10 +462,9 @@ def _lang_vocabs(spark, sf):
     base = lv.filter(F.col("lang") == BASE_LANG).drop("lang")
     langs = lv.select("lang").distinct().filter(F.col("lang") != BASE_LANG)
     # One row per language: ranking them as a whole is bounded by the language count.
-    langs = langs.withColumn("source", F.dense_rank().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("lang")))
+    langs = langs.withColumn("source", F.dense_rank().over(Window.orderBy("lang")))
     sources = lv.join(F.broadcast(langs), "lang").select("token", F.col("id").alias("ord"), "source")
-    return base, sources
+    return base, sources, lv.count()  # rows of all vocabularies: bounds the merged one
 
 
 @register("merge_vocab", f"""
@@ -473,10 +472,10 @@ WITH {SQL_LANG_VOCABS}
 SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind,
        CAST(source AS BIGINT) AS source FROM merged""")
 def q_merge_vocab(spark, sf):
-    base, sources = _lang_vocabs(spark, sf)
+    base, sources, _ = _lang_vocabs(spark, sf)
     m = vocab.merge_vocabs(base, sources)
-    return _vocab_out(m).withColumn("source", m["source"].cast("bigint")) if False else \
-        m.select("token", _big("id"), F.col("score").cast("bigint").alias("score"), "kind", _big("source"))
+    return m.select("token", _big("id"), F.col("score").cast("bigint").alias("score"), "kind",
+                    _big("source"))
 
 
 @register("merge_report", f"""
@@ -488,7 +487,7 @@ SELECT CAST(s.source AS BIGINT) AS source, CAST(n_pieces AS BIGINT) AS n_pieces,
        CAST(coalesce(n_added, 0) AS BIGINT) AS n_added
 FROM sizes s LEFT JOIN added a ON s.source = a.source""")
 def q_merge_report(spark, sf):
-    base, sources = _lang_vocabs(spark, sf)
+    base, sources, _ = _lang_vocabs(spark, sf)
     r = vocab.merge_report(base, sources, vocab.merge_vocabs(base, sources))
     return r.select(_big("source"), _big("n_pieces"), _big("n_added"))
 
@@ -545,10 +544,9 @@ FROM t LEFT JOIN base b ON b.token = '{WORD_MARK}' || t.word
        LEFT JOIN merged m ON m.token = '{WORD_MARK}' || t.word
 GROUP BY t.lang""")
 def q_tokenizer_compare(spark, sf):
-    base, sources = _lang_vocabs(spark, sf)
+    base, sources, bound = _lang_vocabs(spark, sf)
     merged = vocab.merge_vocabs(base, sources)
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "lang", "text")
-    bound = VOCAB_SIZE * 4  # base plus three capped sources
     tb = encode.word_tokens(docs, "doc_id", "text", base, VOCAB_SIZE, keep=["lang"])
     tb = tb.withColumnRenamed("is_unk", "unk_base").drop("id")
     m = encode.bounded_broadcast(merged.select("token", F.lit(False).alias("_known")), bound)

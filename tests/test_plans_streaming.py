@@ -115,3 +115,32 @@ def test_vocabulary_plans(spark, scratch):
     base_ids = {r.token: r.id for r in base.collect()}
     assert all(base_ids[r.token] == r.id for r in merged.filter("source = 0").collect())
     assert {r.source for r in report.collect()} == {0, 1}
+
+
+def test_formatter_registry_preview_and_callable_encoder(spark, scratch):
+    from tunedata.operators.encode import encode_callable
+    from tunedata.operators.predict import prompt_ids
+    d = _local(scratch("fmt"))
+    _write_lines(f"{d}/t.json", [{"input": "hi", "target": "yo", "sample_id": "1"}])
+    calls = []
+
+    def upper_pairs(spark_, path, cfg, key):
+        calls.append(path)
+        seqs, bad = training._builtin_formatter(spark_, path, training.TrainingData(
+            cfg.model_name_or_path, cfg.model_type, max_source_length=4, max_target_length=4), key)
+        return seqs, bad
+    training.register_formatter("mine", upper_pairs)
+    cfg = training.TrainingData("m/open_llama_7b", "llama", layout="mine")
+    seqs, _ = training.sequences(spark, f"{d}/t.json", cfg)
+    assert calls and seqs.first().input_ids == [104, 105, 2, 1, 121, 111, 2, 0]
+    row = training.preview(seqs)[0]
+    assert row.decoded == "hiyo"
+    df = spark.createDataFrame([("ab",), ("",)], "t string")
+
+    def factory():
+        return lambda texts: [[len(t)] * len(t) for t in texts]
+    got = sorted(tuple(r.ids) for r in encode_callable(df, "t", factory).collect())
+    assert got == [(), (2, 2)]
+    p = prompt_ids(df, "t", 2, None, add_separator=True).filter("t = 'ab'").first()
+    assert p.input_ids == [97, 98, 2, 0]
+    assert prompt_ids(df, "t", 2, 1).filter("t = 'ab'").first().input_ids == [97, 98]

@@ -153,3 +153,36 @@ def encode_pieces(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_
     j = occ.join(side, "word", "left")
     g = j.groupBy(key).agg(_ordered("pos", "ids").alias("_p"))
     return g.select(key, F.flatten(F.transform("_p", lambda s: s["ids"])).cast("array<int>").alias("ids"))
+
+
+# ------------------------------------------------------- user-supplied encoder
+_ENCODERS: dict = {}
+
+
+def encode_callable(df: DataFrame, text_col: str, factory, out_col: str = "ids",
+                    batch_size: int = 256) -> DataFrame:
+    """F2 (c): encode ``text_col`` with any user encoder ``list[str] -> list[list[int]]``.
+
+    The encoder is built once per Python worker by ``factory`` and called on
+    Arrow batches (``mapInPandas``); every input column passes through.
+    """
+    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+    schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(IntegerType()), True)])
+    key = f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
+
+    def run(batches):
+        if key not in _ENCODERS:
+            _ENCODERS[key] = factory()
+        enc = _ENCODERS[key]
+        for pdf in batches:
+            texts = pdf[text_col].tolist()
+            out: list = []
+            for i in range(0, len(texts), batch_size):
+                chunk = texts[i:i + batch_size]
+                res = [list(map(int, ids)) for ids in enc(chunk)]
+                if len(res) != len(chunk):
+                    raise RuntimeError(f"encoder returned {len(res)} rows for {len(chunk)}")
+                out.extend(res)
+            yield pdf.assign(**{out_col: out})
+
+    return df.mapInPandas(run, schema)

@@ -73,3 +73,16 @@ def batch_predict(df: DataFrame, prompt_col: str, factory: PredictorFactory,
     g = generate(df, prompt_col, factory, "_generated", batch_size)
     return g.withColumn("prediction", strip_prompt(F.col("_generated"), F.col(prompt_col),
                                                    prefix_only)).drop("_generated")
+
+
+def prompt_ids(df: DataFrame, prompt_col: str, eos_id: int, bos_id: int | None,
+               add_separator: bool = False, encode_fn=None, out_col: str = "input_ids") -> DataFrame:
+    """The ids a predictor gets for a prompt. By default the encoded
+    prompt alone; ``add_separator`` appends ``eos, bos`` as the pair layout puts
+    between prompt and answer in training (a missing bos is written as 0)."""
+    from tunedata.functions.arrays import int_array
+    from tunedata.functions.codec import codepoints
+    ids = (encode_fn or codepoints)(F.col(prompt_col))
+    if add_separator:
+        ids = F.concat(ids, int_array(eos_id, 0 if bos_id is None else bos_id))
+    return df.withColumn(out_col, ids)

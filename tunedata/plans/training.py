@@ -7,6 +7,7 @@ counts and ranking, one per micro-batch for the padding window.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,9 +39,27 @@ class TrainingData:
     multiline_json: bool = False
 
 
+# formatters by name. A formatter turns one split's file into
+# (sequences, quarantined rows); users add their own with ``register_formatter``.
+Formatter = Callable[[SparkSession, str, "TrainingData", str], "tuple[DataFrame, DataFrame]"]
+FORMATTERS: dict[str, Formatter] = {}
+
+
+def register_formatter(name: str, fn: Formatter) -> None:
+    FORMATTERS[name] = fn
+
+
 def sequences(spark: SparkSession, path: str, cfg: TrainingData, key: str = "example_id"
               ) -> tuple[DataFrame, DataFrame]:
-    """Tokenized sequences of one split and its quarantined input rows."""
+    """Tokenized sequences of one split and its quarantined input rows, by the
+    formatter named ``cfg.layout``."""
+    if cfg.layout not in FORMATTERS:
+        raise ValueError(f"unknown layout {cfg.layout!r}; known: {sorted(FORMATTERS)}")
+    return FORMATTERS[cfg.layout](spark, path, cfg, key)
+
+
+def _builtin_formatter(spark: SparkSession, path: str, cfg: TrainingData, key: str
+                       ) -> tuple[DataFrame, DataFrame]:
     prof = resolve_profile(cfg.model_name_or_path, cfg.model_type)
     if cfg.layout == "pair":
         raw = readers.read_examples(spark, path, multiline=cfg.multiline_json)
@@ -63,6 +82,19 @@ def sequences(spark: SparkSession, path: str, cfg: TrainingData, key: str = "exa
     return seqs, bad
 
 
+register_formatter("pair", _builtin_formatter)
+register_formatter("chat", _builtin_formatter)
+
+
+def preview(seqs: DataFrame, key: str = "example_id", n: int = 1) -> list:
+    """The first ``n`` tokenized rows by key, with their ids decoded
+    (code-point encoder), as plain rows on the driver (``n`` is small)."""
+    from tunedata.functions.codec import codepoints_decode
+    valid = F.filter("input_ids", lambda i: (i >= 32) & (i <= 0x10FFFF))
+    return (seqs.orderBy(key).limit(n)
+            .withColumn("decoded", codepoints_decode(valid)).collect())
+
+
 def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example_id") -> DataFrame:
     """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch."""
     pos = ordering.shuffled_positions(seqs, key, cfg.seed)

@@ -119,6 +119,8 @@ def encode_distinct_words(words_df: DataFrame, vocab: DataFrame, unk_id: int = U
     read once on the driver and shipped with the function; the words stay
     distributed.
     """
+    from tunedata.session import ship_package
+    ship_package(words_df.sparkSession)
     rows = vocab.select("token", "id", "score", "kind").collect()
     pieces = {r.token: r.score for r in rows if r.kind == "normal"}
     ids = {r.token: r.id for r in rows if r.kind != "special"}
@@ -167,6 +169,8 @@ def encode_callable(df: DataFrame, text_col: str, factory, out_col: str = "ids",
     Arrow batches (``mapInPandas``); every input column passes through.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+    from tunedata.session import ship_package
+    ship_package(df.sparkSession)
     schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(IntegerType()), True)])
     key = f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
 

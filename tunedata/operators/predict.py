@@ -49,6 +49,8 @@ def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory,
 
     Row order and row count of every batch are checked against the input.
     """
+    from tunedata.session import ship_package
+    ship_package(df.sparkSession)
     schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -72,3 +72,32 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tunedata`` importable in the Python workers (once per context).
+
+    Functions run in ``mapInPandas`` refer to this package's modules, which
+    workers import by name; the package is zipped on the driver and added
+    with ``addPyFile``, which distributes it to every executor.
+    """
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="tunedata-py-"), "tunedata.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

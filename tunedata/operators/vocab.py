@@ -25,6 +25,8 @@ DEFAULT_VOCAB_SIZE = 30000
 DEFAULT_COVERAGE = 0.9995
 
 VOCAB_SCHEMA = "token string, id int, score double, kind string"
+# Distinct words per partition of the BPE word table.
+WORDS_PER_PARTITION = 25_000
 
 
 def fixed_pieces(spark: SparkSession, user_symbols=DEFAULT_USER_SYMBOLS) -> DataFrame:
@@ -246,9 +248,13 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)
-    n_parts = partitions or max(spark.sparkContext.defaultParallelism,
-                                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    w = bpe_words(corpus, text_col).repartition(n_parts, "sym").checkpoint()
+    w = bpe_words(corpus, text_col).checkpoint()
+    # Every round pays one task per partition: size the word table by its rows
+    # (about WORDS_PER_PARTITION each), up to the cluster's parallelism.
+    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = partitions or max(1, min(cap, -(-w.count() // WORDS_PER_PARTITION)))
+    if w.rdd.getNumPartitions() != n_parts:
+        w = w.repartition(n_parts, "sym").checkpoint()
     k = candidates if batch else 1
     merges: list = []
     products: set = set()

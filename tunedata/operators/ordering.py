@@ -22,14 +22,19 @@ def shuffle_key(key, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
-def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "pos") -> DataFrame:
+def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "pos",
+                  count_from: DataFrame | None = None) -> DataFrame:
     """Dense 0-based position of each row in ``(bucket_col, *order_cols)`` order.
 
     ``bucket_col`` must be non-decreasing in that order and have far fewer
     distinct values than rows: its per-bucket counts are the only thing
     ordered as a whole and broadcast. Each bucket is ranked in its own task.
+    ``count_from`` is an optional cheaper frame with the same ``bucket_col``
+    multiset (e.g. the keys before an expensive per-row step), so that step
+    is not computed a second time just to be counted.
     """
-    counts = df.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (count_from if count_from is not None else df).groupBy(bucket_col) \
+        .agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(bucket_col, F.coalesce(F.sum("_n").over(
         Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     within = Window.partitionBy(bucket_col).orderBy(*order_cols)
@@ -39,7 +44,7 @@ def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "po
 
 
 def with_hex_position(df: DataFrame, hex_col: str, tie_col: str, pos_col: str = "pos",
-                      bucket_digits: int = 3) -> DataFrame:
+                      bucket_digits: int = 3, count_from: DataFrame | None = None) -> DataFrame:
     """Dense 0-based position of each row in ``(hex_col, tie_col)`` order.
 
     ``hex_col`` must be uniformly distributed hex (an md5), so the
@@ -50,13 +55,21 @@ def with_hex_position(df: DataFrame, hex_col: str, tie_col: str, pos_col: str =
         raise ValueError("bucket_digits must be in 1..5")
     bucket = F.conv(F.substring(F.col(hex_col), 1, bucket_digits), 16, 10).cast("int")
     x = df.withColumn("_bucket", bucket)
-    return with_position(x, "_bucket", [hex_col, tie_col], pos_col).drop("_bucket")
+    c = None if count_from is None else count_from.withColumn("_bucket", bucket)
+    return with_position(x, "_bucket", [hex_col, tie_col], pos_col, c).drop("_bucket")
 
 
-def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str = "pos") -> DataFrame:
-    """O1: rows in seeded md5 order of their unique ``key`` with their position."""
-    return with_hex_position(df.withColumn("_shuffle_key", shuffle_key(key, seed)),
-                             "_shuffle_key", key, pos_col).drop("_shuffle_key")
+def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str = "pos",
+                       keys: DataFrame | None = None) -> DataFrame:
+    """O1: rows in seeded md5 order of their unique ``key`` with their position.
+
+    ``keys`` optionally holds the same ``key`` values as ``df`` from a cheaper
+    plan; the bucket counts are taken from it.
+    """
+    k = shuffle_key(key, seed)
+    count_from = None if keys is None else keys.select(k.alias("_shuffle_key"))
+    return with_hex_position(df.withColumn("_shuffle_key", k), "_shuffle_key", key, pos_col,
+                             count_from=count_from).drop("_shuffle_key")
 
 
 def assign_steps(df: DataFrame, pos_col: str, devices: int, per_device_batch: int,

@@ -315,9 +315,11 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(step AS BIGINT) AS step, CAST(ra
        CAST((padded_len - seq_len) * -100 + 0 AS BIGINT) AS pad_label_sum
 FROM m""")
 def q_collate_rows(spark, sf):
-    lay = layouts.chat_layout(tables.turns(spark, sf), CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
+    turns = tables.turns(spark, sf)
+    lay = layouts.chat_layout(turns, CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
     lay = lay.withColumn("seq_len", F.size("input_ids"))
-    p = ordering.shuffled_positions(lay, "conv_id", SEED)
+    # One layout row per conversation: count positions from the ids alone.
+    p = ordering.shuffled_positions(lay, "conv_id", SEED, keys=turns.select("conv_id").distinct())
     s = ordering.assign_steps(p, "pos", DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
     c = ordering.collate(s, PROFILE.pad_id)
     total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, v: a + v)

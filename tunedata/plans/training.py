@@ -96,7 +96,10 @@ def preview(seqs: DataFrame, key: str = "example_id", n: int = 1) -> list:
 
 
 def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example_id") -> DataFrame:
-    """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch."""
+    """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch.
+
+    The sequences are computed once for the positions' bucket counts and once
+    for the rows (two passes over the same deterministic plan)."""
     pos = ordering.shuffled_positions(seqs, key, cfg.seed)
     steps = ordering.assign_steps(pos, "pos", cfg.devices, cfg.per_device_train_batch_size,
                                   cfg.gradient_accumulation_steps, cfg.max_steps)

@@ -114,3 +114,14 @@ def test_chat_reader_nested(spark, scratch):
     t = readers.chat_turns(chats).orderBy("conv_id", "turn").collect()
     assert [(r.turn, r.role, r.value) for r in t] == [(0, "human", "hi"), (1, "gpt", "yo"), (None, None, None)]
     assert F is not None
+
+
+def test_other_formats_and_file_counts(spark, scratch):
+    from tunedata.operators.reports import file_counts
+    df = readers.read_examples(spark, "/root/testdata/sf0.001/benchmark.parquet", fmt="parquet")
+    assert df.count() == 40 and "text" in df.columns
+    d = _local(scratch("files"))
+    _write(f"{d}/a.txt", "x\ny\n")
+    _write(f"{d}/b.txt", "z\n")
+    got = {r.file: r.n_rows for r in file_counts(readers.read_corpus(spark, d)).collect()}
+    assert got == {"a.txt": 2, "b.txt": 1}

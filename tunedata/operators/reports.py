@@ -51,3 +51,9 @@ def corpus_union(parts: dict[str, DataFrame], text_col: str = "value") -> DataFr
     return u.groupBy("origin").agg(F.count(F.lit(1)).alias("n_rows"),
                                    F.sum(F.length("value")).alias("n_chars"),
                                    F.sum(F.size(words(F.col("value")))).alias("n_words"))
+
+
+def file_counts(corpus: DataFrame) -> DataFrame:
+    """A6 for a file corpus: rows per input file (``_metadata.file_name``)."""
+    return corpus.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"))

@@ -233,7 +233,7 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
 
 
 def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
-               checkpoint_every: int = 5, partitions: int | None = None,
+               checkpoint_every: int = 1, partitions: int | None = None,
                batch: bool = True, candidates: int = 1024) -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
     smaller ``(a, b)``.
@@ -243,8 +243,9 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
     before the shuffle) and the top ``candidates`` pairs, the only rows that
     reach the driver. With ``batch`` the exact batch rule takes several merges
     per round when greedy provably would. Merging is a codegen'd regex replace
-    per word. The lineage is cut with a reliable ``checkpoint()`` in the
-    shared ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
+    per word. The word table is written with a reliable ``checkpoint()`` in
+    the shared ``spark.checkpoint.dir`` after every round (``checkpoint_every``):
+    each merge pass then runs once, and a lost executor replays one round.
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)

@@ -147,9 +147,13 @@ def encode_pieces(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_
     keys (very frequent words) AQE splits.
     """
     from tunedata.session import materialize
+    spark = df.sparkSession
     occ = df.select(key, F.posexplode_outer(words(F.col(text_col))).alias("pos", "word"))
     distinct = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-    encoded = materialize(encode_distinct_words(distinct, vocab, unk_id))
+    # The distinct-word table is small next to the text, so AQE packs it into
+    # few partitions; deal it over the cluster's cores before the Python step.
+    parallel = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    encoded = materialize(encode_distinct_words(distinct.repartition(parallel), vocab, unk_id))
     n_words = encoded.count()
     side = F.broadcast(encoded) if n_words <= broadcast_max_words else encoded
     j = occ.join(side, "word", "left")

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunedata.functions.arrays import IGNORE_INDEX
-from tunedata.functions.codec import codepoints
-from tunedata.functions.text import human_template, is_human, strip_prompt
-from tunedata.operators import layouts, ordering, templates
-from tunedata.operators.profiles import resolve_profile
-from tunedata.sources import tables
+from tunedata.functions.codec import WORD_MARK, codepoints, codepoints_decode
+from tunedata.functions.text import WHITESPACE_CLASS, human_template, is_human, strip_prompt
+from tunedata.operators import encode, layouts, ordering, predict, reports, templates, vocab
+from tunedata.operators.profiles import SPECIAL_IDS, resolve_profile
+from tunedata.operators.templates import txt_output
+from tunedata.session import materialize, scratch_path
+from tunedata.sources import readers, tables
 
 # Run parameters of the registered queries (the example training script's
 # settings where it has them).
@@ -55,6 +57,11 @@ def _big(c):
     return F.col(c).cast("bigint").alias(c) if isinstance(c, str) else c.cast("bigint")
 
 
+def _array_sum(col):
+    """Sum of an int array as BIGINT (0 for an empty array)."""
+    return F.aggregate(col, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+
+
 # ---------------------------------------------------------------- SQL pieces
 NL = "chr(10)"
 SQL_TEMPLATE = (f"CASE WHEN lower(role) = 'user' THEN 'Human: ' || {NL} || text || {NL} || {NL}"
@@ -322,13 +329,12 @@ def q_collate_rows(spark, sf):
     p = ordering.shuffled_positions(lay, "conv_id", SEED, keys=turns.select("conv_id").distinct())
     s = ordering.assign_steps(p, "pos", DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
     c = ordering.collate(s, PROFILE.pad_id)
-    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, v: a + v)
     pads = F.slice("labels", F.col("seq_len") + 1, F.lit(1 << 20))
     return c.select(
         _big("conv_id"), _big("step"), _big("rank"), _big("micro"), _big("padded_len"),
-        _big("seq_len"), total(F.col("input_ids")).alias("ids_sum"),
+        _big("seq_len"), _array_sum(F.col("input_ids")).alias("ids_sum"),
         F.size(F.filter("labels", lambda v: v > F.lit(IGNORE_INDEX))).cast("bigint").alias("n_supervised"),
-        total(F.col("attention_mask")).alias("mask_sum"), total(pads).alias("pad_label_sum"))
+        _array_sum(F.col("attention_mask")).alias("mask_sum"), _array_sum(pads).alias("pad_label_sum"))
 
 
 @register("head_limit", f"""
@@ -353,9 +359,6 @@ def q_strip_prompt(spark, sf):
 
 
 # ------------------------------------------------------------ vocabularies
-from tunedata.functions.codec import WORD_MARK  # noqa: E402
-from tunedata.functions.text import WHITESPACE_CLASS  # noqa: E402
-from tunedata.operators import encode, vocab  # noqa: E402
 
 VOCAB_SIZE = vocab.DEFAULT_VOCAB_SIZE
 N_FIXED = len(vocab.SPECIAL_PIECES) + len(vocab.DEFAULT_USER_SYMBOLS)
@@ -511,12 +514,11 @@ FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
 def q_encode_word(spark, sf):
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
     ids = encode.encode_words(docs, "doc_id", "text", _word_vocab_docs(spark, sf), VOCAB_SIZE)
-    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, v: a + v)
     return ids.select(
         _big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
         F.size(F.filter("ids", lambda v: v == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
-        total(F.col("ids")).alias("id_sum"),
-        total(F.transform("ids", lambda v, i: v.cast("bigint") * i)).alias("pos_id_sum"))
+        _array_sum(F.col("ids")).alias("id_sum"),
+        _array_sum(F.transform("ids", lambda v, i: v.cast("bigint") * i)).alias("pos_id_sum"))
 
 
 @register("decode_word", f"""
@@ -560,10 +562,6 @@ def q_tokenizer_compare(spark, sf):
 
 
 # ----------------------------------------------------- reports, prediction, io
-from tunedata.operators import predict, reports  # noqa: E402
-from tunedata.operators.profiles import SPECIAL_IDS  # noqa: E402
-from tunedata.session import materialize, scratch_path  # noqa: E402
-from tunedata.sources import readers  # noqa: E402
 
 
 def _sql_int(v):
@@ -629,7 +627,6 @@ SELECT text AS "Input", replace(text || reverse(text), text, '') AS "Output" FRO
 def q_txt_predict_columns(spark, sf):
     b = tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))
     r = predict.batch_predict(b, "value", predict.echo_reverse)
-    from tunedata.operators.templates import txt_output
     return txt_output(r, "value", "prediction")
 
 
@@ -656,7 +653,6 @@ def q_txt_prompt_roundtrip(spark, sf):
 
 
 # ------------------------------------------------- offsets, round trips, pieces
-from tunedata.functions.codec import codepoints_decode  # noqa: E402
 
 
 @register("turn_offsets", f"""
@@ -691,7 +687,6 @@ def q_encode_piece(spark, sf):
     v = materialize(vocab.bpe_vocab(bench, BPE_MERGES))
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
     ids = encode.encode_pieces(docs, "doc_id", "text", v)
-    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return ids.select(_big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
                       F.size(F.filter("ids", lambda x: x == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
-                      total(F.col("ids")).alias("id_sum"))
+                      _array_sum(F.col("ids")).alias("id_sum"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tunedata.functions.codec import WORD_MARK, chars, symbols, words
 from tunedata.operators.ordering import with_position
-from tunedata.session import checkpoint_dir
+from tunedata.session import checkpoint_dir, materialize
 
 # Pieces every trained vocabulary starts with, default user
 # symbol, size and character coverage of the trainer.
@@ -234,7 +234,7 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
 
 def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
                checkpoint_every: int = 1, partitions: int | None = None,
-               batch: bool = True, candidates: int = 1024) -> DataFrame:
+               batch: bool = True, candidates: int = 1024, cut: str = "checkpoint") -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
     smaller ``(a, b)``.
 
@@ -249,13 +249,13 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)
-    w = bpe_words(corpus, text_col).checkpoint()
+    w = materialize(bpe_words(corpus, text_col), cut)
     # Every round pays one task per partition: size the word table by its rows
     # (about WORDS_PER_PARTITION each), up to the cluster's parallelism.
     cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n_parts = partitions or max(1, min(cap, -(-w.count() // WORDS_PER_PARTITION)))
     if w.rdd.getNumPartitions() != n_parts:
-        w = w.repartition(n_parts, "sym").checkpoint()
+        w = materialize(w.repartition(n_parts, "sym"), cut)
     k = candidates if batch else 1
     merges: list = []
     products: set = set()
@@ -272,7 +272,7 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
         w = w.select(apply_merges(F.col("sym"), [(a, b) for a, b, _ in picked]).alias("sym"), "n")
         rounds += 1
         if rounds % checkpoint_every == 0:
-            w = w.checkpoint()
+            w = materialize(w, cut)
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 
 

@@ -65,15 +65,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the shared ``spark.checkpoint.dir`` (survives lost executors).
-
-    For small derived tables read by several branches of a plan (a trained
-    vocabulary, per-bucket counts), which Spark would otherwise recompute.
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once and cut its lineage (survives lost executors).
+
+    ``checkpoint`` (default) is a reliable eager ``checkpoint()`` in the
+    shared ``spark.checkpoint.dir`` (one job that computes and writes);
+    ``table`` writes a parquet table below that folder and reads it back
+    (columnar and compressed, but each read lists files and footers: slower
+    for small per-round tables). For derived tables read by several branches
+    of a plan or by every round of a loop, which Spark would otherwise
+    recompute.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if how == "checkpoint":
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set = set()

@@ -130,3 +130,12 @@ def test_bpe_batch_rule_equals_greedy(spark, texts, n):
     corpus = spark.createDataFrame([(t,) for t in texts], "value string")
     got = [tuple(r) for r in vocab.bpe_merges(corpus, n).orderBy("rank").collect()]
     assert got == _greedy(texts, n)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab c", min_size=1, max_size=14), min_size=1, max_size=6),
+       st.integers(1, 12))
+def test_bpe_incremental_counts_equal_greedy(spark, texts, n):
+    corpus = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [tuple(r) for r in vocab.bpe_merges(corpus, n, incremental=True).orderBy("rank").collect()]
+    assert got == _greedy(texts, n)

@@ -27,6 +27,9 @@ DEFAULT_COVERAGE = 0.9995
 VOCAB_SCHEMA = "token string, id int, score double, kind string"
 # Distinct words per partition of the BPE word table.
 WORDS_PER_PARTITION = 25_000
+# From this many distinct words on, BPE keeps pair counts and updates them
+# from the changed words only, instead of recounting every word each round.
+INCREMENTAL_MIN_WORDS = 1_000_000
 
 
 def fixed_pieces(spark: SparkSession, user_symbols=DEFAULT_USER_SYMBOLS) -> DataFrame:
@@ -139,17 +142,22 @@ def word_vocabs_by(corpus: DataFrame, by: str, text_col: str = "value",
     return fixed.unionByName(learned)
 
 
+def _pair_rows(word_table: DataFrame, sign: int = 1, sym_col: str = "sym", n_col: str = "n") -> DataFrame:
+    """Adjacent symbol pairs of each word, weighted by ``sign * n``."""
+    s = F.split(F.col(sym_col), " ")
+    z = F.arrays_zip(F.slice(s, 1, F.size(s) - 1).alias("a"),
+                     F.slice(s, 2, F.size(s) - 1).alias("b"))
+    p = word_table.select(F.explode(z).alias("p"), (F.col(n_col) * sign).alias("n"))
+    return p.select(F.col("p.a").alias("a"), F.col("p.b").alias("b"), "n")
+
+
 def pair_counts(word_table: DataFrame, sym_col: str = "sym", n_col: str = "n") -> DataFrame:
     """A10: adjacent symbol pairs weighted by word count (overlapping runs count each).
 
     ``sym`` is the word's symbols joined by single spaces (a word never
     contains white space). Exploded pairs are summed per map partition first.
     """
-    s = F.split(F.col(sym_col), " ")
-    z = F.arrays_zip(F.slice(s, 1, F.size(s) - 1).alias("a"),
-                     F.slice(s, 2, F.size(s) - 1).alias("b"))
-    p = word_table.select(F.explode(z).alias("p"), F.col(n_col).alias("n"))
-    return p.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("n"))
+    return _pair_rows(word_table, 1, sym_col, n_col).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def bpe_words(corpus: DataFrame, text_col: str = "value") -> DataFrame:
@@ -173,6 +181,11 @@ def apply_merge(sym: Column, a: str, b: str) -> Column:
     return F.regexp_replace(sym, pattern, replacement)
 
 
+def _merge_pattern(pairs: list) -> str:
+    alts = "|".join(f"{_quote(a)} {_quote(b)}" for a, b in pairs)
+    return f"(?<=^| )(?:{alts})(?= |$)"
+
+
 def apply_merges(sym: Column, pairs: list) -> Column:
     """Several merges in one regex pass; the pairs must share no symbol and no
     product (what the batch rule guarantees), so their matches never overlap
@@ -234,7 +247,8 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
 
 def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
                checkpoint_every: int = 1, partitions: int | None = None,
-               batch: bool = True, candidates: int = 1024, cut: str = "checkpoint") -> DataFrame:
+               batch: bool = True, candidates: int = 1024, cut: str = "checkpoint",
+               incremental: bool | None = None) -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
     smaller ``(a, b)``.
 
@@ -246,6 +260,11 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
     per word. The word table is written with a reliable ``checkpoint()`` in
     the shared ``spark.checkpoint.dir`` after every round (``checkpoint_every``):
     each merge pass then runs once, and a lost executor replays one round.
+
+    ``incremental`` (default: on for at least INCREMENTAL_MIN_WORDS distinct
+    words) keeps the pair counts as a materialized table and updates it each
+    round with the pairs of the words that hold a merged pair, so a round
+    explodes only those words instead of all of them.
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)
@@ -253,15 +272,20 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
     # Every round pays one task per partition: size the word table by its rows
     # (about WORDS_PER_PARTITION each), up to the cluster's parallelism.
     cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n_parts = partitions or max(1, min(cap, -(-w.count() // WORDS_PER_PARTITION)))
+    n_words = w.count()
+    n_parts = partitions or max(1, min(cap, -(-n_words // WORDS_PER_PARTITION)))
     if w.rdd.getNumPartitions() != n_parts:
         w = materialize(w.repartition(n_parts, "sym"), cut)
     k = candidates if batch else 1
+    if incremental is None:
+        incremental = n_words >= INCREMENTAL_MIN_WORDS
+    pc = materialize(pair_counts(w), cut) if incremental else None
     merges: list = []
     products: set = set()
     rounds = 0
     while len(merges) < n_merges:
-        rows = pair_counts(w).orderBy(F.col("n").desc(), "a", "b").limit(k).collect()
+        counts = pc if incremental else pair_counts(w)
+        rows = counts.orderBy(F.col("n").desc(), "a", "b").limit(k).collect()
         if not rows:
             break
         top = [(r["a"], r["b"], int(r["n"])) for r in rows]
@@ -269,9 +293,18 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
         for a, b, n in picked:
             merges.append((len(merges), a, b, n))
             products.add(a + b)
-        w = w.select(apply_merges(F.col("sym"), [(a, b) for a, b, _ in picked]).alias("sym"), "n")
+        pairs = [(a, b) for a, b, _ in picked]
+        if incremental:
+            # Only words holding a merged pair change: their old pairs leave the
+            # counts and their merged pairs enter them.
+            hit = w.filter(F.col("sym").rlike(_merge_pattern(pairs)))
+            after = hit.select(apply_merges(F.col("sym"), pairs).alias("sym"), "n")
+            delta = _pair_rows(hit, -1).unionByName(_pair_rows(after, 1))
+            pc = materialize(pc.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n"))
+                             .filter(F.col("n") != 0), cut)
+        w = w.select(apply_merges(F.col("sym"), pairs).alias("sym"), "n")
         rounds += 1
-        if rounds % checkpoint_every == 0:
+        if incremental or rounds % checkpoint_every == 0:
             w = materialize(w, cut)
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 

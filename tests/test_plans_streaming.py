@@ -144,3 +144,18 @@ def test_formatter_registry_preview_and_callable_encoder(spark, scratch):
     p = prompt_ids(df, "t", 2, None, add_separator=True).filter("t = 'ab'").first()
     assert p.input_ids == [97, 98, 2, 0]
     assert prompt_ids(df, "t", 2, 1).filter("t = 'ab'").first().input_ids == [97, 98]
+
+
+def test_stream_resumes_from_checkpoint(spark, scratch):
+    src = _local(scratch("stream-resume"))
+    sink, ckpt = scratch("stream-resume-out"), scratch("stream-resume-ckpt")
+    prof = resolve_profile("m/open_llama_7b", "llama")
+    _write_lines(f"{src}/1.json", [{"input": "a", "target": "b", "sample_id": "1"}])
+    for q in tokenize_stream(spark, src, sink, prof, source_len=4, target_len=4, checkpoint_location=ckpt):
+        q.awaitTermination(120)
+    _write_lines(f"{src}/2.json", [{"input": "c", "target": "d", "sample_id": "2"}])
+    # a new query on the same checkpoint picks up only the new file
+    for q in tokenize_stream(spark, src, sink, prof, source_len=4, target_len=4, checkpoint_location=ckpt):
+        q.awaitTermination(120)
+    ids = sorted(r.sample_id for r in spark.read.parquet(sink).collect())
+    assert ids == ["1", "2"]

@@ -690,3 +690,32 @@ def q_encode_piece(spark, sf):
     return ids.select(_big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
                       F.size(F.filter("ids", lambda x: x == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
                       _array_sum(F.col("ids")).alias("id_sum"))
+
+
+# ------------------------------------------------------ training data, whole path
+@register("pair_batches", f"""
+WITH r AS ({sql_pair_layout(False)}),
+ex AS (SELECT example_id, count(*) AS seq_len, sum(input_id) AS ids_sum,
+              sum(CASE WHEN label > -100 THEN 1 ELSE 0 END) AS n_sup FROM r GROUP BY example_id),
+o AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(example_id AS VARCHAR)), example_id) - 1
+             AS pos FROM ex),
+b AS (SELECT *, pos // {_PER_STEP} AS step, (pos % {_PER_STEP}) % {DEVICES} AS rank,
+             ((pos % {_PER_STEP}) // {DEVICES}) // {PER_DEVICE_BATCH} AS micro FROM o)
+SELECT CAST(example_id AS BIGINT) AS example_id, CAST(step AS BIGINT) AS step,
+       CAST(rank AS BIGINT) AS rank, CAST(micro AS BIGINT) AS micro,
+       CAST(ceil(max(seq_len) OVER (PARTITION BY step, rank, micro) / 8.0) * 8 AS BIGINT) AS padded_len,
+       CAST(ids_sum AS BIGINT) AS ids_sum, CAST(n_sup AS BIGINT) AS n_supervised
+FROM b WHERE step < {MAX_STEPS}""")
+def q_pair_batches(spark, sf):
+    """Training path of the example script: L2 -> O1 -> L4 -> L3 (272 = 34 x 8,
+    so collation adds no padding)."""
+    from tunedata.plans.training import TrainingData, batches
+    cfg = TrainingData("../models/pythia-12b-deduped", "pythia", max_source_length=SOURCE_LEN,
+                       max_target_length=TARGET_LEN, seed=SEED, devices=DEVICES,
+                       per_device_train_batch_size=PER_DEVICE_BATCH,
+                       gradient_accumulation_steps=GRAD_ACCUM, max_steps=MAX_STEPS)
+    b = batches(_pair_layout(spark, sf), cfg, PROFILE.pad_id)
+    return b.select(_big("example_id"), _big("step"), _big("rank"), _big("micro"), _big("padded_len"),
+                    _array_sum(F.col("input_ids")).alias("ids_sum"),
+                    F.size(F.filter("labels", lambda v: v > F.lit(IGNORE_INDEX))).cast("bigint")
+                    .alias("n_supervised"))

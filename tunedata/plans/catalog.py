@@ -19,7 +19,7 @@ from tunedata.operators import encode, layouts, ordering, predict, reports, temp
 from tunedata.operators.profiles import SPECIAL_IDS, resolve_profile
 from tunedata.operators.templates import txt_output
 from tunedata.session import materialize, scratch_path
-from tunedata.sources import readers, tables
+from tunedata.sources import readers, sinks, tables
 
 # Run parameters of the registered queries (the example training script's
 # settings where it has them).
@@ -719,3 +719,29 @@ def q_pair_batches(spark, sf):
                     _array_sum(F.col("input_ids")).alias("ids_sum"),
                     F.size(F.filter("labels", lambda v: v > F.lit(IGNORE_INDEX))).cast("bigint")
                     .alias("n_supervised"))
+
+
+@register("classify_predict", """
+SELECT CAST(l.doc_id AS BIGINT) AS doc_id, CASE WHEN l.quality = 1 THEN 'yes' ELSE 'no' END AS target,
+       md5(replace(p || reverse(p), p, '')) AS prediction_md5,
+       CAST(length(replace(p || reverse(p), p, '')) AS BIGINT) AS prediction_chars
+FROM labels l JOIN (SELECT doc_id, 'Is this text of good quality?' || text AS p FROM documents) d
+  ON l.doc_id = d.doc_id""")
+def q_classify_predict(spark, sf):
+    """Prediction path: instruction[0] + input -> predictor -> prompt removed ->
+    ``prediction`` next to the input columns."""
+    c = templates.assemble_prompt(tables.classify(spark, sf), out_col="_prompt")
+    r = predict.batch_predict(c, "_prompt", predict.echo_reverse)
+    return r.select(_big("doc_id"), "target", F.md5("prediction").alias("prediction_md5"),
+                    F.length("prediction").cast("bigint").alias("prediction_chars"))
+
+
+@register("vocab_tsv_roundtrip", f"""
+WITH {SQL_WORD_VOCAB}
+SELECT token, CAST(id AS BIGINT) AS ord, CAST(score AS BIGINT) AS score FROM v""")
+def q_vocab_tsv_roundtrip(spark, sf):
+    """K4/K5 then S7: the word vocabulary as ``piece TAB score`` lines and back."""
+    path = scratch_path(spark, "vocab-tsv")
+    sinks.write_vocab(_word_vocab_docs(spark, sf), path, tsv=True)
+    back = readers.read_vocab_tsv(spark, path, glob="part-*")
+    return back.select("token", _big("ord"), F.col("score").cast("bigint").alias("score"))

@@ -76,3 +76,10 @@ def test_unquote_never_evaluates(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     got = [r[0] for r in df.select(unquote_literal(F.col("line"))).collect()]
     assert got == ["it", "q", None, None, "a'b", 'x"y']
+
+
+def test_extra_profiles(spark):
+    extra = [("my-model-7b", "llama", 1, 2, 5)]
+    assert resolve_profile("x/my-model-7b", "llama", extra=extra).pad_id == 5
+    df = spark.createDataFrame([("x/my-model-7b", "llama")], "path string, mtype string")
+    assert attach_special_ids(df, "path", "mtype", extra=extra).first().pad_id == 5

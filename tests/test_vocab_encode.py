@@ -139,3 +139,10 @@ def test_bpe_incremental_counts_equal_greedy(spark, texts, n):
     corpus = spark.createDataFrame([(t,) for t in texts], "value string")
     got = [tuple(r) for r in vocab.bpe_merges(corpus, n, incremental=True).orderBy("rank").collect()]
     assert got == _greedy(texts, n)
+
+
+def test_special_tokens_report(spark):
+    corpus = spark.createDataFrame([("a b",)], "value string")
+    got = sorted((r.id, r.token, r.kind) for r in vocab.special_tokens(vocab.word_vocab(corpus)).collect())
+    assert got == [(0, "<unk>", "special"), (1, "<s>", "special"), (2, "</s>", "special"),
+                   (3, "<sepra>", "user_defined")]

@@ -1,7 +1,7 @@
 """Model profiles: special token ids per model (J1, J2) and the encoder registry.
 
 The tables are data, shipped as literal rows and joined with ``broadcast``
-(15 rows, fixed size).
+(14 built-in rows plus any the caller adds; fixed size).
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tunedata.functions.text import last_path_segment
 
 # Special ids the training path overrides per model name
-# (name, bos_id, eos_id, pad_id); the model type is our own grouping.
+# (name, bos_id, eos_id, pad_id); the model type is our own grouping. More
+# models are passed as ``extra`` rows of the same shape.
 SPECIAL_IDS = [
-    ("BelleGroup-BELLE-LLaMA-EXT-13B", "llama", 1, 2, 0),
     ("open_llama_7b", "llama", 1, 2, 0),
     ("open_llama_13b", "llama", 1, 2, 0),
     ("chinese-alpaca-13b", "llama", 1, 2, 49953),
@@ -75,8 +75,10 @@ class Profile:
         return 0 if self.bos_id is None else self.bos_id
 
 
-def profiles_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SPECIAL_IDS, PROFILE_SCHEMA)
+def profiles_df(spark: SparkSession, extra=()) -> DataFrame:
+    """The profile dimension table: built-in rows plus caller-supplied ``extra``
+    rows ``(model_name, model_type, bos_id, eos_id, pad_id)``."""
+    return spark.createDataFrame(list(SPECIAL_IDS) + list(extra), PROFILE_SCHEMA)
 
 
 def native_ids_df(spark: SparkSession) -> DataFrame:
@@ -89,8 +91,8 @@ def model_key(path: str) -> str:
 
 
 def resolve_profile(model_name_or_path: str, model_type: str,
-                    native: tuple[int | None, int, int | None] | None = None) -> Profile:
-    """J1 on the driver for a single run's parameters (15-row lookup).
+                    native: tuple[int | None, int, int | None] | None = None, extra=()) -> Profile:
+    """J1 on the driver for a single run's parameters (small fixed lookup).
 
     ``glm`` keeps the tokenizer's own ids (``native``, else the recorded ones);
     every other type must be in the table, a miss names the model.
@@ -104,21 +106,21 @@ def resolve_profile(model_name_or_path: str, model_type: str,
             native = rec
         b, e, p = native
         return Profile(key, model_type, b, e, p)
-    table = {n: (t, b, e, p) for n, t, b, e, p in SPECIAL_IDS}
+    table = {n: (t, b, e, p) for n, t, b, e, p in list(SPECIAL_IDS) + list(extra)}
     if key not in table:
         raise ValueError(f"model {key!r} has no special-id profile")
     _, b, e, p = table[key]
     return Profile(key, model_type, b, e, p)
 
 
-def attach_special_ids(df: DataFrame, path_col: str, type_col: str) -> DataFrame:
+def attach_special_ids(df: DataFrame, path_col: str, type_col: str, extra=()) -> DataFrame:
     """J1/J2 as a join: bos/eos/pad per row from the model path and type.
 
     Native ids win for ``glm``; a name missing from the table fails the job with
     an error naming it (``raise_error``), as the reference's KeyError does.
     """
     spark = df.sparkSession
-    prof = profiles_df(spark).select(
+    prof = profiles_df(spark, extra).select(
         "model_name", *[F.col(c).alias("t_" + c) for c in ("bos_id", "eos_id", "pad_id")],
         F.lit(True).alias("_in_table"))
     nat = native_ids_df(spark).select(

@@ -18,7 +18,7 @@ def model_lengths(texts: DataFrame, text_col: str = "text", encoders: dict | Non
     """V8 / J6 / A4 per model: special ids, texts, characters, tokens, round trips.
 
     Texts are encoded once per encoder, not once per model: the per-encoder
-    totals (one row per encoder) are joined to the 15-row profile table.
+    totals (one row per encoder) are joined to the small profile table.
     """
     enc = encoders or DEFAULT_ENCODERS
     ids = codepoints(F.col(text_col))

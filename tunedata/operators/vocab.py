@@ -368,3 +368,8 @@ def merge_report(base: DataFrame, sources: DataFrame, merged: DataFrame) -> Data
     added = merged.groupBy("source").agg(F.count(F.lit(1)).alias("n_added"))
     return sizes.join(added, "source", "left").select(
         "source", "n_pieces", F.coalesce("n_added", F.lit(0)).alias("n_added"))
+
+
+def special_tokens(v: DataFrame) -> DataFrame:
+    """V5: the special and user-defined pieces of a vocabulary with their ids."""
+    return v.filter(F.col("kind").isin("special", "user_defined")).select("token", "id", "kind")

@@ -51,3 +51,22 @@ def test_head_limit(spark):
     got = [r.ord for r in head_by_ordinal(df, "ord", 2000).collect()]
     assert got == list(range(2000))
     assert head_by_ordinal(df, "ord", None).count() == 2001
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(1, 300), st.integers(1, 3), st.integers(1, 5), st.integers(1, 4))
+def test_every_example_has_one_slot(spark, n, devices, per_device, accum):
+    df = spark.range(0, n).withColumnRenamed("id", "key")
+    s = assign_steps(shuffled_positions(df, "key", 1), "pos", devices, per_device, accum).collect()
+    assert sorted(r.key for r in s) == list(range(n))
+    per_step = devices * per_device * accum
+    slots = {}
+    for r in s:
+        assert r.step == r.pos // per_step and 0 <= r.rank < devices and 0 <= r.micro < accum
+        slots.setdefault((r.step, r.rank, r.micro), []).append(r.key)
+    assert all(len(v) <= per_device for v in slots.values())
+    assert len({r.step for r in s}) == -(-n // per_step)

@@ -142,3 +142,12 @@ def test_chat_matches_brute_force(spark, convs, L):
     for ids, mask, labels in got.values():
         assert len(ids) == len(labels) == len(mask) <= L - 1
         assert all(lab == IGNORE or lab == i for i, lab in zip(ids, labels))
+
+
+def test_pair_quarantine(spark):
+    from tunedata.operators.layouts import invalid_rows
+    df = spark.createDataFrame([(1, None, "x"), (2, "p", "r"), (3, "q", None)],
+                               "example_id long, prompt string, response string")
+    ok = pair_layout(df, 6, 5, 1, 2, 0, on_invalid="quarantine", keep=["example_id"])
+    assert [r.example_id for r in ok.collect()] == [2]
+    assert sorted(r.example_id for r in invalid_rows(df, ["prompt", "response"]).collect()) == [1, 3]

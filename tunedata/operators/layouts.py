@@ -20,18 +20,32 @@ from tunedata.functions.text import DEFAULT_HUMAN_ROLES, human_template, is_huma
 Encoder = Callable[[Column], Column]
 
 
-def _check_invalid(df: DataFrame, cols: Iterable[str], on_invalid: str) -> DataFrame:
-    """A NULL text fails the job (default), or its row is dropped."""
+def _any_null(cols: Iterable[str]) -> Column:
     bad = None
     for c in cols:
         cond = F.col(c).isNull()
         bad = cond if bad is None else (bad | cond)
-    if on_invalid == "drop":
+    return bad
+
+
+def invalid_rows(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """D6 quarantine: the input rows a layout with ``on_invalid='quarantine'``
+    leaves out (a NULL in one of the text columns), to be written aside."""
+    return df.filter(_any_null(list(cols)))
+
+
+def _check_invalid(df: DataFrame, cols: Iterable[str], on_invalid: str) -> DataFrame:
+    """A NULL text fails the job (``fail``, default, as the reference); with
+    ``drop`` or ``quarantine`` its row is left out (``invalid_rows`` returns
+    the quarantined rows)."""
+    cols = list(cols)
+    bad = _any_null(cols)
+    if on_invalid in ("drop", "quarantine"):
         return df.filter(~bad)
     if on_invalid == "fail":
         message = F.lit("NULL text in column(s) " + ",".join(cols))
         return df.filter(F.when(bad, F.raise_error(message)).otherwise(F.lit(True)))
-    raise ValueError(f"on_invalid must be 'fail' or 'drop', got {on_invalid!r}")
+    raise ValueError(f"on_invalid must be 'fail', 'drop' or 'quarantine', got {on_invalid!r}")
 
 
 def pair_layout(df: DataFrame, source_len: int, target_len: int, bos_id: int | None,
@@ -86,7 +100,7 @@ def chat_turn_tokens(turns: DataFrame, max_len: int, eos_id: int,
         raise ValueError("max_len must be >= 2")
     empty_conv = F.col("turn").isNull()
     t = turns.select("conv_id", "turn", "role", "value")
-    if on_invalid == "drop":
+    if on_invalid in ("drop", "quarantine"):
         t = t.filter(empty_conv | F.col("value").isNotNull())
     else:
         t = _check_invalid(t.withColumn("_v", F.when(empty_conv, F.lit("")).otherwise(F.col("value"))),

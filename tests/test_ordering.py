@@ -70,3 +70,19 @@ def test_every_example_has_one_slot(spark, n, devices, per_device, accum):
         slots.setdefault((r.step, r.rank, r.micro), []).append(r.key)
     assert all(len(v) <= per_device for v in slots.values())
     assert len({r.step for r in s}) == -(-n // per_step)
+
+
+def test_epoch_plan_repeats_until_max_steps(spark):
+    from tunedata.operators.ordering import epoch_plan
+    df = spark.range(0, 130).withColumnRenamed("id", "key").repartition(3)
+    rows = epoch_plan(df, "key", 42, 1, 4, 16, max_steps=5).collect()
+    per_step = {}
+    for r in rows:
+        per_step[r.step] = per_step.get(r.step, 0) + 1
+    assert per_step == {0: 64, 1: 64, 2: 2, 3: 64, 4: 64}
+    e0 = sorted((r.pos, r.key) for r in rows if r.epoch == 0)
+    assert [p for p, _ in e0] == list(range(130)) and sorted(k for _, k in e0) == list(range(130))
+    e1 = [k for _, k in sorted((r.pos, r.key) for r in rows if r.epoch == 1)]
+    assert len(e1) == 128 and e1 != [k for _, k in e0][:128]
+    one = epoch_plan(df, "key", 42, 1, 4, 16, max_steps=2).collect()
+    assert len(one) == 128 and {r.epoch for r in one} == {0}

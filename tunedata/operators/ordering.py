@@ -124,3 +124,41 @@ def head_by_ordinal(df: DataFrame, ordinal: str, limit: int | None) -> DataFrame
     """
     ordered = df.orderBy(F.col(ordinal).asc())
     return ordered if limit is None else ordered.limit(limit)
+
+
+def epoch_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_device_batch: int,
+               grad_accum: int, max_steps: int, n_rows: int | None = None) -> DataFrame:
+    """W5 / L4 over several epochs, until ``max_steps`` steps are planned.
+
+    Each epoch is its own seeded shuffle (``md5('<seed>:<epoch>:<key>')``);
+    steps do not span epochs (an epoch's last partial step is kept, D12), so
+    an epoch has ``ceil(n / per_step)`` steps and global step = epoch * that +
+    step in the epoch. Only as many epochs as ``max_steps`` needs are made
+    (one row copy per epoch; a large input needs a single epoch). Positions
+    use the bucketed helper with the epoch as the leading bucket, so no
+    window runs over the whole frame. Output adds ``epoch, pos, step, rank, micro``.
+    """
+    if min(devices, per_device_batch, grad_accum, max_steps) < 1:
+        raise ValueError("devices, per_device_batch, grad_accum and max_steps must be >= 1")
+    per_step = devices * per_device_batch * grad_accum
+    n = df.count() if n_rows is None else n_rows
+    if n == 0:
+        nulls = [F.lit(None).cast(t).alias(c) for c, t in
+                 (("epoch", "int"), ("pos", "bigint"), ("step", "int"), ("rank", "int"), ("micro", "int"))]
+        return df.select("*", *nulls).limit(0)
+    steps_per_epoch = -(-n // per_step)
+    epochs = -(-max_steps // steps_per_epoch)
+    x = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    k = F.md5(F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"), F.lit(":"),
+                       F.col(key).cast("string")))
+    x = x.withColumn("_k", k).withColumn(
+        "_bucket", F.col("epoch") * 4096 + F.conv(F.substring("_k", 1, 3), 16, 10).cast("int"))
+    x = with_position(x, "_bucket", ["_k", key], "_gpos").drop("_bucket", "_k")
+    pos = F.col("_gpos") - F.col("epoch").cast("bigint") * n
+    q = F.pmod(pos, F.lit(per_step))
+    out = x.select(
+        *df.columns, F.col("epoch").cast("int").alias("epoch"), pos.alias("pos"),
+        (F.col("epoch") * steps_per_epoch + F.floor(pos / per_step)).cast("int").alias("step"),
+        F.pmod(q, F.lit(devices)).cast("int").alias("rank"),
+        F.floor(F.floor(q / devices) / per_device_batch).cast("int").alias("micro"))
+    return out.filter(F.col("step") < max_steps)

@@ -745,3 +745,24 @@ def q_vocab_tsv_roundtrip(spark, sf):
     sinks.write_vocab(_word_vocab_docs(spark, sf), path, tsv=True)
     back = readers.read_vocab_tsv(spark, path, glob="part-*")
     return back.select("token", _big("ord"), F.col("score").cast("bigint").alias("score"))
+
+
+@register("epoch_plan", f"""
+WITH p AS (SELECT count(*) AS n, CAST(ceil(count(*) / {float(_PER_STEP)}) AS BIGINT) AS spe FROM documents),
+e AS (SELECT doc_id, unnest(range(0, CAST(ceil({float(MAX_STEPS)} / spe) AS BIGINT))) AS epoch, spe
+      FROM documents, p),
+o AS (SELECT doc_id, epoch, spe,
+             row_number() OVER (PARTITION BY epoch ORDER BY
+               md5('{SEED}:' || CAST(epoch AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS pos
+      FROM e),
+s AS (SELECT doc_id, epoch, pos, epoch * spe + pos // {_PER_STEP} AS step,
+             (pos % {_PER_STEP}) % {DEVICES} AS rank,
+             ((pos % {_PER_STEP}) // {DEVICES}) // {PER_DEVICE_BATCH} AS micro FROM o)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(epoch AS BIGINT) AS epoch, CAST(pos AS BIGINT) AS pos,
+       CAST(step AS BIGINT) AS step, CAST(rank AS BIGINT) AS rank, CAST(micro AS BIGINT) AS micro
+FROM s WHERE step < {MAX_STEPS}""")
+def q_epoch_plan(spark, sf):
+    """The example script's 100 steps of 64 examples: as many reshuffled epochs as needed."""
+    d = tables.table(spark, sf, "documents").select("doc_id")
+    p = ordering.epoch_plan(d, "doc_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
+    return p.select(_big("doc_id"), _big("epoch"), "pos", _big("step"), _big("rank"), _big("micro"))

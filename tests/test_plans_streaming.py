@@ -159,3 +159,17 @@ def test_stream_resumes_from_checkpoint(spark, scratch):
         q.awaitTermination(120)
     ids = sorted(r.sample_id for r in spark.read.parquet(sink).collect())
     assert ids == ["1", "2"]
+
+
+def test_training_plan_repeats_epochs(spark, scratch):
+    d = _local(scratch("train-epochs"))
+    _write_lines(f"{d}/train.json", [{"input": f"q{i}", "target": f"a{i}", "sample_id": str(i)}
+                                     for i in range(20)])
+    cfg = training.TrainingData("x/pythia-1b-deduped", "pythia", max_source_length=8, max_target_length=8,
+                                per_device_train_batch_size=4, gradient_accumulation_steps=2,
+                                max_steps=7, repeat_epochs=True)
+    seqs, _ = training.sequences(spark, f"{d}/train.json", cfg)
+    b = training.batches(seqs, cfg, 1).collect()
+    # 20 rows, 8 per step -> 3 steps per epoch (8, 8, 4); 7 steps need 3 epochs
+    assert sorted({r.step for r in b}) == list(range(7)) and {r.epoch for r in b} == {0, 1, 2}
+    assert len(b) == 20 + 20 + 8

@@ -36,6 +36,7 @@ class TrainingData:
     per_device_train_batch_size: int = 4
     gradient_accumulation_steps: int = 1
     max_steps: int | None = None
+    repeat_epochs: bool = False          # with max_steps: reshuffle and repeat the data until reached
     multiline_json: bool = False
 
 
@@ -100,6 +101,10 @@ def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example
 
     The sequences are computed once for the positions' bucket counts and once
     for the rows (two passes over the same deterministic plan)."""
+    if cfg.repeat_epochs and cfg.max_steps is not None:
+        steps = ordering.epoch_plan(seqs, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
+                                    cfg.gradient_accumulation_steps, cfg.max_steps)
+        return ordering.collate(steps, pad_id)
     pos = ordering.shuffled_positions(seqs, key, cfg.seed)
     steps = ordering.assign_steps(pos, "pos", cfg.devices, cfg.per_device_train_batch_size,
                                   cfg.gradient_accumulation_steps, cfg.max_steps)

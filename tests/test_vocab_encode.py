@@ -146,3 +146,22 @@ def test_special_tokens_report(spark):
     got = sorted((r.id, r.token, r.kind) for r in vocab.special_tokens(vocab.word_vocab(corpus)).collect())
     assert got == [(0, "<unk>", "special"), (1, "<s>", "special"), (2, "</s>", "special"),
                    (3, "<sepra>", "user_defined")]
+
+
+def test_encoders_and_merge_ignore_partitioning(spark):
+    corpus = spark.createDataFrame([(f"w{i % 7} w{i % 3} x{i}",) for i in range(60)], "value string")
+    v = vocab.word_vocab(corpus, vocab_size=12)
+    docs = corpus.withColumn("k", F.monotonically_increasing_id()).select("k", F.col("value").alias("text"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    a = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v, 100).collect()}
+    b = {r.k: r.ids for r in encode.encode_words(docs.repartition(7), "k", "text", v, 100).collect()}
+    assert a == b
+    bv = vocab.bpe_vocab(corpus, 4)
+    c = {r.k: r.ids for r in encode.encode_pieces(docs, "k", "text", bv).collect()}
+    d = {r.k: r.ids for r in encode.encode_pieces(docs.repartition(5), "k", "text", bv).collect()}
+    assert c == d
+    src = spark.createDataFrame([(t, o, 1 + o % 2) for o, t in enumerate(["p", "q", "w1", "r", "s"])],
+                                "token string, ord int, source int")
+    m1 = sorted((r.token, r.id) for r in vocab.merge_vocabs(v, src).collect())
+    m2 = sorted((r.token, r.id) for r in vocab.merge_vocabs(v.repartition(3), src.repartition(4)).collect())
+    assert m1 == m2

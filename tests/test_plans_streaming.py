@@ -115,6 +115,12 @@ def test_vocabulary_plans(spark, scratch):
     base_ids = {r.token: r.id for r in base.collect()}
     assert all(base_ids[r.token] == r.id for r in merged.filter("source = 0").collect())
     assert {r.source for r in report.collect()} == {0, 1}
+    # two sources: numbered by their folder, not by their part-file names
+    merged2, _ = vocabulary.merge(spark, f"{d}/base/tokenizer.vocab",
+                                  f"{d}/src/chr.vocab,{d}/src/bpe.vocab", f"{d}/out2")
+    bpe_new = {r.token for r in merged.filter("source = 1").collect()}
+    src_of = {r.token: r.source for r in merged2.collect()}
+    assert all(src_of[t] == 1 for t in bpe_new)  # bpe.vocab sorts before chr.vocab
 
 
 def test_formatter_registry_preview_and_callable_encoder(spark, scratch):

@@ -36,12 +36,13 @@ def train(spark: SparkSession, corpus_name_or_path: str, output_path: str, model
 
 def merge(spark: SparkSession, base_vocab: str, sources_path: str, output_dir: str,
           overwrite: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S7 -> V4 -> K4, with the V5 report. Sources are numbered by file name."""
+    """S7 -> V4 -> K4, with the V5 report. ``sources_path`` is one vocabulary
+    or several, comma separated; sources are numbered by file path (D14)."""
     base = readers.read_vocab_tsv(spark, base_vocab, glob=None)
     base = base.select("token", F.col("ord").alias("id"), "score",
                        F.when(F.col("token").isin(list(vocab.SPECIAL_PIECES)), "special")
                        .otherwise("normal").alias("kind"))
-    src = readers.read_vocab_tsv(spark, sources_path, glob=None)
+    src = readers.read_vocab_tsv(spark, [p for p in sources_path.split(",") if p], glob=None)
     files = src.select("file").distinct()
     files = files.withColumn("source", F.dense_rank().over(Window.orderBy("file")))  # one row per file
     sources = src.join(F.broadcast(files), "file").select("token", "ord", "source")

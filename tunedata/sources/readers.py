@@ -112,9 +112,12 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text([p for p in path.split(",") if p])
 
 
-def read_vocab_tsv(spark: SparkSession, path: str, glob: str | None = "*.vocab") -> DataFrame:
+def read_vocab_tsv(spark: SparkSession, path, glob: str | None = "*.vocab") -> DataFrame:
     """``.vocab`` files (piece TAB score, no quoting) -> ``(token, score, ord, file)``.
 
+    ``path`` is one path or a list; ``file`` is the full file path, so sources
+    written by Spark (part files in one folder each) sort by their folder.
+
     ``ord`` is the line number inside the file (its id there). Line order comes
     from ``monotonically_increasing_id`` (increasing along a file's splits);
     the per-file window ranks one vocabulary, which its size bounds.
@@ -123,7 +126,7 @@ def read_vocab_tsv(spark: SparkSession, path: str, glob: str | None = "*.vocab")
     if glob:
         rd = rd.option("pathGlobFilter", glob)
     r = (rd.csv(path)
-         .select("token", "score", F.col("_metadata.file_name").alias("file"),
+         .select("token", "score", F.col("_metadata.file_path").alias("file"),
                  F.monotonically_increasing_id().alias("_mono")))
     w = Window.partitionBy("file").orderBy("_mono")
     return r.withColumn("ord", (F.row_number().over(w) - 1).cast("int")).drop("_mono")

@@ -67,3 +67,10 @@ def test_prediction_runs_in_arrow_batches(spark):
     b = tables.table(spark, SF, "benchmark").select(F.col("text").alias("value"))
     plan = _plan(batch_predict(b, "value", echo_reverse))
     assert "MapInPandas" in plan and "BatchEvalPython" not in plan
+
+
+def test_epoch_plan_ranks_within_buckets(spark):
+    docs = tables.table(spark, SF, "documents").select("doc_id")
+    plan = _plan(ordering.epoch_plan(docs, "doc_id", 42, 1, 4, 16, 10))
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\]", plan)
+    assert any("_bucket" in w for w in windows) and "BroadcastExchange" in plan

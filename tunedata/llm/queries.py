@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tunedata.llm import mixing
+from tunedata.llm import bpe, mixing, token_counts
 from tunedata.llm.common import read
 
+# Tokenizer of the queries; the operators take any path.
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -67,3 +69,18 @@ FROM pos LEFT JOIN got USING (src, seq)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.taken_words(mixing.Mix(docs))
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path())

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, mixing, token_counts
+from tunedata.llm import bpe, mixing, simhash, token_counts
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -84,3 +85,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, mixing, simhash, token_counts
+from tunedata.llm import bpe, imatch, mixing, simhash, token_counts
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -91,3 +91,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op3_imatch")
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_likeness(read(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, imatch, mixing, simhash, token_counts
+from tunedata.llm import bpe, imatch, mixing, simhash, token_counts, urls
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -96,3 +96,67 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_imatch")
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_likeness(read(spark, sf_dir, "documents"))
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@register("op4_redirects", """
+WITH RECURSIVE p AS (
+  SELECT page_id, url, html, contains(url, '://') AS ok,
+         coalesce(translate(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)', 2),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+tags AS (
+  SELECT url, path, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme,
+         regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS site,
+         unnest([regexp_extract(t, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1)
+                 FOR t IN regexp_extract_all(html, '(?is)<link\s[^>]*>')
+                 IF regexp_matches(t, '(?is)\srel\s*=\s*["'']?canonical["''\s/>]')]
+                || [regexp_extract(t, '(?is)[;"''\s]url\s*=\s*["'']?([^"''\s>]+)', 1)
+                    FOR t IN regexp_extract_all(html, '(?is)<meta\s[^>]*>')
+                    IF regexp_matches(t, '(?is)\shttp-equiv\s*=\s*["'']?refresh["''\s/>]')]) AS link0
+  FROM p WHERE ok),
+links AS (
+  SELECT DISTINCT url, CASE
+    WHEN contains(link, '://') THEN link
+    WHEN starts_with(link, '//') THEN scheme || ':' || link
+    WHEN starts_with(link, '/') THEN scheme || '://' || site || link
+    WHEN starts_with(link, '#') THEN url
+    WHEN starts_with(link, '?') THEN scheme || '://' || site || path || link
+    ELSE scheme || '://' || site || regexp_replace(path, '[^/]*$', '')
+         || CASE WHEN contains(path, '/') THEN '' ELSE '/' END || link END AS target
+  FROM (SELECT *, replace(link0, '&amp;', '&') AS link FROM tags) WHERE link <> ''),
+u AS (SELECT url FROM p WHERE ok UNION SELECT target FROM links),
+u2 AS (
+  SELECT url, translate(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)', 2),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(url, '(?s)^(.*?)://', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS scheme,
+         array_to_string(list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+           lambda q: q <> '' AND NOT regexp_matches(q, '(?i)^(utm_[^=]*|ref|gclid|fbclid)(=|$)')), '&') AS query
+  FROM u),
+u3 AS (
+  SELECT url, CASE WHEN scheme = 'http' THEN 'https' ELSE scheme END || '://' || host
+              || regexp_replace(path, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS form,
+         CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM u2),
+edges AS (SELECT a.form AS x, b.form AS y FROM links JOIN u3 a ON links.url = a.url JOIN u3 b ON target = b.url),
+sym AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges),
+reach AS (SELECT DISTINCT x AS a, x AS b FROM sym UNION SELECT a, y FROM reach JOIN sym ON b = x),
+root AS (SELECT a AS form, min(b) AS root FROM reach GROUP BY a),
+u4 AS (SELECT u3.*, coalesce(root, u3.form) AS root FROM u3 LEFT JOIN root USING (form)),
+cls AS (SELECT root, coalesce(bool_or(rule IN ('example.net/en/', 'org/fr/')), false) AS allowed,
+               coalesce(bool_or(rule IN ('net/', 'example.com/de/')), false) AS blocked FROM u4 GROUP BY root)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN blocked AND NOT allowed THEN 'block' ELSE 'allow' END AS verdict
+FROM p LEFT JOIN u4 USING (url) LEFT JOIN cls USING (root)
+""")
+def op4_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)

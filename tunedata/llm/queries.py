@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, imatch, mixing, simhash, token_counts, urls
+from tunedata.llm import bpe, imatch, mixing, neighbours, simhash, token_counts, urls
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -101,7 +101,7 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
-@register("op4_redirects", """
+@register("op4_redirects", r"""
 WITH RECURSIVE p AS (
   SELECT page_id, url, html, contains(url, '://') AS ok,
          coalesce(translate(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)', 2),
@@ -160,3 +160,21 @@ FROM p LEFT JOIN u4 USING (url) LEFT JOIN cls USING (root)
 """)
 def op4_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register("op2_neighbours", r"""
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+dim AS (SELECT len(e) AS n FROM v GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+w AS (SELECT vec_id, e FROM v WHERE len(e) = (SELECT n FROM dim)),
+near AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, c.e), c.vec_id) AS rank
+  FROM w q JOIN w c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM near WHERE rank <= 10
+""")
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)

@@ -30,8 +30,28 @@ from pyspark.sql import DataFrame
 
 from tunedata.llm.common import python_ready, text_or_empty
 
-# Words and arcs a worker remembers; when full, they are forgotten and found again.
-CACHE_WORDS, CACHE_ARCS, CACHED_WORD_BYTES = 300_000, 1_000_000, 64
+# Arcs and words a worker remembers; what is forgotten is found again.
+CACHE_ARCS, CACHE_WORDS, CACHED_WORD_BYTES = 500_000, 600_000, 64
+
+
+class Remembered(dict):
+    """A bounded cache of two generations: words met again outlive those met once."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find, self.old = find, {}
+
+    def __missing__(self, word: str):
+        got = self.old.get(word)
+        if got is None:
+            got = self.find(word)
+            if len(word) > CACHED_WORD_BYTES:
+                return got
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = got
+        return got
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -46,6 +66,7 @@ class Automaton:
     """Automaton of a byte-level BPE vocabulary (the text of a tokenizer's JSON file)."""
 
     def __init__(self, tokenizer_json: str):
+        self.name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
         spec = json.loads(tokenizer_json)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         alphabet = byte_alphabet()
@@ -63,7 +84,7 @@ class Automaton:
                 self.rank[vocab[c]] = 0
         # States: rank of the merge that made it, the state it is a copy of, the arc it lacks.
         self.made, self.copy_of, self.lacks = [0], [0], [-1]
-        self._forget()
+        self.arcs: dict[int, bool] = {}
         for k, merge in enumerate(merges, 1):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self._gadget(k, vocab[a], vocab[b], vocab[a + b])
@@ -94,12 +115,8 @@ class Automaton:
                 node = nxt
             self.token_at[node] = t
 
-    def _forget(self) -> None:
-        self.arcs: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
-
     def __getstate__(self):
-        return self.__dict__ | {"arcs": {}, "words": {}}
+        return self.__dict__ | {"arcs": {}}
 
     def allowed(self, state: int, token: int) -> bool:
         """Whether ``state`` has an arc labelled ``token``."""
@@ -122,37 +139,42 @@ class Automaton:
         return known
 
     def encode_bytes(self, word: bytes) -> list[int]:
+        """Labels of the path that spells ``word``: depth first, longest label first. A prefix
+        has one path only, so a place that led nowhere is not tried again."""
         n = len(word)
-        ends = [-1] * (n + 1)  # the token that ends the path to each prefix
-        step, token_at, enters = self.step.get, self.token_at, self.enters
-        for i in range(n):
-            state = enters[ends[i]] if i else 0
-            node = 0
-            for j in range(i, n):
-                node = step(node << 8 | word[j])
-                if node is None:
+        step, token_at, enters, allowed = self.step.get, self.token_at, self.enters, self.allowed
+        path: list[int] = []
+        dead: set[int] = set()
+        open_ends: list[list[tuple[int, int]]] = []  # for each place on the path: labels yet to try
+        at = 0
+        while at < n:
+            if len(open_ends) == len(path):
+                node, tries = 0, []
+                for j in range(at, n):
+                    node = step(node << 8 | word[j])
+                    if node is None:
+                        break
+                    if token_at[node] >= 0:
+                        tries.append((token_at[node], j + 1))
+                open_ends.append(tries)
+            state = enters[path[-1]] if path else 0
+            tries = open_ends[-1]
+            while tries:
+                t, end = tries.pop()
+                if end not in dead and allowed(state, t):
+                    path.append(t)
+                    at = end
                     break
-                t = token_at[node]
-                if t >= 0 and ends[j + 1] < 0 and self.allowed(state, t):
-                    ends[j + 1] = t
-        out = []
-        while n:
-            out.append(ends[n])
-            n -= len(self.labels[ends[n]])
-        return out[::-1]
+            else:
+                dead.add(at)
+                open_ends.pop()
+                at -= len(self.labels[path.pop()])
+        return path
 
     def packed(self, word: str) -> bytes:
         """Ids of a pre-split word, 32-bit little-endian."""
-        got = self.words.get(word)
-        if got is None:
-            raw = word.encode()
-            ids = self.encode_bytes(raw)
-            got = struct.pack(f"<{len(ids)}I", *ids)
-            if len(raw) <= CACHED_WORD_BYTES:
-                if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
-                self.words[word] = got
-        return got
+        ids = self.encode_bytes(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Splitter:
@@ -223,24 +245,37 @@ class Encoder:
 
     def __init__(self, automaton: Automaton, splitter: Splitter):
         self.automaton = automaton
-        self.find_words, special = (p for p in splitter.compiled())
+        words, special = splitter.compiled()
+        self.find_words = words.findall
         self.split_special = special.split if special else lambda text: [text]
-        self.find_words = self.find_words.findall
+        self.known = Remembered(automaton.packed)
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, 32-bit little-endian."""
-        a, out = self.automaton, []
+        out: list[bytes] = []
         for n, part in enumerate(self.split_special(text)):
             if n % 2:
-                out.append(struct.pack("<I", a.special[part]))
-                continue
-            known = a.words.get
-            out += [known(w) or a.packed(w) for w in self.find_words(part)]
+                out.append(struct.pack("<I", self.automaton.special[part]))
+            else:
+                out += map(self.known.__getitem__, self.find_words(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
-        labels = self.automaton.labels
-        return b"".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        label = self.automaton.labels.__getitem__
+        return b"".join(map(label, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+# One of each kind in a worker, for the tasks that it runs one after the other.
+_IN_WORKER: dict[tuple, object] = {}
+
+
+def in_worker(kind, shared):
+    """The worker's ``kind(automaton, splitter)`` of a broadcast tokenizer."""
+    key = kind.__name__, shared.value[0].name
+    if key not in _IN_WORKER:
+        _IN_WORKER.clear()
+        _IN_WORKER[key] = kind(*shared.value)
+    return _IN_WORKER[key]
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
@@ -256,8 +291,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False)
     shared = spark.sparkContext.broadcast(compiled(tokenizer_path))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, splitter = shared.value
-        coder = Encoder(automaton, splitter)
+        coder = in_worker(Encoder, shared)
         for batch in batches:
             n, ids_hash, text_hash, ids = [], [], [], []
             for text in batch.column("text"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, imatch, mixing, neighbours, simhash, token_counts, urls
+from tunedata.llm import bpe, imatch, mixing, neighbours, simhash, token_counts, toxicity, urls
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -178,3 +178,9 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM near WHERE rank <= 10
 """)
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, read(spark, sf_dir, "labels")), threshold=0.7)

@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tunedata.llm.bpe import CACHED_WORD_BYTES, Automaton, Splitter, compiled
+from tunedata.llm.bpe import Automaton, Remembered, Splitter, compiled, in_worker
 from tunedata.llm.common import python_ready, text_or_empty
 
-CACHE_WORDS, CACHE_STATES = 300_000, 200_000
+CACHE_STATES = 150_000
 CHUNK = 256
 
 # Classes of characters: letters by their part in 's 't 'm 'd 're 've 'll.
@@ -164,21 +164,12 @@ class Counter:
     """Counts the tokens of batches of texts in a worker."""
 
     def __init__(self, automaton: Automaton, splitter: Splitter):
-        self.words: dict[str, int] = {}
         self.transducer = WordTransducer(automaton)
+        self.known = Remembered(lambda word: self.transducer.count(word.encode()))
         self.classes = split_classes(splitter)
         special = splitter.compiled()[1]
         self.split_special = special.split if special else lambda text: [text]
 
-    def _word(self, word: str) -> int:
-        raw = word.encode()
-        n = self.transducer.count(raw)
-        if len(raw) <= CACHED_WORD_BYTES:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = n
-        return n
-
     def count(self, texts: list[str]) -> list[int]:
         parts, owner, out = [], [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -195,9 +186,8 @@ class Counter:
         at = np.flatnonzero(word_starts(classes))
         starts = at[classes[at] != END]
         stops = at[np.searchsorted(at, starts) + 1]
-        known = self.words.get
         words = map(whole.__getitem__, map(slice, starts.tolist(), stops.tolist()))
-        counts = np.fromiter((known(w) or self._word(w) for w in words), np.int64, len(starts))
+        counts = np.array(list(map(self.known.__getitem__, words)), np.int64)
         np.add.at(out, np.asarray(owner, np.intp)[np.searchsorted(ends, starts)], counts)
         return out.tolist()
 
@@ -213,7 +203,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
     shared = spark.sparkContext.broadcast(compiled(tokenizer_path))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(*shared.value)
+        counter = in_worker(Counter, shared)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             n = counter.count(texts)

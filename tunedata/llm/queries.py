@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, imatch, mixing, neighbours, quality, simhash, token_counts, toxicity, urls
+from tunedata.llm import bpe, imatch, mixing, neighbours, pii, quality, simhash, token_counts, toxicity, urls
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -190,3 +190,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.train(docs, read(spark, sf_dir, "labels")), threshold=0.3)
+
+
+@register("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find_in_documents(docs, pii.train(docs))

@@ -24,10 +24,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import python_ready, text_or_empty
+from tunedata.llm.common import free_names, python_ready, text_or_empty
 from tunedata.llm.components import components
 from tunedata.session import materialize
 
@@ -58,17 +58,23 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row's ``text``; null is an empty text, without
-    words the fingerprint is zero."""
+    """``doc_id, key, fp`` (signed 64-bit) of every row's ``text``; null is an empty text, without
+    words the fingerprint is zero. ``key`` is a hash of id and text."""
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(fps, pa.int64())],
+                                             ["doc_id", "key", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return (docs.select("doc_id", text_or_empty().alias("text"), row_key().alias("key"))
+            .mapInArrow(run, f"doc_id {kind}, key bigint, fp bigint"))
+
+
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
 
 
 def embedding(fp: Column) -> Column:
@@ -126,7 +132,18 @@ def links(fps: DataFrame, max_bits: int = 4, groups: int = 6) -> DataFrame:
     return star.union(cross)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, groups: int = 6) -> DataFrame:
+def grouped(docs: DataFrame, shingle: int = 4, max_bits: int = 4, groups: int = 6) -> DataFrame:
+    """``doc_id, key, fp, root, component_id`` of every row of ``docs``; ``root`` names its group."""
+    marked = materialize(fingerprints(docs, shingle))
+    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    joined = components(links(distinct, max_bits, groups))
+    rooted = (distinct.join(joined, distinct["fp"] == joined["node"], "left")
+              .select("fp", "first_id", F.coalesce("component", "fp").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return marked.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``; ``component_id`` is the smallest
     ``doc_id`` that links reach, its own included.
 
@@ -134,27 +151,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, groups
     without words all have fingerprint zero; a null ``doc_id`` takes part but is
     never a component's id unless there is no other; an empty table gives no rows.
     """
-    marked = materialize(fingerprints(docs, shingle))
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = components(links(distinct, max_bits, groups))
-    rooted = (distinct.join(joined, distinct["fp"] == joined["node"], "left")
-              .select("fp", "first_id", F.coalesce("component", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return (marked.join(rooted.join(least, "root").select("fp", "component_id"), "fp")
-            .select("doc_id", "fp", "component_id"))
+    return grouped(docs, **options).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each group is kept: the one with
-    the smallest id (of rows with equal ids, one; null only where the group has no id)."""
-    groups = near_duplicates(docs, **options)
-    kept = groups.select("component_id").distinct()
-    ids = kept.filter("component_id is not null").select(F.col("component_id").alias("doc_id"))
-    # Rows that share a kept id: the first by text, so reruns agree.
-    columns = docs.columns
-    rows = docs.join(ids, "doc_id", "left_semi")
-    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.struct(*[
-        F.col(f"`{c}`") for c in columns if c != "doc_id"])).alias("row")) if len(columns) > 1 else rows.distinct()
-    if len(columns) == 1:
-        return repeated
-    return repeated.select("doc_id", "row.*").select(*[F.col(f"`{c}`") for c in columns])
+    """The rows of ``docs``, all their columns, that stay when one document of each group is
+    kept: the one with the smallest id (null last; of equal ids the smallest hash of id and
+    text; of equal rows any)."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    key, rank = free_names(docs, "row_key", "row_rank")
+    kept = grouped(docs, **options).groupBy("root").agg(first).select(F.col("first.key").alias(key))
+    rows = docs.withColumn(key, row_key()).join(kept, key, "left_semi")
+    repeated = Window.partitionBy(key).orderBy("doc_id")
+    return rows.withColumn(rank, F.row_number().over(repeated)).filter(F.col(rank) == 1).drop(key, rank)

@@ -26,7 +26,7 @@ def _brute_encode(text, table, unk=0):
 def test_piece_encoder_matches_brute_force(spark):
     corpus = spark.createDataFrame([(t,) for t in ["low lower lowest", "newer wider new", "lowlow"]],
                                    "value string")
-    v = vocab.bpe_vocab(corpus, 8)
+    v = vocab.bpe_vocab(corpus, n_merges=8)
     table = {r.token: (r.id, r.score, r.kind) for r in v.collect()}
     assert sorted(r[0] for r in table.values()) == list(range(len(table)))
     texts = ["lower newest", "", "  low  ", "zzz low", "lowlowlow wid"]
@@ -40,7 +40,7 @@ def test_piece_encoder_matches_brute_force(spark):
 
 def test_user_symbols_are_atomic(spark):
     corpus = spark.createDataFrame([("ab ab ab",)], "value string")
-    v = vocab.bpe_vocab(corpus, 2)
+    v = vocab.bpe_vocab(corpus, n_merges=2)
     ids = {r.token: r.id for r in v.collect()}
     docs = spark.createDataFrame([(1, "ab<sepra>ab"), (2, "<sepra>")], "k long, text string")
     got = {r.k: r.ids for r in encode.encode_pieces(docs, "k", "text", v).collect()}

@@ -84,15 +84,50 @@ def test_training_plan(spark, scratch):
     assert spark.read.parquet(out["validation"]).count() == 5
 
 
+def test_training_order_ignores_splits_and_names(spark, scratch):
+    d = _local(scratch("order"))
+    rows = [{"question": f"q{i % 90}", "answer": f"a{i % 90}", "id": i} for i in range(130)]
+    _write_lines(f"{d}/t.json", rows)
+    cfg = training.TrainingData("x/pythia-1b-deduped", "pythia", prompt_column="question", response_column="answer",
+                                max_source_length=8, max_target_length=8, preview_rows=2)
+    seen = []
+    for size in ("134217728", "300"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            out = training.build(spark, f"{d}/t.json", f"{d}/o{size}", cfg, validation_file=f"{d}/t.json")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        train = spark.read.parquet(out["train"]).select("example_id", "step", "rank", "micro", "input_ids").collect()
+        dev = spark.read.parquet(out["validation"]).orderBy("pos").collect()
+        seen.append((sorted(train), [(r["pos"], r["input_ids"]) for r in dev]))
+        assert len(out["preview"]) == 2 and out["preview"][0]["decoded"]
+    assert seen[0] == seen[1] and len(seen[0][0]) == len({r[0] for r in seen[0][0]}) == 130
+    assert [p for p, _ in seen[0][1]] == list(range(130))
+    spark.createDataFrame([(r["question"], r["answer"]) for r in rows], "question string, answer string").write.parquet(f"{d}/p")
+    cfg.fmt = "parquet"
+    seqs, bad = training.sequences(spark, f"{d}/p", cfg)
+    assert sorted(r[0] for r in seqs.select("example_id").collect()) == sorted({r[0] for r in seen[0][0]}) and bad.count() == 0
+
+
 def test_prediction_plan(spark, scratch):
     d = _local(scratch("pred"))
-    _write_lines(f"{d}/in.jsonl", [{"instruction": ["Say: "], "input": f"x{i}", "id": i} for i in range(10)])
-    schema = "instruction array<string>, input string, id long"
-    from pyspark.sql.types import _parse_datatype_string
-    preds, bad = prediction.predictions(spark, f"{d}/in.jsonl", echo_reverse, limit=4,
-                                        schema=_parse_datatype_string(schema))
-    got = sorted((r.id, r.prediction) for r in preds.collect())
-    assert got == [(i, f"{i}x :yaS") for i in range(4)] and bad.count() == 0
+    _write_lines(f"{d}/in.jsonl", [{"instruction": ["Say: "], "input": f"x{i}", "id": i, "task": {"n": [i, None]}}
+                                   for i in range(8)]
+                 + [{"instruction": "Say: ", "input": "x8", "id": 8}, {"input": "no instruction"}, "broken", [1, 2]])
+    preds, bad = prediction.predictions(spark, f"{d}/in.jsonl", echo_reverse, limit=4)
+    assert sorted((r.input, r.prediction) for r in preds.collect()) == [(f"x{i}", f"{i}x :yaS") for i in range(4)]
+    assert bad.count() == 3
+    plan = prediction.predictions(spark, f"{d}/in.jsonl", echo_reverse)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    first = prediction.run(spark, f"{d}/in.jsonl", f"{d}/all", echo_reverse, preview=2)
+    assert len(first) == 2 and "x0" in first[0]
+    import json
+    got = [json.loads(r["value"]) for r in spark.read.text(f"{d}/all/generation_results").collect()]
+    assert sorted(g["id"] for g in got) == list(range(9))
+    for g in got:
+        assert g["prediction"] == f"{g['id']}x :yaS" and (g["id"] == 8 or g["task"] == {"n": [g["id"], None]})
     _write_lines(f"{d}/in.txt", ["'abc'", "bad line"])
     prediction.run(spark, f"{d}/in.txt", f"{d}/out", echo_reverse, settings={"top_k": 5})
     res = spark.read.json(f"{d}/out/generation_results").collect()
@@ -100,6 +135,56 @@ def test_prediction_plan(spark, scratch):
     assert spark.read.json(f"{d}/out/generation_config").first().top_k == 5
 
 
+def test_predictors_are_not_shared(spark, scratch):
+    from tunedata.operators import encode, predict
+    df = spark.createDataFrame([("a",), ("b",)], "p string")
+
+    def made(suffix):
+        return lambda: (lambda prompts: [q + suffix for q in prompts])
+
+    def out(factory):
+        return sorted(r[0] for r in predict.generate(df, "p", factory).select("generated").collect())
+
+    assert out(lambda: (lambda ps: [q + "1" for q in ps])) == ["a1", "b1"]
+    assert out(lambda: (lambda ps: [q + "2" for q in ps])) == ["a2", "b2"]
+    assert out(made("x")) == ["ax", "bx"] and out(made("y")) == ["ay", "by"]
+    for n in (1, 2):
+        ids = encode.encode_callable(df, "p", lambda n=n: (lambda ts: [[n] for _ in ts]))
+        assert [r["ids"] for r in ids.collect()] == [[n], [n]]
+    d = _local(scratch("settings"))
+    _write_lines(f"{d}/in.jsonl", [{"instruction": ["i"], "input": "x"}])
+    prediction.run(spark, f"{d}/in.jsonl", f"{d}/o", lambda settings: (lambda ps: [f"{q}|{settings['top_k']}" for q in ps]),
+                   settings={"top_k": 7})
+    assert spark.read.json(f"{d}/o/generation_results").first()["prediction"] == "|7"
+
+
+def test_folders_with_stray_files(spark, scratch):
+    d = _local(scratch("stray"))
+    _write_lines(f"{d}/c/a.txt", ["one two"])
+    _write_lines(f"{d}/c/b.md", ["not this"])
+    from tunedata.sources import readers
+    for path in (f"{d}/c", f"file://{d}/c"):
+        assert [r[0] for r in readers.read_corpus(spark, path).collect()] == ["one two"]
+    vocabulary.train(spark, f"file://{d}/c", f"{d}/v", model_name="base", model_type="word")
+    vocabulary.train(spark, f"{d}/c", f"{d}/w", model_name="one", model_type="char")
+    _write_lines(f"{d}/w/notes.md", ["stray\t0"])
+    merged, report = vocabulary.merge(spark, f"{d}/v/base.vocab", f"file://{d}/w", f"{d}/m")
+    kinds = {r["token"]: r["kind"] for r in merged.collect()}
+    assert "stray" not in kinds and kinds["<sepra>"] == "user_defined" and kinds["<s>"] == "special"
+    assert {r["source"] for r in report.collect()} == {0, 1}
+
+
+def test_vocabulary_lines_keep_control_characters(spark, scratch):
+    from tunedata.sources import readers, sinks
+    tokens = ["<unk>", "\x01", "\x0b", "\u0085", "a\u2028", '"', "\\", "''", " x"]
+    v = spark.createDataFrame([(t, i, -float(i), "normal") for i, t in enumerate(tokens)],
+                              "token string, id int, score double, kind string")
+    path = scratch("control")
+    sinks.write_vocab(v, path, tsv=True)
+    back = readers.read_vocab_tsv(spark, path, glob="part-*").orderBy("ord").collect()
+    assert [r["token"] for r in back] == tokens
+
+
 def test_vocabulary_plans(spark, scratch):
     d = _local(scratch("vocab"))
     _write_lines(f"{d}/corpus/a.txt", ["low lower lowest", "new newer"])

@@ -78,6 +78,15 @@ def test_unquote_never_evaluates(spark):
     assert got == ["it", "q", None, None, "a'b", 'x"y']
 
 
+def test_unquote_is_strict_in_both_quote_styles(spark):
+    lines = [r"'a\nb'", r"'\u4e2d'", '"a","v":"b"', r'"a\nb"', r'"\u4e2d"', r"'\\n'", r"'\x41\t'", "'a\"b'", '"a\'b"',
+             r"'open", r"'a'b'", r"'\q'", r"'bad \u12'", "''", '""', "'x' ", r"'\\'", r"'\\'x'", "b'x'"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r[0] for r in df.select(unquote_literal(F.col("line"))).collect()]
+    assert got == ["a\nb", "\u4e2d", None, "a\nb", "\u4e2d", "\\n", "A\t", 'a"b', "a'b",
+                   None, None, None, None, "", "", "x", "\\", None, None]
+
+
 def test_extra_profiles(spark):
     extra = [("my-model-7b", "llama", 1, 2, 5)]
     assert resolve_profile("x/my-model-7b", "llama", extra=extra).pad_id == 5

@@ -1,11 +1,12 @@
 import collections
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tunedata.functions.codec import codepoints, codepoints_decode
+from tunedata.functions.codec import codepoints, codepoints_decode, words
 from tunedata.operators import encode, vocab
 
 
@@ -83,7 +84,7 @@ def test_bpe_matches_greedy(spark):
     corpus = spark.createDataFrame([(t,) for t in texts], "value string")
     got = [tuple(r) for r in vocab.bpe_merges(corpus, 12).orderBy("rank").collect()]
     assert got == _greedy(texts, 12)
-    v = vocab.bpe_vocab(corpus, 5)
+    v = vocab.bpe_vocab(corpus, n_merges=5)
     ids = sorted(r.id for r in v.collect())
     assert ids == list(range(len(ids)))
 
@@ -135,9 +136,9 @@ def test_bpe_batch_rule_equals_greedy(spark, texts, n):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="ab c", min_size=1, max_size=14), min_size=1, max_size=6),
        st.integers(1, 12))
-def test_bpe_incremental_counts_equal_greedy(spark, texts, n):
+def test_bpe_with_few_candidates_equals_greedy(spark, texts, n):
     corpus = spark.createDataFrame([(t,) for t in texts], "value string")
-    got = [tuple(r) for r in vocab.bpe_merges(corpus, n, incremental=True).orderBy("rank").collect()]
+    got = [tuple(r) for r in vocab.bpe_merges(corpus, n, compact_every=1, candidates=2).orderBy("rank").collect()]
     assert got == _greedy(texts, n)
 
 
@@ -156,7 +157,7 @@ def test_encoders_and_merge_ignore_partitioning(spark):
     a = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v, 100).collect()}
     b = {r.k: r.ids for r in encode.encode_words(docs.repartition(7), "k", "text", v, 100).collect()}
     assert a == b
-    bv = vocab.bpe_vocab(corpus, 4)
+    bv = vocab.bpe_vocab(corpus, n_merges=4)
     c = {r.k: r.ids for r in encode.encode_pieces(docs, "k", "text", bv).collect()}
     d = {r.k: r.ids for r in encode.encode_pieces(docs.repartition(5), "k", "text", bv).collect()}
     assert c == d
@@ -165,3 +166,41 @@ def test_encoders_and_merge_ignore_partitioning(spark):
     m1 = sorted((r.token, r.id) for r in vocab.merge_vocabs(v, src).collect())
     m2 = sorted((r.token, r.id) for r in vocab.merge_vocabs(v.repartition(3), src.repartition(4)).collect())
     assert m1 == m2
+
+
+def test_bpe_vocabulary_holds_every_covered_character(spark):
+    texts = ["the cat wl the mat <s> a|b c|d", "thethe wl\u0085 x  the<sepra>cat <sepra> mat", "wl wl the"]
+    corpus = spark.createDataFrame([(t,) for t in texts], "value string")
+    symbols = ("<sepra>", "|")
+    v = vocab.bpe_vocab(corpus, 50, coverage=1.0, user_symbols=symbols)
+    rows = v.collect()
+    tokens = [r.token for r in rows]
+    assert len(set(tokens)) == len(tokens) <= 50 and sorted(r.id for r in rows) == list(range(len(rows)))
+    chars = {c for t in texts for c in t.replace("<sepra>", "").replace("|", "") if c not in " \t\n"}
+    assert chars | {"▁"} <= set(tokens)
+    assert not any("|" in t and t != "|" for t in tokens) and not any("sepra" in t and t != "<sepra>" for t in tokens)
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    ids = {r.k: r.ids for r in encode.encode_pieces(docs, "k", "text", v).collect()}
+    assert all(vocab.UNK_ID not in i for i in ids.values())
+    with pytest.raises(ValueError, match="too small"):
+        vocab.bpe_vocab(corpus, 10, user_symbols=symbols)
+
+
+def test_merges_end_at_the_end_of_the_word_only(spark):
+    texts = ["ab\u0085 ab  ab ab", "xb  ab\u0085"]
+    corpus = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [tuple(r) for r in vocab.bpe_merges(corpus, 6).orderBy("rank").collect()]
+    assert got == _greedy(texts, 6)
+    w = spark.createDataFrame([("a \u0085",)], "value string").select(words("value")).first()[0]
+    assert w == ["a", "\u0085"]
+
+
+def test_group_vocabularies_by_split_top_k(spark):
+    rows = [("x", " ".join(f"w{i % 13}" for i in range(n))) for n in range(1, 60)] + [("y", "only here")]
+    corpus = spark.createDataFrame(rows, "lang string, value string")
+    by = vocab.word_vocabs_by(corpus, "lang", vocab_size=9)
+    for lang in ("x", "y"):
+        want = vocab.word_vocab(corpus.filter(F.col("lang") == lang), vocab_size=9)
+        assert sorted(map(tuple, by.filter(F.col("lang") == lang).drop("lang").collect())) == sorted(map(tuple, want.collect()))
+    plan = by._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4  # both levels, before and behind their exchange

@@ -46,7 +46,7 @@ def words(text) -> Column:
     Leading and trailing white space is cut first, so the split never yields
     an empty piece (native expressions only, no per-element lambda).
     """
-    t = F.regexp_replace(_col(text), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+    t = F.regexp_replace(_col(text), f"\\A{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+\\z", "")
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WHITESPACE_CLASS + "+"))
 
 

@@ -51,16 +51,29 @@ def strip_prompt(response, prompt, prefix_only: bool = False) -> Column:
     return F.when(p == "", r).otherwise(F.replace(r, p, F.lit("")))
 
 
+# One whole quoted literal, in either quote style; what an escape may be.
+_ESCAPE = r"""\\(?:[\\'"nrtbf]|u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2})"""
+_DOUBLE = rf"""\A"(?:[^"\\\x00-\x1f]|{_ESCAPE})*"\z"""
+_SINGLE = rf"""\A'(?:[^'\\\x00-\x1f]|{_ESCAPE})*'\z"""
+# Stands for an escaped backslash while the other escapes are rewritten (a noncharacter).
+_BACKSLASH = "\ufffe"
+
+
 def unquote_literal(line) -> Column:
     """F-str-8 with D8: accept one quoted string literal per line, never evaluate.
 
-    Double-quoted lines are decoded as JSON strings; single-quoted lines lose
-    their quotes and the escapes ``\\'`` and ``\\\\``. Anything else is NULL
-    (the reader quarantines it).
+    The whole line must be one literal in double or single quotes. The escapes
+    ``\\\\ \\' \\" \\n \\r \\t \\b \\f \\xHH \\uHHHH`` are decoded. Anything else is
+    NULL (the reader quarantines it).
     """
     s = F.trim(_col(line))
-    dq = F.get_json_object(F.concat(F.lit('{"v":'), s, F.lit("}")), "$.v")
-    inner = F.regexp_extract(s, r"^'((?:[^'\\]|\\.)*)'$", 1)
-    sq = F.regexp_replace(F.regexp_replace(inner, r"\\'", "'"), r"\\\\", r"\\")
-    return (F.when(s.rlike(r'^".*"$'), dq)
-            .when(s.rlike(r"^'((?:[^'\\]|\\.)*)'$"), sq))
+    body = F.substring(s, F.lit(2), F.length(s) - 2)
+    # The literal's body as the body of a JSON string.
+    j = F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH))
+    j = F.replace(j, F.lit("\\'"), F.lit("'"))
+    j = F.replace(F.replace(j, F.lit('\\"'), F.lit('"')), F.lit('"'), F.lit('\\"'))
+    j = F.regexp_replace(j, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    j = F.replace(j, F.lit(_BACKSLASH), F.lit("\\\\"))
+    value = F.get_json_object(F.concat(F.lit('{"v":"'), j, F.lit('"}')), "$.v")
+    whole = (s.rlike(_DOUBLE) | s.rlike(_SINGLE)) & ~F.contains(s, F.lit(_BACKSLASH))
+    return F.when(whole, value)

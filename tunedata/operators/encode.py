@@ -8,6 +8,8 @@ row count is known to be small (a trained vocabulary is capped by its
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,10 +178,11 @@ def encode_callable(df: DataFrame, text_col: str, factory, out_col: str = "ids",
     from tunedata.session import ship_package
     ship_package(df.sparkSession)
     schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(IntegerType()), True)])
-    key = f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
+    key = uuid.uuid4().hex  # of this call: other closures or parameters never share an encoder
 
     def run(batches):
         if key not in _ENCODERS:
+            _ENCODERS.clear()
             _ENCODERS[key] = factory()
         enc = _ENCODERS[key]
         for pdf in batches:

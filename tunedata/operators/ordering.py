@@ -23,7 +23,7 @@ def shuffle_key(key, seed: int | str) -> Column:
 
 
 def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "pos",
-                  count_from: DataFrame | None = None) -> DataFrame:
+                  count_from: DataFrame | None = None, before: int | None = None) -> DataFrame:
     """Dense 0-based position of each row in ``(bucket_col, *order_cols)`` order.
 
     ``bucket_col`` must be non-decreasing in that order and have far fewer
@@ -31,12 +31,15 @@ def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "po
     ordered as a whole and broadcast. Each bucket is ranked in its own task.
     ``count_from`` is an optional cheaper frame with the same ``bucket_col``
     multiset (e.g. the keys before an expensive per-row step), so that step
-    is not computed a second time just to be counted.
+    is not computed a second time just to be counted. With ``before`` only the
+    buckets that hold a position below it are kept.
     """
     counts = (count_from if count_from is not None else df).groupBy(bucket_col) \
         .agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(bucket_col, F.coalesce(F.sum("_n").over(
         Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    if before is not None:
+        offsets = offsets.filter(F.col("_off") < before)
     within = Window.partitionBy(bucket_col).orderBy(*order_cols)
     return (df.join(F.broadcast(offsets), bucket_col, "inner")
             .withColumn(pos_col, (F.col("_off") + F.row_number().over(within) - 1).cast("bigint"))
@@ -60,7 +63,7 @@ def with_hex_position(df: DataFrame, hex_col: str, tie_col: str, pos_col: str =
 
 
 def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str = "pos",
-                       keys: DataFrame | None = None) -> DataFrame:
+                       keys: DataFrame | None = None, bucket_digits: int = 3) -> DataFrame:
     """O1: rows in seeded md5 order of their unique ``key`` with their position.
 
     ``keys`` optionally holds the same ``key`` values as ``df`` from a cheaper
@@ -69,7 +72,7 @@ def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str =
     k = shuffle_key(key, seed)
     count_from = None if keys is None else keys.select(k.alias("_shuffle_key"))
     return with_hex_position(df.withColumn("_shuffle_key", k), "_shuffle_key", key, pos_col,
-                             count_from=count_from).drop("_shuffle_key")
+                             bucket_digits, count_from).drop("_shuffle_key")
 
 
 def assign_steps(df: DataFrame, pos_col: str, devices: int, per_device_batch: int,
@@ -94,6 +97,38 @@ def assign_steps(df: DataFrame, pos_col: str, devices: int, per_device_batch: in
     return out
 
 
+def step_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_device_batch: int, grad_accum: int,
+              max_steps: int | None = None, bucket_digits: int = 3) -> DataFrame:
+    """O1 + W5 / L4: ``df`` with ``pos, step, rank, micro``; rows past ``max_steps`` are left out.
+
+    The bucket offsets tell which buckets hold any wanted position, so the rest
+    never reaches the shuffle that ranks the rows."""
+    k = shuffle_key(key, seed)
+    bucket = F.conv(F.substring("_k", 1, bucket_digits), 16, 10).cast("int")
+    x = df.withColumn("_k", k).withColumn("_bucket", bucket)
+    most = None if max_steps is None else max_steps * devices * per_device_batch * grad_accum
+    pos = with_position(x, "_bucket", ["_k", key], "pos", before=most).drop("_bucket", "_k")
+    return assign_steps(pos, "pos", devices, per_device_batch, grad_accum, max_steps)
+
+
+def collate_thin(seqs: DataFrame, steps: DataFrame, key: str, len_col: str, pad_id: int,
+                 batch_cols=("step", "rank", "micro"), multiple: int = 8) -> DataFrame:
+    """L3 / A7 in two parts: the padded length of each micro-batch from the thin rows of
+    ``steps`` (``key``, ``len_col``, batch columns), then one join with the sequences, which
+    are padded row by row. A key may be in several steps (epochs)."""
+    batch = Window.partitionBy(*batch_cols)
+    plan = steps.withColumn("padded_len", round_up(F.max(len_col).over(batch), multiple)).drop(len_col)
+    x = seqs if "attention_mask" in seqs.columns else \
+        seqs.withColumn("attention_mask", repeat(1, F.size("input_ids")))
+    x = x.join(plan, key)
+    n_pad = F.col("padded_len") - F.size("input_ids")
+    arrays = ("input_ids", "labels", "attention_mask")
+    return x.select(*[c for c in x.columns if c not in (*arrays, "padded_len")], "padded_len",
+                    F.concat("input_ids", repeat(pad_id, n_pad)).alias("input_ids"),
+                    F.concat("labels", repeat(IGNORE_INDEX, n_pad)).alias("labels"),
+                    F.concat("attention_mask", repeat(0, n_pad)).alias("attention_mask"))
+
+
 def collate(df: DataFrame, pad_id: int, batch_cols=("step", "rank", "micro"),
             multiple: int = 8) -> DataFrame:
     """Right-pad every row of a micro-batch to the batch's longest
@@ -127,7 +162,8 @@ def head_by_ordinal(df: DataFrame, ordinal: str, limit: int | None) -> DataFrame
 
 
 def epoch_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_device_batch: int,
-               grad_accum: int, max_steps: int, n_rows: int | None = None) -> DataFrame:
+               grad_accum: int, max_steps: int, n_rows: int | None = None,
+               bucket_digits: int = 3) -> DataFrame:
     """W5 / L4 over several epochs, until ``max_steps`` steps are planned.
 
     Each epoch is its own seeded shuffle (``md5('<seed>:<epoch>:<key>')``);
@@ -152,8 +188,11 @@ def epoch_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_devic
     k = F.md5(F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"), F.lit(":"),
                        F.col(key).cast("string")))
     x = x.withColumn("_k", k).withColumn(
-        "_bucket", F.col("epoch") * 4096 + F.conv(F.substring("_k", 1, 3), 16, 10).cast("int"))
-    x = with_position(x, "_bucket", ["_k", key], "_gpos").drop("_bucket", "_k")
+        "_bucket", F.col("epoch").cast("bigint") * 16 ** bucket_digits
+        + F.conv(F.substring("_k", 1, bucket_digits), 16, 10).cast("int"))
+    # Global position of the first row past the last step: the last epoch is cut there.
+    last = (epochs - 1) * n + (max_steps - (epochs - 1) * steps_per_epoch) * per_step
+    x = with_position(x, "_bucket", ["_k", key], "_gpos", before=last).drop("_bucket", "_k")
     pos = F.col("_gpos") - F.col("epoch").cast("bigint") * n
     q = F.pmod(pos, F.lit(per_step))
     out = x.select(

@@ -8,7 +8,10 @@ returns it). Removing the prompt and attaching the column are JVM-side.
 
 from __future__ import annotations
 
+import inspect
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,15 +26,23 @@ PredictorFactory = Callable[[], Predictor]
 _WORKER_CACHE: dict[str, Predictor] = {}
 
 
-def _predictor(factory: PredictorFactory) -> Predictor:
-    """One predictor per Python worker process and factory (tasks re-unpickle the
-    factory, so it is keyed by name, not identity)."""
-    key = f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
+def _predictor(factory: PredictorFactory, key: str) -> Predictor:
+    """One predictor per Python worker process and ``generate`` call (tasks re-unpickle the
+    factory, so it is known by the call's own key: other lambdas, closures or
+    parameters of one factory never share a predictor)."""
     if key not in _WORKER_CACHE:
+        _WORKER_CACHE.clear()
         _WORKER_CACHE[key] = factory()
     return _WORKER_CACHE[key]
 
 
+def with_settings(factory: Callable, settings: dict) -> PredictorFactory:
+    """The factory with the generation settings as its argument, if it takes one."""
+    takes = [q for q in inspect.signature(factory).parameters.values()
+             if q.kind in (q.POSITIONAL_ONLY, q.POSITIONAL_OR_KEYWORD) and q.default is q.empty]
+    return partial(factory, dict(settings)) if takes else factory
+
+
 class EchoReverse:
     """Deterministic stand-in model: generates the prompt followed by its reverse."""
 
@@ -52,9 +63,10 @@ def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory,
     from tunedata.session import ship_package
     ship_package(df.sparkSession)
     schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)])
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _predictor(factory)
+        model = _predictor(factory, key)
         for pdf in batches:
             outs: list[str] = []
             prompts = pdf[prompt_col].tolist()

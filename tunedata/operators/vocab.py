@@ -25,11 +25,8 @@ DEFAULT_VOCAB_SIZE = 30000
 DEFAULT_COVERAGE = 0.9995
 
 VOCAB_SCHEMA = "token string, id int, score double, kind string"
-# Distinct words per partition of the BPE word table.
-WORDS_PER_PARTITION = 25_000
-# From this many distinct words on, BPE keeps pair counts and updates them
-# from the changed words only, instead of recounting every word each round.
-INCREMENTAL_MIN_WORDS = 1_000_000
+# Splits of a group's words in the first level of a per-group top-k.
+TOP_K_SPLITS = 32
 
 
 def fixed_pieces(spark: SparkSession, user_symbols=DEFAULT_USER_SYMBOLS) -> DataFrame:
@@ -47,9 +44,19 @@ def word_counts(corpus: DataFrame, text_col: str = "value", by=()) -> DataFrame:
     return w.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def char_counts(corpus: DataFrame, text_col: str = "value") -> DataFrame:
-    """A8 input: ``(ch, n)`` over all non-white-space characters."""
-    c = corpus.select(F.explode(chars(F.col(text_col))).alias("ch"))
+def cut_symbols(text: Column, user_symbols=(), by: str = " ") -> Column:
+    """``text`` with every user symbol replaced by ``by``: symbols are atomic, so no
+    word, character or pair is learned from them. Of symbols that start at
+    the same place the longest counts."""
+    if not user_symbols:
+        return text
+    pattern = "|".join(_quote(s) for s in sorted(user_symbols, key=lambda s: (-len(s), s)))
+    return F.regexp_replace(text, pattern, by)
+
+
+def char_counts(corpus: DataFrame, text_col: str = "value", user_symbols=()) -> DataFrame:
+    """A8 input: ``(ch, n)`` over all non-white-space characters outside of user symbols."""
+    c = corpus.select(F.explode(chars(cut_symbols(F.col(text_col), user_symbols))).alias("ch"))
     return c.groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -94,7 +101,7 @@ def char_vocab(corpus: DataFrame, text_col: str = "value", vocab_size: int = DEF
     spark = corpus.sparkSession
     fixed = fixed_pieces(spark, user_symbols)
     n_fixed = len(SPECIAL_PIECES) + len(user_symbols)
-    cov = char_coverage(char_counts(corpus, text_col), coverage).filter("kept")
+    cov = char_coverage(char_counts(corpus, text_col, user_symbols), coverage).filter("kept")
     cov = cov.filter(~F.col("ch").isin(list(SPECIAL_PIECES) + list(user_symbols)))
     learned = _learned(spark, _ranked(top_k(cov, max(vocab_size - n_fixed, 0),
                                             [F.col("n").desc(), F.col("ch").asc()]),
@@ -113,7 +120,8 @@ def word_vocab(corpus: DataFrame, text_col: str = "value", vocab_size: int = DEF
     spark = corpus.sparkSession
     n_fixed = len(SPECIAL_PIECES) + len(user_symbols)
     order = [F.col("n").desc(), F.col("word").asc()]
-    top = top_k(word_counts(corpus, text_col), max(vocab_size - n_fixed, 0), order)
+    cut = corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols))
+    top = top_k(word_counts(cut, text_col), max(vocab_size - n_fixed, 0), order)
     learned = _learned(spark, _ranked(top, order), F.concat(F.lit(WORD_MARK), F.col("word")), n_fixed)
     return fixed_pieces(spark, user_symbols).unionByName(learned)
 
@@ -122,15 +130,21 @@ def word_vocabs_by(corpus: DataFrame, by: str, text_col: str = "value",
                    vocab_size: int = DEFAULT_VOCAB_SIZE, user_symbols=DEFAULT_USER_SYMBOLS) -> DataFrame:
     """V2 per group (e.g. one vocabulary per language): ``(by, token, id, score, kind)``.
 
-    The per-group cap is a ``row_number <= k`` filter, which Spark applies per
-    map partition before the shuffle, so a dominant group sends at most ``k``
-    rows per partition.
+    The per-group cap is a ``row_number <= k`` filter on the window's own value,
+    which Spark also applies per map partition before the shuffle
+    (WindowGroupLimit). It runs in two levels, first over ``TOP_K_SPLITS`` splits
+    of each group, so the words of a dominant group do not meet in one task:
+    the last one gets at most ``k`` rows from each split.
     """
     spark = corpus.sparkSession
     n_fixed = len(SPECIAL_PIECES) + len(user_symbols)
     k = max(vocab_size - n_fixed, 0)
     order = [F.col("n").desc(), F.col("word").asc()]
-    r = _ranked(word_counts(corpus, text_col, by=[by]), order, by=[by]).filter(F.col("rank") < k)
+    cut = corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols))
+    r = word_counts(cut, text_col, by=[by]).withColumn("_split", F.pmod(F.xxhash64("word"), F.lit(TOP_K_SPLITS)))
+    for level in ([by, "_split"], [by]):
+        r = r.withColumn("_rn", F.row_number().over(Window.partitionBy(*level).orderBy(*order))).filter(F.col("_rn") <= k)
+    r = r.withColumn("rank", (F.col("_rn") - 1).cast("int"))
     learned = _learned(spark, r, F.concat(F.lit(WORD_MARK), F.col("word")), n_fixed, by=[by])
     groups = corpus.select(by).distinct()
     fixed_rows = F.inline(F.array(*[
@@ -160,10 +174,25 @@ def pair_counts(word_table: DataFrame, sym_col: str = "sym", n_col: str = "n") -
     return _pair_rows(word_table, 1, sym_col, n_col).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def bpe_words(corpus: DataFrame, text_col: str = "value") -> DataFrame:
-    """BPE start table: one row per distinct word, ``sym`` = word mark + characters, space separated."""
-    return word_counts(corpus, text_col).select(
-        F.array_join(symbols(F.col("word")), " ").alias("sym"), "n")
+# Stands for a user symbol inside a text while its words are counted (a noncharacter).
+CUT = "\uffff"
+
+
+def bpe_words(corpus: DataFrame, text_col: str = "value", user_symbols=()) -> DataFrame:
+    """BPE start table: one row per distinct word part, ``sym`` = characters, space separated.
+
+    The text is cut at the user symbols, then split into words. A part that
+    begins its word carries the word mark, a part behind a symbol does not.
+    """
+    cut = corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols, CUT))
+    counted = word_counts(cut, text_col)
+    if not user_symbols:
+        return counted.select(F.array_join(symbols(F.col("word")), " ").alias("sym"), "n")
+    parts = counted.select(F.posexplode(F.split("word", CUT)).alias("pos", "part"), "n")
+    sym = F.when(F.col("part") == "", F.lit(WORD_MARK)).when(
+        F.col("pos") == 0, F.array_join(symbols(F.col("part")), " ")).otherwise(F.array_join(F.split("part", ""), " "))
+    return (parts.filter((F.col("part") != "") | (F.col("pos") == 0))
+            .select(sym.alias("sym"), "n").groupBy("sym").agg(F.sum("n").alias("n")))
 
 
 def _quote(text: str) -> str:
@@ -176,14 +205,14 @@ def apply_merge(sym: Column, a: str, b: str) -> Column:
     ``regexp_replace`` scans left to right and never re-reads replaced text,
     which is exactly the merge rule (``a a a`` with ``(a, a)`` gives ``aa a``).
     """
-    pattern = "(?<=^| )" + _quote(a) + " " + _quote(b) + "(?= |$)"
+    pattern = "(?<=\\A| )" + _quote(a) + " " + _quote(b) + "(?= |\\z)"
     replacement = (a + b).replace("\\", "\\\\").replace("$", "\\$")
     return F.regexp_replace(sym, pattern, replacement)
 
 
 def _merge_pattern(pairs: list) -> str:
     alts = "|".join(f"{_quote(a)} {_quote(b)}" for a, b in pairs)
-    return f"(?<=^| )(?:{alts})(?= |$)"
+    return f"(?<=\\A| )(?:{alts})(?= |\\z)"
 
 
 def apply_merges(sym: Column, pairs: list) -> Column:
@@ -196,7 +225,7 @@ def apply_merges(sym: Column, pairs: list) -> Column:
         return apply_merge(sym, pairs[0][0], pairs[0][1])
     alts = "|".join(f"({_quote(a)}) ({_quote(b)})" for a, b in pairs)
     refs = "".join(f"${i}" for i in range(1, 2 * len(pairs) + 1))
-    return F.regexp_replace(sym, f"(?<=^| )(?:{alts})(?= |$)", refs)
+    return F.regexp_replace(sym, f"(?<=\\A| )(?:{alts})(?= |\\z)", refs)
 
 
 def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> list:
@@ -245,47 +274,34 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
     return taken
 
 
-def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
-               checkpoint_every: int = 1, partitions: int | None = None,
-               batch: bool = True, candidates: int = 1024, cut: str = "checkpoint",
-               incremental: bool | None = None) -> DataFrame:
+def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(),
+               partitions: int | None = None, batch: bool = True, candidates: int = 1024,
+               compact_every: int = 4) -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
     smaller ``(a, b)``.
 
-    Each round is one distributed job over the distinct-word table
-    (hash-partitioned over ``partitions``): pair counts (summed per partition
-    before the shuffle) and the top ``candidates`` pairs, the only rows that
-    reach the driver. With ``batch`` the exact batch rule takes several merges
-    per round when greedy provably would. Merging is a codegen'd regex replace
-    per word. The word table is written with a reliable ``checkpoint()`` in
-    the shared ``spark.checkpoint.dir`` after every round (``checkpoint_every``):
-    each merge pass then runs once, and a lost executor replays one round.
-
-    ``incremental`` (default: on for at least INCREMENTAL_MIN_WORDS distinct
-    words) keeps the pair counts as a materialized table and updates it each
-    round with the pairs of the words that hold a merged pair, so a round
-    explodes only those words instead of all of them.
+    One algorithm at every size. The word table (hash-partitioned by its
+    symbols) and the pair counts are kept; a round changes the counts by the
+    pairs of the words that hold a merged pair (old pairs out, merged pairs
+    in), so only those words are exploded. The top ``candidates`` pairs are the
+    only rows that reach the driver; with ``batch`` the exact batch rule takes
+    several merges per round when greedy provably would. Merging is a
+    codegen'd regex replace per word. Word table and counts are cut from their
+    lineage with a reliable ``checkpoint()`` in the shared ``spark.checkpoint.dir``
+    every ``compact_every`` rounds; until then the changes are appended, and a
+    lost executor replays those rounds.
     """
     spark = corpus.sparkSession
     checkpoint_dir(spark)
-    w = materialize(bpe_words(corpus, text_col), cut)
-    # Every round pays one task per partition: size the word table by its rows
-    # (about WORDS_PER_PARTITION each), up to the cluster's parallelism.
-    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n_words = w.count()
-    n_parts = partitions or max(1, min(cap, -(-n_words // WORDS_PER_PARTITION)))
-    if w.rdd.getNumPartitions() != n_parts:
-        w = materialize(w.repartition(n_parts, "sym"), cut)
-    k = candidates if batch else 1
-    if incremental is None:
-        incremental = n_words >= INCREMENTAL_MIN_WORDS
-    pc = materialize(pair_counts(w), cut) if incremental else None
+    w = bpe_words(corpus, text_col, user_symbols)
+    w = materialize(w.repartition(partitions, "sym") if partitions else w.repartition("sym"))
+    pc = materialize(pair_counts(w))
     merges: list = []
     products: set = set()
+    k = candidates if batch else 1
     rounds = 0
     while len(merges) < n_merges:
-        counts = pc if incremental else pair_counts(w)
-        rows = counts.orderBy(F.col("n").desc(), "a", "b").limit(k).collect()
+        rows = pc.orderBy(F.col("n").desc(), "a", "b").limit(k).collect()
         if not rows:
             break
         top = [(r["a"], r["b"], int(r["n"])) for r in rows]
@@ -294,40 +310,54 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value",
             merges.append((len(merges), a, b, n))
             products.add(a + b)
         pairs = [(a, b) for a, b, _ in picked]
-        if incremental:
-            # Only words holding a merged pair change: their old pairs leave the
-            # counts and their merged pairs enter them.
-            hit = w.filter(F.col("sym").rlike(_merge_pattern(pairs)))
-            after = hit.select(apply_merges(F.col("sym"), pairs).alias("sym"), "n")
-            delta = _pair_rows(hit, -1).unionByName(_pair_rows(after, 1))
-            pc = materialize(pc.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n"))
-                             .filter(F.col("n") != 0), cut)
+        hit = w.filter(F.col("sym").rlike(_merge_pattern(pairs)))
+        after = hit.select(apply_merges(F.col("sym"), pairs).alias("sym"), "n")
+        delta = _pair_rows(hit, -1).unionByName(_pair_rows(after, 1))
+        pc = (pc.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") != 0))
         w = w.select(apply_merges(F.col("sym"), pairs).alias("sym"), "n")
         rounds += 1
-        if incremental or rounds % checkpoint_every == 0:
-            w = materialize(w, cut)
+        if rounds % compact_every == 0:
+            w, pc = materialize(w), materialize(pc)
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 
 
-def bpe_vocab(corpus: DataFrame, n_merges: int, text_col: str = "value",
-              coverage: float = DEFAULT_COVERAGE, user_symbols=DEFAULT_USER_SYMBOLS) -> DataFrame:
-    """V1: fixed pieces, merged pieces (score = -rank), then covered characters."""
+def covered_chars(corpus: DataFrame, text_col: str = "value", coverage: float = DEFAULT_COVERAGE,
+                  user_symbols=()) -> DataFrame:
+    """``(token, rank)``: the covered characters of the BPE start table, the word mark (a
+    character of every word) among them, without those that are fixed pieces."""
+    marks = word_counts(corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols, CUT)), text_col).agg(
+        F.sum("n").alias("n")).select(F.lit(WORD_MARK).alias("ch"), "n").filter(F.col("n") > 0)
+    counts = char_counts(corpus, text_col, user_symbols).filter(F.col("ch") != WORD_MARK).unionByName(marks)
+    fixed = list(SPECIAL_PIECES) + list(user_symbols)
+    return (char_coverage(counts, coverage).filter("kept").select(F.col("ch").alias("token"), "rank")
+            .filter(~F.col("token").isin(fixed)))
+
+
+def bpe_vocab(corpus: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, text_col: str = "value",
+              coverage: float = DEFAULT_COVERAGE, user_symbols=DEFAULT_USER_SYMBOLS,
+              n_merges: int | None = None, **options) -> DataFrame:
+    """V1: fixed pieces, merged pieces (score = -rank), then covered characters.
+
+    Every covered character has a piece, so the characters are counted first
+    and ``vocab_size`` leaves the rest to merges (``n_merges`` sets their number
+    instead). A piece is listed once: a merge that spells a fixed or an earlier
+    piece adds none. ``options`` go to ``bpe_merges``.
+    """
     spark = corpus.sparkSession
     n_fixed = len(SPECIAL_PIECES) + len(user_symbols)
-    merges = bpe_merges(corpus, n_merges, text_col)
-    # Two merges can spell the same piece; the earlier one keeps it. The merge
-    # list has ``n_merges`` rows, so ranking it as a whole is bounded.
+    ch = materialize(covered_chars(corpus, text_col, coverage, user_symbols))  # bounded by the code space
+    if n_merges is None:
+        n_merges = vocab_size - n_fixed - ch.count()
+        if n_merges < 0:
+            raise ValueError(f"vocab_size {vocab_size} is too small for the fixed pieces and covered characters")
+    merges = bpe_merges(corpus, n_merges, text_col, user_symbols, **options)
+    # The merge list has at most ``n_merges`` rows, so ranking it as a whole is bounded.
     merged = merges.groupBy(F.concat("a", "b").alias("token")).agg(F.min("rank").alias("first"))
+    merged = merged.filter(~F.col("token").isin(list(SPECIAL_PIECES) + list(user_symbols)))
     merged = _ranked(merged, ["first"])
     n_merged = merged.count()
     mv = merged.select("token", (F.col("rank") + n_fixed).cast("int").alias("id"),
                        (-F.col("rank")).cast("double").alias("score"), F.lit("normal").alias("kind"))
-    # The word mark is a character of every word (counted once per word).
-    marks = word_counts(corpus, text_col).agg(F.sum("n").alias("n")).select(
-        F.lit(WORD_MARK).alias("ch"), "n").filter(F.col("n") > 0)
-    counts = char_counts(corpus, text_col).filter(F.col("ch") != WORD_MARK).unionByName(marks)
-    ch = char_coverage(counts, coverage).filter("kept") \
-        .select(F.col("ch").alias("token"), "rank")
     ch = ch.join(merged.select("token"), "token", "left_anti")
     ch = _ranked(ch, ["rank"]).select(
         "token", (F.col("rank") + n_fixed + n_merged).cast("int").alias("id"),

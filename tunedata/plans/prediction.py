@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunedata.operators.ordering import head_by_ordinal
-from tunedata.operators.predict import PredictorFactory, batch_predict
+from tunedata.operators.predict import PredictorFactory, batch_predict, with_settings
 from tunedata.operators.templates import assemble_prompt, txt_output
 from tunedata.sources import readers, sinks
 
@@ -22,27 +22,73 @@ def _with_file_order(df: DataFrame) -> DataFrame:
                                        F.monotonically_increasing_id().alias("i")))
 
 
+def _lines(spark: SparkSession, data_file: str) -> tuple[DataFrame, DataFrame]:
+    """JSON lines with all their keys: (``raw, instruction, input``, quarantined lines).
+
+    ``raw`` is the object as it stands in the file. ``instruction`` is an array or a
+    string (D9); lines that are no object, or lack a text, are quarantined.
+    """
+    lines = spark.read.text(data_file).filter(F.trim("value") != "")
+    raw = F.trim("value")
+    obj = F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT")
+    many = F.from_json(raw, "instruction array<string>, input string")
+    one = F.from_json(raw, "instruction string, input string")
+    x = lines.select("*", raw.alias("raw"), F.coalesce(obj, F.lit(False)).alias("_obj"), many["instruction"].alias("_many"),
+                     one["instruction"].alias("_one"), one["input"].alias("input"))
+    x = x.withColumn("instruction", F.coalesce("_many", F.array("_one")))
+    bad = ~F.col("_obj") | F.col("input").isNull() | (F.col("_many").isNull() & F.col("_one").isNull())
+    return x.filter(~bad), x.filter(bad).select(F.col("value").alias("line"))
+
+
 def predictions(spark: SparkSession, data_file: str, factory: PredictorFactory,
-                limit: int | None = None, batch_size: int = 64, first_char: bool = False,
-                schema=readers.PREDICT_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """(predictions, quarantined input) for one input file."""
-    kind = readers.reader_kind(data_file)
-    if kind == "txt":
+                limit: int | None = None, batch_size: int = 64, first_char: bool = False
+                ) -> tuple[DataFrame, DataFrame]:
+    """(predictions, quarantined input lines) for one input file.
+
+    Of JSON lines the prediction frame has ``raw`` (the input object with all its
+    keys), ``instruction``, ``input`` and ``prediction``. Without a limit nothing is
+    sorted; with one, the rows it picks are dealt over the cluster again before
+    the predictor runs.
+    """
+    def head(df: DataFrame) -> DataFrame:
+        if limit is None:
+            return df
+        return head_by_ordinal(_with_file_order(df), ORD, limit).drop(ORD).repartition(
+            max(2, spark.sparkContext.defaultParallelism))
+
+    if readers.reader_kind(data_file) == "txt":
         ok, bad = readers.read_prompts_txt(spark, data_file)
-        ok = head_by_ordinal(_with_file_order(ok), ORD, limit).drop(ORD)
-        return txt_output(batch_predict(ok, "value", factory, batch_size), "value", "prediction"), bad
-    raw = readers.read_json(spark, data_file, schema)
-    ok, bad = readers.split_valid(raw, ["instruction", "input"])
-    ok = head_by_ordinal(_with_file_order(ok), ORD, limit).drop(ORD)
-    prompted = assemble_prompt(ok, first_char=first_char, out_col="_prompt")
+        return txt_output(batch_predict(head(ok), "value", factory, batch_size), "value", "prediction"), bad
+    ok, bad = _lines(spark, data_file)
+    ok = head(ok)
+    if first_char:  # what indexing a string does
+        ok = ok.withColumn("instruction", F.when(F.col("_many").isNull(), F.array(F.substring("_one", 1, 1)))
+                           .otherwise(F.col("instruction")))
+    prompted = assemble_prompt(ok.select("raw", "instruction", "input"), out_col="_prompt")
     return batch_predict(prompted, "_prompt", factory, batch_size).drop("_prompt"), bad
 
 
+def with_prediction(preds: DataFrame) -> DataFrame:
+    """``value``: every input object as it was, ``prediction`` added as its last key."""
+    quoted = F.regexp_extract(F.to_json(F.array("prediction")), r"(?s)\A\[(.*)\]\z", 1)
+    body = F.regexp_replace("raw", r"\s*\}\s*\z", "")
+    comma = F.when(F.trim(body) == "{", "").otherwise(",")
+    return preds.select(F.concat(body, comma, F.lit('"prediction":'), quoted, F.lit("}")).alias("value"))
+
+
 def run(spark: SparkSession, data_file: str, output_path: str, factory: PredictorFactory,
         settings: dict | None = None, limit: int | None = None, batch_size: int = 64,
-        overwrite: bool = False) -> None:
-    """K1 + K2: ``<out>/generation_results`` and ``<out>/generation_config``."""
-    preds, bad = predictions(spark, data_file, factory, limit, batch_size)
-    sinks.write_predictions(preds, f"{output_path}/generation_results", overwrite)
+        overwrite: bool = False, preview: int = 0) -> list:
+    """K1 + K2: ``<out>/generation_results`` (JSON lines: every key of the input and
+    ``prediction``) and ``<out>/generation_config``. A factory that takes an argument
+    gets the settings. Returns the first ``preview`` inputs."""
+    full = {**sinks.DEFAULT_SETTINGS, **(settings or {})}
+    preds, bad = predictions(spark, data_file, with_settings(factory, full), limit, batch_size)
+    first = spark.read.text(data_file).limit(preview).collect() if preview else []
+    if "raw" in preds.columns:
+        sinks.write_lines(with_prediction(preds), f"{output_path}/generation_results", overwrite)
+    else:
+        sinks.write_predictions(preds, f"{output_path}/generation_results", overwrite)
     sinks.write_predictions(bad, f"{output_path}/quarantine", overwrite)
     sinks.write_settings(spark, settings or {}, f"{output_path}/generation_config", overwrite)
+    return [r["value"] for r in first]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tunedata.operators import layouts, ordering
 from tunedata.operators.profiles import resolve_profile
@@ -38,6 +39,9 @@ class TrainingData:
     max_steps: int | None = None
     repeat_epochs: bool = False          # with max_steps: reshuffle and repeat the data until reached
     multiline_json: bool = False
+    fmt: str | None = None               # None: JSON by suffix; else parquet, orc or csv
+    bucket_digits: int = 3               # 16^n buckets of the shuffle order; more for larger data
+    preview_rows: int = 0                # first tokenized rows that ``build`` returns
 
 
 # formatters by name. A formatter turns one split's file into
@@ -59,14 +63,29 @@ def sequences(spark: SparkSession, path: str, cfg: TrainingData, key: str = "exa
     return FORMATTERS[cfg.layout](spark, path, cfg, key)
 
 
+def content_key(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with a key that does not depend on files or splits: a hash of the row, and
+    of the number of the copy among equal rows. Equal rows are counted (with
+    partial sums, so copies do not meet in one place) and dealt out again."""
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    n = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    text = F.to_json(F.struct(*columns))
+    return (n.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .withColumn(key, F.md5(F.concat_ws(":", F.col("_copy").cast("string"), text)))
+            .select(key, *columns))
+
+
 def _builtin_formatter(spark: SparkSession, path: str, cfg: TrainingData, key: str
                        ) -> tuple[DataFrame, DataFrame]:
     prof = resolve_profile(cfg.model_name_or_path, cfg.model_type)
     if cfg.layout == "pair":
-        raw = readers.read_examples(spark, path, multiline=cfg.multiline_json)
-        valid, bad = readers.split_valid(raw, [cfg.prompt_column, cfg.response_column])
-        valid = valid.withColumn(key, F.monotonically_increasing_id())
-        sel = select_prompt_response(valid, cfg.prompt_column, cfg.response_column, keep=[key])
+        wanted = list(dict.fromkeys([cfg.prompt_column, cfg.response_column]))
+        schema = StructType([StructField(c, StringType(), True) for c in wanted])
+        raw = readers.read_examples(spark, path, schema, cfg.fmt, cfg.multiline_json)
+        raw = raw.select(*wanted, *[c for c in (readers.CORRUPT,) if c in raw.columns])
+        valid, bad = readers.split_valid(raw, wanted)
+        sel = select_prompt_response(content_key(valid.select(*wanted), key), cfg.prompt_column,
+                                     cfg.response_column, keep=[key])
         seqs = layouts.pair_layout(sel, cfg.max_source_length, cfg.max_target_length, prof.bos_id,
                                    prof.eos_id, prof.pad_id, mask_pad_labels=cfg.mask_pad_labels,
                                    keep=[key])
@@ -75,7 +94,7 @@ def _builtin_formatter(spark: SparkSession, path: str, cfg: TrainingData, key: s
         bad_row = F.col(readers.CORRUPT).isNotNull() | F.exists(
             F.coalesce("conversations", F.array()), lambda t: t["value"].isNull())
         valid, bad = raw.filter(~bad_row), raw.filter(bad_row)
-        valid = valid.withColumn(key, F.monotonically_increasing_id())
+        valid = content_key(valid.select("conversations"), key)
         seqs = layouts.chat_layout_records(valid, cfg.model_max_length, prof.eos_id, cfg.human_roles,
                                            keep=[key])
     else:
@@ -89,9 +108,11 @@ register_formatter("chat", _builtin_formatter)
 
 def preview(seqs: DataFrame, key: str = "example_id", n: int = 1) -> list:
     """The first ``n`` tokenized rows by key, with their ids decoded
-    (code-point encoder), as plain rows on the driver (``n`` is small)."""
+    (code-point encoder; special ids have no text, line breaks and tabs do), as
+    plain rows on the driver (``n`` is small)."""
     from tunedata.functions.codec import codepoints_decode
-    valid = F.filter("input_ids", lambda i: (i >= 32) & (i <= 0x10FFFF))
+    valid = F.filter("input_ids", lambda i: ((i >= 32) & (i <= 0x10FFFF) & ~i.between(0xD800, 0xDFFF))
+                     | i.isin(9, 10, 13))
     return (seqs.orderBy(key).limit(n)
             .withColumn("decoded", codepoints_decode(valid)).collect())
 
@@ -99,22 +120,24 @@ def preview(seqs: DataFrame, key: str = "example_id", n: int = 1) -> list:
 def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example_id") -> DataFrame:
     """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch.
 
-    The sequences are computed once for the positions' bucket counts and once
-    for the rows (two passes over the same deterministic plan)."""
+    Positions, steps and padded lengths are found on thin rows (key and sequence
+    length); the token arrays are joined once, at the end."""
+    thin = seqs.select(key, F.size("input_ids").alias("_len"))
     if cfg.repeat_epochs and cfg.max_steps is not None:
-        steps = ordering.epoch_plan(seqs, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
-                                    cfg.gradient_accumulation_steps, cfg.max_steps)
-        return ordering.collate(steps, pad_id)
-    pos = ordering.shuffled_positions(seqs, key, cfg.seed)
-    steps = ordering.assign_steps(pos, "pos", cfg.devices, cfg.per_device_train_batch_size,
-                                  cfg.gradient_accumulation_steps, cfg.max_steps)
-    return ordering.collate(steps, pad_id)
+        steps = ordering.epoch_plan(thin, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
+                                    cfg.gradient_accumulation_steps, cfg.max_steps,
+                                    bucket_digits=cfg.bucket_digits)
+    else:
+        steps = ordering.step_plan(thin, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
+                                   cfg.gradient_accumulation_steps, cfg.max_steps, cfg.bucket_digits)
+    return ordering.collate_thin(seqs, steps, key, "_len", pad_id)
 
 
 def build(spark: SparkSession, train_file: str, output_dir: str, cfg: TrainingData,
-          validation_file: str | None = None, overwrite: bool = False) -> dict[str, str]:
-    """Write ``<out>/train`` (batched) and ``<out>/validation`` (sequences),
-    plus ``<out>/quarantine/<split>``; returns the written paths."""
+          validation_file: str | None = None, overwrite: bool = False) -> dict:
+    """Write ``<out>/train`` (batched) and ``<out>/validation`` (formatted like training rows,
+    with their shuffled position), plus ``<out>/quarantine/<split>``; returns the
+    written paths and, if asked for, the first tokenized rows as ``preview``."""
     prof = resolve_profile(cfg.model_name_or_path, cfg.model_type)
     seqs, bad = sequences(spark, train_file, cfg)
     out = {"train": f"{output_dir}/train", "quarantine_train": f"{output_dir}/quarantine/train"}
@@ -123,8 +146,11 @@ def build(spark: SparkSession, train_file: str, output_dir: str, cfg: TrainingDa
     sinks.write_sequences(bad, out["quarantine_train"], overwrite=overwrite)
     if validation_file is not None:
         vseqs, vbad = sequences(spark, validation_file, cfg)
+        vseqs = ordering.shuffled_positions(vseqs, "example_id", cfg.seed, bucket_digits=cfg.bucket_digits)
         out["validation"] = f"{output_dir}/validation"
         out["quarantine_validation"] = f"{output_dir}/quarantine/validation"
         sinks.write_sequences(vseqs, out["validation"], overwrite=overwrite)
         sinks.write_sequences(vbad, out["quarantine_validation"], overwrite=overwrite)
+    if cfg.preview_rows:
+        out["preview"] = preview(seqs, n=cfg.preview_rows)
     return out

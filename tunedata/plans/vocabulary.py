@@ -16,12 +16,8 @@ def train(spark: SparkSession, corpus_name_or_path: str, output_path: str, model
     """S6 -> V1/V2/V3 -> K5 (``<out>/<name>.vocab`` as TSV, ``<name>.parquet``)."""
     corpus = readers.read_corpus(spark, corpus_name_or_path)
     symbols = tuple(s for s in user_defined_symbols.split(",") if s)
-    n_fixed = len(vocab.SPECIAL_PIECES) + len(symbols)
     if model_type == "bpe":
-        # Merges first; characters fill the rest (an upper bound on merges).
-        v = vocab.bpe_vocab(corpus, max(vocab_size - n_fixed, 0), coverage=character_coverage,
-                            user_symbols=symbols)
-        v = v.filter(F.col("id") < vocab_size)
+        v = vocab.bpe_vocab(corpus, vocab_size, coverage=character_coverage, user_symbols=symbols)
     elif model_type == "word":
         v = vocab.word_vocab(corpus, vocab_size=vocab_size, user_symbols=symbols)
     elif model_type == "char":
@@ -35,14 +31,19 @@ def train(spark: SparkSession, corpus_name_or_path: str, output_path: str, model
 
 
 def merge(spark: SparkSession, base_vocab: str, sources_path: str, output_dir: str,
-          overwrite: bool = False) -> tuple[DataFrame, DataFrame]:
+          overwrite: bool = False, base_symbols=vocab.DEFAULT_USER_SYMBOLS,
+          suffix: str = ".vocab") -> tuple[DataFrame, DataFrame]:
     """S7 -> V4 -> K4, with the V5 report. ``sources_path`` is one vocabulary
-    or several, comma separated; sources are numbered by file path (D14)."""
+    or several, comma separated, or a folder: then its entries that end with
+    ``suffix``, and nothing else. Sources are numbered by path (D14). The base
+    keeps its kinds: special pieces, ``base_symbols`` as user-defined, the rest normal."""
     base = readers.read_vocab_tsv(spark, base_vocab, glob=None)
     base = base.select("token", F.col("ord").alias("id"), "score",
                        F.when(F.col("token").isin(list(vocab.SPECIAL_PIECES)), "special")
+                       .when(F.col("token").isin(list(base_symbols)), "user_defined")
                        .otherwise("normal").alias("kind"))
-    src = readers.read_vocab_tsv(spark, [p for p in sources_path.split(",") if p], glob=None)
+    paths = sorted(q for p in sources_path.split(",") if p for q in readers.vocab_paths(spark, p, suffix))
+    src = readers.read_vocab_tsv(spark, paths, glob=None)
     files = src.select("file").distinct()
     files = files.withColumn("source", F.dense_rank().over(Window.orderBy("file")))  # one row per file
     sources = src.join(F.broadcast(files), "file").select("token", "ord", "source")

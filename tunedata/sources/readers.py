@@ -104,14 +104,37 @@ def read_prompts_txt(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
         parsed.filter(F.col("value").isNull()).select("line")
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A directory (all ``*.txt`` in it) or comma-separated paths."""
-    import os
-    if "," not in path and os.path.isdir(path):
-        return spark.read.option("pathGlobFilter", "*.txt").text(path)
+def _listing(spark: SparkSession, path: str, pattern: str | None = None) -> list[str] | None:
+    """Entries of a folder, as its own file system has them (any store that Spark reads); None
+    if ``path`` is no folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return None
+    entries = fs.listStatus(p) if pattern is None else fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, pattern))
+    return sorted(e.getPath().toString() for e in entries)
+
+
+def read_corpus(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
+    """A directory (all ``pattern`` files in it, on any store) or
+    comma-separated paths."""
+    if "," not in path and _listing(spark, path) is not None:
+        return spark.read.option("pathGlobFilter", pattern).text(path)
     return spark.read.text([p for p in path.split(",") if p])
 
 
+def vocab_paths(spark: SparkSession, path: str, suffix: str = ".vocab") -> list[str]:
+    """The vocabularies at ``path``: itself, or for a folder of vocabularies its entries that
+    end with ``suffix`` (a folder that itself has the suffix is one written vocabulary)."""
+    if path.rstrip("/").endswith(suffix) or _listing(spark, path) is None:
+        return [path]
+    found = _listing(spark, path, f"*{suffix}")
+    if not found:
+        raise ValueError(f"no *{suffix} in {path!r}")
+    return found
+
+
 def read_vocab_tsv(spark: SparkSession, path, glob: str | None = "*.vocab") -> DataFrame:
     """``.vocab`` files (piece TAB score, no quoting) -> ``(token, score, ord, file)``.
 
@@ -123,6 +146,7 @@ def read_vocab_tsv(spark: SparkSession, path, glob: str | None = "*.vocab") -> D
     the per-file window ranks one vocabulary, which its size bounds.
     """
     rd = spark.read.schema(VOCAB_TSV_SCHEMA).option("sep", "\t").option("quote", "").option("escape", "")
+    rd = rd.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n")
     if glob:
         rd = rd.option("pathGlobFilter", glob)
     r = (rd.csv(path)

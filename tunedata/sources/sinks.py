@@ -21,6 +21,11 @@ def write_predictions(df: DataFrame, path: str, overwrite: bool = False) -> None
     df.write.mode(_mode(overwrite)).json(path)
 
 
+def write_lines(df: DataFrame, path: str, overwrite: bool = False) -> None:
+    """K1 for lines that are JSON already (one string column)."""
+    df.write.mode(_mode(overwrite)).text(path)
+
+
 def write_settings(spark: SparkSession, settings: dict, path: str, overwrite: bool = False) -> None:
     """K2: the run's generation settings as a one-row JSON sidecar."""
     row = {**DEFAULT_SETTINGS, **settings}
@@ -47,4 +52,5 @@ def write_vocab(vocab: DataFrame, path: str, tsv: bool = False, overwrite: bool
         return
     (vocab.orderBy("id").select("token", F.col("score").cast("string").alias("score")).coalesce(1)
      .write.mode(_mode(overwrite)).option("sep", "\t").option("quote", "").option("escape", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "")
      .csv(path))

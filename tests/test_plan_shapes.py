@@ -48,13 +48,28 @@ def test_positions_have_no_unpartitioned_window_over_rows(spark):
     assert any("_bucket" in w for w in windows)
 
 
-def test_word_encoder_broadcasts_bounded_vocabulary(spark):
+def test_encoders_move_no_tokens(spark):
     docs = tables.table(spark, SF, "documents").select("doc_id", "text")
     v = vocab.word_vocab(docs.select(F.col("text").alias("value")), vocab_size=1000)
-    plan = _plan(encode.encode_words(docs, "doc_id", "text", v, 1000))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    plan = _plan(encode.encode_words(docs, "doc_id", "text", v, None))
-    assert "BroadcastHashJoin" in plan or "SortMergeJoin" in plan
+    ids = encode.encode_words(docs, "doc_id", "text", v)
+    for df in (ids, encode.decode_ids(ids, "doc_id", "ids", v), encode.encode_pieces(docs, "doc_id", "text", v)):
+        plan = _plan(df)
+        assert "MapInArrow" in plan and "Exchange" not in plan and "Generate" not in plan
+    plan = _plan(encode.encode_words(docs, "doc_id", "text", v, max_bytes=10))
+    assert "Generate" in plan and "Join" in plan and "MapInArrow" not in plan
+
+
+def test_arrays_cross_one_exchange_when_batched(spark):
+    from tunedata.plans.training import TrainingData, batches
+    cfg = TrainingData("x/pythia-1b-deduped", "pythia", max_steps=10)
+    pairs = tables.pairs(spark, SF).select("example_id", F.lit([1, 2]).alias("input_ids"), F.lit([1, 2]).alias("labels"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(batches(pairs, cfg, 0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    windows = [w for w in plan.splitlines() if re.search(r"\bWindow \[", w)]
+    assert windows and not any("labels" in w for w in windows)
 
 
 def test_word_counts_pre_aggregate_before_shuffle(spark):

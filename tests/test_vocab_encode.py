@@ -101,12 +101,19 @@ def test_word_encode_decode(spark):
     corpus = spark.createDataFrame([("the cat",), ("the dog",)], "value string")
     v = vocab.word_vocab(corpus)
     docs = spark.createDataFrame([(1, "the cat zebra"), (2, ""), (3, "  dog   the ")], "k long, text string")
-    enc = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v, 100).collect()}
+    enc = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v).collect()}
     ids = {r.token: r.id for r in v.collect()}
     assert enc == {1: [ids["▁the"], ids["▁cat"], vocab.UNK_ID], 2: [], 3: [ids["▁dog"], ids["▁the"]]}
     ids_df = spark.createDataFrame(list(enc.items()), "k long, ids array<int>")
-    dec = {r.k: r.text for r in encode.decode_ids(ids_df, "k", "ids", v, 100).collect()}
+    dec = {r.k: r.text for r in encode.decode_ids(ids_df, "k", "ids", v).collect()}
     assert dec == {1: "the cat", 2: "", 3: "dog the"}
+    # a vocabulary too large to send: the join plan
+    far = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v, max_bytes=10).collect()}
+    assert far == enc
+    far = {r.k: r.text for r in encode.decode_ids(ids_df, "k", "ids", v, max_bytes=10).collect()}
+    assert far == dec
+    with pytest.raises(ValueError, match="too large"):
+        encode.encode_pieces(docs, "k", "text", v, max_bytes=10)
 
 
 def test_codepoints_edge_cases(spark):
@@ -154,8 +161,8 @@ def test_encoders_and_merge_ignore_partitioning(spark):
     v = vocab.word_vocab(corpus, vocab_size=12)
     docs = corpus.withColumn("k", F.monotonically_increasing_id()).select("k", F.col("value").alias("text"))
     docs = spark.createDataFrame(docs.collect(), docs.schema)
-    a = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v, 100).collect()}
-    b = {r.k: r.ids for r in encode.encode_words(docs.repartition(7), "k", "text", v, 100).collect()}
+    a = {r.k: r.ids for r in encode.encode_words(docs, "k", "text", v).collect()}
+    b = {r.k: r.ids for r in encode.encode_words(docs.repartition(7), "k", "text", v).collect()}
     assert a == b
     bv = vocab.bpe_vocab(corpus, n_merges=4)
     c = {r.k: r.ids for r in encode.encode_pieces(docs, "k", "text", bv).collect()}

@@ -1,34 +1,59 @@
 """Encoding and decoding text columns with a vocabulary table.
 
-Word encoder: whitespace words -> ``'▁' + word`` -> id by an equi-join with
-the vocabulary (unknown -> unk id). The vocabulary is broadcast only when its
-row count is known to be small (a trained vocabulary is capped by its
-``vocab_size``); otherwise it is a shuffle join and AQE splits skewed keys.
+A vocabulary whose measured size is within ``MAX_DICTIONARY_BYTES`` is sent once
+to every executor (a Spark broadcast), and texts are encoded row by row in Arrow
+batches: no token rows, no shuffle, so the encoders also run on a stream. A larger
+one is joined instead: one row per word, an equi-join with the vocabulary
+(AQE splits skewed keys), and the ids collected in word order.
 """
 
 from __future__ import annotations
 
+import heapq
+import re
 import uuid
+from collections.abc import Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunedata.functions.codec import WORD_MARK, words
 from tunedata.operators.vocab import UNK_ID
+from tunedata.session import ship_package
 
-# Largest vocabulary (rows) that is broadcast to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest dictionary that is sent to every executor: UTF-8 bytes of its tokens
+# and this many for each entry.
+MAX_DICTIONARY_BYTES, ENTRY_BYTES = 256 << 20, 100
+# Distinct words whose pieces a worker remembers.
+REMEMBERED_WORDS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` when its row count is bounded by ``max_rows`` <= BROADCAST_MAX_ROWS."""
-    if max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
+def dictionary(vocab: DataFrame, max_bytes: int = MAX_DICTIONARY_BYTES) -> list | None:
+    """The vocabulary's rows if its measured size is within ``max_bytes``, else None."""
+    size = vocab.agg(F.sum(F.octet_length("token") + ENTRY_BYTES)).first()[0] or 0
+    return vocab.select("token", "id", "score", "kind").collect() if size <= max_bytes else None
 
 
-def word_tokens(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
-                vocab_rows: int | None, unk_id: int = UNK_ID, keep=(), outer: bool = False) -> DataFrame:
+def _map_column(df: DataFrame, col: str, out: str, kind: str, arrow: pa.DataType, make) -> DataFrame:
+    """``df`` with ``out = make()(value of col)`` for each row, in Arrow batches."""
+    ship_package(df.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out)
+    kept = [c for c in df.columns if c != out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for b in batches:
+            made = pa.array([fn(v) for v in b.column(col).to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], made], [*kept, out])
+
+    return df.mapInArrow(run, f"{fields}, `{out}` {kind}")
+
+
+# ------------------------------------------------------------- word encoder
+def word_tokens(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_id: int = UNK_ID, keep=(),
+                outer: bool = False) -> DataFrame:
     """One row per word: ``(key, keep..., pos, token, id, is_unk)``; unknown words get ``unk_id``.
 
     With ``outer`` a row without words survives once with NULL ``pos``.
@@ -36,8 +61,7 @@ def word_tokens(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
     explode = F.posexplode_outer if outer else F.posexplode
     w = df.select(key, *keep, explode(words(F.col(text_col))).alias("pos", "word"))
     w = w.select(key, *keep, "pos", F.concat(F.lit(WORD_MARK), F.col("word")).alias("token"))
-    v = bounded_broadcast(vocab.select("token", F.col("id").alias("_vid")), vocab_rows)
-    j = w.join(v, "token", "left")
+    j = w.join(vocab.select("token", F.col("id").alias("_vid")), "token", "left")
     return j.select(key, *keep, "pos", "token", F.coalesce("_vid", F.lit(unk_id)).alias("id"),
                     F.col("_vid").isNull().alias("is_unk"))
 
@@ -48,119 +72,137 @@ def _ordered(pos: str, value: str):
     return F.array_sort(F.collect_list(item))
 
 
-def encode_words(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
-                 vocab_rows: int | None, unk_id: int = UNK_ID) -> DataFrame:
-    """V6: ``(key, ids ARRAY<INT>)`` per row, in word order; a text without words gives [].
+def word_ids(df: DataFrame, text_col: str, rows: list, out: str = "ids", unk_id: int = UNK_ID) -> DataFrame:
+    """``df`` with the word ids of ``text_col`` by the dictionary ``rows``; no words give []."""
+    mark = len(WORD_MARK)
+    by_word = {r["token"][mark:].encode(): r["id"] for r in rows if r["token"].startswith(WORD_MARK)}
+    shared = df.sparkSession.sparkContext.broadcast(by_word)
 
-    The words of one row stay in one partition up to the collect, whose partial
-    aggregation builds each array before the shuffle moves it.
-    """
-    t = word_tokens(df, key, text_col, vocab, vocab_rows, unk_id, outer=True)
+    def make():
+        known = shared.value.get
+        # Of bytes, split() cuts at ASCII white space only.
+        return lambda text: [known(w, unk_id) for w in text.encode().split()] if text else []
+
+    return _map_column(df, text_col, out, "array<int>", pa.list_(pa.int32()), make)
+
+
+def encode_words(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_id: int = UNK_ID,
+                 max_bytes: int = MAX_DICTIONARY_BYTES) -> DataFrame:
+    """V6: ``(key, ids ARRAY<INT>)`` per row, in word order; a text without words gives []."""
+    rows = dictionary(vocab, max_bytes)
+    if rows is not None:
+        return word_ids(df.select(key, text_col), text_col, rows, "ids", unk_id).select(key, "ids")
+    t = word_tokens(df, key, text_col, vocab, unk_id, outer=True)
     g = t.groupBy(key).agg(_ordered("pos", "id").alias("_p"))
     return g.select(key, F.transform("_p", lambda s: s["id"]).cast("array<int>").alias("ids"))
 
 
-def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, vocab_rows: int | None,
-               skip_special: bool = True) -> DataFrame:
+def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, skip_special: bool = True,
+               max_bytes: int = MAX_DICTIONARY_BYTES) -> DataFrame:
     """``(key, text)``: pieces in order, word marks become spaces,
-    the leading one is dropped; special pieces are skipped when asked."""
+    the leading one is dropped; special pieces are skipped when asked, unknown ids always."""
+    v = vocab.filter(F.col("kind") != "special") if skip_special else vocab
+    rows = dictionary(v, max_bytes)
+    if rows is not None:
+        shared = df.sparkSession.sparkContext.broadcast({r["id"]: r["token"] for r in rows})
+
+        def make():
+            piece = shared.value.get
+
+            def text(ids) -> str:
+                whole = "".join([piece(i, "") for i in ids or ()]).replace(WORD_MARK, " ")
+                return whole[1:] if whole.startswith(" ") else whole
+
+            return text
+
+        return _map_column(df.select(key, ids_col), ids_col, "text", "string", pa.string(), make).select(key, "text")
     e = df.select(key, F.posexplode_outer(F.col(ids_col)).alias("pos", "id"))
-    v = vocab.select(F.col("id").alias("id"), "token", "kind")
-    if skip_special:
-        v = v.filter(F.col("kind") != "special")
-    j = e.join(bounded_broadcast(v.select("id", "token"), vocab_rows), "id", "left")
+    j = e.join(v.select("id", "token"), "id", "left")
     g = j.groupBy(key).agg(_ordered("pos", "token").alias("_p"))
     text = F.array_join(F.transform("_p", lambda s: s["token"]), "")
-    text = F.regexp_replace(F.regexp_replace(text, WORD_MARK, " "), "^ ", "")
+    text = F.regexp_replace(F.regexp_replace(text, WORD_MARK, " "), "\\A ", "")
     return g.select(key, text.alias("text"))
 
 
 # ------------------------------------------------------------ piece encoder
-def _piece_encoder(pieces: dict, ids: dict, user_symbols: list, unk_id: int):
-    """Per-word subword encoder (a small helper run inside ``mapInPandas``).
-
-    Starting from the word mark and single characters, repeatedly join the
-    adjacent pair whose concatenation is a piece with the highest score
-    (leftmost on ties); user-defined symbols are atomic.
-    """
-    import re
-    splitter = re.compile("(" + "|".join(re.escape(s) for s in user_symbols) + ")") if user_symbols else None
-
-    def bpe(symbols: list) -> list:
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                s = pieces.get(symbols[i] + symbols[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
-    def encode_word(word: str) -> list:
-        parts = splitter.split(word) if splitter else [word]
-        out, mark = [], True
-        for part in parts:
-            if not part:
+def _joined(symbols: list, scores: dict) -> list:
+    """Repeatedly join the adjacent pair whose concatenation is the piece with the highest
+    score, leftmost on ties. A heap of candidate pairs; stale ones are skipped."""
+    after = [*range(1, len(symbols)), -1]
+    before = list(range(-1, len(symbols) - 1))
+    heap: list = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        score = scores.get(symbols[i] + symbols[j]) if j >= 0 else None
+        if score is not None:
+            heapq.heappush(heap, (-score, i, symbols[i], symbols[j]))
+
+    for i in range(len(symbols) - 1):
+        offer(i)
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if symbols[i] != a or j < 0 or symbols[j] != b:
+            continue
+        symbols[i], symbols[j], after[i] = a + b, None, after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [s for s in symbols if s is not None]
+
+
+class PieceEncoder:
+    """Subword encoder of whole texts: the text is cut at the user symbols (atomic), then into
+    words; a part that begins a word carries the word mark."""
+
+    def __init__(self, rows: list, unk_id: int):
+        scores = {r["token"]: r["score"] for r in rows if r["kind"] == "normal"}
+        ids = {r["token"]: r["id"] for r in rows if r["kind"] != "special"}
+        symbols = sorted((r["token"] for r in rows if r["kind"] == "user_defined"), key=len, reverse=True)
+        self.ids, self.unk_id = ids, unk_id
+        self.cut = re.compile("(" + "|".join(map(re.escape, symbols)) + ")").split if symbols else lambda t: [t]
+
+        @lru_cache(REMEMBERED_WORDS)
+        def part_ids(part: bytes, marked: bool) -> tuple:
+            start = [WORD_MARK] if marked else []
+            return tuple(ids.get(p, unk_id) for p in _joined(start + list(part.decode()), scores))
+
+        self.part_ids = part_ids
+
+    def __call__(self, text: str | None) -> list:
+        out: list = []
+        begins = True  # the next part begins a word
+        for n, piece in enumerate(self.cut(text or "")):
+            if n % 2:
+                if begins:
+                    out.append(self.ids.get(WORD_MARK, self.unk_id))
+                out.append(self.ids[piece])
+                begins = False
                 continue
-            if splitter and part in user_symbols:
-                out.extend([WORD_MARK, part] if mark else [part])
-            else:
-                out.extend(bpe(([WORD_MARK] if mark else []) + list(part)))
-            mark = False
-        return [ids.get(p, unk_id) for p in out]
-
-    return encode_word
-
-
-def encode_distinct_words(words_df: DataFrame, vocab: DataFrame, unk_id: int = UNK_ID) -> DataFrame:
-    """``(word, ids ARRAY<INT>)`` for each distinct word, encoded once.
-
-    The vocabulary (pieces, scores and ids; at most ``vocab_size`` rows) is
-    read once on the driver and shipped with the function; the words stay
-    distributed.
-    """
-    from tunedata.session import ship_package
-    ship_package(words_df.sparkSession)
-    rows = vocab.select("token", "id", "score", "kind").collect()
-    pieces = {r.token: r.score for r in rows if r.kind == "normal"}
-    ids = {r.token: r.id for r in rows if r.kind != "special"}
-    user_symbols = sorted((r.token for r in rows if r.kind == "user_defined"), key=len, reverse=True)
-
-    def run(batches):
-        import pandas as pd
-        enc = _piece_encoder(pieces, ids, user_symbols, unk_id)
-        for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"], "ids": [enc(w) for w in pdf["word"]]})
-
-    return words_df.select("word").mapInPandas(run, "word string, ids array<int>")
+            raw = piece.encode()
+            if not raw:
+                continue
+            for k, w in enumerate(raw.split()):
+                out += self.part_ids(w, begins or k > 0 or raw[:1].isspace())
+            begins = begins and not raw.strip() or raw[-1:].isspace()
+        return out
 
 
 def encode_pieces(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_id: int = UNK_ID,
-                  broadcast_max_words: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  max_bytes: int = MAX_DICTIONARY_BYTES) -> DataFrame:
     """V6 with a subword vocabulary: ``(key, ids ARRAY<INT>)`` per row.
 
-    Words are split as in the word encoder; each distinct word is encoded
-    once (its count is pre-aggregated per partition, so a frequent word costs
-    one row per partition), then joined back to its occurrences. The encoded
-    word table is broadcast when its counted size is below
-    ``broadcast_max_words``; beyond that it is a shuffle join whose skewed
-    keys (very frequent words) AQE splits.
+    A subword vocabulary is capped by its ``vocab_size``; one beyond ``max_bytes`` is an error.
     """
-    from tunedata.session import materialize
-    spark = df.sparkSession
-    occ = df.select(key, F.posexplode_outer(words(F.col(text_col))).alias("pos", "word"))
-    distinct = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-    # The distinct-word table is small next to the text, so AQE packs it into
-    # few partitions; deal it over the cluster's cores before the Python step.
-    parallel = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    encoded = materialize(encode_distinct_words(distinct.repartition(parallel), vocab, unk_id))
-    n_words = encoded.count()
-    side = F.broadcast(encoded) if n_words <= broadcast_max_words else encoded
-    j = occ.join(side, "word", "left")
-    g = j.groupBy(key).agg(_ordered("pos", "ids").alias("_p"))
-    return g.select(key, F.flatten(F.transform("_p", lambda s: s["ids"])).cast("array<int>").alias("ids"))
+    rows = dictionary(vocab, max_bytes)
+    if rows is None:
+        raise ValueError("the subword vocabulary is too large to send to the executors")
+    shared = df.sparkSession.sparkContext.broadcast(rows)
+    return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()),
+                       lambda: PieceEncoder(shared.value, unk_id)).select(key, "ids")
 
 
 # ------------------------------------------------------- user-supplied encoder
@@ -175,7 +217,6 @@ def encode_callable(df: DataFrame, text_col: str, factory, out_col: str = "ids",
     Arrow batches (``mapInPandas``); every input column passes through.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
-    from tunedata.session import ship_package
     ship_package(df.sparkSession)
     schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(IntegerType()), True)])
     key = uuid.uuid4().hex  # of this call: other closures or parameters never share an encoder

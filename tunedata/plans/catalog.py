@@ -300,9 +300,21 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(pos AS BIGINT) AS pos,
        CAST(((pos % {_PER_STEP}) // {DEVICES}) // {PER_DEVICE_BATCH} AS BIGINT) AS micro
 FROM ({SQL_SHUFFLE}) WHERE pos // {_PER_STEP} < {MAX_STEPS}""")
 def q_step_plan(spark, sf):
+    """The stop after MAX_STEPS steps is the subject; ``step_plan_all`` plans every row."""
     d = tables.table(spark, sf, "documents").select("doc_id")
-    p = ordering.shuffled_positions(d, "doc_id", SEED)
-    s = ordering.assign_steps(p, "pos", DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
+    s = ordering.step_plan(d, "doc_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
+    return s.select(_big("doc_id"), "pos", _big("step"), _big("rank"), _big("micro"))
+
+
+@register("step_plan_all", f"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(pos AS BIGINT) AS pos,
+       CAST(pos // {_PER_STEP} AS BIGINT) AS step,
+       CAST((pos % {_PER_STEP}) % {DEVICES} AS BIGINT) AS rank,
+       CAST(((pos % {_PER_STEP}) // {DEVICES}) // {PER_DEVICE_BATCH} AS BIGINT) AS micro
+FROM ({SQL_SHUFFLE})""")
+def q_step_plan_all(spark, sf):
+    d = tables.table(spark, sf, "documents").select("doc_id")
+    s = ordering.step_plan(d, "doc_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM)
     return s.select(_big("doc_id"), "pos", _big("step"), _big("rank"), _big("micro"))
 
 
@@ -316,7 +328,7 @@ o AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(conv_id AS VAR
 b AS (SELECT *, pos // {_PER_STEP} AS step, (pos % {_PER_STEP}) % {DEVICES} AS rank,
              ((pos % {_PER_STEP}) // {DEVICES}) // {PER_DEVICE_BATCH} AS micro FROM o),
 m AS (SELECT *, CAST(ceil(max(seq_len) OVER (PARTITION BY step, rank, micro) / 8.0) * 8 AS BIGINT) AS padded_len
-      FROM b WHERE step < {MAX_STEPS})
+      FROM b)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(step AS BIGINT) AS step, CAST(rank AS BIGINT) AS rank,
        CAST(micro AS BIGINT) AS micro, padded_len, CAST(seq_len AS BIGINT) AS seq_len,
        CAST(ids_sum + (padded_len - seq_len) * {PROFILE.pad_id} AS BIGINT) AS ids_sum,
@@ -327,10 +339,9 @@ def q_collate_rows(spark, sf):
     turns = tables.turns(spark, sf)
     lay = layouts.chat_layout(turns, CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
     lay = lay.withColumn("seq_len", F.size("input_ids"))
-    # One layout row per conversation: count positions from the ids alone.
-    p = ordering.shuffled_positions(lay, "conv_id", SEED, keys=turns.select("conv_id").distinct())
-    s = ordering.assign_steps(p, "pos", DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
-    c = ordering.collate(s, PROFILE.pad_id)
+    steps = ordering.step_plan(lay.select("conv_id", F.col("seq_len").alias("_len")), "conv_id", SEED, DEVICES,
+                               PER_DEVICE_BATCH, GRAD_ACCUM)
+    c = ordering.collate_thin(lay, steps, "conv_id", "_len", PROFILE.pad_id)
     pads = F.slice("labels", F.col("seq_len") + 1, F.lit(1 << 20))
     return c.select(
         _big("conv_id"), _big("step"), _big("rank"), _big("micro"), _big("padded_len"),
@@ -367,6 +378,8 @@ N_FIXED = len(vocab.SPECIAL_PIECES) + len(vocab.DEFAULT_USER_SYMBOLS)
 BASE_LANG = "en"
 TOP_PAIRS = 100
 BPE_MERGES = 20
+# Size of the ``bpe_vocab`` query; its SQL unrolls BPE_ROUNDS merges, more than the size leaves.
+BPE_VOCAB, BPE_ROUNDS = 150, 70
 
 SQL_FIXED = ", ".join(
     [f"('{p}', {i}, 0, 'special')" for i, p in enumerate(vocab.SPECIAL_PIECES)]
@@ -448,18 +461,80 @@ WITH wc AS (SELECT word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY word),
 s AS (SELECT n, list_concat(['{WORD_MARK}'], string_split(word, '')) AS sym FROM wc),
 p AS (SELECT sym[i] AS a, sym[i + 1] AS b, n FROM (
         SELECT sym, n, unnest(generate_series(1, len(sym) - 1)) AS i FROM s))
-SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY a, b ORDER BY n DESC, a, b LIMIT {TOP_PAIRS}""")
+SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY a, b""")
 def q_pair_frequency(spark, sf):
+    pc = vocab.pair_counts(vocab.bpe_words(_documents_corpus(spark, sf)))
+    return pc.select("a", "b", _big("n"))
+
+
+@register("pair_frequency_top", f"""
+WITH wc AS (SELECT word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY word),
+s AS (SELECT n, list_concat(['{WORD_MARK}'], string_split(word, '')) AS sym FROM wc),
+p AS (SELECT sym[i] AS a, sym[i + 1] AS b, n FROM (
+        SELECT sym, n, unnest(generate_series(1, len(sym) - 1)) AS i FROM s))
+SELECT a, b, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY a, b ORDER BY n DESC, a, b LIMIT {TOP_PAIRS}""")
+def q_pair_frequency_top(spark, sf):
     pc = vocab.pair_counts(vocab.bpe_words(_documents_corpus(spark, sf)))
     return vocab.top_k(pc, TOP_PAIRS, [F.col("n").desc(), "a", "b"]).select("a", "b", _big("n"))
 
 
-@register("bpe_merges")
+def sql_bpe_rounds(rounds: int) -> str:
+    """The first ``rounds`` greedy merges, one after the other. A symbol is written
+    chr(1) || symbol || chr(2), so ``replace`` merges left to right without overlaps."""
+    open_, close = "chr(1)", "chr(2)"
+    sql = [f"""
+wc AS (SELECT word, count(*) AS n FROM ({SQL_WORDS}) GROUP BY word),
+w0 AS MATERIALIZED (SELECT {open_} || array_to_string(list_concat(['{WORD_MARK}'], string_split(word, '')),
+                    {close} || {open_}) || {close} AS sym, n FROM wc)"""]
+    for r in range(rounds):
+        sql.append(f"""
+p{r} AS (SELECT sym, n, string_split(sym[2:len(sym) - 1], {close} || {open_}) AS l FROM w{r}),
+b{r} AS MATERIALIZED (SELECT {r} AS rank, a, b, sum(n) AS n FROM (
+        SELECT l[i] AS a, l[i + 1] AS b, n FROM (SELECT l, n, unnest(generate_series(1, len(l) - 1)) AS i FROM p{r}))
+      GROUP BY a, b ORDER BY n DESC, a, b LIMIT 1),
+w{r + 1} AS MATERIALIZED (SELECT coalesce(replace(sym, {open_} || a || {close} || {open_} || b || {close},
+                          {open_} || a || b || {close}), sym) AS sym, w{r}.n FROM w{r} LEFT JOIN b{r} ON true)""")
+    merges = " UNION ALL ".join(f"SELECT * FROM b{r}" for r in range(rounds))
+    return ",".join(sql) + f",\nmerges AS (SELECT * FROM ({merges}))"
+
+
+@register("bpe_merges", f"""
+WITH {sql_bpe_rounds(BPE_MERGES)}
+SELECT CAST(rank AS BIGINT) AS rank, a, b, CAST(n AS BIGINT) AS n FROM merges""")
 def q_bpe_merges(spark, sf):
     m = vocab.bpe_merges(_documents_corpus(spark, sf), BPE_MERGES)
     return m.select(_big("rank"), "a", "b", _big("n"))
 
 
+# The word mark is a character of every word; the covered characters come first in the count.
+SQL_BPE_CHARS = f"""
+cc AS (SELECT ch, count(*) AS n FROM (
+         SELECT unnest(string_split(regexp_replace(text, '{WHITESPACE_CLASS}', '', 'g'), '')) AS ch FROM documents)
+       WHERE ch <> '' AND ch <> '{WORD_MARK}' GROUP BY ch
+       UNION ALL SELECT '{WORD_MARK}', sum(n) FROM wc),
+cr AS (SELECT ch, row_number() OVER (ORDER BY n DESC, ch) - 1 AS rank,
+              coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+              sum(n) OVER () AS total FROM cc),
+ck AS (SELECT ch, rank FROM cr WHERE before * 10000 < total * 9995)"""
+
+
+@register("bpe_vocab", f"""
+WITH {sql_bpe_rounds(BPE_ROUNDS)}, {SQL_BPE_CHARS},
+mt AS (SELECT a || b AS token, min(rank) AS first FROM merges
+       WHERE rank < {BPE_VOCAB} - 4 - (SELECT count(*) FROM ck) GROUP BY token),
+mr AS (SELECT token, row_number() OVER (ORDER BY first) - 1 AS rank FROM mt),
+cf AS (SELECT ch, row_number() OVER (ORDER BY rank) - 1 + (SELECT count(*) FROM mr) AS rank
+       FROM ck WHERE ch NOT IN (SELECT token FROM mr)),
+v AS (SELECT * FROM (VALUES ('<unk>', 0, 0, 'special'), ('<s>', 1, 0, 'special'), ('</s>', 2, 0, 'special'),
+                            ('<sepra>', 3, 0, 'user_defined')) f(token, id, score, kind)
+      UNION ALL SELECT token, rank + 4, -rank, 'normal' FROM mr
+      UNION ALL SELECT ch, rank + 4, -rank, 'normal' FROM cf)
+SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind FROM v""")
+def q_bpe_vocab(spark, sf):
+    """A vocabulary sized by its characters first: the rest of BPE_VOCAB is merges."""
+    return _vocab_out(vocab.bpe_vocab(_documents_corpus(spark, sf), BPE_VOCAB))
+
+
 def _lang_vocabs(spark, sf):
     """Word vocabulary per language; base = en, sources numbered by language name."""
     corpus = _documents_corpus(spark, sf, "lang")
@@ -471,7 +546,7 @@ def _lang_vocabs(spark, sf):
     # One row per language: ranking them as a whole is bounded by the language count.
     langs = langs.withColumn("source", F.dense_rank().over(Window.orderBy("lang")))
     sources = lv.join(F.broadcast(langs), "lang").select("token", F.col("id").alias("ord"), "source")
-    return base, sources, lv.count()  # rows of all vocabularies: bounds the merged one
+    return base, sources
 
 
 @register("merge_vocab", f"""
@@ -479,7 +554,7 @@ WITH {SQL_LANG_VOCABS}
 SELECT token, CAST(id AS BIGINT) AS id, CAST(score AS BIGINT) AS score, kind,
        CAST(source AS BIGINT) AS source FROM merged""")
 def q_merge_vocab(spark, sf):
-    base, sources, _ = _lang_vocabs(spark, sf)
+    base, sources = _lang_vocabs(spark, sf)
     m = vocab.merge_vocabs(base, sources)
     return m.select("token", _big("id"), F.col("score").cast("bigint").alias("score"), "kind",
                     _big("source"))
@@ -494,7 +569,7 @@ SELECT CAST(s.source AS BIGINT) AS source, CAST(n_pieces AS BIGINT) AS n_pieces,
        CAST(coalesce(n_added, 0) AS BIGINT) AS n_added
 FROM sizes s LEFT JOIN added a ON s.source = a.source""")
 def q_merge_report(spark, sf):
-    base, sources, _ = _lang_vocabs(spark, sf)
+    base, sources = _lang_vocabs(spark, sf)
     r = vocab.merge_report(base, sources, vocab.merge_vocabs(base, sources))
     return r.select(_big("source"), _big("n_pieces"), _big("n_added"))
 
@@ -515,7 +590,7 @@ SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(count(j.pos) AS BIGINT) AS n_tok
 FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
 def q_encode_word(spark, sf):
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
-    ids = encode.encode_words(docs, "doc_id", "text", _word_vocab_docs(spark, sf), VOCAB_SIZE)
+    ids = encode.encode_words(docs, "doc_id", "text", _word_vocab_docs(spark, sf))
     return ids.select(
         _big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
         F.size(F.filter("ids", lambda v: v == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
@@ -534,8 +609,8 @@ FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id""")
 def q_decode_word(spark, sf):
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
     v = _word_vocab_docs(spark, sf)
-    ids = encode.encode_words(docs, "doc_id", "text", v, VOCAB_SIZE)
-    txt = encode.decode_ids(ids, "doc_id", "ids", v, VOCAB_SIZE, skip_special=True)
+    ids = encode.encode_words(docs, "doc_id", "text", v)
+    txt = encode.decode_ids(ids, "doc_id", "ids", v, skip_special=True)
     return txt.select(_big("doc_id"), F.md5("text").alias("text_md5"),
                       F.length("text").cast("bigint").alias("n_chars"))
 
@@ -550,17 +625,19 @@ FROM t LEFT JOIN base b ON b.token = '{WORD_MARK}' || t.word
        LEFT JOIN merged m ON m.token = '{WORD_MARK}' || t.word
 GROUP BY t.lang""")
 def q_tokenizer_compare(spark, sf):
-    base, sources, bound = _lang_vocabs(spark, sf)
-    merged = vocab.merge_vocabs(base, sources)
-    docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "lang", "text")
-    tb = encode.word_tokens(docs, "doc_id", "text", base, VOCAB_SIZE, keep=["lang"])
-    tb = tb.withColumnRenamed("is_unk", "unk_base").drop("id")
-    m = encode.bounded_broadcast(merged.select("token", F.lit(False).alias("_known")), bound)
-    tm = tb.join(m, "token", "left")
-    return tm.groupBy("lang").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
-        F.sum(F.col("unk_base").cast("int")).cast("bigint").alias("unk_base"),
-        F.sum(F.col("_known").isNull().cast("int")).cast("bigint").alias("unk_merged"))
+    base, sources = _lang_vocabs(spark, sf)
+    merged = materialize(vocab.merge_vocabs(base, sources).drop("source"))
+    docs = tables.table(spark, sf, "documents", spread=True).select("lang", "text")
+    # Both vocabularies are capped (languages x VOCAB_SIZE rows): no token leaves its row.
+    ids = encode.word_ids(docs, "text", encode.dictionary(base), "base_ids")
+    ids = encode.word_ids(ids, "text", encode.dictionary(merged), "merged_ids")
+
+    def unknown(c):
+        return F.sum(F.size(F.filter(c, lambda i: i == vocab.UNK_ID))).cast("bigint")
+
+    return (ids.groupBy("lang").agg(F.sum(F.size("base_ids")).cast("bigint").alias("n_tokens"),
+                                    unknown("base_ids").alias("unk_base"), unknown("merged_ids").alias("unk_merged"))
+            .filter("n_tokens > 0"))
 
 
 # ----------------------------------------------------- reports, prediction, io
@@ -707,7 +784,7 @@ SELECT CAST(example_id AS BIGINT) AS example_id, CAST(step AS BIGINT) AS step,
        CAST(rank AS BIGINT) AS rank, CAST(micro AS BIGINT) AS micro,
        CAST(ceil(max(seq_len) OVER (PARTITION BY step, rank, micro) / 8.0) * 8 AS BIGINT) AS padded_len,
        CAST(ids_sum AS BIGINT) AS ids_sum, CAST(n_sup AS BIGINT) AS n_supervised
-FROM b WHERE step < {MAX_STEPS}""")
+FROM b""")
 def q_pair_batches(spark, sf):
     """Training path of the example script: L2 -> O1 -> L4 -> L3 (272 = 34 x 8,
     so collation adds no padding)."""
@@ -715,7 +792,7 @@ def q_pair_batches(spark, sf):
     cfg = TrainingData("../models/pythia-12b-deduped", "pythia", max_source_length=SOURCE_LEN,
                        max_target_length=TARGET_LEN, seed=SEED, devices=DEVICES,
                        per_device_train_batch_size=PER_DEVICE_BATCH,
-                       gradient_accumulation_steps=GRAD_ACCUM, max_steps=MAX_STEPS)
+                       gradient_accumulation_steps=GRAD_ACCUM)
     b = batches(_pair_layout(spark, sf), cfg, PROFILE.pad_id)
     return b.select(_big("example_id"), _big("step"), _big("rank"), _big("micro"), _big("padded_len"),
                     _array_sum(F.col("input_ids")).alias("ids_sum"),

@@ -16,7 +16,7 @@ from tunedata.functions.arrays import IGNORE_INDEX
 from tunedata.functions.codec import WORD_MARK, codepoints, codepoints_decode
 from tunedata.functions.text import WHITESPACE_CLASS, human_template, is_human, strip_prompt
 from tunedata.operators import encode, layouts, ordering, predict, reports, templates, vocab
-from tunedata.operators.profiles import SPECIAL_IDS, resolve_profile
+from tunedata.operators.profiles import resolve_profile
 from tunedata.operators.templates import txt_output
 from tunedata.session import materialize, scratch_path
 from tunedata.sources import readers, sinks, tables
@@ -83,9 +83,9 @@ SQL_PAIRS = """
 """
 
 
-def sql_pair_layout(mask_pad: bool) -> str:
+def sql_pair_layout(mask_pad: bool, b: int = 0, e: int = 0, p: int = 1) -> str:
+    """``b, e, p``: begin, end and padding id, by default those of the profile in use."""
     s, t = SOURCE_LEN, TARGET_LEN
-    e, b, p = PROFILE.eos_id, PROFILE.bos_or_zero, PROFILE.pad_id
     label = "CASE WHEN i <= na + 1 THEN -100 " + \
         ("WHEN i > nreal THEN -100 " if mask_pad else "") + "ELSE ids[i] END"
     return f"""
@@ -105,7 +105,7 @@ FROM r"""
 def sql_chat_tokens(where: str = "") -> str:
     """Per-token rows of the chat layout before the fallback: conv_id, pos, id, lab."""
     limit = CHAT_LEN - 1
-    e = PROFILE.eos_id
+    e = 0  # end id of the profile in use
     return f"""
 t AS (SELECT conv_id, turn, lower(role) <> 'user' AS sup, {SQL_TEMPLATE} AS v
       FROM conversations {where}),
@@ -234,6 +234,21 @@ def q_pair_layout_mask_pad(spark, sf):
     return _pair_stats(_pair_layout(spark, sf, mask_pad=True))
 
 
+@register("pair_layout_null_bos", f"""
+WITH r AS ({sql_pair_layout(False, b=0, e=2, p=0)})
+SELECT example_id, CAST(count(*) AS BIGINT) AS seq_len,
+       CAST(sum(CASE WHEN label > -100 THEN 1 ELSE 0 END) AS BIGINT) AS n_supervised,
+       CAST(sum(CASE WHEN label > -100 THEN label ELSE 0 END) AS BIGINT) AS label_sum,
+       CAST(sum(input_id) AS BIGINT) AS ids_sum
+FROM r GROUP BY example_id""")
+def q_pair_layout_null_bos(spark, sf):
+    """A profile without a begin id (F-null-1): 0 is written in its place."""
+    prof = resolve_profile("m/chatglm2-6b", "glm")
+    assert prof.bos_id is None
+    return _pair_stats(layouts.pair_layout(tables.pairs(spark, sf), SOURCE_LEN, TARGET_LEN, prof.bos_id, prof.eos_id,
+                                           prof.pad_id, keep=["example_id"]))
+
+
 def _chat_rows(turns: DataFrame) -> DataFrame:
     lay = layouts.chat_layout(turns, CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
     x = layouts.explode_positions(lay, "conv_id", ["input_ids", "labels", "attention_mask"])
@@ -331,7 +346,7 @@ m AS (SELECT *, CAST(ceil(max(seq_len) OVER (PARTITION BY step, rank, micro) / 8
       FROM b)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(step AS BIGINT) AS step, CAST(rank AS BIGINT) AS rank,
        CAST(micro AS BIGINT) AS micro, padded_len, CAST(seq_len AS BIGINT) AS seq_len,
-       CAST(ids_sum + (padded_len - seq_len) * {PROFILE.pad_id} AS BIGINT) AS ids_sum,
+       CAST(ids_sum + (padded_len - seq_len) * 1 AS BIGINT) AS ids_sum,
        CAST(n_sup AS BIGINT) AS n_supervised, CAST(seq_len AS BIGINT) AS mask_sum,
        CAST((padded_len - seq_len) * -100 + 0 AS BIGINT) AS pad_label_sum
 FROM m""")
@@ -379,12 +394,11 @@ BASE_LANG = "en"
 TOP_PAIRS = 100
 BPE_MERGES = 20
 # Size of the ``bpe_vocab`` query; its SQL unrolls BPE_ROUNDS merges, more than the size leaves.
-BPE_VOCAB, BPE_ROUNDS = 150, 70
+BPE_VOCAB, BPE_ROUNDS = 120, 60
 
-SQL_FIXED = ", ".join(
-    [f"('{p}', {i}, 0, 'special')" for i, p in enumerate(vocab.SPECIAL_PIECES)]
-    + [f"('{s}', {len(vocab.SPECIAL_PIECES) + j}, 0, 'user_defined')"
-       for j, s in enumerate(vocab.DEFAULT_USER_SYMBOLS)])
+# Written out, apart from the constants they check.
+SQL_FIXED = ("('<unk>', 0, 0, 'special'), ('<s>', 1, 0, 'special'), ('</s>', 2, 0, 'special'), "
+             "('<sepra>', 3, 0, 'user_defined')")
 SQL_WORDS = (f"SELECT doc_id, lang, unnest(ws) AS word, unnest(generate_series(0, len(ws) - 1)) AS pos "
              f"FROM (SELECT doc_id, lang, list_filter(regexp_split_to_array(text, '{WHITESPACE_CLASS}+'), "
              f"lambda w: w <> '') AS ws FROM documents)")
@@ -629,43 +643,13 @@ def q_tokenizer_compare(spark, sf):
     merged = materialize(vocab.merge_vocabs(base, sources).drop("source"))
     docs = tables.table(spark, sf, "documents", spread=True).select("lang", "text")
     # Both vocabularies are capped (languages x VOCAB_SIZE rows): no token leaves its row.
-    ids = encode.word_ids(docs, "text", encode.dictionary(base), "base_ids")
-    ids = encode.word_ids(ids, "text", encode.dictionary(merged), "merged_ids")
-
-    def unknown(c):
-        return F.sum(F.size(F.filter(c, lambda i: i == vocab.UNK_ID))).cast("bigint")
-
-    return (ids.groupBy("lang").agg(F.sum(F.size("base_ids")).cast("bigint").alias("n_tokens"),
-                                    unknown("base_ids").alias("unk_base"), unknown("merged_ids").alias("unk_merged"))
-            .filter("n_tokens > 0"))
+    return reports.vocab_comparison(docs, "lang", "text", {
+        "base": encode.dictionary(base), "merged": encode.dictionary(merged)})
 
 
 # ----------------------------------------------------- reports, prediction, io
 
 
-def _sql_int(v):
-    return "NULL" if v is None else str(v)
-
-
-SQL_PROFILES = ", ".join(f"('{n}', '{t}', {_sql_int(b)}, {_sql_int(e)}, {_sql_int(p)})"
-                         for n, t, b, e, p in SPECIAL_IDS)
-
-
-@register("model_lengths", f"""
-SELECT p.model_name, CAST(p.bos_id AS BIGINT) AS bos_id, CAST(p.eos_id AS BIGINT) AS eos_id,
-       CAST(p.pad_id AS BIGINT) AS pad_id, CAST(a.n_texts AS BIGINT) AS n_texts,
-       CAST(a.n_chars AS BIGINT) AS n_chars, CAST(a.n_tokens AS BIGINT) AS n_tokens,
-       CAST(a.n_texts AS BIGINT) AS n_roundtrip
-FROM (VALUES {SQL_PROFILES}) p(model_name, model_type, bos_id, eos_id, pad_id),
-     (SELECT count(*) AS n_texts, sum(length(text)) AS n_chars,
-             sum(len({sql_codepoints('text')})) AS n_tokens FROM benchmark) a""")
-def q_model_lengths(spark, sf):
-    b = tables.table(spark, sf, "benchmark").select("text")
-    r = reports.model_lengths(b)
-    return r.select("model_name", _big("bos_id"), _big("eos_id"), _big("pad_id"), _big("n_texts"),
-                    _big("n_chars"), _big("n_tokens"), _big("n_roundtrip"))
-
-
 @register("split_counts", """
 SELECT source, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars
 FROM documents GROUP BY source""")
@@ -713,20 +697,24 @@ def q_txt_predict_columns(spark, sf):
 SELECT CAST(item_id AS BIGINT) AS item_id, text FROM benchmark""")
 def q_jsonl_roundtrip(spark, sf):
     path = scratch_path(spark, "jsonl-roundtrip")
-    tables.table(spark, sf, "benchmark").select("item_id", "text").write.json(path)
+    sinks.write_predictions(tables.table(spark, sf, "benchmark").select("item_id", "text"), path)
     back = readers.read_json(spark, path, readers.BENCHMARK_SCHEMA)
     valid, _ = readers.split_valid(back, ["item_id"])
     return valid.select(_big("item_id"), "text")
 
 
 @register("txt_prompt_roundtrip", """
-SELECT text AS value FROM benchmark""")
+SELECT 'it''s' || chr(9) || '"q" \\ ' || chr(233) || ' ' || text || chr(10) AS value FROM benchmark""")
 def q_txt_prompt_roundtrip(spark, sf):
     path = scratch_path(spark, "txt-roundtrip") + ".txt"
     b = tables.table(spark, sf, "benchmark")
-    # One JSON-quoted string literal per line.
-    quoted = F.regexp_extract(F.to_json(F.array("text")), r"^\[(.*)\]$", 1)
-    b.select(quoted.alias("value")).write.text(path)
+    # One string literal per line, every other one in single quotes, with escapes in both.
+    text = F.concat(F.lit("it's\t\"q\" \\ \u00e9 "), "text", F.lit("\n"))
+    double = F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
+    inner = F.substring(double, F.lit(2), F.length(double) - 2)
+    single = F.concat(F.lit("'"), F.replace(F.replace(inner, F.lit("'"), F.lit("\\'")), F.lit("\u00e9"),
+                                            F.lit("\\u00e9")), F.lit("'"))
+    b.select(F.when(F.col("item_id") % 2 == 0, double).otherwise(single).alias("value")).write.text(path)
     prompts, _ = readers.read_prompts_txt(spark, path)
     return prompts
 
@@ -758,19 +746,93 @@ def q_codepoint_roundtrip(spark, sf):
                       (codepoints_decode(F.col("ids")) == F.col("text")).cast("bigint").alias("roundtrip_ok"))
 
 
-@register("encode_piece")
+# A small subword vocabulary, in the order of its merges: (left, right). No later
+# piece can make an earlier one, so SQL applies them one after the other.
+PIECE_MERGES = (("t", "h"), ("i", "n"), ("e", "r"), ("a", "n"), ("r", "e"), ("o", "n"), ("e", "n"), ("d", "e"),
+                ("\u2581", "th"), ("in", "g"), ("\u2581", "an"))
+PIECE_CHARS = "\u2581abcdefghijklmnopqrstuvwxyz.,"
+
+
+def _fixed_piece_vocab(spark):
+    pieces = [a + b for a, b in PIECE_MERGES] + list(PIECE_CHARS)
+    rows = [(t, i + N_FIXED, -float(i), "normal") for i, t in enumerate(pieces)]
+    return vocab.fixed_pieces(spark).unionByName(spark.createDataFrame(rows, vocab.VOCAB_SCHEMA))
+
+
+def sql_pieces(table: str, key: str) -> str:
+    """``t(<key>, id)``: the piece ids of every word of ``table.text`` by the fixed vocabulary."""
+    sym = f"chr(1) || array_to_string(list_concat(['{WORD_MARK}'], string_split(word, '')), chr(2) || chr(1)) || chr(2)"
+    for a, b in PIECE_MERGES:
+        sym = f"replace({sym}, chr(1) || '{a}' || chr(2) || chr(1) || '{b}' || chr(2), chr(1) || '{a}{b}' || chr(2))"
+    ids = ", ".join(f"('{t}', {i + 4})" for i, t in enumerate([a + b for a, b in PIECE_MERGES] + list(PIECE_CHARS)))
+    return f"""
+wd AS (SELECT {key}, unnest(list_filter(regexp_split_to_array(text, '{WHITESPACE_CLASS}+'), lambda w: w <> '')) AS word
+       FROM {table}),
+sy AS (SELECT {key}, {sym} AS sym FROM wd),
+sp AS (SELECT {key}, unnest(string_split(sym[2:len(sym) - 1], chr(2) || chr(1))) AS piece FROM sy),
+t AS (SELECT {key}, coalesce(v.id, 0) AS id FROM sp LEFT JOIN (VALUES {ids}) v(piece, id) USING (piece))"""
+
+
+@register("encode_piece", f"""
+WITH {sql_pieces('documents', 'doc_id')}
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(count(t.id) AS BIGINT) AS n_tokens,
+       CAST(count(*) FILTER (t.id = 0) AS BIGINT) AS n_unk, CAST(coalesce(sum(t.id), 0) AS BIGINT) AS id_sum
+FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id GROUP BY d.doc_id""")
 def q_encode_piece(spark, sf):
-    """V6 with a subword vocabulary learned from ``benchmark`` (BPE), applied
-    to every document; no SQL statement (the vocabulary is iterative)."""
-    bench = tables.table(spark, sf, "benchmark").select(F.col("text").alias("value"))
-    v = materialize(vocab.bpe_vocab(bench, BPE_MERGES))
+    """V6 with a subword vocabulary over every document."""
     docs = tables.table(spark, sf, "documents", spread=True).select("doc_id", "text")
-    ids = encode.encode_pieces(docs, "doc_id", "text", v)
+    ids = encode.encode_pieces(docs, "doc_id", "text", _fixed_piece_vocab(spark))
     return ids.select(_big("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
                       F.size(F.filter("ids", lambda x: x == vocab.UNK_ID)).cast("bigint").alias("n_unk"),
                       _array_sum(F.col("ids")).alias("id_sum"))
 
 
+# ------------------------------------------------------------ model lengths
+# The encoder of each family in the query; the ids the report must show are written out in its SQL.
+FAMILY_ENCODERS = {"llama": "piece", "glm": "codepoint", "bloom": "word", "pythia": "codepoint",
+                   "baichuan": "codepoint", "auto": "codepoint"}
+
+
+@register("model_lengths", f"""
+WITH {sql_pieces('(SELECT item_id, text FROM benchmark)', 'item_id')},
+flat AS (SELECT item_id, text, array_to_string(list_filter(regexp_split_to_array(text, '{WHITESPACE_CLASS}+'),
+                                                          lambda w: w <> ''), ' ') AS plain,
+                len(list_filter(regexp_split_to_array(text, '{WHITESPACE_CLASS}+'), lambda w: w <> '')) AS n_words
+         FROM benchmark),
+unk AS (SELECT item_id, count(*) AS n, count(*) FILTER (id = 0) AS n_unk FROM t GROUP BY item_id),
+a AS (SELECT 'codepoint' AS encoder, sum(length(text)) AS n_tokens, count(*) AS n_roundtrip FROM benchmark
+      UNION ALL SELECT 'word', sum(n_words), count(*) FILTER (text = plain) FROM flat
+      UNION ALL SELECT 'piece', sum(coalesce(n, 0)), count(*) FILTER (text = plain AND coalesce(n_unk, 0) = 0)
+      FROM flat LEFT JOIN unk USING (item_id)),
+p(model_name, encoder, bos_id, eos_id, pad_id) AS (VALUES
+  ('open_llama_7b', 'piece', 1, 2, 0),
+  ('open_llama_13b', 'piece', 1, 2, 0),
+  ('chinese-alpaca-13b', 'piece', 1, 2, 49953),
+  ('chatglm2-6b', 'codepoint', NULL, 2, 0),
+  ('baichuan-7B', 'codepoint', 1, 2, 0),
+  ('Baichuan-13B-Base', 'codepoint', 1, 2, 0),
+  ('Baichuan-13B-Chat', 'codepoint', 1, 2, 0),
+  ('bloomz-7b1', 'word', 1, 2, 3),
+  ('bloomz-1b7', 'word', 1, 2, 3),
+  ('tigerbot-7b-sft', 'word', 1, 2, 3),
+  ('tigerbot-7b-base', 'word', 1, 2, 3),
+  ('pythia-12b-deduped', 'codepoint', 0, 0, 1),
+  ('pythia-12b-sft-v8-7k-steps', 'codepoint', 0, 0, 1),
+  ('pythia-1b-deduped', 'codepoint', 0, 0, 1))
+SELECT model_name, CAST(bos_id AS BIGINT) AS bos_id, CAST(eos_id AS BIGINT) AS eos_id,
+       CAST(pad_id AS BIGINT) AS pad_id, (SELECT count(*) FROM benchmark) AS n_texts,
+       CAST((SELECT sum(length(text)) FROM benchmark) AS BIGINT) AS n_chars,
+       CAST(n_tokens AS BIGINT) AS n_tokens, CAST(n_roundtrip AS BIGINT) AS n_roundtrip
+FROM p JOIN a USING (encoder)""")
+def q_model_lengths(spark, sf):
+    b = tables.table(spark, sf, "benchmark").select("text")
+    word = materialize(vocab.word_vocab(b.select(F.col("text").alias("value")), vocab_size=VOCAB_SIZE))
+    r = reports.model_lengths(b, encoders=FAMILY_ENCODERS,
+                              vocabularies={"word": word, "piece": _fixed_piece_vocab(spark)})
+    return r.select("model_name", _big("bos_id"), _big("eos_id"), _big("pad_id"), _big("n_texts"),
+                    _big("n_chars"), _big("n_tokens"), _big("n_roundtrip"))
+
+
 # ------------------------------------------------------ training data, whole path
 @register("pair_batches", f"""
 WITH r AS ({sql_pair_layout(False)}),
@@ -845,3 +907,63 @@ def q_epoch_plan(spark, sf):
     d = tables.table(spark, sf, "documents").select("doc_id")
     p = ordering.epoch_plan(d, "doc_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM, MAX_STEPS)
     return p.select(_big("doc_id"), _big("epoch"), "pos", _big("step"), _big("rank"), _big("micro"))
+
+
+# ------------------------------------------------------------------ whole jobs
+@register("prediction_job", """
+SELECT CAST(l.doc_id AS BIGINT) AS doc_id, CAST(l.toxic AS BIGINT) AS toxic, d.lang AS lang,
+       'Is this text of good quality?' AS instruction, md5(d.text) AS input_md5,
+       md5(replace(p || reverse(p), p, '')) AS prediction_md5
+FROM labels l JOIN (SELECT *, 'Is this text of good quality?' || text AS p FROM documents) d ON l.doc_id = d.doc_id""")
+def q_prediction_job(spark, sf):
+    """The whole job over labels joined with documents: JSON lines in, every key and the
+    prediction out (S4, P5, F3, L5, P7, K1, K2), instructions as arrays and as strings."""
+    from tunedata.plans import prediction
+    src, out = scratch_path(spark, "predict-in") + ".jsonl", scratch_path(spark, "predict-out")
+    x = (tables.table(spark, sf, "labels").select("doc_id", "toxic")
+         .join(tables.table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id"))
+    line = x.select("doc_id", F.to_json(F.struct("doc_id", "toxic", F.struct("lang").alias("meta"),
+                                                 F.lit("Is this text of good quality?").alias("instruction"),
+                                                 F.col("text").alias("input"))).alias("one"),
+                    F.to_json(F.struct("doc_id", "toxic", F.struct("lang").alias("meta"),
+                                       F.array(F.lit("Is this text of good quality?")).alias("instruction"),
+                                       F.col("text").alias("input"))).alias("many"))
+    sinks.write_lines(line.select(F.when(F.col("doc_id") % 2 == 0, F.col("one")).otherwise(F.col("many"))), src)
+    prediction.run(spark, src, out, predict.echo_reverse, settings={"top_k": 5})
+    schema = "doc_id bigint, toxic bigint, meta struct<lang string>, input string, prediction string"
+    back = spark.read.text(f"{out}/generation_results")
+    r, ins = F.from_json("value", schema), F.try_parse_json("value")
+    ins = F.coalesce(F.try_variant_get(ins, "$.instruction[0]", "string"), F.try_variant_get(ins, "$.instruction", "string"))
+    return back.select(_big(r["doc_id"]).alias("doc_id"), _big(r["toxic"]).alias("toxic"), r["meta"]["lang"].alias("lang"),
+                       ins.alias("instruction"), F.md5(r["input"]).alias("input_md5"),
+                       F.md5(r["prediction"]).alias("prediction_md5"))
+
+
+@register("training_job", f"""
+WITH r AS ({sql_pair_layout(False)}),
+ex AS (SELECT example_id, count(*) AS seq_len, sum(input_id) AS ids_sum,
+              sum(CASE WHEN label > -100 THEN 1 ELSE 0 END) AS n_sup FROM r GROUP BY example_id),
+n AS (SELECT count(*) AS n FROM ex)
+SELECT 'example' AS what, ids_sum AS a, n_sup AS b, seq_len AS c, count(*) AS n FROM ex GROUP BY ALL
+UNION ALL
+SELECT 'step', s.step, 0, 0, least({_PER_STEP}, n.n - s.step * {_PER_STEP})
+FROM n, (SELECT unnest(range((n + {_PER_STEP - 1}) // {_PER_STEP})) AS step FROM n) s""")
+def q_training_job(spark, sf):
+    """The whole job (S1, P1, L2, O1, L4, L3, K3) over conversation pairs whose columns have
+    names of their own: the examples it writes, and how many each step holds."""
+    from tunedata.plans import training
+    src, out = scratch_path(spark, "train-in") + ".json", scratch_path(spark, "train-out")
+    pairs = tables.pairs(spark, sf).select(F.col("prompt").alias("question"), F.col("response").alias("answer"), "conv_id")
+    sinks.write_predictions(pairs, src)
+    cfg = training.TrainingData("../models/pythia-12b-deduped", "pythia", prompt_column="question",
+                                response_column="answer", max_source_length=SOURCE_LEN, max_target_length=TARGET_LEN,
+                                seed=SEED, devices=DEVICES, per_device_train_batch_size=PER_DEVICE_BATCH,
+                                gradient_accumulation_steps=GRAD_ACCUM)
+    train = spark.read.parquet(training.build(spark, src, out, cfg)["train"])
+    size = F.size("input_ids").cast("bigint")
+    ex = train.select(_array_sum(F.col("input_ids")).alias("a"), size.alias("c"),
+                      F.size(F.filter("labels", lambda v: v > F.lit(IGNORE_INDEX))).cast("bigint").alias("b"))
+    steps = train.groupBy(_big("step").alias("a")).agg(F.count(F.lit(1)).alias("n"))
+    return (ex.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")).select(F.lit("example").alias("what"), "a", "b", "c", "n")
+            .unionByName(steps.select(F.lit("step").alias("what"), "a", F.lit(0).cast("bigint").alias("b"),
+                                      F.lit(0).cast("bigint").alias("c"), "n")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -54,8 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunedata-ckpt-"))
+    if sc.master == "local" or sc.master.startswith("local["):  # one process, so any folder is shared
+        own = tempfile.mkdtemp(prefix="tunedata-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         return sc.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
 

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -151,3 +152,22 @@ def test_pair_quarantine(spark):
     ok = pair_layout(df, 6, 5, 1, 2, 0, on_invalid="quarantine", keep=["example_id"])
     assert [r.example_id for r in ok.collect()] == [2]
     assert sorted(r.example_id for r in invalid_rows(df, ["prompt", "response"]).collect()) == [1, 3]
+
+
+def test_encoder_without_ids_for_a_human_turn_is_an_error(spark):
+    turns = spark.createDataFrame([(1, 0, "human", "x"), (1, 1, "gpt", "y")], "conv_id long, turn long, role string, value string")
+    from tunedata.operators.layouts import chat_layout as lay
+    none = lambda c: F.array().cast("array<int>")
+    with pytest.raises(Exception, match="no ids"):
+        lay(turns, 10, 2, encode_fn=none).collect()
+
+
+def test_next_turn_over_gaps_and_splits(spark, monkeypatch):
+    from tunedata.sources import tables
+    monkeypatch.setattr(tables, "TURN_SPLIT", 4)
+    numbers = [0, 1, 2, 3, 4, 9, 17, 30, 31]
+    rows = [(c, t, f"{c}-{t}") for c in (1, 2) for t in numbers] + [(3, 7, "3-7")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {(r.conv_id, r.turn): r.next_text for r in tables.with_next_turn(df, "text").collect()}
+    want = {(c, a): f"{c}-{b}" for c in (1, 2) for a, b in zip(numbers, numbers[1:])}
+    assert got == {**want, (1, 31): None, (2, 31): None, (3, 7): None}

@@ -89,8 +89,8 @@ def chat_turn_tokens(turns: DataFrame, max_len: int, eos_id: int,
     offset in the conversation), ``n_tok`` before the cut and the cut
     ``tok_ids`` / ``tok_labels``.
 
-    Every turn has at least one token (the human template is never empty and
-    other turns end in eos), so only the first ``max_len - 1`` turns can start
+    Every turn has at least one token (the human template is never empty, other
+    turns end in eos, and an encoder that gives a template no id is an error), so only the first ``max_len - 1`` turns can start
     before the cut: a ``row_number`` limit that Spark applies per map partition
     before the shuffle (WindowGroupLimit), which bounds what a single huge
     conversation sends to one task.
@@ -112,6 +112,9 @@ def chat_turn_tokens(turns: DataFrame, max_len: int, eos_id: int,
     human = is_human("role", human_roles)
     t = t.select("conv_id", "turn", (~human).alias("sup"),
                  encode_fn(human_template(F.col("value"), human)).alias("ids"))
+    none = ~empty_conv & ~F.col("sup") & (F.size("ids") == 0)
+    t = t.withColumn("ids", F.when(none, F.raise_error(F.lit("the encoder gave a human turn no ids")).cast("array<int>"))
+                     .otherwise(F.col("ids")))
     t = t.select("conv_id", "turn", "sup",
                  F.when(empty_conv, empty_ints())
                   .when(F.col("sup"), F.concat(F.col("ids"), int_array(eos_id)))

@@ -74,7 +74,7 @@ def sql_codepoints(expr: str) -> str:
 
 
 SQL_PAIRS = """
-  SELECT conv_id * 1000 + turn AS example_id, conv_id, turn, text AS prompt, next_text AS response
+  SELECT conv_id * 16777216 + turn AS example_id, conv_id, turn, text AS prompt, next_text AS response
   FROM (SELECT conv_id, turn, role, text,
                lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
                lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text

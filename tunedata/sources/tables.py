@@ -5,7 +5,7 @@ Only the needed columns are selected so the scans prune to them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value of the classification prompt built over ``labels``/``documents``.
@@ -35,22 +35,45 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", "role", F.col("text").alias("value"))
 
 
-def pairs(spark: SparkSession, sf_dir: str, prompt_role: str = "user",
-          response_role: str = "assistant") -> DataFrame:
-    """Prompt/response examples: a ``user`` turn whose next turn is ``assistant``.
+# Turn numbers below this go into an example id without collision.
+MAX_TURN = 1 << 24
+# Turn numbers of one split when the next turn of a conversation is looked up.
+TURN_SPLIT = 1024
+
 
-    Turn numbers are positions (0, 1, 2, ... per conversation), so "next" is an
-    equi-join on ``(conv_id, turn + 1)``: both sides shuffle on a key that is
-    unique per row, so a long conversation cannot become a hot partition.
+def with_next_turn(turns: DataFrame, *columns: str) -> DataFrame:
+    """``next_<c>`` for each of ``columns``: its value in the conversation's next turn, whatever
+    its number (null behind the last).
+
+    A conversation is looked at in splits of TURN_SPLIT turn numbers, so a very
+    long one does not meet in one task; the last row of a split takes the first
+    row of the next split from a table of one row per split.
     """
-    c = table(spark, sf_dir, "conversations")
-    p = c.filter(F.col("role") == prompt_role).select(
-        "conv_id", "turn", F.col("text").alias("prompt"))
-    r = c.filter(F.col("role") == response_role).select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
-    return p.join(r, ["conv_id", "turn"], "inner").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id"),
-        "prompt", "response", "conv_id", "turn")
+    x = turns.withColumn("_split", F.floor(F.col("turn") / TURN_SPLIT))
+    order = Window.partitionBy("conv_id", "_split").orderBy("turn")
+    led = x.withColumn("_next", F.lead(F.struct(*columns)).over(order)).withColumn("_rn", F.row_number().over(order))
+    along = Window.partitionBy("conv_id").orderBy("_split")
+    borders = (led.filter(F.col("_rn") == 1)
+               .select("conv_id", "_split", F.lead(F.struct(*columns)).over(along).alias("_border"))
+               .filter(F.col("_border").isNotNull()))
+    return (led.join(borders, ["conv_id", "_split"], "left")
+            .withColumns({f"next_{c}": F.coalesce(F.col("_next"), F.col("_border"))[c] for c in columns})
+            .drop("_split", "_next", "_rn", "_border"))
+
+
+def example_id():
+    turn = F.col("turn")
+    return F.when(turn.between(0, MAX_TURN - 1), F.col("conv_id") * MAX_TURN + turn).otherwise(
+        F.raise_error(F.lit(f"turn numbers must be in 0..{MAX_TURN - 1}")).cast("bigint"))
+
+
+def pairs(spark: SparkSession, sf_dir: str, prompt_role: str = "user",
+          response_role: str = "assistant") -> DataFrame:
+    """Prompt/response examples: a ``user`` turn whose next turn is ``assistant``."""
+    c = with_next_turn(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "role", "text")
+    return c.filter((F.col("role") == prompt_role) & (F.col("next_role") == response_role)).select(
+        example_id().alias("example_id"), F.col("text").alias("prompt"), F.col("next_text").alias("response"),
+        "conv_id", "turn")
 
 
 def classify(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ class Mix:
     """Schedule of ``docs`` (``doc_id, text, source`` and any other columns).
 
     ``weights`` are given to the sources in code-point order, null last, and
-    repeat. ``size`` may name a column that already holds the word count.
+    repeat.
     """
 
     def __init__(self, docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_passes: int = 3,
@@ -74,9 +74,8 @@ class Mix:
         self.docs = docs.withColumns({
             self.size: word_count(F.col("text")),
             self.key: F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text")))})
-        self.thin = materialize(self.docs.select("doc_id", "source", F.col(self.size).alias("size"),
-                                                 F.col(self.key).alias("order_key")))
-        stats = (self.thin.groupBy("source").agg(F.sum("size").alias("n"))
+        self.thin = materialize(self.docs.select("doc_id", "source", self.size, self.key))
+        stats = (self.thin.groupBy("source").agg(F.sum(self.size).alias("n"))
                  .orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect())
         if len(stats) > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -92,24 +91,23 @@ class Mix:
         return self.spark.createDataFrame(
             rows, "_src int, _name string, _source_size bigint, _target double, _blocks bigint")
 
-    def laid_out(self, thin: DataFrame) -> DataFrame:
-        """``thin`` rows with their place in the source's stream of words: ``_src``,
-        ``_bucket``, ``_seq`` (together the row's key) and ``_start``."""
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their source's row and the bucket of their order key (of even width)."""
         src = self.sources()
-        size, key = ("size", "order_key") if "order_key" in thin.columns and thin is self.thin else (self.size, self.key)
-        bucket = F.expr(f"cast(conv(substr(`{key}`, 1, 8), 16, 10) as bigint) * {self.buckets} div 4294967296")
-        rows = (thin.join(F.broadcast(src), thin["source"].eqNullSafe(src["_name"])).drop("_name")
+        bucket = F.expr(f"cast(conv(substr(`{self.key}`, 1, 8), 16, 10) as bigint) * {self.buckets} div 4294967296")
+        return (rows.join(F.broadcast(src), rows["source"].eqNullSafe(src["_name"])).drop("_name")
                 .withColumn("_bucket", bucket.cast("int")))
-        counted = (self.thin.join(F.broadcast(src), self.thin["source"].eqNullSafe(src["_name"]))
-                   .select("_src", F.expr(f"cast(conv(substr(order_key, 1, 8), 16, 10) as bigint) * {self.buckets}"
-                                          " div 4294967296").cast("int").alias("_bucket"), "size")
-                   .groupBy("_src", "_bucket").agg(F.sum("size").alias("_n")))
+
+    def laid_out(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (``docs`` or ``thin``) with their place in the source's stream of words:
+        ``_src``, ``_bucket``, ``_seq`` (together the row's key) and ``_start``."""
+        counted = self._bucketed(self.thin).groupBy("_src", "_bucket").agg(F.sum(self.size).alias("_n"))
         before = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         base = counted.select("_src", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-        w = Window.partitionBy("_src", "_bucket").orderBy(key, "doc_id", size)
-        return (rows.withColumns({
+        w = Window.partitionBy("_src", "_bucket").orderBy(self.key, "doc_id", self.size)
+        return (self._bucketed(rows).withColumns({
                     "_seq": F.row_number().over(w),
-                    "_in": F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+                    "_in": F.coalesce(F.sum(self.size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
                 .join(base, ["_src", "_bucket"])
                 .withColumn("_start", F.col("_base") + F.col("_in")).drop("_in", "_base"))
 
@@ -143,11 +141,13 @@ class Mix:
     def pieces(self, rows: DataFrame) -> DataFrame:
         """The part of each document in each block: words ``from_word`` to ``to_word``."""
         b = self.block_words
-        return (rows.filter("size > 0")
-                .withColumn("block", F.explode(F.expr(f"sequence(_start div {b}, (_start + size - 1) div {b})")))
+        size = F.col(self.size)
+        return (rows.filter(size > 0)
+                .withColumn("block", F.explode(F.expr(
+                    f"sequence(_start div {b}, (_start + `{self.size}` - 1) div {b})")))
                 .select(*KEYS, "doc_id", "block",
                         F.greatest(F.lit(0), F.col("block") * b - F.col("_start")).alias("from_word"),
-                        F.least(F.col("size"), (F.col("block") + 1) * b - F.col("_start")).alias("to_word")))
+                        F.least(size, (F.col("block") + 1) * b - F.col("_start")).alias("to_word")))
 
     def mixed(self, rows: DataFrame) -> DataFrame:
         """The mix in order of ``slot``: one row per slot and document piece."""
@@ -159,16 +159,10 @@ def taken_words(mix: Mix) -> DataFrame:
     rows = materialize(mix.laid_out(mix.thin))
     taken = mix.mixed(rows).groupBy(*KEYS).agg(F.sum(F.expr("to_word - from_word")).alias("taken"))
     return (rows.join(taken, KEYS, "left")
-            .select("doc_id", "size", F.col("_source_size").alias("source_size"),
+            .select("doc_id", F.col(mix.size).alias("size"), F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """``text`` up to the end of its n-th word."""
-    parts = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    return F.array_join(F.slice(parts, 1, n.cast("int")), "")
-
-
 def words_between(text: Column, start: Column, end: Column) -> Column:
     """Words ``start`` (from 0) to ``end`` (exclusive) with the space before them; the
     first word keeps the space that leads the text, the last the space that ends it."""

@@ -354,8 +354,8 @@ def q_collate_rows(spark, sf):
     turns = tables.turns(spark, sf)
     lay = layouts.chat_layout(turns, CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
     lay = lay.withColumn("seq_len", F.size("input_ids"))
-    steps = ordering.step_plan(lay.select("conv_id", F.col("seq_len").alias("_len")), "conv_id", SEED, DEVICES,
-                               PER_DEVICE_BATCH, GRAD_ACCUM)
+    thin = materialize(lay.select("conv_id", F.col("seq_len").alias("_len")))
+    steps = ordering.step_plan(thin, "conv_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM)
     c = ordering.collate_thin(lay, steps, "conv_id", "_len", PROFILE.pad_id)
     pads = F.slice("labels", F.col("seq_len") + 1, F.lit(1 << 20))
     return c.select(

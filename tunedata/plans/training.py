@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tunedata.operators import layouts, ordering
 from tunedata.operators.profiles import resolve_profile
 from tunedata.operators.templates import select_prompt_response
+from tunedata.session import materialize
 from tunedata.sources import readers, sinks
 
 
@@ -121,8 +122,8 @@ def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example
     """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch.
 
     Positions, steps and padded lengths are found on thin rows (key and sequence
-    length); the token arrays are joined once, at the end."""
-    thin = seqs.select(key, F.size("input_ids").alias("_len"))
+    length), computed once; the token arrays are joined once, at the end."""
+    thin = materialize(seqs.select(key, F.size("input_ids").alias("_len")))
     if cfg.repeat_epochs and cfg.max_steps is not None:
         steps = ordering.epoch_plan(thin, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
                                     cfg.gradient_accumulation_steps, cfg.max_steps,

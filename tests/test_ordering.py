@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tunedata.operators import ordering
 from tunedata.operators.ordering import assign_steps, collate, head_by_ordinal, shuffled_positions
 
 
@@ -86,3 +87,21 @@ def test_epoch_plan_repeats_until_max_steps(spark):
     assert len(e1) == 128 and e1 != [k for _, k in e0][:128]
     one = epoch_plan(df, "key", 42, 1, 4, 16, max_steps=2).collect()
     assert len(one) == 128 and {r.epoch for r in one} == {0}
+
+
+def test_offsets_beyond_the_bound_are_joined(spark, monkeypatch):
+    df = spark.range(500).withColumnRenamed("id", "k")
+    want = sorted(map(tuple, ordering.epoch_plan(df, "k", 42, 1, 4, 16, 30).collect()))
+    monkeypatch.setattr(ordering, "BROADCAST_BUCKETS", 10)
+    plan = ordering.epoch_plan(df, "k", 42, 1, 4, 16, 30)
+    assert sorted(map(tuple, plan.collect())) == want
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_step_plan_drops_buckets_before_the_shuffle(spark):
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    every = ordering.step_plan(df, "k", 42, 2, 4, 3)
+    some = ordering.step_plan(df, "k", 42, 2, 4, 3, max_steps=5)
+    assert sorted(map(tuple, some.collect())) == sorted(tuple(r) for r in every.collect() if r["step"] < 5)
+    assert "_off" in some._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["pos"] for r in every.collect()) == list(range(3000))

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from tunedata.functions.arrays import IGNORE_INDEX, repeat, round_up
 
 
+# Rows of an offset table (two numbers each) that may be broadcast.
+BROADCAST_BUCKETS = 1 << 20
+
+
 def shuffle_key(key, seed: int | str) -> Column:
     """O1 with D4: ``md5('<seed>:<key>')`` - stable under any partitioning."""
     k = F.col(key) if isinstance(key, str) else key
@@ -23,12 +27,15 @@ def shuffle_key(key, seed: int | str) -> Column:
 
 
 def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "pos",
-                  count_from: DataFrame | None = None, before: int | None = None) -> DataFrame:
+                  count_from: DataFrame | None = None, before: int | None = None,
+                  max_buckets: int | None = None) -> DataFrame:
     """Dense 0-based position of each row in ``(bucket_col, *order_cols)`` order.
 
     ``bucket_col`` must be non-decreasing in that order and have far fewer
     distinct values than rows: its per-bucket counts are the only thing
-    ordered as a whole and broadcast. Each bucket is ranked in its own task.
+    ordered as a whole. Each bucket is ranked in its own task. The offsets are
+    broadcast where ``max_buckets`` bounds them by ``BROADCAST_BUCKETS``; else they
+    are joined on the bucket, by which the window has to be partitioned anyway.
     ``count_from`` is an optional cheaper frame with the same ``bucket_col``
     multiset (e.g. the keys before an expensive per-row step), so that step
     is not computed a second time just to be counted. With ``before`` only the
@@ -41,7 +48,8 @@ def with_position(df: DataFrame, bucket_col: str, order_cols, pos_col: str = "po
     if before is not None:
         offsets = offsets.filter(F.col("_off") < before)
     within = Window.partitionBy(bucket_col).orderBy(*order_cols)
-    return (df.join(F.broadcast(offsets), bucket_col, "inner")
+    bounded = max_buckets is not None and max_buckets <= BROADCAST_BUCKETS
+    return (df.join(F.broadcast(offsets) if bounded else offsets, bucket_col, "inner")
             .withColumn(pos_col, (F.col("_off") + F.row_number().over(within) - 1).cast("bigint"))
             .drop("_off"))
 
@@ -59,7 +67,8 @@ def with_hex_position(df: DataFrame, hex_col: str, tie_col: str, pos_col: str =
     bucket = F.conv(F.substring(F.col(hex_col), 1, bucket_digits), 16, 10).cast("int")
     x = df.withColumn("_bucket", bucket)
     c = None if count_from is None else count_from.withColumn("_bucket", bucket)
-    return with_position(x, "_bucket", [hex_col, tie_col], pos_col, c).drop("_bucket")
+    return with_position(x, "_bucket", [hex_col, tie_col], pos_col, c,
+                         max_buckets=16 ** bucket_digits).drop("_bucket")
 
 
 def shuffled_positions(df: DataFrame, key: str, seed: int | str, pos_col: str = "pos",
@@ -107,7 +116,7 @@ def step_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_device
     bucket = F.conv(F.substring("_k", 1, bucket_digits), 16, 10).cast("int")
     x = df.withColumn("_k", k).withColumn("_bucket", bucket)
     most = None if max_steps is None else max_steps * devices * per_device_batch * grad_accum
-    pos = with_position(x, "_bucket", ["_k", key], "pos", before=most).drop("_bucket", "_k")
+    pos = with_position(x, "_bucket", ["_k", key], "pos", before=most, max_buckets=16 ** bucket_digits).drop("_bucket", "_k")
     return assign_steps(pos, "pos", devices, per_device_batch, grad_accum, max_steps)
 
 
@@ -192,7 +201,8 @@ def epoch_plan(df: DataFrame, key: str, seed: int | str, devices: int, per_devic
         + F.conv(F.substring("_k", 1, bucket_digits), 16, 10).cast("int"))
     # Global position of the first row past the last step: the last epoch is cut there.
     last = (epochs - 1) * n + (max_steps - (epochs - 1) * steps_per_epoch) * per_step
-    x = with_position(x, "_bucket", ["_k", key], "_gpos", before=last).drop("_bucket", "_k")
+    x = with_position(x, "_bucket", ["_k", key], "_gpos", before=last,
+                      max_buckets=epochs * 16 ** bucket_digits).drop("_bucket", "_k")
     pos = F.col("_gpos") - F.col("epoch").cast("bigint") * n
     q = F.pmod(pos, F.lit(per_step))
     out = x.select(

@@ -32,7 +32,7 @@ SLOT_BITS = 18
 # One subset in each of SUBSETS residues, at each rate (powers of two, 10 hash bits each).
 RATES, SUBSETS = (16, 64, 256, 1024), 16
 # Neighbours are found inside ranges of ids; the most ranges, and documents in each below that.
-MAX_RANGES, RANGE_DOCS = 1 << 16, 8000
+MAX_RANGES, RANGE_DOCS = 1 << 16, 2000
 
 
 def term_hashes(text: Column) -> Column:
@@ -125,9 +125,10 @@ def with_next(docs: DataFrame, ranges: Column, derive) -> DataFrame:
     (null last; of equal ids by ``text``; after the last the first) ``next_text, next_sig``.
     ``derive`` makes ``sig`` from a text column."""
     ranged = docs.withColumn("_range", ranges)
-    # The first row of each range follows the last of the one above: one row a range.
+    # The first row of each range follows the last of the one above: one row a range
+    # (MAX_RANGES at most).
     tops = ranged.groupBy("_range").agg(F.max("doc_id").alias("_top")).withColumnRenamed("_range", "_r")
-    firsts = (ranged.join(tops, (F.col("_range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_top")))
+    firsts = (ranged.join(F.broadcast(tops), (F.col("_range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_top")))
               .groupBy("_range").agg(F.max("text").alias("_text")))
     along = Window.orderBy("_range")
     last = F.last("_text").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

@@ -114,6 +114,9 @@ class Automaton:
                     self.token_at.append(-1)
                 node = nxt
             self.token_at[node] = t
+        self.inner = bytearray(len(self.token_at))  # nodes that a longer label passes
+        for key in self.step:
+            self.inner[key >> 8] = 1
 
     def __getstate__(self):
         return self.__dict__ | {"arcs": {}}

@@ -137,7 +137,8 @@ class WordTransducer:
             nxt = a.step.get(node << 8 | byte)
             if nxt is None:
                 continue
-            still.append((nxt, q, tokens))
+            if a.inner[nxt]:
+                still.append((nxt, q, tokens))
             t = a.token_at[nxt]
             if t >= 0 and last is None and a.allowed(q, t):
                 last = a.enters[t], tokens + 1

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunedata.llm.common import free_names, python_ready, text_or_empty
-from tunedata.llm.components import components
+from tunedata.llm.components import components, salted_join
 from tunedata.session import materialize
 
 SEED = 42
@@ -116,9 +116,12 @@ def links(fps: DataFrame, max_bits: int = 4, groups: int = 6) -> DataFrame:
     star = materialize(cells(fps).join(first, ["grid", "cell"])
                        .filter((F.col("fp") != F.col("v")) & near("fp", "v"))
                        .select(F.col("fp").alias("u"), "v").distinct())
-    joined = components(star)
-    labelled = materialize(fps.join(joined, fps["fp"] == joined["node"], "left")
-                           .select("fp", "emb", F.coalesce("component", "fp").alias("label")))
+    # Two steps along the stars name a set that is connected for certain, if not the whole of it.
+    one = star.groupBy("u").agg(F.min("v").alias("one"))
+    two = (one.join(one.select(F.col("u").alias("one"), F.col("one").alias("two")), "one", "left")
+           .select("u", F.coalesce("two", "one").alias("label")))
+    labelled = materialize(fps.join(two, fps["fp"] == two["u"], "left")
+                           .select("fp", "emb", F.coalesce("label", "fp").alias("label")))
     sizes = cells(labelled).groupBy("grid", "cell", "label").agg(F.count("*").alias("n"))
     mixed = (sizes.groupBy("grid", "cell")
              .agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
@@ -140,7 +143,8 @@ def grouped(docs: DataFrame, shingle: int = 4, max_bits: int = 4, groups: int =
     rooted = (distinct.join(joined, distinct["fp"] == joined["node"], "left")
               .select("fp", "first_id", F.coalesce("component", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+    known = salted_join(rooted, least, "root", "fp").select("fp", "root", "component_id")
+    return marked.join(known, "fp")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from tunedata.llm.common import python_ready, text_or_empty
 
 # Arcs and words a worker remembers; what is forgotten is found again.
-CACHE_ARCS, CACHE_WORDS, CACHED_WORD_BYTES = 500_000, 600_000, 64
+CACHE_ARCS, CACHE_WORDS, CACHED_WORD_BYTES = 250_000, 350_000, 64
 
 
 class Remembered(dict):

@@ -9,7 +9,7 @@ import pytest
 import regex
 import xxhash
 
-from tunedata.llm import imatch
+from tunedata.llm import imatch, queries
 
 
 def chained(values):
@@ -88,3 +88,26 @@ def test_copies_agree_and_edits_are_nearer_than_neighbours(sf_documents):
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
     assert sum(r["near_edited"] for r in rows) > 3 * sum(r["near_next"] for r in rows)
     assert sum(r["near_edited"] > r["near_next"] for r in rows) > 0.9 * len(rows)
+
+
+def test_texts_out_of_the_band_keep_their_content(spark, tmp_path):
+    """No term of these texts is in the lexicon: only equal content has an equal fingerprint."""
+    short = ["This.", "The esingor.", "the esingor", "这是一句没有空格的话", "!!!", "?!", "", " \n"]
+    rows = [(n, t) for n, t in enumerate(short)] + [(100 + n, f"this the w{n % 100} v{n % 90}") for n in range(1000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op3_imatch(spark, str(tmp_path)).collect()
+    got = {r["doc_id"]: r for r in out}
+    prints = [got[n]["fingerprint"] for n in range(len(short))]
+    zeros = "0" * len(prints[0])
+    assert prints[1] == prints[2] and prints[6] == prints[7] == zeros
+    assert len(set(prints)) == 6 and zeros not in prints[:6]
+    # By descending id the next of row 1 is row 0, of row 5 row 4.
+    assert got[1]["near_next"] < 1 and got[5]["near_next"] < 1 and got[2]["near_next"] == 1
+
+
+def test_every_text_changes_no_text_in_the_band(sf_documents):
+    plain = {r["doc_id"]: r["fingerprint"] for r in imatch.edited_likeness(sf_documents).collect()}
+    every = {r["doc_id"]: r["fingerprint"] for r in imatch.edited_likeness(sf_documents, every_text=True).collect()}
+    lost = {i for i, p in plain.items() if not p.strip("0")}
+    assert lost and all(every[i].strip("0") for i in lost)
+    assert all(every[i] == p for i, p in plain.items() if i not in lost)

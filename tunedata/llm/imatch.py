@@ -8,14 +8,18 @@ a slot is that of its terms together; rare terms add about terms-per-document
 / slots, far below the band). The kept terms, sorted, are hashed once for each
 of several random subsets of the lexicon: a subset keeps one in ``rate`` terms,
 for a series of rates, so that short and long documents both have subsets that
-a small change leaves as they are.
+a small change leaves as they are. With ``every_text`` (as in the registered query)
+a text without a term in the lexicon (a short one, or of a language or script with
+few rows) is hashed by all of its terms, and one without terms by its signs other
+than white space, so that the content of every text counts.
 
 Likeness of two fingerprints: of the subsets in which either has a term, the
 part on which both agree; 1 for equal fingerprints.
 
-Defined cases: null text is an empty text; texts without a kept term share the
-fingerprint of zeros (likeness 1 to each other, 0 to all others); equal rows
-are separate documents; an empty table gives no rows.
+Defined cases: null text is an empty text; texts of nothing but white space
+share the fingerprint of zeros (likeness 1 to each other, 0 to all others), and
+no other text has it, but without ``every_text`` all texts without a kept term do;
+equal rows are separate documents; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import text_or_empty
+from tunedata.llm.common import WORD_GAP, text_or_empty
 
 TERM_GAP = r"[^\p{L}\p{N}]+"
 SLOT_BITS = 18
@@ -60,15 +64,27 @@ def lexicon(docs: DataFrame, min_idf: float = 1.2, max_idf: float = 4.6) -> list
     return out
 
 
-def kept_terms(text: Column, lex: list[int]) -> Column:
-    """Hashes of the text's terms in the lexicon, sorted."""
+def kept_terms(text: Column, lex: list[int], every_text: bool = False) -> Column:
+    """Hashes of the text's terms in the lexicon, sorted. With ``every_text``, of all its terms
+    if none is there, and without terms of the text less its white space (none if nothing is left)."""
     bits = F.split(F.lit(",".join(map(str, lex))), ",").cast("array<bigint>")  # folded to a constant
 
     def kept(h: Column) -> Column:
         word = F.element_at(bits, (F.shiftrightunsigned(_slot(h), 6) + 1).cast("int"))
         return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    return F.array_sort(F.filter(term_hashes(text), kept))
+    if not every_text:
+        return F.array_sort(F.filter(term_hashes(text), kept))
+
+    def used(found: Column, every: Column) -> Column:
+        signs = F.regexp_replace(text, WORD_GAP, "")
+        whole = F.filter(F.array(F.when(signs != "", F.xxhash64(signs))), lambda h: h.isNotNull())
+        return F.when(F.size(found) > 0, found).when(F.size(every) > 0, every).otherwise(whole)
+
+    # Bound to variables, so that the terms are made and looked up once.
+    picked = F.transform(F.array(term_hashes(text)), lambda every: F.element_at(
+        F.transform(F.array(F.filter(every, kept)), lambda found: used(found, every)), 1))
+    return F.array_sort(F.element_at(picked, 1))
 
 
 def _level_hashes(terms: Column, rate: int, shift: int) -> Column:
@@ -85,7 +101,10 @@ def _level_hashes(terms: Column, rate: int, shift: int) -> Column:
 
 def subset_hashes(terms: Column) -> Column:
     """Number of each subset: 0 without a term in it, else a hash of its sorted terms."""
-    return F.concat(*[_level_hashes(terms, rate, SLOT_BITS + 10 * n) for n, rate in enumerate(RATES)])
+    # Bound to a variable, so that the terms are made once for all rates.
+    made = F.transform(F.array(terms), lambda t: F.concat(
+        *[_level_hashes(t, rate, SLOT_BITS + 10 * n) for n, rate in enumerate(RATES)]))
+    return F.element_at(made, 1)
 
 
 def fingerprint(sig: Column) -> Column:
@@ -142,17 +161,22 @@ def with_next(docs: DataFrame, ranges: Column, derive) -> DataFrame:
             .select("doc_id", "text", "sig", "next_text", "next_sig"))
 
 
-def edited_likeness(docs: DataFrame, min_idf: float = 1.2, max_idf: float = 4.6) -> DataFrame:
+def edited_likeness(docs: DataFrame, min_idf: float = 1.2, max_idf: float = 4.6,
+                    every_text: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edited text (the last third replaced by as many
     of the first code points of the next document), with their likeness."""
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     lex = lexicon(docs, min_idf, max_idf)
-    rows = with_next(docs, id_ranges(docs, docs.count()), lambda t: subset_hashes(kept_terms(t, lex)))
+
+    def derive(text: Column) -> Column:
+        return subset_hashes(kept_terms(text, lex, every_text))
+
+    rows = with_next(docs, id_ranges(docs, docs.count()), derive)
     n = F.char_length("text")
     third = F.expr("cast(char_length(text) div 3 as int)")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
     rows = (rows.withColumn("n_chars", n.cast("bigint")).withColumn("edited", edited)
-            .withColumn("edited_sig", subset_hashes(kept_terms(F.col("edited"), lex))))
+            .withColumn("edited_sig", derive(F.col("edited"))))
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        fingerprint(F.col("sig")).alias("fingerprint"),
                        fingerprint(F.col("edited_sig")).alias("edited_fingerprint"),

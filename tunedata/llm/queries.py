@@ -95,7 +95,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_imatch")
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imatch.edited_likeness(read(spark, sf_dir, "documents"))
+    return imatch.edited_likeness(read(spark, sf_dir, "documents"), every_text=True)
 
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tunedata.functions.codec import codepoints, codepoints_decode, words
-from tunedata.operators import encode, vocab
+from tunedata.operators import encode, reports, vocab
 
 
 def _vocab(spark, tokens, scores=None):
@@ -211,3 +211,27 @@ def test_group_vocabularies_by_split_top_k(spark):
         assert sorted(map(tuple, by.filter(F.col("lang") == lang).drop("lang").collect())) == sorted(map(tuple, want.collect()))
     plan = by._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 4  # both levels, before and behind their exchange
+
+
+@pytest.mark.parametrize("max_bytes", [encode.MAX_DICTIONARY_BYTES, 0])
+def test_repeated_keys_and_texts_stay_rows(spark, max_bytes):
+    corpus = spark.createDataFrame([("a b c a",)], "value string")
+    v = vocab.word_vocab(corpus)
+    rows = [("k", "a b"), ("k", "c"), ("k", "a b"), (None, "a"), (None, None), ("k", None), ("k", "")]
+    docs = spark.createDataFrame(rows, "k string, text string")
+    ids = {r.token: r.id for r in v.collect()}
+    want = [(k, [ids["▁" + w] for w in (t or "").split()]) for k, t in rows]
+    enc = encode.encode_words(docs, "k", "text", v, max_bytes=max_bytes)
+    assert sorted(((r.k, r.ids) for r in enc.collect()), key=str) == sorted(want, key=str)
+    dec = encode.decode_ids(enc, "k", "ids", v, max_bytes=max_bytes)
+    assert sorted(((r.k, r.text) for r in dec.collect()), key=str) == sorted(((k, t or "") for k, t in rows), key=str)
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_totals_count_repeated_texts(spark, monkeypatch, joined):
+    v = vocab.word_vocab(spark.createDataFrame([("a b c a",)], "value string"))
+    if joined:
+        monkeypatch.setattr(encode, "dictionary", lambda *_: None)
+    texts = spark.createDataFrame([("a b",), ("a b",), ("c",)], "text string")
+    got = reports.encoder_totals(texts, "text", "word", "word", v).first()
+    assert got.asDict() == {"encoder": "word", "n_texts": 3, "n_chars": 7, "n_tokens": 5, "n_roundtrip": 3}

@@ -4,7 +4,8 @@ A vocabulary whose measured size is within ``MAX_DICTIONARY_BYTES`` is sent once
 to every executor (a Spark broadcast), and texts are encoded row by row in Arrow
 batches: no token rows, no shuffle, so the encoders also run on a stream. A larger
 one is joined instead: one row per word, an equi-join with the vocabulary
-(AQE splits skewed keys), and the ids collected in word order.
+(AQE splits skewed keys), and the ids collected in word order. Equal rows are
+counted first, encoded once and repeated, so keys need not be unique.
 """
 
 from __future__ import annotations
@@ -72,6 +73,17 @@ def _ordered(pos: str, value: str):
     return F.array_sort(F.collect_list(item))
 
 
+def _distinct_rows(df: DataFrame, key: str, col: str, content) -> DataFrame:
+    """Distinct rows of ``key, col`` with their number ``_copies`` and the hash ``_row`` of ``content``."""
+    rows = df.groupBy(*dict.fromkeys([key, col])).agg(F.count(F.lit(1)).alias("_copies"))
+    return rows.withColumn("_row", F.sha2(content, 256))
+
+
+def _each_copy(df: DataFrame, *cols) -> DataFrame:
+    """``cols`` of ``df``, once for each of the row's ``_copies``."""
+    return df.select(*cols, F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
 def word_ids(df: DataFrame, text_col: str, rows: list, out: str = "ids", unk_id: int = UNK_ID) -> DataFrame:
     """``df`` with the word ids of ``text_col`` by the dictionary ``rows``; no words give []."""
     mark = len(WORD_MARK)
@@ -92,9 +104,10 @@ def encode_words(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_i
     rows = dictionary(vocab, max_bytes)
     if rows is not None:
         return word_ids(df.select(key, text_col), text_col, rows, "ids", unk_id).select(key, "ids")
-    t = word_tokens(df, key, text_col, vocab, unk_id, outer=True)
-    g = t.groupBy(key).agg(_ordered("pos", "id").alias("_p"))
-    return g.select(key, F.transform("_p", lambda s: s["id"]).cast("array<int>").alias("ids"))
+    t = word_tokens(_distinct_rows(df, key, text_col, F.col(text_col)), key, text_col, vocab, unk_id,
+                    keep=("_row", "_copies"), outer=True)
+    g = t.groupBy(key, "_row", "_copies").agg(_ordered("pos", "id").alias("_p"))
+    return _each_copy(g, key, F.transform("_p", lambda s: s["id"]).cast("array<int>").alias("ids"))
 
 
 def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, skip_special: bool = True,
@@ -116,12 +129,13 @@ def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, skip_spe
             return text
 
         return _map_column(df.select(key, ids_col), ids_col, "text", "string", pa.string(), make).select(key, "text")
-    e = df.select(key, F.posexplode_outer(F.col(ids_col)).alias("pos", "id"))
+    rows = _distinct_rows(df, key, ids_col, F.to_json(ids_col))
+    e = rows.select(key, "_row", "_copies", F.posexplode_outer(F.col(ids_col)).alias("pos", "id"))
     j = e.join(v.select("id", "token"), "id", "left")
-    g = j.groupBy(key).agg(_ordered("pos", "token").alias("_p"))
+    g = j.groupBy(key, "_row", "_copies").agg(_ordered("pos", "token").alias("_p"))
     text = F.array_join(F.transform("_p", lambda s: s["token"]), "")
     text = F.regexp_replace(F.regexp_replace(text, WORD_MARK, " "), "\\A ", "")
-    return g.select(key, text.alias("text"))
+    return _each_copy(g, key, text.alias("text"))
 
 
 # ------------------------------------------------------------ piece encoder

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import bpe, imatch, mixing, neighbours, pii, quality, simhash, token_counts, toxicity, urls
+from tunedata.llm import (bpe, conversations, imatch, mixing, neighbours, pii, quality, ranked, simhash, token_counts,
+                          toxicity, urls)
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -196,3 +197,96 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return pii.find_in_documents(docs, pii.train(docs))
+
+
+@register("op11_conversations", r"""
+WITH RECURSIVE codes AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS t
+  FROM range(256) r(i)),
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                        lambda c: unicode(c)::BIGINT) AS bytes
+  FROM conversations),
+hit AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce([4294967295] || bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS k
+  FROM src, codes),
+hurt AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE k WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hit WHERE k <> 0),
+convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+placed AS (
+  SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last
+  FROM hurt JOIN convs ON hurt.conv_id IS NOT DISTINCT FROM convs.conv_id),
+judged AS (
+  SELECT c, turn, role, text, i, left(role, 1) AS u, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before,
+         CASE WHEN last = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+              WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || u NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY c),
+edit AS (
+  SELECT c, n AS i, [{'c': 0, 'a': '', 'r': []::VARCHAR[]}, {'c': 4, 'a': 'II', 'r': ['user:', 'assistant:']},
+                     {'c': 2, 'a': 'I', 'r': ['assistant:']}, {'c': 0, 'a': '', 'r': []::VARCHAR[]}] AS v
+  FROM counted
+  UNION ALL
+  SELECT c, i - 1,
+         [least(b[1], {'c': x3.c + 2, 'a': 'I' || x3.a, 'r': ['user:'] || x3.r}),
+          least(b[2], {'c': x3.c + 2, 'a': 'I' || x3.a, 'r': ['user:'] || x3.r}), x3,
+          least(b[4], {'c': b[3].c + 2, 'a': 'I' || b[3].a, 'r': ['user:'] || b[3].r})]
+  FROM (SELECT *, least(b[3], {'c': b[4].c + 2, 'a': 'I' || b[4].a, 'r': ['assistant:'] || b[4].r}) AS x3
+        FROM (SELECT c, i, list_transform([1, 2, 3, 4], lambda s: list_min(
+                [{'c': v[s].c + 3, 'a': 'D' || v[s].a, 'r': v[s].r}]
+                || CASE WHEN fault IN ('blank', 'duplicate') THEN [] ELSE
+                   [{'c': v[[3, 3, 4, 3][s]].c + 2 + (fault = 'truncated')::INT, 'a': 'R' || v[[3, 3, 4, 3][s]].a,
+                     'r': [['user:', 'user:', 'assistant:', 'user:'][s] || text] || v[[3, 3, 4, 3][s]].r}] END
+                || CASE WHEN fault IN ('blank', 'duplicate') OR u = '' OR NOT contains(['su', 'u', 'a', 'u'][s], u) THEN []
+                   WHEN u = 's' THEN [{'c': v[2].c + (fault = 'truncated')::INT, 'a': 'K' || v[2].a,
+                                       'r': [role || ':' || text] || v[2].r}]
+                   ELSE [{'c': v[[3, 3, 4, 3][s]].c + (fault = 'truncated')::INT, 'a': 'K' || v[[3, 3, 4, 3][s]].a,
+                          'r': [role || ':' || text] || v[[3, 3, 4, 3][s]].r}] END)) AS b
+              FROM edit JOIN judged USING (c, i)))),
+best AS (SELECT c, v[1] AS v FROM edit WHERE i = 0)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v.c, 0)::BIGINT AS cost,
+       coalesce(v.a, '') AS audit, sha256(coalesce(array_to_string(v.r, chr(10)), '')) AS repaired_sha256
+FROM convs LEFT JOIN counted USING (c) LEFT JOIN best USING (c)
+""")
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
+@register("op13_ranked", r"""
+WITH term AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+total AS (SELECT count(*) AS nn, sum(len(t))::BIGINT AS ll FROM term WHERE len(t) > 0),
+wanted AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT *, row_number() OVER () AS i FROM benchmark)),
+held AS (
+  SELECT d, doc_id, len(t)::BIGINT AS n, w, count(*) AS tf FROM (SELECT d, doc_id, t, unnest(t) AS w FROM term)
+  WHERE w IN (SELECT w FROM wanted) GROUP BY ALL),
+heavy AS (
+  SELECT w, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM held, total GROUP BY w, nn),
+part AS (
+  SELECT d, doc_id, w, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS s
+  FROM held JOIN heavy USING (w), total),
+scored AS (SELECT i, item_id, d, doc_id, sum(s)::BIGINT AS score FROM wanted JOIN part USING (w) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.llm import (bpe, conversations, imatch, mixing, neighbours, pii, quality, ranked, simhash, token_counts,
-                          toxicity, urls)
+from tunedata.llm import (bpe, conversations, imatch, jaccard_join, mixing, neighbours, pii, quality, ranked, simhash,
+                          token_counts, toxicity, urls)
 from tunedata.llm.common import read
 
 # Tokenizer of the queries; the operators take any path.
@@ -265,6 +265,28 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")))
 
 
+@register("op12_jaccard", r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE
+         list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM w),
+item AS (SELECT r, unnest(s) AS x FROM s),
+pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM item a JOIN item b ON a.x = b.x AND a.r < b.r GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pairs JOIN s x ON x.r = a JOIN s y ON y.r = b WHERE 100 * c >= 85 * (len(x.s) + len(y.s) - c)),
+sym AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT DISTINCT a, a AS b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON sym.a = reach.b),
+least AS (SELECT reach.a, min(doc_id) AS id FROM reach JOIN s ON s.r = reach.b GROUP BY reach.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, CASE WHEN a IS NULL THEN doc_id ELSE id END AS component_id
+FROM s LEFT JOIN least ON a = r
+""")
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @register("op13_ranked", r"""
 WITH term AS (
   SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -5,21 +5,24 @@ A document's set holds the hashes of its distinct word shingles; two sets link w
 different shingles): what is pruned could not link.
 
 1. Equal sets become one. Each set keeps its smallest hashes and a bitmap of all of them,
-   about two bits a shingle.
+   four bits a shingle or more.
 2. Every linked pair has a common token among the first ``n - ceil(n * percent / 100) + 1``
    of both, in any order of the tokens. Here the tokens that many sets hold come last (the
    ``heavies`` most frequent ones are broadcast, a bounded list), so shared passages make few
    pairs. Each token held by several sets in that part is a cell, the root of a signature tree.
 3. In a cell every set is first compared with one of them, and what links is joined to
-   connected components. Only cells with sets of several components go on.
-4. These get their tree: members in blocks (one row each, about ``block`` members of like
-   size), leaves of 16 inside a block. A node holds the OR of its members' bitmaps, their
+   connected components. Only sets go on that have one of like size and another component
+   in their cell.
+4. Their cells get trees: members in blocks (one row each, about ``block`` members; more
+   than that are dealt by size first), leaves of 16 inside a block. A node holds the OR of its members' bitmaps, their
    range of sizes, the most tokens that can follow the cell's token, and the range of their
    components. Pairs of blocks are joined by cell, pairs of leaves and members are walked in
    numpy; at each level a pair is left out when the largest possible overlap of any two
    members is too small, or when both sides are of one component.
 5. The pairs that remain are compared exactly, on shingles made anew from their texts, and
-   join components to larger ones.
+   join components to larger ones. In a first walk, over a quarter of the cells, each
+   set is compared with its ``nearest`` candidates of a block only, which joins large groups of near
+   copies by few pairs; the second one compares all pairs that are still of two components.
 
 Nothing depends on how many sets a cell has: no cell is gathered in one task, and there is
 no cap on partners. The cost that remains quadratic is that of pairs of blocks of unlinked
@@ -93,7 +96,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    width = min(MAX_BITS, max(MIN_BITS, 1 << int(2 * len(tokens) - 1).bit_length()))
+    width = min(MAX_BITS, max(MIN_BITS, 1 << int(4 * len(tokens) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[tokens & (width - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -141,11 +144,11 @@ class SetJoin:
     """The join over the distinct sets of ``docs``; see the module's text for its steps."""
 
     def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, heavy: int = 32, heavies: int = 1 << 18,
-                 block: int = 256):
+                 block: int = 256, nearest: int = 2):
         if not 0 < percent <= 100:
             raise ValueError("percent is from 1 to 100")
         self.docs, self.words, self.percent = docs, words, percent
-        self.heavy, self.heavies, self.block = heavy, heavies, block
+        self.heavy, self.heavies, self.block, self.nearest = heavy, heavies, block, nearest
         self.spark = docs.sparkSession
         python_ready(self.spark)
         self.sketch = materialize(sketches(docs, words, percent), how="table")
@@ -201,65 +204,84 @@ class SetJoin:
         return (cells.filter(self.enough(F.least("rest", "hub.rest", "n", "hub.n"), F.col("n") + F.col("hub.n")))
                 .select(F.col("sid").alias("a"), F.col("hub.sid").alias("b")).distinct())
 
-    def tree_pairs(self, cells: DataFrame, labels: DataFrame) -> DataFrame:
+    def tree_pairs(self, cells: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
         """Pairs of different components that the trees of the cells leave; the hubs have met all."""
+        band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / min(self.percent, 90))).cast("int")
         rows = (cells.join(labels, cells["sid"] == labels["node"], "left")
-                .select("token", "sid", "n", "rest", F.coalesce("component", "sid").alias("label")))
-        mixed = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        rows = materialize(salted_join(rows, mixed.select("token"), "token", "sid"), how="table")
-        return self.walked(self.blocks(rows))
+                .select("token", "sid", "n", "rest", F.coalesce("component", "sid").alias("label"), band.alias("band")))
+        rows = materialize(rows, how="table")
+        # Sets that link are of one band of sizes or of neighbouring ones.
+        near = (rows.groupBy("token", "band").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                .select("token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "x", "y")
+                .groupBy("token", "band").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y"))
+        return self.walked(self.blocks(materialize(rows.join(near.select("token", "band"), ["token", "band"]), how="table")),
+                           nearest)
 
     def blocks(self, rows: DataFrame) -> DataFrame:
         """One row a block: its members (by size), the node's measures and, for the join, its bitmap
-        folded to ``TOP_WORDS`` words."""
+        folded to ``TOP_WORDS`` words; ``alone`` if it is all of its cell."""
+        sizes = rows.groupBy("token").agg(F.count("*").alias("members"))
+        keys = ["token", "alone", "band"]
+        rows = rows.join(sizes, "token").withColumn("alone", F.col("members") <= self.block).drop("members")
+        small = rows.filter("alone").withColumn("band", F.lit(0))
+        large = rows.filter("not alone")
         # Bands of a fixed ratio of sizes; then by component, then by set, as many as the counts ask for.
-        rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / np.log(100 / min(self.percent, 90))))
-        keys = ["token", "band"]
         for name, by in (("part", "label"), ("sub", "sid")):
-            sizes = rows.groupBy(keys).agg(F.ceil(F.count("*") / self.block).alias("k"))
-            dealt = rows.join(sizes, keys)
-            rows = dealt.withColumn(name, F.pmod(F.xxhash64(by), "k").cast("int")).drop("k")
+            counts = large.groupBy(keys).agg(F.ceil(F.count("*") / self.block).alias("k"))
+            large = large.join(counts, keys).withColumn(name, F.pmod(F.xxhash64(by), "k").cast("int")).drop("k")
+            small = small.withColumn(name, F.lit(0))
             keys = [*keys, name]
-        members = rows.join(self.sets.select("sid", "bits"), "sid")
+        members = small.unionByName(large).join(self.sets.select("sid", "bits"), "sid")
         packed = members.groupBy(keys).agg(F.collect_list(F.struct("n", "label", "sid", "rest", "bits")).alias("m"))
-        schema = ("token bigint, id bigint, lo bigint, hi bigint, rest bigint, label_lo bigint, label_hi bigint, "
-                  "excess bigint, top array<bigint>, sid array<bigint>, label array<bigint>, n array<bigint>, "
-                  "rests array<bigint>, bits binary")
+        schema = ("token bigint, alone boolean, id bigint, lo bigint, hi bigint, rest bigint, label_lo bigint, "
+                  "label_hi bigint, excess bigint, top array<bigint>, sid array<bigint>, label array<bigint>, "
+                  "n array<bigint>, rests array<bigint>, bits binary")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 yield pa.RecordBatch.from_pylist([
-                    {"token": token, "id": i, **pack(m)}
-                    for token, i, m in zip(*(b.column(c).to_pylist() for c in ("token", "id", "m")), strict=True)],
+                    {"token": token, "alone": alone, "id": i, **pack(m)} for token, alone, i, m in
+                    zip(*(b.column(c).to_pylist() for c in ("token", "alone", "id", "m")), strict=True)],
                     to_arrow_schema(schema))
 
-        packed = packed.select("token", F.xxhash64(*keys[1:]).alias("id"), "m").mapInArrow(run, schema)
+        packed = packed.select("token", "alone", F.xxhash64(*keys[2:]).alias("id"), "m").mapInArrow(run, schema)
         return materialize(packed, how="table")
 
-    def walked(self, blocks: DataFrame) -> DataFrame:
+    def walked(self, blocks: DataFrame, nearest: int | None) -> DataFrame:
         """Pairs of members that a dual walk over the blocks of each cell leaves."""
+        several = blocks.filter("not alone")
         a, b = ([F.col(c).alias(f"{side}_{c}") for c in blocks.columns] for side in "ab")
         common = F.aggregate(F.zip_with("a_top", "b_top", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("bigint")),
                              F.lit(0).cast("bigint"), lambda s, x: s + x)
         most = F.least("a_rest", "b_rest", "a_hi", "b_hi", common + F.least("a_excess", "b_excess"))
         alike = ((F.col("a_label_lo") == F.col("a_label_hi")) & (F.col("b_label_lo") == F.col("b_label_hi"))
                  & (F.col("a_label_lo") == F.col("b_label_lo")))
-        pairs = (blocks.select(*a).join(blocks.select(*b), (F.col("a_token") == F.col("b_token"))
-                                        & (F.col("a_id") <= F.col("b_id")))
+        columns = ("id", "sid", "label", "n", "rests", "bits")
+        pairs = (several.select(*a).join(several.select(*b), (F.col("a_token") == F.col("b_token"))
+                                         & (F.col("a_id") <= F.col("b_id")))
                  .filter(~alike & self.enough(most, F.col("a_lo") + F.col("b_lo")))
-                 .select(*[f"{side}_{c}" for side in "ab" for c in ("id", "sid", "label", "n", "rests", "bits")]))
+                 .select(*[f"{side}_{c}" for side in "ab" for c in columns]))
         percent = self.percent
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(b: pa.RecordBatch, i: int, sides: str) -> pa.RecordBatch:
+            left, *right = (Block(*[b.column(f"{side}_{c}")[i] for c in columns[1:]]) for side in sides)
+            same = not right or b.column("a_id")[i].as_py() == b.column("b_id")[i].as_py()
+            u, v = walk(left, right[0] if right else left, percent, same, nearest)
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+
+        def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    yield found(b, i, "a")
+
+        def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for i in range(b.num_rows):
-                    row = {c: b.column(c)[i] for c in b.schema.names}
-                    left, right = (Block(*[row[f"{side}_{c}"] for c in ("sid", "label", "n", "rests", "bits")])
-                                   for side in "ab")
-                    u, v = walk(left, right, percent, row["a_id"].as_py() == row["b_id"].as_py())
-                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+                    yield found(b, i, "ab")
 
-        return pairs.mapInArrow(run, "a bigint, b bigint").distinct()
+        alone = blocks.filter("alone").select(*[F.col(c).alias(f"a_{c}") for c in columns])
+        return (alone.mapInArrow(inside, "a bigint, b bigint").union(pairs.mapInArrow(between, "a bigint, b bigint"))
+                .distinct())
 
     # ---------------------------------------------------------- verification
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -314,18 +336,10 @@ class SetJoin:
         """``node, component``: the component of every set that links with another one."""
         cells = self.cells()
         known = materialize(components(self.linked(self.stars(cells)).toDF("u", "v")))
-        more = self.linked(self.tree_pairs(cells, known))
-        named = more
-        for side in "ab":
-            other = known.select(F.col("node").alias(side), F.col("component").alias(f"label_{side}"))
-            named = named.join(other, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-        joined = materialize(components(named.select(F.col("label_a").alias("u"), F.col("label_b").alias("v"))))
-        # A set of its own so far is its own label.
-        all_nodes = known.union(joined.select("node", F.col("node").alias("component"))
-                                .join(known.select("node"), "node", "left_anti"))
-        final = joined.select(F.col("node").alias("component"), F.col("component").alias("final"))
-        return (all_nodes.join(final, "component", "left")
-                .select("node", F.coalesce("final", "component").alias("component")))
+        # Sets have many cells in common, so that a quarter of them tells most nearest ones.
+        some = cells.filter(F.pmod(F.xxhash64("token"), F.lit(4)) == 0)
+        known = joined(known, self.linked(self.tree_pairs(some, known, self.nearest)))
+        return joined(known, self.linked(self.tree_pairs(cells, known, None)))
 
     def result(self) -> DataFrame:
         rooted = (self.sets.join(self.labels(), F.col("sid") == F.col("node"), "left")
@@ -339,8 +353,22 @@ class SetJoin:
         return held.select("doc_id", "n_shingles", "component_id").union(alone)
 
 
+def joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``known`` (``node, component``) joined by more links (``a, b``) between nodes, known or not."""
+    named = links
+    for side in "ab":
+        other = known.select(F.col("node").alias(side), F.col("component").alias(f"label_{side}"))
+        named = named.join(other, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    over = materialize(components(named.select(F.col("label_a").alias("u"), F.col("label_b").alias("v"))))
+    # A node that was in no component was its own label.
+    nodes = known.union(over.select("node", F.col("node").alias("component"))
+                        .join(known.select("node"), "node", "left_anti"))
+    final = over.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    return materialize(nodes.join(final, "component", "left").select("node", F.coalesce("final", "component").alias("component")))
+
+
 def to_arrow_schema(ddl: str) -> pa.Schema:
-    kinds = {"bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "binary": pa.binary()}
+    kinds = {"bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "binary": pa.binary(), "boolean": pa.bool_()}
     return pa.schema([(n, kinds[k]) for n, k in (c.split(" ") for c in ddl.split(", "))])
 
 
@@ -394,8 +422,9 @@ class Block:
                 "label_hi": np.maximum.reduceat(self.label, at)}
 
 
-def walk(a: Block, b: Block, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of members (``sid``) of two blocks whose overlap may suffice; ``same`` if the blocks are one."""
+def walk(a: Block, b: Block, percent: int, same: bool, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members (``sid``) of two blocks whose overlap may suffice; ``same`` if the blocks are one.
+    With ``nearest``, only so many of each member, those whose bitmaps differ least."""
     width = min(a.bits.shape[1], b.bits.shape[1])
     x, y = a.leaves(width), b.leaves(width)
 
@@ -409,7 +438,7 @@ def walk(a: Block, b: Block, percent: int, same: bool) -> tuple[np.ndarray, np.n
     open_leaves = enough & ~alike
     if same:
         open_leaves &= np.arange(len(a.starts))[:, None] <= np.arange(len(b.starts))
-    found = [np.empty((2, 0), np.int64)]
+    found, share = [np.empty((2, 0), np.int64)], [np.empty(0)]
     a_bits, b_bits = fold(a.bits, width), fold(b.bits, width)
     for i, j in zip(*np.nonzero(open_leaves), strict=True):
         most = ones(x["bits"][i] & y["bits"][j]) + min(x["excess"][i], y["excess"][j])
@@ -422,8 +451,18 @@ def walk(a: Block, b: Block, percent: int, same: bool) -> tuple[np.ndarray, np.n
         apart = ones(a_bits[p][u] ^ b_bits[q][v])
         ok = (100 + percent) * (total[u, v] - apart) >= 2 * percent * total[u, v]
         found.append(np.stack([a.sid[p][u[ok]], b.sid[q][v[ok]]]))
-    pairs = np.sort(np.concatenate(found, 1), 0)
-    pairs = np.unique(pairs[:, pairs[0] != pairs[1]], axis=1)
+        share.append(apart[ok] / total[u, v][ok])
+    pairs, share = np.sort(np.concatenate(found, 1), 0), np.concatenate(share)
+    pairs, at = np.unique(pairs, axis=1, return_index=True)
+    share = share[at][pairs[0] != pairs[1]]
+    pairs = pairs[:, pairs[0] != pairs[1]]
+    if nearest is not None:
+        keep = np.zeros(len(share), bool)
+        for member in pairs:
+            order = np.lexsort((share, member))
+            first = np.searchsorted(member[order], member[order])
+            keep[order[np.arange(len(order)) - first < nearest]] = True
+        pairs = pairs[:, keep]
     return pairs[0], pairs[1]
 
 

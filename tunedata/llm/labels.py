@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunedata.llm.common import text_or_empty
+from tunedata.session import materialize
 
 
 def fold(parts: int, doc_id: str = "doc_id") -> Column:
@@ -13,16 +14,24 @@ def fold(parts: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % parts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, usable: Column, per_class: int) -> DataFrame:
-    """``text, label`` of at most ``per_class`` documents of each class.
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, usable: Column, per_class: int,
+                    max_bytes: int = 64 << 20) -> DataFrame:
+    """``doc_id, text, label`` of at most ``per_class`` documents of each class and ``max_bytes`` of text.
 
     Ids are drawn by hash among the labels (a top-k, so reruns agree), before
-    any text is read; the texts come by a join with that bounded list. Rows whose
-    label is neither 0 nor 1 or whose id is null are not used; of repeated ids the
-    label is their smallest.
+    any text is read; the texts come by a join with that bounded list, one row an
+    id: of repeated ids the smallest text, and the smallest label. Texts that would
+    take the sample beyond ``max_bytes``, in the order of their hash, are left out. Rows
+    whose label is neither 0 nor 1 or whose id is null are not used.
     """
     ids = (labels.filter(usable & F.col("doc_id").isNotNull() & F.col(target).isin(0, 1))
            .groupBy("doc_id").agg(F.min(target).alias("label")))
     drawn = [ids.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    return (docs.select("doc_id", text_or_empty().alias("text"))
-            .join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").select("doc_id", "text", "label"))
+    texts = (docs.select("doc_id", text_or_empty().alias("text"))
+             .join(F.broadcast(drawn[0].union(drawn[1])), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    # At most 2 * per_class rows from here on.
+    texts = materialize(texts.withColumn("bytes", F.octet_length("text").cast("bigint")), how="table")
+    so_far = F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    fits = texts.select("doc_id", "bytes").withColumn("so_far", so_far).filter(F.col("so_far") <= max_bytes)
+    return texts.join(F.broadcast(fits.select("doc_id")), "doc_id").select("doc_id", "text", "label")

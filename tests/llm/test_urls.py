@@ -73,7 +73,53 @@ def test_canonical_form_and_empty_table(spark):
     assert judged(spark, []) == {}
 
 
-@pytest.mark.parametrize("link,want", [("x", "https://h/a/x"), ("/x", "https://h/x"), ("//k/x", "https://k/x"),
+# Each page links to a blocked url, or looks as if it did.
+ODD_LINKS = [
+    ("https://c1.example/", '<link rel="alternate canonical" href="https://x.net/1">', "block"),
+    ("https://c2.example/", "<link href='https://x.net/2' REL=' Canonical  nofollow '>", "block"),
+    ("https://c3.example/a/b", '<link rel="canonical" href="../q">', "block"),
+    ("https://c3.example/q", '<link rel="canonical" href="https://x.net/a/./../3">', "block"),
+    ("https://c4.example/", '<link title="a > b" rel="canonical" href="https://x.net/4">', "block"),
+    ("https://c5.example/", '<!-- <link rel="canonical" href="https://x.net/5"> -->', "allow"),
+    ("https://c6.example/", '<!-- open <link rel="canonical" href="https://x.net/6">', "allow"),
+    ("https://c7.example/", '<link rel="canonical" href="/r?u=https://x.net/b">', "allow"),
+    ("https://c8.example/", '<meta http-equiv="Refresh" content="5;URL=\'https://x.net/8\'">', "block"),
+    ("https://c9.example/", '<meta name="d" content="0; url=https://x.net/9">', "allow"),
+    ("https://c10.example/", '<link rel="canonically" href="https://x.net/10">', "allow"),
+    ("https://c11.example/", '<link data-x="rel=canonical" href="https://x.net/11">', "allow"),
+    ("https://c12.example/", '<!--a--><link rel=canonical href=https://x.net/12><!--b-->', "block"),
+    ("https://c13.example/", '<link rel="canonical" href="' + "y" * 50_000 + '"><link rel=canonical href=//x.net/13>', "block"),
+    ("https://c14.example/", '<linkrel="canonical" href="https://x.net/14">', "allow"),
+    ("https://c15.example/", "<link/rel='canonical'/href='https://x.net/15'/>", "block"),
+]
+
+
+def test_odd_links(spark):
+    got = judged(spark, [(u, h) for u, h, _ in ODD_LINKS])
+    assert {u: got[i][3] for i, (u, _, _) in enumerate(ODD_LINKS)} == {u: v for u, _, v in ODD_LINKS}
+
+
+def test_odd_links_by_sql(spark):
+    import duckdb
+
+    from tunedata.llm import queries
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [(i, u, h) for i, (u, h, _) in enumerate(ODD_LINKS)])
+    rows = con.execute(queries.oracle_sql()["op4_redirects"]).fetchall()
+    assert {r[0]: r[4] for r in rows} == {i: v for i, (_, _, v) in enumerate(ODD_LINKS)}
+
+
+def test_tags_of_many_quotes(spark):
+    """A tag of many attributes neither ends the regular expression's stack nor takes long."""
+    html = "<link " + 'a="1" ' * 100_000 + 'rel="canonical" href="https://x.net/">'
+    assert judged(spark, [("https://m.example/", html + "<link " * 20_000)])[0][3] == "block"
+
+
+@pytest.mark.parametrize("link,want", [("../x/./y?p=/../q#/..", "https://h/x/y?p=/../q#/.."), ("..", "https://h/"),
+                                       ("../../../z/", "https://h/z/"), (".", "https://h/a/"), ("/c/..", "https://h/"),
+                                       ("https://k/a/../b", "https://k/b"), ("/r?u=http://k/x", "https://h/r?u=http://k/x"),
+                                       ("x", "https://h/a/x"), ("/x", "https://h/x"), ("//k/x", "https://k/x"),
                                        ("?q", "https://h/a/b?q"), ("#f", "https://h/a/b"), ("ftp://z/", "ftp://z/")])
 def test_resolve(spark, link, want):
     df = spark.createDataFrame([("https://h/a/b", link)], "b string, l string")

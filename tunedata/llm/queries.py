@@ -110,25 +110,47 @@ WITH RECURSIVE p AS (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
 tags AS (
+  SELECT DISTINCT url, path, regexp_replace(html, '(?s)<!--.*?(?:-->|\z)', '', 'g') AS html FROM p WHERE ok),
+tag AS (
+  SELECT url, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)[\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS tag
+  FROM tags),
+attr AS (
+  SELECT url, path, lower(tag[2:5]) AS name, list_transform(
+           regexp_extract_all(tag, '[^\s=>"''/]+\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>"'']+)'),
+           lambda a: [lower(regexp_extract(a, '^[^\s=]+')),
+                      trim(regexp_replace(regexp_replace(a, '(?s)^[^=]*=\s*', ''), '(?s)^["'']|["'']$', '', 'g'))]) AS all_
+  FROM tag),
+named AS (
+  SELECT url, path, name, coalesce(list_filter(all_, lambda a: a[1] = 'rel')[1][2], '') AS rel,
+         coalesce(list_filter(all_, lambda a: a[1] = 'href')[1][2], '') AS href,
+         coalesce(list_filter(all_, lambda a: a[1] = 'http-equiv')[1][2], '') AS equiv,
+         coalesce(list_filter(all_, lambda a: a[1] = 'content')[1][2], '') AS content FROM attr),
+raw AS (
   SELECT url, path, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme,
          regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS site,
-         unnest([regexp_extract(t, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1)
-                 FOR t IN regexp_extract_all(html, '(?is)<link\s[^>]*>')
-                 IF regexp_matches(t, '(?is)\srel\s*=\s*["'']?canonical["''\s/>]')]
-                || [regexp_extract(t, '(?is)[;"''\s]url\s*=\s*["'']?([^"''\s>]+)', 1)
-                    FOR t IN regexp_extract_all(html, '(?is)<meta\s[^>]*>')
-                    IF regexp_matches(t, '(?is)\shttp-equiv\s*=\s*["'']?refresh["''\s/>]')]) AS link0
-  FROM p WHERE ok),
-links AS (
+         replace(CASE WHEN name = 'link' THEN href
+                      ELSE regexp_extract(content, '(?is)(?:^|[;,\s])url\s*=\s*["'']?\s*([^"''\s]+)', 1) END,
+                 '&amp;', '&') AS link
+  FROM named WHERE name = 'link' AND list_contains(regexp_split_to_array(lower(rel), '\s+'), 'canonical')
+                OR name = 'meta' AND lower(equiv) = 'refresh'),
+whole AS (
   SELECT DISTINCT url, CASE
-    WHEN contains(link, '://') THEN link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
     WHEN starts_with(link, '//') THEN scheme || ':' || link
     WHEN starts_with(link, '/') THEN scheme || '://' || site || link
     WHEN starts_with(link, '#') THEN url
     WHEN starts_with(link, '?') THEN scheme || '://' || site || path || link
     ELSE scheme || '://' || site || regexp_replace(path, '[^/]*$', '')
          || CASE WHEN contains(path, '/') THEN '' ELSE '/' END || link END AS target
-  FROM (SELECT *, replace(link0, '&amp;', '&') AS link FROM tags) WHERE link <> ''),
+  FROM raw WHERE link <> ''),
+links AS (
+  SELECT DISTINCT url, regexp_extract(target, '(?s)^.*?://[^/?#]*') || CASE WHEN contains(way, '/.') THEN
+           array_to_string(list_reduce([['']] || list_transform(string_split(way, '/')[2:], lambda s: [s]),
+             lambda done, s: CASE s[1] WHEN '.' THEN done WHEN '..' THEN done[1:greatest(1, len(done) - 1)]
+                                       ELSE done || s END), '/')
+           || CASE WHEN regexp_matches(way, '/\.\.?$') THEN '/' ELSE '' END ELSE way END
+         || regexp_extract(target, '(?s)^.*?://[^?#]*(.*)$', 1) AS target
+  FROM (SELECT url, target, regexp_extract(target, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS way FROM whole)),
 u AS (SELECT url FROM p WHERE ok UNION SELECT target FROM links),
 u2 AS (
   SELECT url, translate(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)', 2),

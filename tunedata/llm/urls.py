@@ -30,11 +30,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Parameters that tell where a visitor comes from, not which page is meant.
 TRACKING = r"(?i)^(utm_[^=]*|ref|gclid|fbclid)(=|$)"
 
-LINK_TAG, META_TAG = r"(?is)<link\s[^>]*>", r"(?is)<meta\s[^>]*>"
-IS_CANONICAL = r"""(?is)\srel\s*=\s*["']?canonical["'\s/>]"""
-IS_REFRESH = r"""(?is)\shttp-equiv\s*=\s*["']?refresh["'\s/>]"""
-HREF = r"""(?is)\shref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH_URL = r"""(?is)[;"'\s]url\s*=\s*["']?([^"'\s>]+)"""
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+# Quoted values are matched as a whole, so a tag doesn't end inside of one. Possessive: never backtracks.
+TAG = r"""(?is)<%s[\s/](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+ATTRIBUTE = r"""[^\s=>"'/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+REFRESH_URL = r"""(?is)(?:^|[;,\s])url\s*=\s*["']?\s*([^"'\s]+)"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 
 
 def lower_ascii(c: Column) -> Column:
@@ -59,27 +60,56 @@ def canonical(url: Column) -> Column:
         F.regexp_replace(path_of(url), "/+$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments; nothing is above the root."""
+    def step(done: Column, segment: Column) -> Column:
+        return (F.when(segment == ".", done)
+                .when(segment == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1)))
+                .otherwise(F.concat(done, F.array(segment))))
+
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.lit(0), F.size(parts) - 1)), F.slice(parts, 1, 1), step)
+    ends = F.when(path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(path.contains("/."), F.array_join(F.concat(kept, ends), "/")).otherwise(path)
+
+
 def resolve(base: Column, link: Column) -> Column:
     """``link`` of the page at ``base`` as a full url; fragments of the same page are the page."""
     scheme, host = F.regexp_extract(base, URL, 1), F.regexp_extract(base, URL, 2)
     site = F.concat(scheme, F.lit("://"), host)
-    return (F.when(F.contains(link, F.lit("://")), link)
+    full = (F.when(link.rlike(SCHEME), link)
             .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
             .when(link.startswith("/"), F.concat(site, link))
             .when(link.startswith("#"), base)
             .when(link.startswith("?"), F.concat(site, path_of(base), link))
             .otherwise(F.concat(site, F.regexp_replace(path_of(base), "[^/]*$", ""),
                                 F.when(F.contains(path_of(base), F.lit("/")), "").otherwise("/"), link)))
+    before = F.regexp_extract(full, r"(?s)^.*?://[^/?#]*", 0)
+    path = path_of(full)
+    return F.concat(before, without_dots(path), F.substr(full, F.length(before) + F.length(path) + 1))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of the tag's first attribute of that name, '' if there is none."""
+    own = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda a: a.rlike(rf"(?i)^{name}\s*="))
+    value = F.regexp_replace(F.coalesce(F.get(own, 0), F.lit("")), r"(?s)^[^=]*=\s*", "")
+    return F.trim(F.regexp_replace(value, r"""(?s)^["']|["']$""", ""))
 
 
 def page_links(html: Column) -> Column:
-    """Targets of the canonical links and refresh redirects in ``html``."""
-    def targets(tag: str, fits: str, pattern: str) -> Column:
-        tags = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(fits))
-        found = F.transform(tags, lambda t: F.replace(F.regexp_extract(t, pattern, 1), F.lit("&amp;"), F.lit("&")))
+    """Targets of the canonical links and refresh redirects in ``html``, comments left out."""
+    plain = F.regexp_replace(html, COMMENT, "")
+
+    def targets(name: str, fits, link) -> Column:
+        tags = F.filter(F.regexp_extract_all(plain, F.lit(TAG % name), F.lit(0)), fits)
+        found = F.transform(tags, lambda t: F.replace(link(t), F.lit("&amp;"), F.lit("&")))
         return F.filter(found, lambda u: u != "")
 
-    return F.concat(targets(LINK_TAG, IS_CANONICAL, HREF), targets(META_TAG, IS_REFRESH, REFRESH_URL))
+    return F.concat(
+        targets("link", lambda t: F.array_contains(F.split(F.lower(attribute(t, "rel")), r"\s+"), "canonical"),
+                lambda t: attribute(t, "href")),
+        targets("meta", lambda t: F.lower(attribute(t, "http-equiv")) == "refresh",
+                lambda t: F.regexp_extract(attribute(t, "content"), REFRESH_URL, 1)))
 
 
 def fitting_rules(urls: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:

@@ -105,8 +105,6 @@ SPACE_SHAPE = DIGIT_SHAPES + LETTER_SHAPES
 OTHER_SHAPE, EDGE_SHAPE = SPACE_SHAPE + 1, SPACE_SHAPE + 2
 SHAPES = EDGE_SHAPE + 1 + 128
 WINDOW = 3
-# Lines of the labelled table are no longer than this; decoding takes lines of any length.
-LONGEST_LABELLED = 600
 
 
 def shape(token: str) -> int:
@@ -213,19 +211,43 @@ def find(chain: Chain, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     return out
 
 
-def labelled_lines(docs: DataFrame, most: int = 2000) -> list[tuple[str, list[Span]]]:
+def windows(line: str, spans: list[Span], width: int) -> Iterator[str]:
+    """The parts of a line around its digits and at signs, of about ``width`` code points; they begin
+    and end outside of the spans and, but in words longer than that, at white space."""
+    if len(line) <= width:
+        yield line
+        return
+    at = 0
+    while m := HINT.search(line, at):
+        start, end = max(at, m.start() - width // 2), min(len(line), m.start() + width - width // 2)
+        while at < start and start < m.start() and not line[start - 1].isspace():
+            start += 1
+        while m.end() < end < len(line) and not line[end].isspace():
+            end -= 1
+        for a, _, b in spans:
+            if a < start < b:
+                start = b if m.start() >= b else a
+            if a < end < b:
+                end = a if a > m.start() else b
+        yield line[start:end]
+        at = max(end, m.end())
+
+
+def labelled_lines(docs: DataFrame, most: int = 2000, width: int = 600) -> list[tuple[str, list[Span]]]:
     """The table the chain is fitted on: at most ``most`` lines that hold a digit or an at sign
     and no failed match, with their base spans; drawn by hash, half of them with spans if
-    there are enough."""
+    there are enough. A line of more than ``width`` code points gives windows of about that
+    width in its place, so the table is bounded in bytes and long lines are in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lines, spans = [], []
             for text in b.column("text").to_pylist():
                 for line in text.split("\n") if HINT.search(text) else ():
-                    if HINT.search(line) and len(line) <= LONGEST_LABELLED:
-                        found, dropped = base_spans(line)
-                        if not dropped:
-                            lines.append(line)
+                    for part in windows(line, base_spans(line)[0], width) if HINT.search(line) else ():
+                        found, dropped = base_spans(part)
+                        # A span of its own may still be longer than a window.
+                        if not dropped and len(part) <= 2 * width:
+                            lines.append(part)
                             spans.append(";".join(f"{a}:{k}:{e}" for a, k, e in found))
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array(spans, pa.string())],
                                              ["line", "spans"])
@@ -237,9 +259,10 @@ def labelled_lines(docs: DataFrame, most: int = 2000) -> list[tuple[str, list[Sp
     return [(r["line"], [tuple(map(int, s.split(":"))) for s in r["spans"].split(";") if s]) for r in rows]
 
 
-def train(docs: DataFrame, most: int = 2000, rounds: int = 50) -> Chain:
+def train(docs: DataFrame, most: int = 2000, rounds: int = 50, width: int = 600) -> Chain:
+    """A chain fitted on at most ``most`` lines or windows of lines of about ``width`` code points."""
     python_ready(docs.sparkSession)
-    return fit(labelled_lines(docs, most), rounds)
+    return fit(labelled_lines(docs, most, width), rounds)
 
 
 def find_in_documents(docs: DataFrame, chain: Chain) -> DataFrame:

@@ -10,19 +10,17 @@ different shingles): what is pruned could not link.
    of both, in any order of the tokens. Here the tokens that many sets hold come last (the
    ``heavies`` most frequent ones are broadcast, a bounded list), so shared passages make few
    pairs. Each token held by several sets in that part is a cell, the root of a signature tree.
-3. In a cell every set is first compared with one of them, and what links is joined to
-   connected components. Only sets go on that have one of like size and another component
-   in their cell.
-4. Their cells get trees: members in blocks (one row each, about ``block`` members; more
-   than that are dealt by size first), leaves of 16 inside a block. A node holds the OR of its members' bitmaps, their
-   range of sizes, the most tokens that can follow the cell's token, and the range of their
-   components. Pairs of blocks are joined by cell, pairs of leaves and members are walked in
+3. Sets go on that have one of like size in their cell. Their cells get trees: members in
+   blocks (one row each, about ``block`` members; more than that are dealt by size first), leaves
+   of 16 inside a block. A node holds the OR of its members' bitmaps, their range of sizes, the
+   most tokens that can follow the cell's token, and the range of their components. Pairs of blocks are joined by cell, pairs of leaves and members are walked in
    numpy; at each level a pair is left out when the largest possible overlap of any two
    members is too small, or when both sides are of one component.
-5. The pairs that remain are compared exactly, on shingles made anew from their texts, and
-   join components to larger ones. In a first walk, over a quarter of the cells, each
-   set is compared with its ``nearest`` candidates of a block only, which joins large groups of near
-   copies by few pairs; the second one compares all pairs that are still of two components.
+4. The pairs that remain are compared exactly, on shingles made anew from their texts, and
+   joined to connected components. This is done twice: first every set is compared with one
+   member of each of its cells and, over a quarter of the cells, with the ``nearest`` candidates of a
+   block, which joins large groups of near copies by few pairs; then all pairs that are still of
+   two components are.
 
 Nothing depends on how many sets a cell has: no cell is gathered in one task, and there is
 no cap on partners. The cost that remains quadratic is that of pairs of blocks of unlinked
@@ -335,10 +333,11 @@ class SetJoin:
     def labels(self) -> DataFrame:
         """``node, component``: the component of every set that links with another one."""
         cells = self.cells()
-        known = materialize(components(self.linked(self.stars(cells)).toDF("u", "v")))
+        alone = self.sets.select(F.col("sid").alias("node"), F.col("sid").alias("component")).limit(0)
         # Sets have many cells in common, so that a quarter of them tells most nearest ones.
         some = cells.filter(F.pmod(F.xxhash64("token"), F.lit(4)) == 0)
-        known = joined(known, self.linked(self.tree_pairs(some, known, self.nearest)))
+        first = self.stars(cells).union(self.tree_pairs(some, alone, self.nearest)).distinct()
+        known = materialize(components(self.linked(first).toDF("u", "v")))
         return joined(known, self.linked(self.tree_pairs(cells, known, None)))
 
     def result(self) -> DataFrame:

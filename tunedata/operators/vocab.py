@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunedata.functions.codec import WORD_MARK, chars, symbols, words
+from tunedata.operators import bpe_train
 from tunedata.operators.ordering import with_position
 from tunedata.session import checkpoint_dir, materialize
 
@@ -274,11 +275,20 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
     return taken
 
 
-def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(),
-               partitions: int | None = None, batch: bool = True, candidates: int = 1024,
-               compact_every: int = 4) -> DataFrame:
+def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(), **options) -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
-    smaller ``(a, b)``.
+    smaller ``(a, b)``; ``options`` go to ``bpe_train.train``."""
+    spark = corpus.sparkSession
+    # Words of one symbol have no pair.
+    words = materialize(bpe_words(corpus, text_col, user_symbols).filter(F.col("sym").contains(" ")))
+    merges = bpe_train.train(words, pair_counts, n_merges, **options)
+    return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
+
+
+def bpe_merges_by_rounds(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(),
+                         partitions: int | None = None, batch: bool = True, candidates: int = 1024,
+                         compact_every: int = 4) -> DataFrame:
+    """The merge list of ``bpe_merges`` by native expressions alone, few merges a round.
 
     One algorithm at every size. The word table (hash-partitioned by its
     symbols) and the pair counts are kept; a round changes the counts by the

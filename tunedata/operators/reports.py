@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunedata.functions.codec import codepoints, codepoints_decode, words
-from tunedata.operators import encode
+from tunedata.operators import encode, pieces
 from tunedata.operators.profiles import profiles_df, tokenizer_kind
 from tunedata.operators.vocab import UNK_ID
 
@@ -30,8 +30,15 @@ def encoder_totals(texts: DataFrame, text_col: str, name: str, kind: str, vocabu
         back = encode.decode_ids(ids.select("ids", F.struct(F.col("_key").alias("text"), F.size("ids").alias("n"))
                                             .alias("_key")), "_key", "ids", vocabulary)
         x = back.select("_key.text", F.col("_key.n").alias("_tokens"), F.col("text").alias("_back"))
+    elif kind == "bytes":
+        if vocabulary is None:
+            raise ValueError(f"encoder {name!r} needs a vocabulary")
+        ids = pieces.text_ids(x.withColumn("_key", F.col("text")), "_key", "text", vocabulary)
+        back = pieces.decode_texts(ids.select("ids", F.struct(F.col("_key").alias("text"), F.size("ids").alias("n"))
+                                              .alias("_key")), "_key", "ids", vocabulary)
+        x = back.select("_key.text", F.col("_key.n").alias("_tokens"), F.col("text").alias("_back"))
     else:
-        raise ValueError(f"unknown encoder {kind!r}; known: codepoint, word, piece")
+        raise ValueError(f"unknown encoder {kind!r}; known: codepoint, word, piece, bytes")
     return x.agg(F.count(F.lit(1)).alias("n_texts"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n_chars"),
                  F.coalesce(F.sum("_tokens"), F.lit(0)).alias("n_tokens"),
                  F.coalesce(F.sum((F.col("_back") == F.col("text")).cast("int")), F.lit(0)).alias("n_roundtrip")
@@ -42,8 +49,8 @@ def model_lengths(texts: DataFrame, text_col: str = "text", encoders: dict | Non
                   vocabularies: dict[str, DataFrame] | None = None) -> DataFrame:
     """V8 / J6 / A4 per model: special ids, texts, characters, tokens, round trips.
 
-    ``encoders`` maps each tokenizer family to ``codepoint``, ``word`` or ``piece``;
-    the last two read ``vocabularies[<that name>]``. Texts are encoded once per
+    ``encoders`` maps each tokenizer family to ``codepoint``, ``word``, ``piece`` or ``bytes``
+    (pieces with byte fallback, lossless); all but the first read ``vocabularies[<that name>]``. Texts are encoded once per
     encoder, not once per model: the per-encoder totals (one row per encoder) are
     joined to the small profile table, which keeps every model. A family or
     encoder without a definition is an error.

@@ -5,7 +5,7 @@ A document's set holds the hashes of its distinct word shingles; two sets link w
 different shingles): what is pruned could not link.
 
 1. Equal sets become one. Each set keeps its smallest hashes and a bitmap of all of them,
-   four bits a shingle or more.
+   two bits a shingle or more.
 2. Every linked pair has a common token among the first ``n - ceil(n * percent / 100) + 1``
    of both, in any order of the tokens. Here the tokens that many sets hold come last (the
    ``heavies`` most frequent ones are broadcast, a bounded list), so shared passages make few
@@ -55,6 +55,8 @@ MIN_BITS, MAX_BITS = 64, 1 << 16
 # Width of the bitmaps that pairs of blocks are compared by, in 64-bit words.
 TOP_WORDS = 16
 LEAF = 16
+# Most sets whose texts are looked up by a broadcast of their keys, about 60 bytes each.
+SMALL_OWNERS = 500_000
 
 _words: dict = {}
 
@@ -94,7 +96,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    width = min(MAX_BITS, max(MIN_BITS, 1 << int(4 * len(tokens) - 1).bit_length()))
+    width = min(MAX_BITS, max(MIN_BITS, 1 << int(2 * len(tokens) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[tokens & (width - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -307,7 +309,10 @@ class SetJoin:
                 made = [shingle_set(t.as_py(), words).tobytes() for t in b.column("text")]
                 yield pa.RecordBatch.from_arrays([b.column("sid"), pa.array(made, pa.binary())], ["sid", "tokens"])
 
+        wanted = materialize(wanted)
         owners = self.sets.join(wanted, "sid").select("sid", F.col("first_id"), F.col("text_key").alias("own_key"))
+        if wanted.count() <= SMALL_OWNERS:  # else the texts are shuffled
+            owners = F.broadcast(owners)
         texts = (self.docs.select("doc_id", text_or_empty().alias("text"), text_key().alias("text_key"))
                  .join(owners, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
                  .select("sid", "text"))

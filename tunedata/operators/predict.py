@@ -54,37 +54,90 @@ def echo_reverse() -> Predictor:
     return EchoReverse()
 
 
-def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory,
-             out_col: str = "generated", batch_size: int = 64) -> DataFrame:
+# Rows whose prompts are sorted by length before they are cut into batches.
+SORTED_ROWS = 4096
+
+
+def outputs(model: Predictor, prompts: Sequence, batch_size: int, errors: list | None) -> list:
+    """The model's outputs in the prompts' order; prompts of similar length share a batch.
+
+    Without ``errors`` a failing batch fails the job. With it, the batch is halved until the
+    rows that fail on their own are left; these give None, and their message in ``errors``.
+    """
+    out: list = [None] * len(prompts)
+
+    def run(rows: list) -> None:
+        try:
+            made = list(model([prompts[i] for i in rows]))
+            if len(made) != len(rows):
+                raise RuntimeError(f"predictor returned {len(made)} rows for {len(rows)}")
+        except Exception as e:  # noqa: BLE001 - whatever a user's model raises
+            if errors is None:
+                raise
+            if len(rows) == 1:
+                errors[rows[0]] = f"{type(e).__name__}: {e}"
+                return
+            run(rows[:len(rows) // 2])
+            run(rows[len(rows) // 2:])
+            return
+        for i, text in zip(rows, made, strict=True):
+            out[i] = text
+
+    order = sorted(range(len(prompts)), key=lambda i: (len(prompts[i]), i))
+    for at in range(0, len(order), batch_size):
+        run(order[at:at + batch_size])
+    return out
+
+
+def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory, out_col: str = "generated",
+             batch_size: int = 64, error_col: str | None = None, profile=None) -> DataFrame:
     """Run the predictor over ``prompt_col`` in batches; all input columns pass through.
 
-    Row order and row count of every batch are checked against the input.
+    Rows of one Arrow stream are taken ``SORTED_ROWS`` at a time and batched by prompt length, so
+    a batch has little padding; they come out in their order, and every batch's row count is checked.
+    With ``error_col`` a prompt that the predictor fails on has no output and the error in that
+    column (D6: to be quarantined); null prompts are such rows. ``profile`` is a Spark resource
+    profile for the stage (accelerators, memory of the Python workers).
     """
     from tunedata.session import ship_package
     ship_package(df.sparkSession)
-    schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)])
+    added = [StructField(c, StringType(), True) for c in (out_col, error_col) if c]
+    schema = StructType(df.schema.fields + added)
     key = uuid.uuid4().hex
 
+    def answered(frames: list, model: Predictor) -> pd.DataFrame:
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        prompts = pdf[prompt_col].tolist()
+        if error_col is None:
+            return pdf.assign(**{out_col: outputs(model, prompts, batch_size, None)})
+        missing = [p is None for p in prompts]
+        errors = ["ValueError: no prompt" if none else None for none in missing]
+        there = [i for i, none in enumerate(missing) if not none]
+        failed: list = [None] * len(there)
+        found = outputs(model, [prompts[i] for i in there], batch_size, failed)
+        texts: list = [None] * len(prompts)
+        for i, text, error in zip(there, found, failed, strict=True):
+            texts[i], errors[i] = text, error
+        return pdf.assign(**{out_col: texts, error_col: errors})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _predictor(factory, key)
+        held: list = []
         for pdf in batches:
-            outs: list[str] = []
-            prompts = pdf[prompt_col].tolist()
-            for i in range(0, len(prompts), batch_size):
-                chunk = prompts[i:i + batch_size]
-                res = list(model(chunk))
-                if len(res) != len(chunk):
-                    raise RuntimeError(f"predictor returned {len(res)} rows for {len(chunk)}")
-                outs.extend(res)
-            yield pdf.assign(**{out_col: outs})
+            held.append(pdf)
+            if sum(map(len, held)) >= SORTED_ROWS:
+                yield answered(held, model)
+                held = []
+        if held:
+            yield answered(held, model)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile)
 
 
-def batch_predict(df: DataFrame, prompt_col: str, factory: PredictorFactory,
-                  batch_size: int = 64, prefix_only: bool = False) -> DataFrame:
+def batch_predict(df: DataFrame, prompt_col: str, factory: PredictorFactory, batch_size: int = 64,
+                  prefix_only: bool = False, error_col: str | None = None, profile=None) -> DataFrame:
     """Generate, remove the prompt text from the output (D11), attach ``prediction``."""
-    g = generate(df, prompt_col, factory, "_generated", batch_size)
+    g = generate(df, prompt_col, factory, "_generated", batch_size, error_col, profile)
     return g.withColumn("prediction", strip_prompt(F.col("_generated"), F.col(prompt_col),
                                                    prefix_only)).drop("_generated")
 

@@ -353,8 +353,9 @@ FROM m""")
 def q_collate_rows(spark, sf):
     turns = tables.turns(spark, sf)
     lay = layouts.chat_layout(turns, CHAT_LEN, PROFILE.eos_id, HUMAN_ROLES)
-    lay = lay.withColumn("seq_len", F.size("input_ids"))
-    thin = materialize(lay.select("conv_id", F.col("seq_len").alias("_len")))
+    # Made and written once; lengths and arrays are read back from there.
+    lay = materialize(lay.withColumn("seq_len", F.size("input_ids")), how="table")
+    thin = lay.select("conv_id", F.col("seq_len").alias("_len"))
     steps = ordering.step_plan(thin, "conv_id", SEED, DEVICES, PER_DEVICE_BATCH, GRAD_ACCUM)
     c = ordering.collate_thin(lay, steps, "conv_id", "_len", PROFILE.pad_id)
     pads = F.slice("labels", F.col("seq_len") + 1, F.lit(1 << 20))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tunedata.operators.ordering import head_by_ordinal
 from tunedata.operators.predict import PredictorFactory, batch_predict, with_settings
 from tunedata.operators.templates import assemble_prompt, txt_output
+from tunedata.session import materialize
 from tunedata.sources import readers, sinks
 
 ORD = "_ord"
@@ -41,10 +42,13 @@ def _lines(spark: SparkSession, data_file: str) -> tuple[DataFrame, DataFrame]:
 
 
 def predictions(spark: SparkSession, data_file: str, factory: PredictorFactory,
-                limit: int | None = None, batch_size: int = 64, first_char: bool = False
-                ) -> tuple[DataFrame, DataFrame]:
+                limit: int | None = None, batch_size: int = 64, first_char: bool = False,
+                error_col: str | None = None, profile=None) -> tuple[DataFrame, DataFrame]:
     """(predictions, quarantined input lines) for one input file.
 
+    With ``error_col`` the predictions have that column, and rows the predictor fails on
+    stay among them without a prediction; ``profile`` is the predictor stage's resource profile.
+
     Of JSON lines the prediction frame has ``raw`` (the input object with all its
     keys), ``instruction``, ``input`` and ``prediction``. Without a limit nothing is
     sorted; with one, the rows it picks are dealt over the cluster again before
@@ -58,14 +62,17 @@ def predictions(spark: SparkSession, data_file: str, factory: PredictorFactory,
 
     if readers.reader_kind(data_file) == "txt":
         ok, bad = readers.read_prompts_txt(spark, data_file)
-        return txt_output(batch_predict(head(ok), "value", factory, batch_size), "value", "prediction"), bad
+        done = batch_predict(head(ok), "value", factory, batch_size, error_col=error_col, profile=profile)
+        kept = txt_output(done, "value", "prediction")
+        return (kept if error_col is None else done.select(
+            F.col("value").alias("Input"), F.col("prediction").alias("Output"), error_col)), bad
     ok, bad = _lines(spark, data_file)
     ok = head(ok)
     if first_char:  # what indexing a string does
         ok = ok.withColumn("instruction", F.when(F.col("_many").isNull(), F.array(F.substring("_one", 1, 1)))
                            .otherwise(F.col("instruction")))
     prompted = assemble_prompt(ok.select("raw", "instruction", "input"), out_col="_prompt")
-    return batch_predict(prompted, "_prompt", factory, batch_size).drop("_prompt"), bad
+    return batch_predict(prompted, "_prompt", factory, batch_size, error_col=error_col, profile=profile).drop("_prompt"), bad
 
 
 def with_prediction(preds: DataFrame) -> DataFrame:
@@ -78,12 +85,23 @@ def with_prediction(preds: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, data_file: str, output_path: str, factory: PredictorFactory,
         settings: dict | None = None, limit: int | None = None, batch_size: int = 64,
-        overwrite: bool = False, preview: int = 0) -> list:
+        overwrite: bool = False, preview: int = 0, quarantine_failures: bool = False, profile=None) -> list:
     """K1 + K2: ``<out>/generation_results`` (JSON lines: every key of the input and
     ``prediction``) and ``<out>/generation_config``. A factory that takes an argument
-    gets the settings. Returns the first ``preview`` inputs."""
+    gets the settings. Returns the first ``preview`` inputs.
+
+    With ``quarantine_failures`` a row that the predictor fails on costs that row alone: its
+    input and the error go to ``<out>/failed``."""
     full = {**sinks.DEFAULT_SETTINGS, **(settings or {})}
-    preds, bad = predictions(spark, data_file, with_settings(factory, full), limit, batch_size)
+    error_col = "_error" if quarantine_failures else None
+    preds, bad = predictions(spark, data_file, with_settings(factory, full), limit, batch_size, error_col=error_col,
+                             profile=profile)
+    if quarantine_failures:
+        preds = materialize(preds, how="table")  # the predictor runs once for both outputs
+        source = "raw" if "raw" in preds.columns else "Input"
+        failed = preds.filter(F.col(error_col).isNotNull()).select(F.col(source).alias("line"), F.col(error_col).alias("error"))
+        sinks.write_predictions(failed, f"{output_path}/failed", overwrite)
+        preds = preds.filter(F.col(error_col).isNull()).drop(error_col)
     first = spark.read.text(data_file).limit(preview).collect() if preview else []
     if "raw" in preds.columns:
         sinks.write_lines(with_prediction(preds), f"{output_path}/generation_results", overwrite)

@@ -8,7 +8,7 @@ counts and ranking, one per micro-batch for the padding window.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from tunedata.operators.profiles import resolve_profile
 from tunedata.operators.templates import select_prompt_response
 from tunedata.session import materialize
 from tunedata.sources import readers, sinks
+from tunedata.sources.outputs import Outputs, input_files
 
 
 @dataclass
@@ -40,6 +41,7 @@ class TrainingData:
     max_steps: int | None = None
     repeat_epochs: bool = False          # with max_steps: reshuffle and repeat the data until reached
     multiline_json: bool = False
+    json_array: bool = False             # one top-level array a file, read by many tasks
     fmt: str | None = None               # None: JSON by suffix; else parquet, orc or csv
     bucket_digits: int = 3               # 16^n buckets of the shuffle order; more for larger data
     preview_rows: int = 0                # first tokenized rows that ``build`` returns
@@ -82,7 +84,7 @@ def _builtin_formatter(spark: SparkSession, path: str, cfg: TrainingData, key: s
     if cfg.layout == "pair":
         wanted = list(dict.fromkeys([cfg.prompt_column, cfg.response_column]))
         schema = StructType([StructField(c, StringType(), True) for c in wanted])
-        raw = readers.read_examples(spark, path, schema, cfg.fmt, cfg.multiline_json)
+        raw = readers.read_examples(spark, path, schema, cfg.fmt, cfg.multiline_json, cfg.json_array)
         raw = raw.select(*wanted, *[c for c in (readers.CORRUPT,) if c in raw.columns])
         valid, bad = readers.split_valid(raw, wanted)
         sel = select_prompt_response(content_key(valid.select(*wanted), key), cfg.prompt_column,
@@ -91,7 +93,7 @@ def _builtin_formatter(spark: SparkSession, path: str, cfg: TrainingData, key: s
                                    prof.eos_id, prof.pad_id, mask_pad_labels=cfg.mask_pad_labels,
                                    keep=[key])
     elif cfg.layout == "chat":
-        raw = readers.read_json(spark, path, readers.CHAT_SCHEMA, cfg.multiline_json)
+        raw = readers.read_json(spark, path, readers.CHAT_SCHEMA, cfg.multiline_json, cfg.json_array)
         bad_row = F.col(readers.CORRUPT).isNotNull() | F.exists(
             F.coalesce("conversations", F.array()), lambda t: t["value"].isNull())
         valid, bad = raw.filter(~bad_row), raw.filter(bad_row)
@@ -121,9 +123,10 @@ def preview(seqs: DataFrame, key: str = "example_id", n: int = 1) -> list:
 def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example_id") -> DataFrame:
     """O1 -> L4 -> L3: shuffled, assigned to (step, rank, micro), padded per micro-batch.
 
-    Positions, steps and padded lengths are found on thin rows (key and sequence
-    length), computed once; the token arrays are joined once, at the end."""
-    thin = materialize(seqs.select(key, F.size("input_ids").alias("_len")))
+    The sequences are made and written once; positions, steps and padded lengths are found on
+    the keys and lengths read back from there, and the token arrays are joined once, at the end."""
+    stored = materialize(seqs.withColumn("_len", F.size("input_ids")), how="table")
+    seqs, thin = stored.drop("_len"), stored.select(key, "_len")
     if cfg.repeat_epochs and cfg.max_steps is not None:
         steps = ordering.epoch_plan(thin, key, cfg.seed, cfg.devices, cfg.per_device_train_batch_size,
                                     cfg.gradient_accumulation_steps, cfg.max_steps,
@@ -137,21 +140,29 @@ def batches(seqs: DataFrame, cfg: TrainingData, pad_id: int, key: str = "example
 def build(spark: SparkSession, train_file: str, output_dir: str, cfg: TrainingData,
           validation_file: str | None = None, overwrite: bool = False) -> dict:
     """Write ``<out>/train`` (batched) and ``<out>/validation`` (formatted like training rows,
-    with their shuffled position), plus ``<out>/quarantine/<split>``; returns the
-    written paths and, if asked for, the first tokenized rows as ``preview``."""
+    with their shuffled position), plus ``<out>/quarantine/<split>``, as one commit; returns the
+    written paths and, if asked for, the first tokenized rows as ``preview``.
+
+    A stopped job is gone on with when it is started again with the same settings and inputs:
+    finished outputs are kept (``Outputs``)."""
     prof = resolve_profile(cfg.model_name_or_path, cfg.model_type)
+    settings = {k: v for k, v in asdict(cfg).items() if k != "preview_rows"}
+    job = Outputs(spark, output_dir, {**settings, "inputs": [input_files(spark, f) for f in (train_file, validation_file)],
+                                      "files": [train_file, validation_file]}, overwrite)
+
+    def written(df: Callable[[], DataFrame]) -> Callable[[str], None]:
+        return lambda path: sinks.write_sequences(df(), path, overwrite=True)
+
     seqs, bad = sequences(spark, train_file, cfg)
-    out = {"train": f"{output_dir}/train", "quarantine_train": f"{output_dir}/quarantine/train"}
-    sinks.write_sequences(batches(seqs, cfg, prof.pad_id if prof.pad_id is not None else 0),
-                          out["train"], overwrite=overwrite)
-    sinks.write_sequences(bad, out["quarantine_train"], overwrite=overwrite)
+    pad_id = prof.pad_id if prof.pad_id is not None else 0
+    out = {"train": job.part("train", written(lambda: batches(seqs, cfg, pad_id))),
+           "quarantine_train": job.part("quarantine/train", written(lambda: bad))}
     if validation_file is not None:
         vseqs, vbad = sequences(spark, validation_file, cfg)
-        vseqs = ordering.shuffled_positions(vseqs, "example_id", cfg.seed, bucket_digits=cfg.bucket_digits)
-        out["validation"] = f"{output_dir}/validation"
-        out["quarantine_validation"] = f"{output_dir}/quarantine/validation"
-        sinks.write_sequences(vseqs, out["validation"], overwrite=overwrite)
-        sinks.write_sequences(vbad, out["quarantine_validation"], overwrite=overwrite)
+        out["validation"] = job.part("validation", written(lambda: ordering.shuffled_positions(
+            vseqs, "example_id", cfg.seed, bucket_digits=cfg.bucket_digits)))
+        out["quarantine_validation"] = job.part("quarantine/validation", written(lambda: vbad))
+    job.commit()
     if cfg.preview_rows:
         out["preview"] = preview(seqs, n=cfg.preview_rows)
     return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tunedata.functions.text import unquote_literal
+from tunedata.sources.json_array import read_json_array
 
 CORRUPT = "_corrupt"
 
@@ -42,22 +43,26 @@ def reader_kind(path: str) -> str:
     raise ValueError(f"unsupported file type: {path!r} (expected .json, .jsonl or .txt)")
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
-    """JSON lines (or one top-level array with ``multiline``)."""
+def read_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False,
+              array: bool = False) -> DataFrame:
+    """JSON lines (or one top-level array: with ``array`` read by many tasks, with
+    ``multiline`` a file in one)."""
+    if array:
+        return read_json_array(spark, path, schema, CORRUPT)
     return (spark.read.schema(_with_corrupt(schema))
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("multiLine", multiline).json(path))
 
 
 def read_examples(spark: SparkSession, path: str, schema: StructType = PROMPT_SCHEMA,
-                  fmt: str | None = None, multiline: bool = False) -> DataFrame:
+                  fmt: str | None = None, multiline: bool = False, array: bool = False) -> DataFrame:
     """``.json``/``.jsonl`` by suffix, any other path needs an explicit ``fmt``
     (parquet, orc, csv); there is no implicit download."""
     if fmt is None:
         kind = reader_kind(path)
         if kind != "json":
             raise ValueError(f"training examples must be JSON, got {path!r}")
-        return read_json(spark, path, schema, multiline)
+        return read_json(spark, path, schema, multiline, array)
     r = spark.read.format(fmt)
     if fmt == "csv":
         r = r.schema(schema).option("header", True)
@@ -65,9 +70,9 @@ def read_examples(spark: SparkSession, path: str, schema: StructType = PROMPT_SC
 
 
 def read_validation(spark: SparkSession, path: str | None, schema: StructType = PROMPT_SCHEMA,
-                    multiline: bool = False) -> DataFrame | None:
+                    multiline: bool = False, array: bool = False) -> DataFrame | None:
     """S3: validation examples, or None when no path is given."""
-    return None if path is None else read_json(spark, path, schema, multiline)
+    return None if path is None else read_json(spark, path, schema, multiline, array)
 
 
 def split_valid(df: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:

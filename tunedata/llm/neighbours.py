@@ -1,22 +1,31 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-Vectors are centred, scaled to length one and rotated by a random orthogonal
-matrix; the signs are the code, packed to bytes, with two scalars beside it: the
-length, and the inner product of the scaled vector with its code. Inner
-products with a query are estimated from the packed bits (a table of 256 sums
-for each byte of the code), with an error bound that holds with high
-probability. Only vectors whose bounded distance may be below the query's
-current k-th distance are compared exactly.
-
-Every row is indexed and every query meets every code, block by block: a block
-of queries is broadcast (``block`` rows at most), the tasks scan their part of
-the index and each keeps k rows for a query, which a window merges. Index and
-scan are spread over the rows, so equal or crowded vectors make no group.
+Vectors are centred, scaled to length one and rotated by random orthogonal
+matrices, as many as make at least ``code_bits`` coordinates; their signs are the code,
+packed to bytes, with two scalars beside it: the length, and the inner product of the
+scaled vector with its code. Inner products with a query are estimated from the
+packed bits, with an error bound that holds with high probability, so a code gives
+a lower and an upper bound of the distance.
+
+Two passes over the index for a block of queries:
+
+1. over the codes alone: each task keeps the k smallest upper bounds of a query; the k-th
+   smallest of all tasks is the query's limit;
+2. vectors whose lower bound is within the limit are compared exactly, and no others; each task
+   keeps k rows of a query, which a window merges.
+
+Every row is indexed and every query meets every code, so the cost is queries x rows of code
+estimates; what the codes save is the exact comparisons. A block has as many queries as
+``block_bytes`` allow at the codes' width, so neither broadcast nor worker grow with the
+queries or the dimension. Index and scan are spread over the rows, so equal or crowded vectors
+make no group.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do those whose number of components is not the
 most common one (of equally common ones the smallest); equal rows are separate
-candidates; ties go to the smaller id; an empty table gives no rows.
+candidates; ties go to the smaller id; of rows that share an id each is a candidate of other
+ids' queries, and each is a query under that id, whose results are merged; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +42,8 @@ from tunedata.session import materialize
 
 # Standard deviations that the bound on an estimated inner product allows for.
 EPSILON = 3.0
-SCAN_ROWS = 2048
+# Codes compared with a block of queries at a time.
+SCAN_ROWS = 256
 
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -46,14 +56,21 @@ def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 class Coder:
-    """Random rotation and centre; ``fit_rows`` rows at most are seen for the centre."""
+    """Random rotations and centre."""
 
-    def __init__(self, sample: np.ndarray, seed: int):
+    def __init__(self, sample: np.ndarray, seed: int, code_bits: int):
         self.dim = sample.shape[1]
         self.centre = sample.mean(0)
+        self.turns = max(1, -(-code_bits // self.dim))
         rng = np.random.default_rng(seed)
-        q, r = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))
-        self.rotation = q * np.sign(np.diag(r))
+        turned = []
+        for _ in range(self.turns):
+            q, r = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))
+            turned.append(q * np.sign(np.diag(r)))
+        self.rotation = np.concatenate(turned, 1) / np.sqrt(self.turns)
+        self.width = self.dim * self.turns
+        # Standard deviation of the estimate's error, but for the code's own part.
+        self.spread = EPSILON / np.sqrt(max(1, (self.dim - 1) * self.turns))
 
     def rotated(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = x - self.centre
@@ -63,17 +80,19 @@ class Coder:
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Packed codes, lengths, and inner products of the vectors with their codes."""
         unit, length = self.rotated(x)
-        bits = unit > 0
-        agree = np.abs(unit).sum(1) / np.sqrt(self.dim)
-        return np.packbits(bits, axis=1), length, agree
+        return np.packbits(unit > 0, axis=1), length, np.abs(unit).sum(1) / np.sqrt(self.width)
 
-    def tables(self, unit: np.ndarray) -> np.ndarray:
-        """For each query and code byte, the sum over each byte value's signs."""
-        width = -(-self.dim // 8)
-        padded = np.zeros((len(unit), width * 8))
-        padded[:, :self.dim] = unit
-        signs = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1
-        return (padded.reshape(-1, width, 8) @ signs.T / np.sqrt(self.dim)).astype(np.float32)
+    def bounds(self, unit: np.ndarray, q_length: np.ndarray, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Squared lower and upper bounds of the distances of queries (rows) and codes (columns)."""
+        codes = np.frombuffer(b"".join(b.column("code").to_pylist()), np.uint8).reshape(b.num_rows, -1)
+        signs = np.unpackbits(codes, axis=1, count=self.width).astype(np.float32) * 2 - 1
+        length, agree = b.column("length").to_numpy(), np.maximum(b.column("agree").to_numpy(), 1e-9)
+        near = (unit @ signs.T) / np.float32(np.sqrt(self.width)) / agree
+        slack = np.sqrt(np.maximum(0, 1 - agree * agree)) / agree * self.spread
+        both, cross = length ** 2 + (q_length ** 2)[:, None], 2 * length * q_length[:, None]
+        # Where the estimate is single precision, the bounds leave room for it.
+        room = 1e-6 * both + 1e-12
+        return (both - cross * np.minimum(1, near + slack) - room, both - cross * np.maximum(-1, near - slack) + room)
 
 
 def index(vectors: DataFrame, coder, vector: str = "embedding") -> DataFrame:
@@ -123,59 +142,92 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def scan(coder: Coder, ids: np.ndarray, queries: np.ndarray, batches: Iterator[pa.RecordBatch], k: int) -> Best:
-    """Nearest rows of a part of the index for a block of queries."""
-    best = Best(len(ids), k)
-    unit, q_length = coder.rotated(queries)
-    tables = coder.tables(unit)
-    spread = EPSILON / np.sqrt(max(1, coder.dim - 1))
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, SCAN_ROWS):
-            part = b.slice(lo, SCAN_ROWS)
-            vec_id = part.column("vec_id").to_numpy()
-            codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(len(vec_id), -1)
-            length, agree = part.column("length").to_numpy(), np.maximum(part.column("agree").to_numpy(), 1e-9)
-            ip = np.zeros((len(ids), len(vec_id)), np.float32)
-            for byte in range(codes.shape[1]):
-                ip += tables[:, byte, :][:, codes[:, byte]]
-            bound = np.sqrt(np.maximum(0, 1 - agree * agree)) / agree * spread
-            upper = np.minimum(1.0, ip / agree + bound)
-            lower = length ** 2 + (q_length ** 2)[:, None] - 2 * length * q_length[:, None] * upper
-            q, x = np.nonzero((lower <= (best.worst ** 2 * (1 + 1e-6) + 1e-12)[:, None]) & (ids[:, None] != vec_id))
-            vectors = _matrix(part.column("vector"), coder.dim)
-            for at in range(0, len(q), 1 << 17):
-                qs, xs = q[at:at + (1 << 17)], x[at:at + (1 << 17)]
-                best.add(qs, distances(queries[qs], vectors[xs]), vec_id[xs])
-    return best
-
-
-def search(vectors: DataFrame, is_query, k: int = 10, block: int = 16384, fit_rows: int = 10_000,
-           seed: int = 42) -> DataFrame:
+            yield b.slice(lo, SCAN_ROWS)
+
+
+def upper_bounds(coder: Coder, ids: np.ndarray, queries: np.ndarray, batches: Iterator[pa.RecordBatch], k: int) -> np.ndarray:
+    """The ``k`` smallest squared upper bounds of each query over a part of the index (infinite where there are fewer)."""
+    unit, q_length = coder.rotated(queries)
+    unit = unit.astype(np.float32)
+    least = np.full((len(ids), k), np.inf)
+    for part in _parts(batches):
+        upper = coder.bounds(unit, q_length, part)[1]
+        upper[ids[:, None] == part.column("vec_id").to_numpy()] = np.inf
+        least = np.partition(np.concatenate([least, upper], 1), k - 1, 1)[:, :k]
+    return least
+
+
+def scan(coder: Coder, ids: np.ndarray, queries: np.ndarray, limit: np.ndarray, batches: Iterator[pa.RecordBatch],
+         k: int) -> tuple[Best, int]:
+    """Nearest rows of a part of the index for a block of queries with their squared limits, and how
+    many rows were compared exactly."""
+    best, compared = Best(len(ids), k), 0
+    unit, q_length = coder.rotated(queries)
+    unit = unit.astype(np.float32)
+    for part in _parts(batches):
+        vec_id = part.column("vec_id").to_numpy()
+        lower = coder.bounds(unit, q_length, part)[0]
+        worst = np.minimum(limit, best.worst ** 2 * (1 + 1e-9))
+        q, x = np.nonzero((lower <= worst[:, None]) & (ids[:, None] != vec_id))
+        compared += len(q)
+        vectors = _matrix(part.column("vector"), coder.dim)
+        for at in range(0, len(q), 1 << 16):
+            qs, xs = q[at:at + (1 << 16)], x[at:at + (1 << 16)]
+            best.add(qs, distances(queries[qs], vectors[xs]), vec_id[xs])
+    return best, compared
+
+
+def block_size(coder: Coder, k: int, block_bytes: int) -> int:
+    """Queries of a block: their vectors and rotated forms, what the bounds of ``SCAN_ROWS`` codes take, and ``k`` rows."""
+    return max(1, block_bytes // (8 * coder.dim + 12 * coder.width + 48 * SCAN_ROWS + 64 * k))
+
+
+def search(vectors: DataFrame, is_query, k: int = 10, code_bits: int = 512, block_bytes: int = 256 << 20,
+           fit_rows: int = 10_000, seed: int = 42) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row that the
-    condition ``is_query`` picks, by Euclidean distance, its own id left out."""
+    condition ``is_query`` picks, by Euclidean distance, its own id left out. ``fit_rows`` rows at
+    most are seen for the centre."""
     spark = vectors.sparkSession
     python_ready(spark)
     rows = usable(vectors.select("vec_id", "embedding").filter("vec_id is not null"))
     sample = rows.orderBy(F.xxhash64("vec_id")).limit(fit_rows).select("embedding").collect()
     schema = "query_id bigint, vec_id bigint, score double"
+    empty = spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     if not sample:
-        return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    coder = spark.sparkContext.broadcast(Coder(np.array([r[0] for r in sample], np.float64), seed))
-    codes = materialize(index(rows, coder))
+        return empty
+    coder = spark.sparkContext.broadcast(Coder(np.array([r[0] for r in sample], np.float64), seed, code_bits))
+    codes = materialize(index(rows, coder), how="table")
     asked = codes.filter(is_query).select("vec_id", "vector").distinct()
-    blocks = max(1, -(-asked.count() * 5 // (4 * block)))
+    # Blocks by hash are filled unevenly: a quarter more of them keeps each within its size.
+    blocks = max(1, -(-asked.count() * 5 // (4 * block_size(coder.value, k, block_bytes))))
     found = None
     for n in range(blocks):
-        part = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).toArrow()
+        part = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).orderBy("vec_id", "vector").toArrow()
         if not part.num_rows:
             continue
         ids = part.column("vec_id").to_numpy()
         queries = part.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         shared = spark.sparkContext.broadcast((ids, queries))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def bound(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, queries = shared.value
+            least = upper_bounds(coder.value, ids, queries, batches, k)
+            q, _ = np.nonzero(np.isfinite(least))
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(least[np.isfinite(least)])], ["q", "upper"])
+
+        tops = codes.select("vec_id", "code", "length", "agree").mapInArrow(bound, "q int, upper double")
+        place = F.row_number().over(Window.partitionBy("q").orderBy("upper"))
+        limits = tops.withColumn("place", place).filter(F.col("place") == k).select("q", "upper").toArrow()  # a row a query
+        limit = np.full(len(ids), np.inf)
+        limit[limits.column("q").to_numpy()] = limits.column("upper").to_numpy()
+        limited = spark.sparkContext.broadcast(limit)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, limited=limited) -> Iterator[pa.RecordBatch]:
             ids, queries = shared.value
-            best = scan(coder.value, ids, queries, batches, k)
+            best, _ = scan(coder.value, ids, queries, limited.value, batches, k)
             yield pa.RecordBatch.from_arrays([pa.array(ids[best.q]), pa.array(best.i), pa.array(best.d)],
                                              ["query_id", "vec_id", "score"])
 
@@ -183,7 +235,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, block: int = 16384, fit_ro
         near = materialize(near) if blocks > 1 else near
         found = near if found is None else found.union(near)
     if found is None:
-        return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
+        return empty
     nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -144,7 +144,7 @@ class SetJoin:
     """The join over the distinct sets of ``docs``; see the module's text for its steps."""
 
     def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, heavy: int = 32, heavies: int = 1 << 18,
-                 block: int = 256, nearest: int = 2):
+                 block: int = 256, nearest: int = 1):
         if not 0 < percent <= 100:
             raise ValueError("percent is from 1 to 100")
         self.docs, self.words, self.percent = docs, words, percent

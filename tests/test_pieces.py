@@ -116,3 +116,14 @@ def test_learned_pieces_agree_with_the_word_encoder(spark):
     a = pieces.text_ids(frame(spark, texts[:2]), "k", "text", v).orderBy("k").collect()
     b = encode.encode_pieces(frame(spark, texts[:2]), "k", "text", v).orderBy("k").collect()
     assert a == b
+
+
+def test_word_pieces_beyond_the_bound(spark):
+    """``encode_pieces`` gives the same ids with its vocabulary broadcast and as a table."""
+    texts = ["the cat sat on the mat", "that  cat\n", "a hat <sepra> the<sepra>hat", "", None, " \t", "<sepra>", f"é {WORD_MARK}the",
+             "the cat sat on the mat"]
+    v = vocab.bpe_vocab(spark.createDataFrame([(t,) for t in texts[:2]], "value string"), n_merges=12, coverage=1.0)
+    docs = spark.createDataFrame([*enumerate(texts), (0, "the cat"), (0, "the cat")], "k long, text string")
+    one, two = (sorted(((r["k"], r["ids"]) for r in encode.encode_pieces(docs, "k", "text", v, max_bytes=m).collect()))
+                for m in (1 << 20, 0))
+    assert one == two and len(one) == len(texts) + 2

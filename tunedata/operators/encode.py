@@ -26,7 +26,7 @@ from tunedata.session import ship_package
 
 # Largest dictionary that is sent to every executor: UTF-8 bytes of its tokens
 # and this many for each entry.
-MAX_DICTIONARY_BYTES, ENTRY_BYTES = 256 << 20, 100
+MAX_DICTIONARY_BYTES, ENTRY_BYTES = 32 << 20, 100
 # Distinct words whose pieces a worker remembers.
 REMEMBERED_WORDS = 200_000
 
@@ -209,11 +209,12 @@ def encode_pieces(df: DataFrame, key: str, text_col: str, vocab: DataFrame, unk_
                   max_bytes: int = MAX_DICTIONARY_BYTES) -> DataFrame:
     """V6 with a subword vocabulary: ``(key, ids ARRAY<INT>)`` per row.
 
-    A subword vocabulary is capped by its ``vocab_size``; one beyond ``max_bytes`` is an error.
+    One beyond ``max_bytes`` stays a table that the distinct words are joined with (``pieces``).
     """
     rows = dictionary(vocab, max_bytes)
     if rows is None:
-        raise ValueError("the subword vocabulary is too large to send to the executors")
+        from tunedata.operators import pieces
+        return pieces.joined_ids(df, key, text_col, vocab, unk_id=unk_id, cutter=pieces.WordCutter)
     shared = df.sparkSession.sparkContext.broadcast(rows)
     return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()),
                        lambda: PieceEncoder(shared.value, unk_id)).select(key, "ids")

@@ -128,6 +128,30 @@ class Cutter:
             begins = False
 
 
+class WordCutter(Cutter):
+    """The cut of ``encode.PieceEncoder``: words between white space, which is lost; a part that begins its
+    word carries the mark."""
+
+    def __init__(self, symbols: list, whole: bool):
+        symbols = sorted(symbols, key=lambda s: (-len(s), s))
+        self.parts = re.compile("(" + "|".join(map(re.escape, symbols)) + ")").split if symbols else lambda t: [t]
+
+    def __call__(self, text: str | None) -> Iterator[tuple[int, str]]:
+        begins = True
+        for n, part in enumerate(self.parts(text or "")):
+            if n % 2:
+                if begins:
+                    yield self.WORD, WORD_MARK
+                yield self.SYMBOL, part
+                begins = False
+                continue
+            raw = part.encode()
+            for k, word in enumerate(raw.split()):  # of bytes: at ASCII white space only
+                yield self.WORD, (WORD_MARK if begins or k or raw[:1].isspace() else "") + word.decode()
+            if raw:
+                begins = begins and not raw.strip() or raw[-1:].isspace()
+
+
 class Vocabulary:
     """Bounded facts of a vocabulary: its byte ids, user symbols, worst score, longest piece, and whether
     marks stand inside of pieces."""
@@ -163,7 +187,7 @@ def text_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_typ
         raise ValueError(f"model_type must be bpe or unigram (got {model_type!r})")
     facts = Vocabulary(vocab)
     if facts.bytes > max_bytes:
-        return _joined_ids(df, key, text_col, vocab, facts, model_type, unk_id)
+        return joined_ids(df, key, text_col, vocab, model_type, unk_id, facts)
     table = _normal(vocab).toArrow()
     pieces = dict(zip(table.column("token").to_pylist(),
                       zip(table.column("id").to_pylist(), table.column("score").to_pylist(), strict=True), strict=True))
@@ -187,10 +211,11 @@ def text_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_typ
     return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()), make).select(key, "ids")
 
 
-def _joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, facts: Vocabulary, model_type: str,
-                unk_id: int) -> DataFrame:
+def joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_type: str = "bpe", unk_id: int = UNK_ID,
+               facts: Vocabulary | None = None, cutter=Cutter) -> DataFrame:
     """``text_ids`` with the vocabulary as a table: equal to the broadcast form on any input."""
     ship_package(df.sparkSession)
+    facts = facts or Vocabulary(vocab)
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast(facts)
     # Rows are numbered once, so that equal keys and texts stay rows of their own.
@@ -198,7 +223,7 @@ def _joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, facts:
                                  F.col(text_col).alias("_text")), how="table")
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Cutter(list(shared.value.symbols), shared.value.whole)
+        cut = cutter(list(shared.value.symbols), shared.value.whole)
         for b in batches:
             found = [list(cut(t)) for t in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -236,7 +236,7 @@ def train(words: DataFrame, pair_counts, n_merges: int, max_segments: int = 50_0
             k, reach = ladder[step]
             top, complete = ranked[:k], len(ranked) <= k
             if step == 0:
-                found = top  # the best pair alone needs no segments
+                found, step = top, 1  # the best pair alone needs no segments
                 break
             rows = segments_of(words, [(a, b) for a, b, _ in top], reach).limit(max_segments + 1).collect()
             if len(rows) > max_segments:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tunedata.operators import predict, vocab
+from tunedata.operators import predict, profiles, vocab
 from tunedata.operators.layouts import pair_layout
 from tunedata.plans import training
 from tunedata.plans.catalog import PROFILE, SOURCE_LEN, SQL_PAIRS, SQL_WORDS, TARGET_LEN, _big, register
@@ -69,6 +69,23 @@ def q_preview_rows(spark, sf):
     return shown.select("example_id", F.md5("decoded").alias("decoded_md5"))
 
 
+MODEL_PATHS = (("hub/pythia-12b-deduped//", "pythia"), ("bloomz-7b1", "bloom"), ("/models/x/open_llama_7b/", "llama"))
+
+
+@register("document_special_ids", """
+SELECT CAST(doc_id AS BIGINT) AS doc_id, model_name, CAST(bos AS BIGINT) AS bos_id, CAST(eos AS BIGINT) AS eos_id,
+       CAST(pad AS BIGINT) AS pad_id
+FROM documents JOIN (VALUES (0, 'pythia-12b-deduped', 0, 0, 1), (1, 'bloomz-7b1', 1, 2, 3), (2, 'open_llama_7b', 1, 2, 0))
+     m(k, model_name, bos, eos, pad) ON doc_id % 3 = k""")
+def q_document_special_ids(spark, sf):
+    """J1, J2, F-str-4: documents meant for several models, each row with the special ids of its own."""
+    path, kind = (F.element_at(F.array(*[F.lit(m[i]) for m in MODEL_PATHS]), (F.col("doc_id") % 3 + 1).cast("int"))
+                  for i in range(2))
+    docs = tables.table(spark, sf, "documents").select("doc_id", path.alias("path"), kind.alias("kind"))
+    found = profiles.attach_special_ids(docs, "path", "kind")
+    return found.select(_big("doc_id"), "model_name", _big("bos_id"), _big("eos_id"), _big("pad_id"))
+
+
 FAILS_ON = 97
 
 

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from tunedata.session import materialize, ship_package
 
 # Pairs and symbols around them that a round looks at, from careful to bold.
-LADDER = ((1, 0), (4, 1), (8, 2), (16, 2), (32, 3), (64, 3), (128, 4), (256, 4), (512, 6), (1024, 8), (2048, 8), (4096, 8))
+LADDER = ((1, 0), (4, 1), (8, 1), (16, 1), (32, 1), (64, 1), (64, 2), (128, 2), (256, 2), (512, 3), (1024, 4), (2048, 6),
+          (4096, 8))
 OPEN_LEFT, OPEN_RIGHT = 1, 2
 
 
@@ -219,17 +220,20 @@ def merged(words: DataFrame, merges: list) -> DataFrame:
     return words.mapInArrow(run, "sym string, n bigint")
 
 
-def train(words: DataFrame, pair_counts, n_merges: int, max_segments: int = 50_000, ladder=LADDER) -> list:
+def _rows(df: DataFrame, *columns: str) -> list:
+    table = df.select(*columns).toArrow()
+    return list(zip(*(table.column(c).to_pylist() for c in columns), strict=True))
+
+
+def train(words: DataFrame, pair_counts, n_merges: int, max_segments: int = 200_000, ladder=LADDER) -> list:
     """Greedy merges ``(rank, a, b, n)``, ties to the smaller ``(a, b)``, of ``words`` (``sym, n``: symbols
     between spaces); ``pair_counts`` makes the table ``a, b, n`` of such words."""
     ship_package(words.sparkSession)
     merges: list = []
     products: set = set()
-    step = 1
+    step = min(3, len(ladder) - 1)
     while len(merges) < n_merges:
-        most = ladder[-1][0]
-        ranked = [(r["a"], r["b"], int(r["n"])) for r in
-                  pair_counts(words).orderBy(F.desc("n"), "a", "b").limit(most + 1).collect()]
+        ranked = _rows(pair_counts(words).orderBy(F.desc("n"), "a", "b").limit(ladder[-1][0] + 1), "a", "b", "n")
         if not ranked:
             break
         while True:
@@ -238,13 +242,13 @@ def train(words: DataFrame, pair_counts, n_merges: int, max_segments: int = 50_0
             if step == 0:
                 found, step = top, 1  # the best pair alone needs no segments
                 break
-            rows = segments_of(words, [(a, b) for a, b, _ in top], reach).limit(max_segments + 1).collect()
+            rows = _rows(segments_of(words, [(a, b) for a, b, _ in top], reach).limit(max_segments + 1), "sym", "n", "ends")
             if len(rows) > max_segments:
                 step -= 1
                 continue
-            segments = [(r["sym"].split(" "), r["n"], r["ends"]) for r in rows]
+            segments = [(sym.split(" "), n, ends) for sym, n, ends in rows]
             found = greedy(top, complete, segments, products, n_merges - len(merges))
-            if len(rows) < max_segments // 2 and step + 1 < len(ladder):
+            if len(rows) < max_segments * 2 // 3 and step + 1 < len(ladder):
                 step += 1
             break
         for a, b, n in found:

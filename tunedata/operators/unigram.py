@@ -151,7 +151,7 @@ class Lattice:
             forward.append(_log_sum([forward[k - n][:self.reach[k]] + logp[ids] for n, ids in self._steps(k)]))
         z = np.array([forward[n][w] for w, n in enumerate(self.length.tolist())])
         backward: list = [None] * (self.most + 1)
-        counts = np.zeros(len(logp), np.int64)
+        at, parts = [np.zeros(0, np.int64)], [np.zeros(0)]
         for k in range(self.most, -1, -1):
             m = self.reach[k]
             terms = [np.where(self.length[:m] == k, 0.0, -np.inf)]
@@ -161,9 +161,15 @@ class Lattice:
                 s = np.full(m, -np.inf)
                 s[:r] = logp[ids] + backward[k + n]
                 terms.append(s)
-                p = np.exp(forward[k][:r] + s[:r] - z[:r]) * weight[:r]
-                np.add.at(counts, ids, np.rint(p * UNIT).astype(np.int64))
+                at.append(ids)
+                parts.append(np.rint(np.exp(forward[k][:r] + s[:r] - z[:r]) * weight[:r] * UNIT))
             backward[k] = _log_sum(terms)
+        ids, p = np.concatenate(at), np.concatenate(parts)
+        if p.sum() < 1 << 52:  # whole numbers that doubles add up exactly
+            counts = np.bincount(ids, p, len(logp)).astype(np.int64)
+        else:
+            counts = np.zeros(len(logp), np.int64)
+            np.add.at(counts, ids, p.astype(np.int64))
         counts[-2:] = 0
         return np.append(counts[:-2], np.rint((z * weight).sum()).astype(np.int64))
 

@@ -42,7 +42,7 @@ def q_bpe_30k_encode(spark, sf):
 @register("unigram_encode")
 def q_unigram_encode(spark, sf):
     """V1 with ``model_type=unigram``: pieces by EM over all documents, then best paths and back."""
-    v = unigram.unigram_vocab(_documents_corpus(spark, sf), UNIGRAM_SIZE - 256)
+    v = unigram.unigram_vocab(_documents_corpus(spark, sf), UNIGRAM_SIZE - 256, seed_size=4 * UNIGRAM_SIZE)
     return _encoded(spark, sf, pieces.with_byte_pieces(v), "unigram")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tunedata.functions.codec import WORD_MARK, words
 from tunedata.operators.vocab import UNK_ID
-from tunedata.session import ship_package
+from tunedata.session import ship_package, slices
 
 # Largest dictionary that is sent to every executor: UTF-8 bytes of its tokens
 # and this many for each entry.
@@ -45,7 +45,7 @@ def _map_column(df: DataFrame, col: str, out: str, kind: str, arrow: pa.DataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             made = pa.array([fn(v) for v in b.column(col).to_pylist()], arrow)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], made], [*kept, out])
 

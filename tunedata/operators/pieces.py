@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tunedata.functions.codec import WORD_MARK
 from tunedata.operators.encode import REMEMBERED_WORDS, _joined, _map_column
 from tunedata.operators.vocab import UNK_ID
-from tunedata.session import materialize, ship_package
+from tunedata.session import materialize, ship_package, slices
 
 # Largest vocabulary that is broadcast: bytes of its tokens and so many for each entry.
 MAX_BROADCAST_BYTES, ENTRY_BYTES = 32 << 20, 100
@@ -224,7 +224,7 @@ def joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_t
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = cutter(list(shared.value.symbols), shared.value.whole)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             found = [list(cut(t)) for t in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("_row"), pa.array([[k for k, _ in f] for f in found], pa.list_(pa.int32())),
@@ -247,7 +247,7 @@ def joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_t
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = shared.value
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             out = []
             for kind, part, pieces in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "pieces")), strict=True):
                 segment = facts.segmenter({p["token"]: (p["id"], p["score"]) for p in pieces or ()}, unk_id, model_type)
@@ -328,7 +328,7 @@ def decode_texts(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, max_by
             .agg(F.collect_list(F.struct("token", "id", "kind")).alias("pieces")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             texts = [Decoder([(p["token"], p["id"], p["kind"]) for p in pieces or ()])(ids)
                      for ids, pieces in zip(b.column("_ids").to_pylist(), b.column("pieces").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("_key"), pa.array(texts, pa.string())], ["_key", "text"])

@@ -54,8 +54,8 @@ def echo_reverse() -> Predictor:
     return EchoReverse()
 
 
-# Rows whose prompts are sorted by length before they are cut into batches.
-SORTED_ROWS = 4096
+# Most rows, and characters of prompts, that are sorted by length before they are cut into batches.
+SORTED_ROWS, SORTED_CHARS = 4096, 1 << 20
 
 
 def outputs(model: Predictor, prompts: Sequence, batch_size: int, errors: list | None) -> list:
@@ -93,7 +93,7 @@ def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory, out_col:
              batch_size: int = 64, error_col: str | None = None, profile=None) -> DataFrame:
     """Run the predictor over ``prompt_col`` in batches; all input columns pass through.
 
-    Rows of one Arrow stream are taken ``SORTED_ROWS`` at a time and batched by prompt length, so
+    Rows of one Arrow stream are taken ``SORTED_ROWS`` or ``SORTED_CHARS`` at a time and batched by prompt length, so
     a batch has little padding; they come out in their order, and every batch's row count is checked.
     With ``error_col`` a prompt that the predictor fails on has no output and the error in that
     column (D6: to be quarantined); null prompts are such rows. ``profile`` is a Spark resource
@@ -123,11 +123,17 @@ def generate(df: DataFrame, prompt_col: str, factory: PredictorFactory, out_col:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _predictor(factory, key)
         held: list = []
+        rows = chars = 0
         for pdf in batches:
-            held.append(pdf)
-            if sum(map(len, held)) >= SORTED_ROWS:
-                yield answered(held, model)
-                held = []
+            at = 0
+            # Ends of the parts: behind the row that fills one up.
+            for i, prompt in enumerate(pdf[prompt_col].tolist(), 1):
+                rows, chars = rows + 1, chars + len(prompt or "")
+                if rows >= SORTED_ROWS or chars >= SORTED_CHARS:
+                    yield answered([*held, pdf.iloc[at:i]], model)
+                    held, at, rows, chars = [], i, 0, 0
+            if at < len(pdf):
+                held.append(pdf.iloc[at:])
         if held:
             yield answered(held, model)
 

@@ -117,3 +117,28 @@ def test_segments_and_merges_of_words(spark):
         runs.merge(a, b)
     want = sorted((" ".join(runs.text[s] for s in w), n) for w, n in zip(runs.words, runs.counts, strict=True) if len(w) > 1)
     assert sorted(tuple(r) for r in after) == want
+
+
+def test_pair_counts_of_batches(spark):
+    """Counted in the tasks as by native expressions, also where a task gives its counts in parts."""
+    rng = random.Random(6)
+    words = [(" ".join(rng.choices(["a", "b", "ab", "é", "中文", "𝒳"], k=rng.randint(1, 9))), rng.randint(1, 1 << 40)) for _ in range(900)]
+    df = spark.createDataFrame(words, "sym string, n bigint").repartition(3)
+    want = sorted(tuple(r) for r in vocab.pair_counts(df).collect())
+    assert sorted(tuple(r) for r in bpe_train.pair_counts(df).collect()) == want
+    assert bpe_train.pair_counts(df.limit(0)).count() == 0
+
+
+def test_words_counted_in_tasks(spark):
+    """One count of the words gives the words and characters that the texts have."""
+    texts = [" a\tb\x0b\x0cc\r\nd ", "a\x1cb a\x85b a\xa0b c", "x<sepra>y <sepra> z", "￿ ￿q<sepra>", "", None, " ", "é中 𝒳 a a"]
+    corpus = spark.createDataFrame([(t,) for t in texts], "value string").repartition(3)
+    for symbols in ((), ("<sepra>",)):
+        cut = corpus.withColumn("value", vocab.cut_symbols(corpus["value"], symbols, vocab.CUT))
+        assert sorted(vocab.counted_words(corpus, user_symbols=symbols).collect()) == sorted(vocab.word_counts(cut).collect())
+        chars = {r["ch"] for r in vocab.char_counts(corpus, user_symbols=symbols).collect()}
+        covered = vocab.covered_chars(corpus, coverage=1.0, user_symbols=symbols).collect()
+        assert {r["token"] for r in covered} == chars | {vocab.WORD_MARK}
+        order = vocab.char_coverage(vocab.char_counts(corpus, user_symbols=symbols)).collect()
+        rank = {r["token"]: r["rank"] for r in covered}
+        assert sorted(chars, key=rank.get) == [r["ch"] for r in sorted(order, key=lambda r: r["rank"])]

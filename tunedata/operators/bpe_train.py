@@ -23,7 +23,9 @@ import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from tunedata.session import materialize, ship_package
 LADDER = ((1, 0), (4, 1), (8, 1), (16, 1), (32, 1), (64, 1), (64, 2), (128, 2), (256, 2), (512, 3), (1024, 4), (2048, 6),
           (4096, 8))
 OPEN_LEFT, OPEN_RIGHT = 1, 2
+# Words that a task takes as arrays at a time, and distinct pairs that it holds before they go on.
+BATCH_WORDS, HELD_PAIRS = 1 << 15, 1 << 21
 
 
 class Words:
@@ -164,58 +168,167 @@ def greedy(top: list, complete: bool, segments: list, products: set, remaining:
     return taken
 
 
+class Batch:
+    """Words (``sym, n``) as arrays: ``codes`` number their symbols in ``names``, one word behind the other."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        lists = pc.split_pattern(batch.column("sym"), " ")
+        flat = lists.flatten().dictionary_encode()
+        self.names, self.codes = flat.dictionary, flat.indices.to_numpy().astype(np.int64)
+        self.lengths = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        self.counts = batch.column("n").to_numpy()
+        self.number = {name: i for i, name in enumerate(self.names.to_pylist())}
+
+    def numbers(self, names: list) -> np.ndarray:
+        """Numbers of ``names``; those that no word has are added."""
+        fresh = len(self.number)
+        found = np.array([self.number.setdefault(name, len(self.number)) for name in names], np.int64)
+        if len(self.number) > fresh:
+            self.names = pa.concat_arrays([self.names, pa.array(list(self.number)[fresh:], pa.string())])
+        return found
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of some ten thousand words, whatever the size of those that come."""
+    held: list = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= BATCH_WORDS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def _pair_keys(codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every position's pair with the next one as a number (-1 at the end of a word), and its word."""
+    keys = np.full(len(codes), -1, np.int64)
+    keys[:-1] = codes[:-1] << 32 | codes[1:]
+    keys[np.cumsum(lengths) - 1] = -1
+    return keys, np.repeat(np.arange(len(lengths)), lengths)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``keys`` and the sums of their ``counts``."""
+    order = np.argsort(keys, kind="stable")
+    keys, at = np.unique(keys[order], return_index=True)
+    return keys, np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+
+
+def pair_counts(words: DataFrame) -> DataFrame:
+    """``a, b, n``: adjacent pairs of the symbols of ``words`` (``sym, n``) with their counts, as
+    ``vocab.pair_counts``; a task sums up its words before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict = {}
+        held: list = []
+
+        def rows(sums: tuple) -> pa.RecordBatch:
+            text, (keys, n) = pa.array(list(names), pa.string()), sums
+            return pa.RecordBatch.from_arrays([text.take(pa.array(keys >> 32)), text.take(pa.array(keys & 0xFFFFFFFF)), pa.array(n)],
+                                              ["a", "b", "n"])
+
+        def total() -> tuple:
+            return _summed(*(np.concatenate(part) for part in zip(*held, strict=True)))
+
+        for b in _batches(batches):
+            words = Batch(b)
+            to = np.array([names.setdefault(name, len(names)) for name in words.number], np.int64)
+            keys, word = _pair_keys(to[words.codes], words.lengths)
+            inside = keys >= 0
+            held.append(_summed(keys[inside], words.counts[word[inside]]))
+            if sum(len(keys) for keys, _ in held) >= HELD_PAIRS:
+                held = [total()]
+                if len(held[0][0]) >= HELD_PAIRS // 2:
+                    yield rows(held.pop())
+        if held:
+            yield rows(total())
+
+    return words.mapInArrow(run, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def segments_of(words: DataFrame, pairs: list, reach: int) -> DataFrame:
     """``sym, ends, n``: the segments of ``words`` (``sym, n``) around the occurrences of ``pairs``."""
-    shared = words.sparkSession.sparkContext.broadcast(set(pairs))
+    shared = words.sparkSession.sparkContext.broadcast(list(pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            syms, ends, counts = [], [], []
-            for sym, n in zip(b.column("sym").to_pylist(), b.column("n").to_pylist(), strict=True):
-                word = sym.split(" ")
-                hits = [i for i, pair in enumerate(zip(word, word[1:])) if pair in shared.value]
-                at = 0
-                while at < len(hits):
-                    start, end = max(0, hits[at] - reach), hits[at] + 2 + reach
-                    at += 1
-                    while at < len(hits) and hits[at] - reach <= end:  # ends that touch make one segment
-                        end = hits[at] + 2 + reach
-                        at += 1
-                    end = min(end, len(word))
-                    syms.append(" ".join(word[start:end]))
-                    ends.append(OPEN_LEFT * (start > 0) + OPEN_RIGHT * (end < len(word)))
-                    counts.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(syms, pa.string()), pa.array(ends, pa.int32()), pa.array(counts, pa.int64())],
-                                             ["sym", "ends", "n"])
+        for b in _batches(batches):
+            words = Batch(b)
+            first, second = (words.numbers([pair[i] for pair in shared.value]) for i in range(2))
+            keys, word = _pair_keys(words.codes, words.lengths)
+            hits = np.flatnonzero(np.isin(keys, first << 32 | second))
+            start = _starts(words.lengths)
+            end = start + words.lengths
+            # Ends that touch make one segment.
+            borders = np.zeros(len(keys) + 1, np.int64)
+            np.add.at(borders, np.maximum(start[word[hits]], hits - reach), 1)
+            np.add.at(borders, np.minimum(end[word[hits]], hits + 2 + reach), -1)
+            near = np.cumsum(borders[:-1]) > 0
+            begins, ends = near.copy(), near.copy()
+            begins[1:] &= ~near[:-1] | (word[1:] != word[:-1])
+            ends[:-1] &= ~near[1:] | (word[1:] != word[:-1])
+            begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+            of = word[begins]
+            opens = OPEN_LEFT * (begins > start[of]) + OPEN_RIGHT * (ends < end[of])
+            made = pa.table({"sym": _texts(words.names, words.codes[near], ends - begins), "ends": pa.array(opens, pa.int32()),
+                             "n": pa.array(words.counts[of], pa.int64())})
+            made = made.group_by(["sym", "ends"], use_threads=False).aggregate([("n", "sum")])
+            yield from made.select(["sym", "ends", "n_sum"]).rename_columns(["sym", "ends", "n"]).combine_chunks().to_batches()
 
     return words.mapInArrow(run, "sym string, ends int, n bigint").groupBy("sym", "ends").agg(F.sum("n").alias("n"))
 
 
+def _texts(names: pa.Array, codes: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Runs of symbols as text, with spaces between the symbols."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(codes))), " ")
+
+
 def merged(words: DataFrame, merges: list) -> DataFrame:
     """``words`` (``sym, n``) after ``merges`` (pairs, in order); words of one symbol are left out."""
-    shared = words.sparkSession.sparkContext.broadcast({pair: i for i, pair in enumerate(merges)})
-
-    def apply(sym: str) -> str | None:
-        rank, word = shared.value, sym.split(" ")
-        while len(word) > 1:
-            first = min((rank[p] for p in zip(word, word[1:]) if p in rank), default=None)
-            if first is None:
-                return " ".join(word)
-            out, k = [], 0
-            while k < len(word):
-                if k + 1 < len(word) and rank.get((word[k], word[k + 1])) == first:
-                    out.append(word[k] + word[k + 1])
-                    k += 2
-                else:
-                    out.append(word[k])
-                    k += 1
-            word = out
-        return None
+    shared = words.sparkSession.sparkContext.broadcast(list(merges))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = pa.array([apply(s) for s in b.column("sym").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([made, b.column("n")], ["sym", "n"]).filter(made.is_valid())
+        for b in _batches(batches):
+            words, merges = Batch(b), shared.value
+            first, second = (words.numbers([pair[i] for pair in merges]) for i in range(2))
+            product = words.numbers([x + y for x, y in merges])
+            table = first << 32 | second
+            order = np.argsort(table)
+            table = table[order]
+            codes, lengths, counts = words.codes, words.lengths, words.counts
+            none = len(table)
+            untouched = True
+            while len(lengths):
+                keys, word = _pair_keys(codes, lengths)
+                at = np.minimum(np.searchsorted(table, keys), none - 1)
+                rank = np.where(table[at] == keys, order[at], none)
+                least = np.minimum.reduceat(rank, _starts(lengths))
+                done = least == none
+                kept = done & (lengths > 1)
+                if kept.any():
+                    # Words that hold no merge at all stay as they are.
+                    sym = (b.column("sym").filter(pa.array(kept)) if untouched
+                           else _texts(words.names, codes[kept[word]], lengths[kept]))
+                    yield pa.RecordBatch.from_arrays([sym, pa.array(counts[kept], pa.int64())], ["sym", "n"])
+                # The first merge of each other word, at all of its places from left to right.
+                open_ = ~done[word]
+                rank, least, codes = rank[open_], least[~done], codes[open_]
+                lengths, counts = lengths[~done], counts[~done]
+                word = np.repeat(np.arange(len(lengths)), lengths)
+                hits = np.flatnonzero(rank == least[word])
+                if len(hits):
+                    fresh = np.concatenate([[True], np.diff(hits) != 1])
+                    runs = np.flatnonzero(fresh)
+                    hits = hits[(np.arange(len(hits)) - runs[np.cumsum(fresh) - 1]) % 2 == 0]
+                    codes[hits] = product[rank[hits]]
+                    codes = np.delete(codes, hits + 1)
+                    lengths = lengths - np.bincount(word[hits], minlength=len(lengths))
+                untouched = False
 
     return words.mapInArrow(run, "sym string, n bigint")
 

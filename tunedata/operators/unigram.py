@@ -40,6 +40,9 @@ BATCH_WORDS, BATCH_CHARS = 4096, 1 << 17
 SEEDS_PER_PIECE = 10
 PRUNED, EM_STEPS = 0.75, 2
 
+BUCKET_BITS = 18
+
+_BUCKET = np.uint64(64 - BUCKET_BITS)
 _MULTIPLIER, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
 
@@ -68,6 +71,9 @@ class Model:
                 hashes[has] = _extend(hashes[has], points[starts[has] + k])
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
+        # Whether a piece has these first bits: most hashes that are asked for have none.
+        self.filled = np.zeros(1 << BUCKET_BITS, bool)
+        self.filled[hashes >> _BUCKET] = True
         self.set(logp)
 
     def set(self, logp: np.ndarray) -> None:
@@ -99,10 +105,11 @@ class Lattice:
                 inside = np.flatnonzero(left > k)
                 h[inside] = _extend(h[inside], points[inside + k])
                 found = np.full(len(points), len(model.pieces), np.int64)
-                at = np.minimum(np.searchsorted(model.hashes, h[inside]), max(len(model.hashes) - 1, 0))
-                if len(model.hashes):
-                    same = model.hashes[at] == h[inside]
-                    found[inside[same]] = model.order[at[same]]
+                some = inside[model.filled[h[inside] >> _BUCKET]]
+                if len(some):
+                    at = np.minimum(np.searchsorted(model.hashes, h[some]), len(model.hashes) - 1)
+                    same = model.hashes[at] == h[some]
+                    found[some[same]] = model.order[at[same]]
                 if k == 0:
                     found[found == len(model.pieces)] = model.unknown
                 self.ids.append(found)
@@ -346,11 +353,13 @@ def unigram_vocab(corpus: DataFrame, vocab_size: int = vocab.DEFAULT_VOCAB_SIZE,
     fixed = vocab.fixed_pieces(spark, user_symbols)
     names = [*vocab.SPECIAL_PIECES, *user_symbols]
     # Bounded by the code space.
-    chars = [r["token"] for r in vocab.covered_chars(corpus, text_col, coverage, user_symbols).orderBy("rank").collect()]
+    counted = materialize(vocab.counted_words(corpus, text_col, user_symbols))
+    covered = vocab.covered_chars(corpus, text_col, coverage, user_symbols, counted)
+    chars = [r["token"] for r in covered.orderBy("rank").collect()]
     room = vocab_size - len(names)
     if room < len(chars):
         raise ValueError(f"vocab_size {vocab_size} is too small for the fixed pieces and covered characters")
-    words = materialize(vocab.bpe_words(corpus, text_col, user_symbols)
+    words = materialize(vocab.bpe_words(corpus, text_col, user_symbols, counted)
                         .select(F.replace("sym", F.lit(" "), F.lit("")).alias("word"), "n"))
     model = train(words, chars, room, **options)
     score = model.logp[:len(model.pieces)].tolist()

@@ -7,15 +7,18 @@ then the user-defined symbols, then the learned pieces in rank order.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunedata.functions.codec import WORD_MARK, chars, symbols, words
 from tunedata.operators import bpe_train
 from tunedata.operators.ordering import with_position
-from tunedata.session import checkpoint_dir, materialize
+from tunedata.session import BATCH_ROWS, checkpoint_dir, materialize, ship_package
 
 # Pieces every trained vocabulary starts with, default user
 # symbol, size and character coverage of the trainer.
@@ -179,14 +182,47 @@ def pair_counts(word_table: DataFrame, sym_col: str = "sym", n_col: str = "n") -
 CUT = "\uffff"
 
 
-def bpe_words(corpus: DataFrame, text_col: str = "value", user_symbols=()) -> DataFrame:
+# Distinct words that a task holds before they go on.
+HELD_WORDS = 1 << 19
+
+
+def counted_words(corpus: DataFrame, text_col: str = "value", user_symbols=()) -> DataFrame:
+    """``word, n`` as ``word_counts`` gives them, ``CUT`` for every user symbol; a task counts its words in
+    Arrow before the shuffle."""
+    ship_package(corpus.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def total() -> pa.Table:
+            t = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return t.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+        for b in batches:
+            found = pc.ascii_split_whitespace(b.column("text")).flatten().value_counts()
+            t = pa.table({"word": found.field("values"), "n": found.field("counts")})
+            held.append(t.filter(pc.not_equal(t["word"], "")))
+            rows += len(held[-1])
+            if rows >= HELD_WORDS:
+                held = [total()]
+                rows = len(held[0])
+                if rows >= HELD_WORDS // 2:
+                    yield from held.pop().to_batches(max_chunksize=BATCH_ROWS)
+                    rows = 0
+        if held:
+            yield from total().to_batches(max_chunksize=BATCH_ROWS)
+
+    cut = corpus.select(cut_symbols(F.col(text_col), user_symbols, CUT).alias("text"))
+    return cut.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def bpe_words(corpus: DataFrame, text_col: str = "value", user_symbols=(), counted: DataFrame | None = None) -> DataFrame:
     """BPE start table: one row per distinct word part, ``sym`` = characters, space separated.
 
-    The text is cut at the user symbols, then split into words. A part that
-    begins its word carries the word mark, a part behind a symbol does not.
+    The text is cut at the user symbols, then split into words (``counted``, if they are known).
+    A part that begins its word carries the word mark, a part behind a symbol does not.
     """
-    cut = corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols, CUT))
-    counted = word_counts(cut, text_col)
+    counted = counted_words(corpus, text_col, user_symbols) if counted is None else counted
     if not user_symbols:
         return counted.select(F.array_join(symbols(F.col("word")), " ").alias("sym"), "n")
     parts = counted.select(F.posexplode(F.split("word", CUT)).alias("pos", "part"), "n")
@@ -275,13 +311,14 @@ def _batch_rule(top: list, complete: bool, products: set, remaining: int) -> lis
     return taken
 
 
-def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(), **options) -> DataFrame:
+def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_symbols=(),
+               counted: DataFrame | None = None, **options) -> DataFrame:
     """V1 merge list ``(rank, a, b, n)``: the greedy merge order, ties to the
     smaller ``(a, b)``; ``options`` go to ``bpe_train.train``."""
     spark = corpus.sparkSession
     # Words of one symbol have no pair.
-    words = materialize(bpe_words(corpus, text_col, user_symbols).filter(F.col("sym").contains(" ")))
-    merges = bpe_train.train(words, pair_counts, n_merges, **options)
+    words = materialize(bpe_words(corpus, text_col, user_symbols, counted).filter(F.col("sym").contains(" ")))
+    merges = bpe_train.train(words, bpe_train.pair_counts, n_merges, **options)
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 
 
@@ -332,12 +369,21 @@ def bpe_merges_by_rounds(corpus: DataFrame, n_merges: int, text_col: str = "valu
 
 
 def covered_chars(corpus: DataFrame, text_col: str = "value", coverage: float = DEFAULT_COVERAGE,
-                  user_symbols=()) -> DataFrame:
+                  user_symbols=(), counted: DataFrame | None = None) -> DataFrame:
     """``(token, rank)``: the covered characters of the BPE start table, the word mark (a
-    character of every word) among them, without those that are fixed pieces."""
-    marks = word_counts(corpus.withColumn(text_col, cut_symbols(F.col(text_col), user_symbols, CUT)), text_col).agg(
-        F.sum("n").alias("n")).select(F.lit(WORD_MARK).alias("ch"), "n").filter(F.col("n") > 0)
-    counts = char_counts(corpus, text_col, user_symbols).filter(F.col("ch") != WORD_MARK).unionByName(marks)
+    character of every word) among them, without those that are fixed pieces. The characters are
+    those of the distinct words (``counted``, if they are known), times the words' counts."""
+    counted = counted_words(corpus, text_col, user_symbols) if counted is None else counted
+    marks = counted.agg(F.sum("n").alias("n")).select(F.lit(WORD_MARK).alias("ch"), "n").filter(F.col("n") > 0)
+    counts = (counted.select(F.explode(F.split("word", "")).alias("ch"), "n").groupBy("ch").agg(F.sum("n").alias("n"))
+              .filter(F.col("ch") != WORD_MARK))
+    if user_symbols:  # those of the texts themselves, beside the ones that stand for a symbol
+        text = cut_symbols(F.col(text_col), user_symbols)
+        own = (corpus.filter(F.col(text_col).contains(CUT))
+               .agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit(CUT), F.lit("")))).alias("n")))
+        counts = counts.filter(F.col("ch") != CUT).unionByName(
+            own.select(F.lit(CUT).alias("ch"), F.col("n").cast("bigint").alias("n")).filter(F.col("n") > 0))
+    counts = counts.unionByName(marks)
     fixed = list(SPECIAL_PIECES) + list(user_symbols)
     return (char_coverage(counts, coverage).filter("kept").select(F.col("ch").alias("token"), "rank")
             .filter(~F.col("token").isin(fixed)))
@@ -355,12 +401,13 @@ def bpe_vocab(corpus: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, text_col:
     """
     spark = corpus.sparkSession
     n_fixed = len(SPECIAL_PIECES) + len(user_symbols)
-    ch = materialize(covered_chars(corpus, text_col, coverage, user_symbols))  # bounded by the code space
+    counted = materialize(counted_words(corpus, text_col, user_symbols))
+    ch = materialize(covered_chars(corpus, text_col, coverage, user_symbols, counted))  # bounded by the code space
     if n_merges is None:
         n_merges = vocab_size - n_fixed - ch.count()
         if n_merges < 0:
             raise ValueError(f"vocab_size {vocab_size} is too small for the fixed pieces and covered characters")
-    merges = bpe_merges(corpus, n_merges, text_col, user_symbols, **options)
+    merges = bpe_merges(corpus, n_merges, text_col, user_symbols, counted, **options)
     # The merge list has at most ``n_merges`` rows, so ranking it as a whole is bounded.
     merged = merges.groupBy(F.concat("a", "b").alias("token")).agg(F.min("rank").alias("first"))
     merged = merged.filter(~F.col("token").isin(list(SPECIAL_PIECES) + list(user_symbols)))

@@ -110,3 +110,19 @@ def test_walk_keeps_every_pair_that_can_link():
             if 185 * len(np.intersect1d(sets[i], sets[j])) >= 85 * (len(sets[i]) + len(sets[j]))}
     assert true and true <= pairs
     assert len(pairs) < 2 * len(true) < len(sets) ** 2 / 40
+
+
+def test_sets_of_pairs_without_a_row_for_each_side(spark, monkeypatch):
+    """The sets whose texts are looked up: each side's distinct ones, no rows are made of the pairs."""
+    asked = []
+    real = jj.materialize
+
+    def spy(df, **how):
+        if df.columns == ["sid"]:
+            asked.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, **how)
+
+    monkeypatch.setattr(jj, "materialize", spy)
+    docs = [(i, " ".join(f"w{k}" for k in range(40) if k != i)) for i in range(41, 35, -1)] + [(1, "a b c d e"), (2, "a b c d e")]
+    assert found(spark, docs) == brute(docs, 4, 85)
+    assert asked and not any("Generate" in plan for plan in asked)

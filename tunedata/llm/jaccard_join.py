@@ -301,7 +301,7 @@ class SetJoin:
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         left = materialize(both.mapInArrow(near, "a bigint, b bigint"), how="table")
-        wanted = left.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        wanted = left.select(F.col("a").alias("sid")).distinct().union(left.select("b").distinct()).distinct()
         words = self.words
 
         def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

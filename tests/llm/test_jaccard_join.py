@@ -126,3 +126,55 @@ def test_sets_of_pairs_without_a_row_for_each_side(spark, monkeypatch):
     docs = [(i, " ".join(f"w{k}" for k in range(40) if k != i)) for i in range(41, 35, -1)] + [(1, "a b c d e"), (2, "a b c d e")]
     assert found(spark, docs) == brute(docs, 4, 85)
     assert asked and not any("Generate" in plan for plan in asked)
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_shingles_and_in_most_of_them():
+    """Also where sets of unlike size have bitmaps of unlike width."""
+    rng = np.random.default_rng(8)
+    seen = total = 0
+    for n in (1, 3, 40, 120, 500, 2000):
+        for part in (0.0, 0.1, 0.2, 0.6):
+            base = rng.integers(0, 1 << 62, n)
+            other = np.unique(np.concatenate([base[rng.random(n) > part], rng.integers(0, 1 << 62, int(n * part) + 1)]))
+            base = np.unique(base)
+            apart = len(np.setxor1d(base, other))
+            bits = jj.differing(jj.bitmap(base), jj.bitmap(other))
+            assert bits <= apart
+            if part in (0.1, 0.2):
+                seen, total = seen + bits, total + apart
+    assert seen > 0.85 * total
+
+
+def test_pairs_left_by_the_walk_of_near_copies_are_those_that_link():
+    """Copies of one text, each two of them a little below the threshold: their bitmaps tell them from links."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, 150)
+    sets = [np.unique(np.concatenate([base[rng.permutation(150)[:139]], rng.integers(0, 1 << 62, 5)])) for _ in range(200)]
+    row = jj.pack([{"sid": i, "label": i, "n": len(s), "rest": len(s), "bits": jj.bitmap(s)} for i, s in enumerate(sets)])
+    block = jj.Block(*[pa.scalar(row[c]) for c in ("sid", "label", "n", "rests")], pa.scalar(row["bits"], pa.binary()))
+    u, v = jj.walk(block, block, 85, True)
+    common = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    n = np.array([len(s) for s in sets])
+    links = np.triu(185 * common >= 85 * (n[:, None] + n), 1)
+    assert not np.setdiff1d(np.flatnonzero(links), 200 * u + v).size
+    assert len(set(zip(u.tolist(), v.tolist(), strict=True))) == len(u) < links.sum() + 0.05 * 200 * 199 / 2
+
+
+def test_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """The pairs to compare grow with a group of near copies, not with its square."""
+    counts = []
+    real = jj.SetJoin.linked
+
+    def spy(self, pairs):
+        counts.append(pairs.count())
+        return real(self, pairs)
+
+    monkeypatch.setattr(jj.SetJoin, "linked", spy)
+    rng = random.Random(3)
+    passage = [f"w{i}" for i in range(150)]
+    docs = [(i, " ".join(edited(rng, passage, [f"x{i}_{k}" for k in range(9)], rng.choice([2, 3, 4, 5]))))
+            for i in range(300)]
+    assert found(spark, docs) == brute(docs, 4, 85)
+    assert counts[1] < 300

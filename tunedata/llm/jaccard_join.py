@@ -4,18 +4,22 @@ A document's set holds the hashes of its distinct word shingles; two sets link w
 ``100 * common >= percent * union``. Everything is exact (but for equal 63-bit hashes of
 different shingles): what is pruned could not link.
 
-1. Equal sets become one. Each set keeps its smallest hashes and a bitmap of all of them,
-   two bits a shingle or more.
+1. Equal sets become one. Each set keeps its smallest hashes and a parity bitmap of all of them,
+   two bits a shingle or more: a bit is 1 if an odd number of hashes fall on it. What two sets
+   have in common cancels out, so that the bitmaps of two sets differ in nearly as many bits as
+   the sets differ in shingles, and never in more.
 2. Every linked pair has a common token among the first ``n - ceil(n * percent / 100) + 1``
    of both, in any order of the tokens. Here the tokens that many sets hold come last (the
    ``heavies`` most frequent ones are broadcast, a bounded list), so shared passages make few
    pairs. Each token held by several sets in that part is a cell, the root of a signature tree.
 3. Sets go on that have one of like size in their cell. Their cells get trees: members in
    blocks (one row each, about ``block`` members; more than that are dealt by size first), leaves
-   of 16 inside a block. A node holds the OR of its members' bitmaps, their range of sizes, the
-   most tokens that can follow the cell's token, and the range of their components. Pairs of blocks are joined by cell, pairs of leaves and members are walked in
-   numpy; at each level a pair is left out when the largest possible overlap of any two
-   members is too small, or when both sides are of one component.
+   of 16 inside a block. A node holds the OR and the AND of its members' bitmaps, their range of
+   sizes, the most tokens that can follow the cell's token, and the range of their components.
+   Pairs of blocks are joined by cell, pairs of leaves and members are walked in numpy; at each
+   level a pair is left out when the largest possible overlap of any two members is too small
+   (bits that all members of one side have and none of the other are shingles apart), or when
+   both sides are of one component.
 4. The pairs that remain are compared exactly, on shingles made anew from their texts, and
    joined to connected components. This is done twice: first every set is compared with one
    member of each of its cells and, over a quarter of the cells, with the ``nearest`` candidates of a
@@ -55,6 +59,8 @@ MIN_BITS, MAX_BITS = 64, 1 << 16
 # Width of the bitmaps that pairs of blocks are compared by, in 64-bit words.
 TOP_WORDS = 16
 LEAF = 16
+# Pairs that a task of the walk hands on at a time.
+HANDED = 1 << 18
 # Most sets whose texts are looked up by a broadcast of their keys, about 60 bytes each.
 SMALL_OWNERS = 500_000
 
@@ -96,10 +102,10 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
+    """Parity bitmap: a bit is 1 if an odd number of tokens fall on it."""
     width = min(MAX_BITS, max(MIN_BITS, 1 << int(2 * len(tokens) - 1).bit_length()))
-    bits = np.zeros(width, np.uint8)
-    bits[tokens & (width - 1)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    odd = np.bincount(tokens & (width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def _lists(parts: list, kind=None) -> pa.ListArray:
@@ -234,7 +240,7 @@ class SetJoin:
         members = small.unionByName(large).join(self.sets.select("sid", "bits"), "sid")
         packed = members.groupBy(keys).agg(F.collect_list(F.struct("n", "label", "sid", "rest", "bits")).alias("m"))
         schema = ("token bigint, alone boolean, id bigint, lo bigint, hi bigint, rest bigint, label_lo bigint, "
-                  "label_hi bigint, excess bigint, top array<bigint>, sid array<bigint>, label array<bigint>, "
+                  "label_hi bigint, any_bits array<bigint>, all_bits array<bigint>, sid array<bigint>, label array<bigint>, "
                   "n array<bigint>, rests array<bigint>, bits binary")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,33 +257,43 @@ class SetJoin:
         """Pairs of members that a dual walk over the blocks of each cell leaves."""
         several = blocks.filter("not alone")
         a, b = ([F.col(c).alias(f"{side}_{c}") for c in blocks.columns] for side in "ab")
-        common = F.aggregate(F.zip_with("a_top", "b_top", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("bigint")),
-                             F.lit(0).cast("bigint"), lambda s, x: s + x)
-        most = F.least("a_rest", "b_rest", "a_hi", "b_hi", common + F.least("a_excess", "b_excess"))
+
+        def only(every, any_other):
+            bits = F.zip_with(every, any_other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))).cast("bigint"))
+            return F.aggregate(bits, F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+        # Bitmaps of different widths are not compared here.
+        apart = (F.when(F.size("a_any_bits") == F.size("b_any_bits"), only("a_all_bits", "b_any_bits") + only("b_all_bits", "a_any_bits"))
+                 .otherwise(0))
+        near = (100 + self.percent) * apart <= (100 - self.percent) * (F.col("a_hi") + F.col("b_hi"))
+        most = F.least("a_rest", "b_rest", "a_hi", "b_hi")
         alike = ((F.col("a_label_lo") == F.col("a_label_hi")) & (F.col("b_label_lo") == F.col("b_label_hi"))
                  & (F.col("a_label_lo") == F.col("b_label_lo")))
         columns = ("id", "sid", "label", "n", "rests", "bits")
         pairs = (several.select(*a).join(several.select(*b), (F.col("a_token") == F.col("b_token"))
                                          & (F.col("a_id") <= F.col("b_id")))
-                 .filter(~alike & self.enough(most, F.col("a_lo") + F.col("b_lo")))
+                 .filter(~alike & self.enough(most, F.col("a_lo") + F.col("b_lo")) & near)
                  .select(*[f"{side}_{c}" for side in "ab" for c in columns]))
         percent = self.percent
 
-        def found(b: pa.RecordBatch, i: int, sides: str) -> pa.RecordBatch:
-            left, *right = (Block(*[b.column(f"{side}_{c}")[i] for c in columns[1:]]) for side in sides)
-            same = not right or b.column("a_id")[i].as_py() == b.column("b_id")[i].as_py()
-            u, v = walk(left, right[0] if right else left, percent, same, nearest)
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+        def found(b: pa.RecordBatch, sides: str) -> Iterator[pa.RecordBatch]:
+            held, n = [], 0
+            for i in range(b.num_rows):
+                left, *right = (Block(*[b.column(f"{side}_{c}")[i] for c in columns[1:]]) for side in sides)
+                same = not right or b.column("a_id")[i].as_py() == b.column("b_id")[i].as_py()
+                held.append(np.stack(walk(left, right[0] if right else left, percent, same, nearest)))
+                n += held[-1].shape[1]
+                if n >= HANDED or (n and i + 1 == b.num_rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in np.concatenate(held, 1)], ["a", "b"])
+                    held, n = [], 0
 
         def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for i in range(b.num_rows):
-                    yield found(b, i, "a")
+                yield from found(b, "a")
 
         def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for i in range(b.num_rows):
-                    yield found(b, i, "ab")
+                yield from found(b, "ab")
 
         alone = blocks.filter("alone").select(*[F.col(c).alias(f"a_{c}") for c in columns])
         return (alone.mapInArrow(inside, "a bigint, b bigint").union(pairs.mapInArrow(between, "a bigint, b bigint"))
@@ -297,7 +313,7 @@ class SetJoin:
             for b in batches:
                 n = b.column("n_a").to_numpy() + b.column("n_b").to_numpy()
                 apart = [differing(x.as_py(), y.as_py()) for x, y in zip(b.column("bits_a"), b.column("bits_b"), strict=True)]
-                ok = (100 + percent) * (n - np.array(apart, np.int64)) >= 2 * percent * n
+                ok = (100 + percent) * np.array(apart, np.int64) <= (100 - percent) * n
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         left = materialize(both.mapInArrow(near, "a bigint, b bigint"), how="table")
@@ -377,10 +393,10 @@ def to_arrow_schema(ddl: str) -> pa.Schema:
 
 
 def fold(bits: np.ndarray, width: int) -> np.ndarray:
-    """Bitmaps (rows of bytes) of fewer bytes: a bit of the half cut off goes to its place in the other."""
+    """Parity bitmaps (rows of bytes) of fewer bytes: a bit of the half cut off is added to its place in the other."""
     while bits.shape[-1] > width:
         half = bits.shape[-1] // 2
-        bits = bits[..., :half] | bits[..., half:]
+        bits = bits[..., :half] ^ bits[..., half:]
     return bits
 
 
@@ -402,11 +418,9 @@ def pack(members: list) -> dict:
     width = min(len(m["bits"]) for m in members)
     bits = np.stack([fold(np.frombuffer(m["bits"], np.uint8), width) for m in members])
     top = fold(bits, 8 * TOP_WORDS)
-    both = np.bitwise_or.reduce(top, 0)
-    # A narrower bitmap is repeated, so that the AND of any two keeps every common bit.
-    both = np.tile(both, 8 * TOP_WORDS // len(both))
     return {"lo": n[0], "hi": n[-1], "rest": max(rest), "label_lo": min(label), "label_hi": max(label),
-            "excess": int((np.array(n) - ones(top)).max()), "top": both.view(np.int64).tolist(),
+            "any_bits": np.bitwise_or.reduce(top, 0).view(np.int64).tolist(),
+            "all_bits": np.bitwise_and.reduce(top, 0).view(np.int64).tolist(),
             "sid": sid, "label": label, "n": n, "rests": rest, "bits": bits.tobytes()}
 
 
@@ -420,16 +434,17 @@ class Block:
 
     def leaves(self, width: int) -> dict:
         bits, at = fold(self.bits, width), self.starts
-        return {"bits": np.bitwise_or.reduceat(bits, at, 0), "lo": np.minimum.reduceat(self.n, at),
-                "hi": np.maximum.reduceat(self.n, at), "rest": np.maximum.reduceat(self.rest, at),
-                "excess": np.maximum.reduceat(self.n - ones(bits), at), "label_lo": np.minimum.reduceat(self.label, at),
+        return {"any_bits": np.bitwise_or.reduceat(bits, at, 0), "all_bits": np.bitwise_and.reduceat(bits, at, 0),
+                "lo": np.minimum.reduceat(self.n, at), "hi": np.maximum.reduceat(self.n, at),
+                "rest": np.maximum.reduceat(self.rest, at), "label_lo": np.minimum.reduceat(self.label, at),
                 "label_hi": np.maximum.reduceat(self.label, at)}
 
 
-def walk(a: Block, b: Block, percent: int, same: bool, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of members (``sid``) of two blocks whose overlap may suffice; ``same`` if the blocks are one.
-    With ``nearest``, only so many of each member, those whose bitmaps differ least."""
-    width = min(a.bits.shape[1], b.bits.shape[1])
+def open_leaves(a: Block, b: Block, percent: int, same: bool, width: int) -> Iterator[tuple[int, int]]:
+    """Pairs of leaves of two blocks that may hold a pair of members to link."""
+    if len(a.starts) == len(b.starts) == 1:  # the members are as few as a leaf's
+        yield 0, 0
+        return
     x, y = a.leaves(width), b.leaves(width)
 
     def least(c):
@@ -439,27 +454,32 @@ def walk(a: Block, b: Block, percent: int, same: bool, nearest: int | None = Non
     enough = (100 + percent) * most >= percent * (x["lo"][:, None] + y["lo"])
     alike = ((x["label_lo"] == x["label_hi"])[:, None] & (y["label_lo"] == y["label_hi"])
              & (x["label_lo"][:, None] == y["label_lo"]))
-    open_leaves = enough & ~alike
+    left = enough & ~alike
     if same:
-        open_leaves &= np.arange(len(a.starts))[:, None] <= np.arange(len(b.starts))
+        left &= np.arange(len(a.starts))[:, None] <= np.arange(len(b.starts))
+    for i, j in zip(*np.nonzero(left), strict=True):
+        apart = ones(x["all_bits"][i] & ~y["any_bits"][j]) + ones(y["all_bits"][j] & ~x["any_bits"][i])
+        if (100 + percent) * apart <= (100 - percent) * (x["hi"][i] + y["hi"][j]):
+            yield i, j
+
+
+def walk(a: Block, b: Block, percent: int, same: bool, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members (``sid``) of two blocks whose overlap may suffice; ``same`` if the blocks are one.
+    With ``nearest``, only so many of each member, those whose bitmaps differ least."""
+    width = min(a.bits.shape[1], b.bits.shape[1])
     found, share = [np.empty((2, 0), np.int64)], [np.empty(0)]
     a_bits, b_bits = fold(a.bits, width), fold(b.bits, width)
-    for i, j in zip(*np.nonzero(open_leaves), strict=True):
-        most = ones(x["bits"][i] & y["bits"][j]) + min(x["excess"][i], y["excess"][j])
-        if (100 + percent) * most < percent * (x["lo"][i] + y["lo"][j]):
-            continue
+    for i, j in open_leaves(a, b, percent, same, width):
         p, q = slice(LEAF * i, LEAF * (i + 1)), slice(LEAF * j, LEAF * (j + 1))
         total = a.n[p][:, None] + b.n[q]
         most = np.minimum(np.minimum(a.rest[p][:, None], b.rest[q]), np.minimum(a.n[p][:, None], b.n[q]))
-        u, v = np.nonzero(((100 + percent) * most >= percent * total) & (a.label[p][:, None] != b.label[q]))
+        left = ((100 + percent) * most >= percent * total) & (a.label[p][:, None] != b.label[q])
+        u, v = np.nonzero(np.triu(left, 1) if same and i == j else left)
         apart = ones(a_bits[p][u] ^ b_bits[q][v])
-        ok = (100 + percent) * (total[u, v] - apart) >= 2 * percent * total[u, v]
+        ok = (100 + percent) * apart <= (100 - percent) * total[u, v]
         found.append(np.stack([a.sid[p][u[ok]], b.sid[q][v[ok]]]))
         share.append(apart[ok] / total[u, v][ok])
     pairs, share = np.sort(np.concatenate(found, 1), 0), np.concatenate(share)
-    pairs, at = np.unique(pairs, axis=1, return_index=True)
-    share = share[at][pairs[0] != pairs[1]]
-    pairs = pairs[:, pairs[0] != pairs[1]]
     if nearest is not None:
         keep = np.zeros(len(share), bool)
         for member in pairs:

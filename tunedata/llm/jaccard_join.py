@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunedata.llm.common import python_ready, text_or_empty
@@ -142,6 +142,12 @@ def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
         run, f"doc_id {kind}, text_key binary, key binary, n bigint, low array<bigint>, bits binary")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark deletes the shuffle files of tables that are written
+    then, and otherwise only when the driver's memory happens to fill."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_key() -> Column:
     return F.unhex(F.md5(text_or_empty()))
 
@@ -165,6 +171,7 @@ class SetJoin:
                  F.first("bits").alias("bits"))
             .select(F.monotonically_increasing_id().alias("sid"), "key", F.col("first.doc_id").alias("first_id"),
                     F.col("first.text_key").alias("text_key"), "n", "low", "bits"), how="table")
+        let_go(self.spark)
 
     def enough(self, overlap, total):
         """Whether an overlap suffices for two sets of ``total`` shingles together."""
@@ -251,7 +258,9 @@ class SetJoin:
                     to_arrow_schema(schema))
 
         packed = packed.select("token", "alone", F.xxhash64(*keys[2:]).alias("id"), "m").mapInArrow(run, schema)
-        return materialize(packed, how="table")
+        packed = materialize(packed, how="table")
+        let_go(self.spark)
+        return packed
 
     def walked(self, blocks: DataFrame, nearest: int | None) -> DataFrame:
         """Pairs of members that a dual walk over the blocks of each cell leaves."""
@@ -354,11 +363,13 @@ class SetJoin:
     def labels(self) -> DataFrame:
         """``node, component``: the component of every set that links with another one."""
         cells = self.cells()
+        let_go(self.spark)
         alone = self.sets.select(F.col("sid").alias("node"), F.col("sid").alias("component")).limit(0)
         # Sets have many cells in common, so that a quarter of them tells most nearest ones.
         some = cells.filter(F.pmod(F.xxhash64("token"), F.lit(4)) == 0)
         first = self.stars(cells).union(self.tree_pairs(some, alone, self.nearest)).distinct()
         known = materialize(components(self.linked(first).toDF("u", "v")))
+        let_go(self.spark)
         return joined(known, self.linked(self.tree_pairs(cells, known, None)))
 
     def result(self) -> DataFrame:

@@ -318,7 +318,7 @@ def bpe_merges(corpus: DataFrame, n_merges: int, text_col: str = "value", user_s
     spark = corpus.sparkSession
     # Words of one symbol have no pair.
     words = materialize(bpe_words(corpus, text_col, user_symbols, counted).filter(F.col("sym").contains(" ")))
-    merges = bpe_train.train(words, bpe_train.pair_counts, n_merges, **options)
+    merges = bpe_train.train(words, n_merges, **options)
     return spark.createDataFrame(merges, "rank int, a string, b string, n bigint")
 
 

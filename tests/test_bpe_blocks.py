@@ -13,17 +13,25 @@ def _corpus(spark, texts):
     return spark.createDataFrame([(t,) for t in texts], "value string").repartition(3)
 
 
-def test_rounds_are_few(spark, monkeypatch):
-    """Rare words beside frequent ones do not shorten a round."""
-    rng = random.Random(3)
-    stems = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(80)]
-    texts = [" ".join([*rng.choices(stems, k=20), "".join(rng.choices("abcdefghijklmn0123456789", k=12))]) for _ in range(150)]
-    rounds: list = []
-    real = bpe_train.greedy
-    monkeypatch.setattr(bpe_train, "greedy", lambda *a: rounds.append(1) or real(*a))
-    got = [tuple(r) for r in vocab.bpe_merges(_corpus(spark, texts), 200, max_segments=900).orderBy("rank").collect()]
-    assert got == _greedy(texts, 200)
-    assert len(rounds) <= 8
+def test_open_ends_of_runs_do_not_end_a_round():
+    """What stands beside a run is no more frequent than the last pair that the round sees."""
+    both = bpe_train.OPEN_LEFT | bpe_train.OPEN_RIGHT
+    top = [("a", "b", 10), ("c", "d", 9), ("e", "f", 8), ("g", "h", 7)]
+    runs = [([a, b], n, both) for a, b, n in top]
+    assert bpe_train.greedy(top, False, runs, set(), 100) == top[:3]
+    # Of pairs as frequent as the last one, those that a product made here may begin are not certain.
+    tied = [("a", "b", 10), ("ab0", "d", 7), ("ab9", "f", 7), ("g", "h", 7)]
+    runs = [([a, b], n, both) for a, b, n in tied]
+    assert bpe_train.greedy(tied, False, runs, set(), 100) == tied[:1]
+
+
+def test_runs_are_cut_between_other_pairs(spark):
+    df = spark.createDataFrame([("a b c d a b", 3), ("x a b", 2), ("a b", 1)], "sym string, n bigint").coalesce(1)
+    names = bpe_train.Names()
+    rows = bpe_train.runs_of(bpe_train.packed(df), names, [("a", "b"), ("c", "d")]).collect()
+    got = {("".join(names.text(c) for c in np.frombuffer(r["codes"], np.uint32).tolist()), r["ends"]): r["n"] for r in rows}
+    left, right = bpe_train.OPEN_LEFT, bpe_train.OPEN_RIGHT
+    assert got == {("ab", right): 3, ("cd", left | right): 3, ("ab", left): 5, ("ab", 0): 1}
 
 
 @pytest.mark.parametrize("k", [1, 2, 5, 40])

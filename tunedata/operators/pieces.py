@@ -11,19 +11,24 @@ literal mark in the text is always written in bytes, since a mark means a space.
   shorter, and so on backwards.
 
 A vocabulary whose measured size is within the bound is broadcast. A larger one stays a table:
-the distinct words are made first, the substrings that may be pieces are joined with it, and
-each word is encoded once with the pieces found inside of it; words are joined back to the texts.
+texts go in chunks, the substrings of a chunk's distinct words that may be pieces are joined with
+the table, and each of the words is encoded once with the pieces found. A chunk is one row, so
+what is shuffled are compressed chunks and a row for each chunk and piece, never one for a word.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from tunedata.functions.codec import WORD_MARK
 from tunedata.operators.encode import REMEMBERED_WORDS, _joined, _map_column
@@ -35,6 +40,9 @@ MAX_BROADCAST_BYTES, ENTRY_BYTES = 32 << 20, 100
 # What an unknown character costs a path beyond the worst piece.
 UNKNOWN_COST = 10.0
 MARK_BYTES = WORD_MARK.encode()
+INTS = ArrayType(IntegerType())
+# Bits that tell substrings that are no pieces before the join (2 MB, whatever the vocabulary).
+FILTER_BITS = 1 << 24
 
 
 def byte_piece(b: int) -> str:
@@ -211,57 +219,115 @@ def text_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_typ
     return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()), make).select(key, "ids")
 
 
+def _piece_bits(vocab: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits as bytes, with the one at the hash of every normal piece set."""
+    bit = _normal(vocab).select(F.crc32("token").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int").alias("bit"))
+    rows = (bit.groupBy(F.shiftright("bit", 5).alias("at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, bit & 31)")).alias("bits")).toArrow())
+    out = np.zeros(FILTER_BITS // 32, "<u4")
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _substrings(words: list, longest: int, bits: np.ndarray) -> list:
+    """The distinct substrings of ``words``, up to ``longest`` characters, whose bits are set."""
+    flags = memoryview(bits)
+    found: set = set()
+
+    @lru_cache(REMEMBERED_WORDS)
+    def may_be(token: str) -> bool:
+        h = zlib.crc32(token.encode("utf-8", "surrogatepass")) & (FILTER_BITS - 1)
+        return bool(flags[h >> 3] >> (h & 7) & 1)
+
+    for word in words:
+        for i in range(len(word)):
+            for j in range(i + 1, min(i + longest, len(word)) + 1):
+                if may_be(word[i:j]):
+                    found.add(word[i:j])
+    return sorted(found)
+
+
+def _bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _batch(raw: pa.Scalar) -> pa.RecordBatch:
+    with pa.ipc.open_stream(raw.as_buffer()) as reader:
+        return reader.read_next_batch()
+
+
 def joined_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_type: str = "bpe", unk_id: int = UNK_ID,
                facts: Vocabulary | None = None, cutter=Cutter) -> DataFrame:
     """``text_ids`` with the vocabulary as a table: equal to the broadcast form on any input."""
     ship_package(df.sparkSession)
     facts = facts or Vocabulary(vocab)
-    sc = df.sparkSession.sparkContext
-    shared = sc.broadcast(facts)
-    # Rows are numbered once, so that equal keys and texts stay rows of their own.
-    rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"),
-                                 F.col(text_col).alias("_text")), how="table")
+    shared = df.sparkSession.sparkContext.broadcast((facts, _piece_bits(vocab)))
+    rows = df.select(F.col(key).alias("_row"), F.col(text_col).alias("_text"))
+    row = rows.schema["_row"].dataType
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = cutter(list(shared.value.symbols), shared.value.whole)
+        facts, _ = shared.value
+        cut = cutter(list(facts.symbols), facts.whole)
         for b in (part for whole in batches for part in slices(whole)):
             found = [list(cut(t)) for t in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("_row"), pa.array([[k for k, _ in f] for f in found], pa.list_(pa.int32())),
                  pa.array([[w for _, w in f] for f in found], pa.list_(pa.string()))], ["_row", "kinds", "parts"])
 
-    parts = (rows.select("_row", "_text").mapInArrow(cut_all, "_row bigint, kinds array<int>, parts array<string>")
-             .select("_row", F.posexplode(F.arrays_zip("kinds", "parts")).alias("pos", "p"))
-             .select("_row", "pos", F.col("p.kinds").alias("kind"), F.col("p.parts").alias("part")))
-    parts = materialize(parts, how="table")
-    distinct = materialize(parts.select("kind", "part").distinct(), how="table")
-    # The pieces that may occur in a word are among its substrings. One row a word and distinct piece.
-    words = distinct.filter(F.col("kind") == Cutter.WORD).select("part")
-    size = F.length("part")
-    spans = (words.select("part", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-             .select("part", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(facts.longest), size - F.col("at") + 1))).alias("k"))
-             .select("part", F.substring("part", F.col("at"), F.col("k")).alias("token")).distinct())
-    held = (spans.join(_normal(vocab), "token").groupBy("part")
+    def chunk_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for some texts: their keys, the places of their parts among the distinct parts, those parts, and the
+        substrings that may be pieces."""
+        facts, bits = shared.value
+        for b in (part for whole in batches for part in slices(whole)):
+            parts = b.column("parts").flatten().dictionary_encode()
+            codes = parts.indices.to_numpy().astype(np.int64) * 3 + b.column("kinds").flatten().to_numpy()
+            distinct, at = np.unique(codes, return_inverse=True)
+            kinds, texts = distinct % 3, parts.dictionary.take(pa.array(distinct // 3))
+            lengths = pc.list_value_length(b.column("parts")).to_numpy(zero_copy_only=False)
+            places = pa.ListArray.from_arrays(_offsets(lengths), pa.array(at.astype(np.int32)))
+            words = texts.filter(pa.array(kinds == Cutter.WORD)).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_bytes(pa.RecordBatch.from_arrays([b.column("_row"), places], ["key", "at"]))], pa.binary()),
+                 pa.array([_bytes(pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int32)), texts], ["kind", "part"]))], pa.binary()),
+                 pa.array([_substrings(words, facts.longest, bits)], pa.list_(pa.string()))], ["rows", "words", "tokens"])
+
+    cut = rows.mapInArrow(cut_all, StructType().add("_row", row).add("kinds", INTS).add("parts", ArrayType(StringType())))
+    # Chunks are numbered once; equal keys and texts stay rows of their own.
+    chunks = materialize(cut.mapInArrow(chunk_all, "rows binary, words binary, tokens array<string>")
+                         .select(F.monotonically_increasing_id().alias("_chunk"), "rows", "words", "tokens"))
+    held = (chunks.select("_chunk", F.explode("tokens").alias("token")).join(_normal(vocab), "token").groupBy("_chunk")
             .agg(F.collect_list(F.struct("token", "id", "score")).alias("pieces")))
-    asked = distinct.join(held, "part", "left").select("kind", "part", "pieces")
+    asked = chunks.select("_chunk", "rows", "words").join(held, "_chunk", "left").select("rows", "words", "pieces")
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        facts = shared.value
-        for b in (part for whole in batches for part in slices(whole)):
-            out = []
-            for kind, part, pieces in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "pieces")), strict=True):
-                segment = facts.segmenter({p["token"]: (p["id"], p["score"]) for p in pieces or ()}, unk_id, model_type)
-                out.append([facts.symbols[part]] if kind == Cutter.SYMBOL else segment.bytes_of(MARK_BYTES)
-                           if kind == Cutter.MARK else list(segment(part)))
-            yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("part"), pa.array(out, pa.list_(pa.int32()))],
-                                             ["kind", "part", "ids"])
-
-    encoded = asked.mapInArrow(encode_all, "kind int, part string, ids array<int>")
-    ids = (parts.join(encoded, ["kind", "part"]).groupBy("_row")
-           .agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
-           .select("_row", F.flatten(F.transform("p", lambda s: s["ids"])).alias("ids")))
-    empty = F.array().cast("array<int>")
-    return rows.join(ids, "_row", "left").select(F.col("_key").alias(key), F.coalesce("ids", empty).alias("ids"))
+        facts, _ = shared.value
+        for b in batches:
+            for raw, words, pieces in zip(*(b.column(c) for c in ("rows", "words", "pieces")), strict=True):
+                segment = facts.segmenter({p["token"]: (p["id"], p["score"]) for p in pieces.as_py() or ()}, unk_id, model_type)
+                made = [(facts.symbols[part],) if kind == Cutter.SYMBOL else segment.bytes_of(MARK_BYTES)
+                        if kind == Cutter.MARK else segment(part)
+                        for kind, part in zip(*(_batch(words).column(c).to_pylist() for c in ("kind", "part")), strict=True)]
+                texts = _batch(raw)
+                yield pa.RecordBatch.from_arrays([texts.column("key"), _taken(pa.array(made, pa.list_(pa.int32())), texts.column("at"))],
+                                                 ["_key", "ids"])
+
+    encoded = asked.mapInArrow(encode_all, StructType().add("_key", row).add("ids", INTS))
+    return encoded.select(F.col("_key").alias(key), "ids")
+
+
+def _offsets(lengths: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
+def _taken(values: pa.ListArray, places: pa.ListArray) -> pa.ListArray:
+    """For each list of ``places`` the lists of ``values`` there, one behind the other."""
+    parts = values.take(places.flatten())
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
+    rows = np.concatenate([[0], np.cumsum(pc.list_value_length(places).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends[rows].astype(np.int32)), parts.flatten())
 
 
 class Decoder:

@@ -37,8 +37,9 @@ def dictionary(vocab: DataFrame, max_bytes: int = MAX_DICTIONARY_BYTES) -> list
     return vocab.select("token", "id", "score", "kind").collect() if size <= max_bytes else None
 
 
-def _map_column(df: DataFrame, col: str, out: str, kind: str, arrow: pa.DataType, make) -> DataFrame:
-    """``df`` with ``out = make()(value of col)`` for each row, in Arrow batches."""
+def _map_column(df: DataFrame, col: str, out: str, kind: str, arrow: pa.DataType, make, arrays: bool = False) -> DataFrame:
+    """``df`` with ``out = make()(value of col)`` for each row, in Arrow batches; ``arrays`` is for functions of
+    an Arrow array of values that give one."""
     ship_package(df.sparkSession)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out)
     kept = [c for c in df.columns if c != out]
@@ -46,7 +47,7 @@ def _map_column(df: DataFrame, col: str, out: str, kind: str, arrow: pa.DataType
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for b in (part for whole in batches for part in slices(whole)):
-            made = pa.array([fn(v) for v in b.column(col).to_pylist()], arrow)
+            made = fn(b.column(col)) if arrays else pa.array([fn(v) for v in b.column(col).to_pylist()], arrow)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], made], [*kept, out])
 
     return df.mapInArrow(run, f"{fields}, `{out}` {kind}")

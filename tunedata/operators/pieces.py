@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from tunedata.functions.codec import WORD_MARK
+from tunedata.operators.bpe_train import FIRST_MADE, Pairs, _pair_keys
 from tunedata.operators.encode import REMEMBERED_WORDS, _joined, _map_column
 from tunedata.operators.vocab import UNK_ID
 from tunedata.session import materialize, ship_package, slices
@@ -102,6 +103,162 @@ class Segmenter:
         return tuple(out)
 
 
+# Longest word that is encoded with others at a time: one pair of each is joined per round.
+LONG_WORD = 64
+
+
+def _gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The parts of ``pool`` at ``starts``, one behind the other."""
+    ends = np.cumsum(lengths)
+    return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
+
+
+class Joiner:
+    """``Segmenter`` of many words at a time, for ``bpe``: a round joins the best pair of each word, leftmost
+    on ties. A symbol is a code point, or ``FIRST_MADE`` and the place of its piece."""
+
+    def __init__(self, pieces: dict, segment: Segmenter):
+        self.segment = segment
+        long = [t for t in pieces if len(t) > 1]
+        number = {t: FIRST_MADE + i for i, t in enumerate(long)} | {t: ord(t) for t in pieces if len(t) == 1}
+        keys, products = [], []
+        for token in long:
+            for cut in range(1, len(token)):
+                a, b = token[:cut], token[cut:]
+                x = ord(a) if cut == 1 else number.get(a)
+                y = ord(b) if cut == len(token) - 1 else number.get(b)
+                if x is not None and y is not None:
+                    keys.append(x << 32 | y)
+                    products.append(number[token])
+        self.products = np.array(products, np.int64)
+        self.pairs = Pairs(np.array(keys, np.int64))
+        rank = np.unique([-float(pieces[t][1]) for t in long], return_inverse=True)[1] if long else np.zeros(0, np.int64)
+        self.rank = rank[self.products - FIRST_MADE].astype(np.int64)
+        self.made_ids = np.array([pieces[t][0] for t in long], np.int64)
+        chars = sorted(ord(t) for t in pieces if len(t) == 1)
+        self.chars = np.array(chars, np.int64)
+        self.char_ids = np.array([pieces[chr(c)][0] for c in chars], np.int64)
+
+    def __call__(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``words``, one word behind the other, and how many each has."""
+        size = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero(size <= LONG_WORD)
+        text = "".join([words[i] for i in short.tolist()])
+        flat, counts = self.ids_of(*self.joined(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64), size[short]))
+        if len(short) == len(words):
+            return flat, counts
+        others = np.flatnonzero(size > LONG_WORD)
+        found = [self.segment(words[i]) for i in others.tolist()]
+        pool = np.concatenate([flat, *(np.array(f, np.int64) for f in found)])
+        lengths = np.zeros(len(words), np.int64)
+        lengths[short], lengths[others] = counts, [len(f) for f in found]
+        order = np.concatenate([short, others])
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return _gathered(pool, starts, lengths), lengths
+
+    def joined(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left of each word, and their numbers."""
+        whole = np.arange(len(lengths))  # the words that still change
+        out_codes, out_words = [], []
+        while len(lengths):
+            keys, word = _pair_keys(codes, lengths)
+            places, at = self.pairs.find(keys)
+            if not len(places):
+                out_codes.append(codes)
+                out_words.append(whole[word])
+                break
+            of = word[places]
+            first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            best = np.minimum.reduceat(self.rank[at] << 40 | np.arange(len(places)), first) & ((1 << 40) - 1)
+            codes[places[best]] = self.products[at[best]]
+            open_ = np.zeros(len(lengths), bool)
+            open_[of[first]] = True
+            left = np.ones(len(codes), bool)
+            left[places[best] + 1] = False
+            done = ~open_[word]
+            out_codes.append(codes[done])
+            out_words.append(whole[word[done]])
+            codes = codes[left & ~done]
+            lengths, whole = lengths[open_] - 1, whole[open_]
+        if not out_codes:
+            return codes, lengths
+        codes, words = np.concatenate(out_codes), np.concatenate(out_words)
+        order = np.argsort(words, kind="stable")
+        return codes[order], words[order]
+
+    def ids_of(self, codes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbols, the bytes of characters without a piece, and how many each word has."""
+        ids, sizes = np.empty(len(codes), np.int64), np.ones(len(codes), np.int64)
+        made = codes >= FIRST_MADE
+        ids[made] = self.made_ids[codes[made] - FIRST_MADE]
+        at = np.searchsorted(self.chars, codes)
+        known = np.append(self.chars, -1)[at] == codes
+        ids[known] = self.char_ids[at[known]]
+        starts = np.arange(len(codes))
+        strange = np.flatnonzero(~made & ~known)
+        if len(strange):
+            chars, of = np.unique(codes[strange], return_inverse=True)
+            raw = [self.segment.bytes_of(chr(c).encode("utf-8", "surrogatepass")) for c in chars.tolist()]
+            length = np.array([len(r) for r in raw], np.int64)
+            starts[strange] = (len(ids) + np.cumsum(length) - length)[of]
+            sizes[strange] = length[of]
+            ids = np.concatenate([ids, *(np.array(r, np.int64) for r in raw)])
+        return _gathered(ids, starts, sizes), np.bincount(words, sizes, minlength=int(words[-1]) + 1 if len(words) else 0).astype(np.int64)
+
+
+class TextEncoder:
+    """Ids of whole texts, an array at a time: distinct words are encoded once and remembered. Texts with user
+    symbols or literal marks go to ``one``, which encodes a single text."""
+
+    def __init__(self, join: Joiner, symbols: list, one):
+        self.join, self.symbols, self.one = join, [*symbols, WORD_MARK], one
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict = {}
+        self.pool = self.starts = self.lengths = np.zeros(0, np.int64)
+
+    def places(self, words: list) -> np.ndarray:
+        """The numbers of ``words`` among the remembered ones."""
+        if len(self.known) > REMEMBERED_WORDS:
+            self.forget()
+        known = self.known
+        fresh = [w for w in words if w not in known]
+        if fresh:
+            ids, lengths = self.join([WORD_MARK + w for w in fresh])
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.pool = np.concatenate([self.pool, ids])
+            for w in fresh:
+                known[w] = len(known)
+        return np.array([known[w] for w in words], np.int64)
+
+    def plain(self, texts: pa.Array) -> pa.Array:
+        words = pc.split_pattern(texts, " ")
+        rows = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        found = words.flatten().dictionary_encode()
+        at = self.places(found.dictionary.to_pylist())[found.indices.to_numpy()]
+        lengths = self.lengths[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return pa.ListArray.from_arrays(pa.array(ends[rows].astype(np.int32)),
+                                        pa.array(_gathered(self.pool, self.starts[at], lengths).astype(np.int32)))
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        texts = texts.fill_null("")
+        other = pc.equal(texts, "")
+        for s in self.symbols:
+            other = pc.or_(other, pc.match_substring(texts, s))
+        other = other.to_numpy(zero_copy_only=False)
+        if not other.any():
+            return self.plain(texts)
+        alone = pa.array([self.one(t) for t in texts.filter(pa.array(other)).to_pylist()], pa.list_(pa.int32()))
+        made = pa.concat_arrays([self.plain(texts.filter(pa.array(~other))), alone])
+        order = np.empty(len(texts), np.int64)
+        order[np.concatenate([np.flatnonzero(~other), np.flatnonzero(other)])] = np.arange(len(texts))
+        return made.take(pa.array(order))
+
+
 class Cutter:
     """Cuts texts into user symbols, literal marks and words; ``words(text)`` gives ``(kind, string)``."""
 
@@ -214,9 +371,10 @@ def text_ids(df: DataFrame, key: str, text_col: str, vocab: DataFrame, model_typ
                 out += (remembered(part) if kind == cut.WORD else literal if kind == cut.MARK else [facts.symbols[part]])
             return out
 
-        return ids
+        return TextEncoder(Joiner(pieces, segment), list(facts.symbols), ids) if together else ids
 
-    return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()), make).select(key, "ids")
+    together = model_type == "bpe" and not facts.whole
+    return _map_column(df.select(key, text_col), text_col, "ids", "array<int>", pa.list_(pa.int32()), make, together).select(key, "ids")
 
 
 def _piece_bits(vocab: DataFrame) -> np.ndarray:
@@ -363,6 +521,45 @@ class Decoder:
         return text[1:] if first in self.marked else text
 
 
+class TextDecoder:
+    """``Decoder`` of an array of lists at a time: the bytes of all pieces in a row. Lists whose bytes are not
+    whole characters go to ``Decoder`` one by one."""
+
+    def __init__(self, rows: list):
+        self.one = Decoder(rows)
+        given = {i: bytes([b]) for i, b in self.one.bytes.items()} | {
+            i: p.encode("utf-8", "surrogatepass") for i, p in self.one.pieces.items() if i not in self.one.bytes}
+        self.ids = np.array(sorted(given), np.int64)
+        self.raw = pa.array([*(given[i] for i in self.ids.tolist()), b""], pa.binary())
+        self.marked = np.array([i in self.one.marked and i not in self.one.bytes for i in self.ids.tolist()] + [False])
+        self.exact = all(given.values())  # an empty piece would end a run of bytes
+
+    def __call__(self, lists: pa.Array) -> pa.Array:
+        rows = np.concatenate([[0], np.cumsum(np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))]).astype(np.int64)
+        flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.searchsorted(self.ids, flat)
+        at[np.append(self.ids, -1)[at] != flat] = len(self.ids)
+        taken = self.raw.take(pa.array(at))
+        sizes = pc.binary_length(taken).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = b"".join(taken.to_pylist()) if len(taken) < 64 else taken.buffers()[2].to_pybytes()[:ends[-1]]
+        starts, ends = ends[rows[:-1]], ends[rows[1:]]
+        # The first id that gives anything may be a piece with a mark, whose space goes.
+        given = np.append(at, len(self.ids)) < len(self.ids)
+        first = np.append(np.flatnonzero(given), len(at))[np.concatenate([[0], np.cumsum(given)])[rows[:-1]]]
+        marked = (first < rows[1:]) & self.marked[np.append(at, len(self.ids))[first]]
+        texts = []
+        for i, (a, b, m) in enumerate(zip(starts.tolist(), ends.tolist(), marked.tolist(), strict=True)):
+            try:
+                if not self.exact:
+                    raise UnicodeDecodeError("utf-8", b"", 0, 0, "pieces without text")
+                text = data[a:b].decode()
+                texts.append(text[1:] if m else text)
+            except UnicodeDecodeError:
+                texts.append(self.one(lists[i].as_py()))
+        return pa.array(texts, pa.string())
+
+
 def whole_characters(raw: bytes) -> str:
     """UTF-8 text; every byte that belongs to no whole character is one U+FFFD."""
     out = []
@@ -386,7 +583,7 @@ def decode_texts(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, max_by
         rows = [tuple(r) for r in columns.collect()]
         shared = df.sparkSession.sparkContext.broadcast(rows)
         return _map_column(df.select(key, ids_col), ids_col, "text", "string", pa.string(),
-                           lambda: Decoder(shared.value)).select(key, "text")
+                           lambda: TextDecoder(shared.value), True).select(key, "text")
     ship_package(df.sparkSession)
     rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"),
                                  F.col(ids_col).alias("_ids")), how="table")
